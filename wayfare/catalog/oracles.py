@@ -562,8 +562,8 @@ for _pattern in UNSAFE_MARKUP:
 A["html_filter"] = f"select page_id, {_html} as html from pages"
 
 # ---- grid and polygons ----
-CTE["both"] = "select id, gridded.cell as cell, grid12.cell as fine_cell from gridded join grid12 using (id)"
-A["cell_id"] = sql("select id, cell, fine_cell from both", "both")
+CTE["two_cells"] = "select id, gridded.cell as cell, grid12.cell as fine_cell from gridded join grid12 using (id)"
+A["cell_id"] = sql("select id, cell, fine_cell from two_cells", "two_cells")
 A["cell_center"] = sql(f"""
 select cell, cast(cell >> 56 as int) as res, {LAT_LNG7} as center from (select distinct cell from gridded)""", "gridded")
 _boundary = ", ';', ".join(
@@ -690,6 +690,15 @@ for _name, (_body, _views) in REPORT_SQL.items():
     A[f"report_{_name}"] = sql(_body, *_views)
     A[f"serve_{_name}"] = sql(as_text(_body, list(SERVED[_name])), *_views)
 
+# Spark writes a double of ten million or more with an exponent
+_cents = "cast(cast(pay_all as decimal(18,2)) as varchar)"
+_digits = f"rtrim(replace({_cents}, '.', ''), '0')"
+_pay_text = f"""
+case when pay_all < 1e7 then cast(pay_all as varchar)
+     else concat(substr({_digits}, 1, 1), '.', case when length({_digits}) = 1 then '0' else substr({_digits}, 2) end,
+                 'E', strpos({_cents}, '.') - 2) end"""
+A["serve_income"] = A["serve_income"].replace('cast("pay_all" as varchar)', _pay_text)
+
 A["report_hot_change"] = sql(f"""
 select code as city_code, {LAT_LNG7} as coordinate, cell, 1200 as radius, cast(is_today as int) - cast(is_before as int) as count
 from both_days""", "both_days")

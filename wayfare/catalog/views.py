@@ -270,7 +270,7 @@ def order_changes_of(order_table: DataFrame) -> DataFrame:
     data = F.struct(
         _text("o_custkey").alias("id_"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("create_time"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("pay_all"),
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("pay_all"),
         F.lit(None).cast("string").alias("city_name"),
         F.col("o_orderstatus").alias("state"),
         F.col("o_orderpriority").alias("order_type"),

@@ -72,16 +72,18 @@ def district_tiles(districts: DataFrame, tile: float = TILE_DEGREES) -> DataFram
     without edges lies outside.
     """
 
-    def reach(pick, *fields: str):
-        values = F.flatten(F.array(*[F.transform("edges", lambda e, f=f: e[f]) for f in fields]))
-        return F.floor(pick(values) / F.lit(tile))
+    # rings are closed, so the start points of the edges are all the corners
+    xs, ys = F.transform("edges", lambda e: e["x1"]), F.transform("edges", lambda e: e["y1"])
+
+    def tile_of(value):
+        return F.floor(value / F.lit(tile))
 
     boxes = district_edges(districts).select(
         "*",
-        reach(F.array_min, "x1", "x2").alias("tx0"),
-        reach(F.array_max, "x1", "x2").alias("tx1"),
-        reach(F.array_min, "y1", "y2").alias("ty0"),
-        reach(F.array_max, "y1", "y2").alias("ty1"),
+        tile_of(F.array_min(xs)).alias("tx0"),
+        tile_of(F.array_max(xs)).alias("tx1"),
+        tile_of(F.array_min(ys)).alias("ty0"),
+        tile_of(F.array_max(ys)).alias("ty1"),
     )
     tiles = boxes.withColumn("tx", F.explode(F.sequence("tx0", "tx1"))).withColumn(
         "ty", F.explode(F.sequence("ty0", "ty1"))

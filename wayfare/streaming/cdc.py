@@ -35,18 +35,24 @@ def route(table: Column) -> Column:
 
 
 def parse(messages: DataFrame) -> DataFrame:
-    """``entity, source_table, op, id, ts, offset, data`` of every routed message."""
-    opened = messages.select(F.from_json("value", ENVELOPE_DDL).alias("m"), "offset")
+    """``entity, source_table, op, id, ts, offset, data`` of every routed message.
+
+    Routing reads the table name alone, so that filters on the entity settle
+    before the whole envelope is parsed.
+    """
+    table = F.get_json_object("value", "$.table")
+    routed = messages.select("value", "offset", route(table).alias("entity")).where(F.col("entity").isNotNull())
+    opened = routed.select("entity", "offset", F.from_json("value", ENVELOPE_DDL).alias("m"))
     data = F.col("m.data")
     return opened.select(
-        route(F.col("m.table")).alias("entity"),
+        "entity",
         F.col("m.table").alias("source_table"),
         F.coalesce("m.type", F.lit("insert")).alias("op"),
         F.coalesce(F.try_element_at(data, F.lit("id_")), F.lit("")).alias("id"),
         F.col("m.ts").alias("ts"),
         "offset",
         data.alias("data"),
-    ).where(F.col("entity").isNotNull())
+    )
 
 
 def entity_rows(parsed: DataFrame, entity: str) -> DataFrame:

@@ -21,7 +21,7 @@ GPS_FIELDS = 5
 
 def fields(value: Column, separator: str) -> Column:
     """Fields of a line; empty fields at its end do not count."""
-    return F.split(F.regexp_replace(value, f"{separator}+$", ""), separator)
+    return F.split(F.rtrim(value, F.lit(separator)), separator)
 
 
 def is_end_marker(value: Column) -> Column:
@@ -44,30 +44,31 @@ def of_topic(records: DataFrame, topic: str) -> DataFrame:
     return records.where(F.col("topic") == topic)
 
 
-def _with_gps_columns(lines: DataFrame) -> DataFrame:
-    parts, marker = fields(F.col("value"), ","), is_end_marker(F.col("value"))
+def parse_gps(lines: DataFrame) -> DataFrame:
+    """Position rows and end markers; lines that fail to parse are left out."""
+    kept = [c for c in lines.columns if c != "value"]
+    cut = lines.select(*kept, is_end_marker(F.col("value")).alias("is_end"), fields(F.col("value"), ",").alias("_f"))
 
     def part(i: int) -> Column:
-        return F.get(parts, F.lit(i))
+        return F.get("_f", F.lit(i))
+
+    def of_point(value: Column) -> Column:
+        return F.when(~F.col("is_end"), value)
 
-    return lines.select(
-        *[c for c in lines.columns if c != "value"],
-        F.size(parts).alias("_n"),
-        F.when(~marker, part(0)).alias("driver_id"),
+    parsed = cut.select(
+        *kept,
+        F.size("_f").alias("_n"),
+        of_point(part(0)).alias("driver_id"),
         part(1).alias("order_id"),
-        F.when(~marker, part(2).try_cast("bigint")).alias("epoch"),
-        F.when(~marker, part(3).try_cast("double")).alias("lng"),
-        F.when(~marker, part(4).try_cast("double")).alias("lat"),
-        marker.alias("is_end"),
+        of_point(part(2).try_cast("bigint")).alias("epoch"),
+        of_point(part(3).try_cast("double")).alias("lng"),
+        of_point(part(4).try_cast("double")).alias("lat"),
+        "is_end",
     )
-
-
-def parse_gps(lines: DataFrame) -> DataFrame:
-    """Position rows and end markers; lines that fail to parse are left out."""
     complete = (F.col("_n") >= GPS_FIELDS) & F.col("epoch").isNotNull()
     complete = complete & F.col("lng").isNotNull() & F.col("lat").isNotNull()
     marker = F.col("is_end") & (F.col("_n") >= 2)
-    return _with_gps_columns(lines).where(marker | complete).drop("_n")
+    return parsed.where(marker | complete).drop("_n")
 
 
 def gps_events(lines: DataFrame, arrival: str) -> DataFrame:
@@ -79,12 +80,11 @@ def gps_events(lines: DataFrame, arrival: str) -> DataFrame:
 
 def parse_order_lines(lines: DataFrame) -> DataFrame:
     """The 24 fields of an order line; headers and other widths are left out."""
-    parts = fields(F.col("value"), "\t")
-    good = lines.where((F.size(parts) == len(ORDER_LINE)) & ~F.col("value").contains(HEADER_TOKEN))
-    return good.select(
-        *[c for c in lines.columns if c != "value"],
-        *[parts[i].alias(name) for i, name in enumerate(ORDER_LINE)],
-    )
+    kept = [c for c in lines.columns if c != "value"]
+    plain = lines.where(~F.col("value").contains(HEADER_TOKEN))
+    # cut once under a name of its own: 24 columns read from the one array
+    cut = plain.select(*kept, fields(F.col("value"), "\t").alias("_f")).where(F.size("_f") == len(ORDER_LINE))
+    return cut.select(*kept, *[F.get("_f", F.lit(i)).alias(name) for i, name in enumerate(ORDER_LINE)])
 
 
 def order_rows(lines: DataFrame) -> DataFrame:
@@ -113,20 +113,22 @@ def gps_rows(lines: DataFrame, city_code: str = txt.CITY_PREFIX) -> DataFrame:
 def with_reason(lines: DataFrame) -> DataFrame:
     """Every line with the reason it cannot be used, NULL for a good one."""
     value = F.col("value")
-    kind, comma, tab = line_kind(value), fields(value, ","), fields(value, "\t")
+    cut = lines.select(
+        "*", line_kind(value).alias("_kind"), fields(value, ",").alias("_c"), F.size(fields(value, "\t")).alias("_t")
+    )
     numbers = (
-        F.get(comma, F.lit(2)).try_cast("bigint").isNotNull()
-        & F.get(comma, F.lit(3)).try_cast("double").isNotNull()
-        & F.get(comma, F.lit(4)).try_cast("double").isNotNull()
+        F.get("_c", F.lit(2)).try_cast("bigint").isNotNull()
+        & F.get("_c", F.lit(3)).try_cast("double").isNotNull()
+        & F.get("_c", F.lit(4)).try_cast("double").isNotNull()
     )
     reason = (
         F.when(is_end_marker(value), F.lit(None).cast("string"))
-        .when(kind.isNull(), F.lit("unroutable"))
-        .when((kind == "gps") & ~numbers, F.lit("bad_number"))
-        .when((kind == "order") & value.contains(HEADER_TOKEN), F.lit("header"))
-        .when((kind == "order") & (F.size(tab) != len(ORDER_LINE)), F.lit("field_count"))
+        .when(F.col("_kind").isNull(), F.lit("unroutable"))
+        .when((F.col("_kind") == "gps") & ~numbers, F.lit("bad_number"))
+        .when((F.col("_kind") == "order") & value.contains(HEADER_TOKEN), F.lit("header"))
+        .when((F.col("_kind") == "order") & (F.col("_t") != len(ORDER_LINE)), F.lit("field_count"))
     )
-    return lines.withColumn("reason", reason)
+    return cut.withColumn("reason", reason).drop("_kind", "_c", "_t")
 
 
 def quarantine(lines: DataFrame) -> tuple[DataFrame, DataFrame]:

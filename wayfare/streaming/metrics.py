@@ -108,7 +108,8 @@ def progress_flags(progress: DataFrame, blocked_ms: int = BLOCKED_MS, gc_limit:
     })
 
 
-TASK_END = "SparkListenerTaskEnd"
+# every line of an event log starts with its event name
+TASK_END_PREFIX = '{"Event":"SparkListenerTaskEnd"'
 _SHUFFLE_READ = (
     "`Remote Blocks Fetched`:bigint,`Local Blocks Fetched`:bigint,`Fetch Wait Time`:bigint,"
     "`Remote Bytes Read`:bigint,`Local Bytes Read`:bigint,`Total Records Read`:bigint"
@@ -156,9 +157,9 @@ def read_event_log(spark: SparkSession, path: str) -> DataFrame:
 
 def task_metrics(log_lines: DataFrame) -> DataFrame:
     """One row per finished task from event-log lines in ``value``."""
-    # the cheap text test keeps the JSON parser off the other events
-    ends = log_lines.where(F.col("value").contains(TASK_END)).select(F.from_json("value", EVENT_DDL).alias("e"))
-    rows = ends.where(F.col("e.Event") == TASK_END)
+    # testing the text, not the parsed event, keeps the JSON parser off all other events
+    ends = log_lines.where(F.col("value").startswith(TASK_END_PREFIX))
+    rows = ends.select(F.from_json("value", EVENT_DDL).alias("e"))
     return rows.select(
         *[F.col(f"e.{path}").alias(name) for name, path in _TASK_COLUMNS.items()]
     ).withColumn("duration_ms", F.col("finish_ms") - F.col("launch_ms"))
