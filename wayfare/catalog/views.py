@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayfare.operators.pinning import pin
 from wayfare.sources.readers import stream_files
 from wayfare.sources.schema import CDC_ORDER, ORDER_LINE
 from wayfare.streaming.jobs import GPS_TOPIC, ORDER_TOPIC
@@ -188,8 +189,8 @@ def gps_lines_of(events: DataFrame) -> DataFrame:
     line = F.when(F.col("is_end"), F.concat(F.lit("end,"), F.col("order_id"))).otherwise(
         F.concat_ws(",", "driver_id", "order_id", _text("epoch"), _text("lng"), _text("lat"))
     )
-    return points_of(events).select(
-        line.alias("value"), F.lit(GPS_TOPIC).alias("topic"),
+    return pin(points_of(events), value=line).select(
+        "value", F.lit(GPS_TOPIC).alias("topic"),
         F.col("ts").cast("timestamp").alias("arrived_at"), F.col("event_id").alias("offset"),
     )
 
@@ -211,8 +212,9 @@ def order_lines_of(lineitem: DataFrame) -> DataFrame:
         "year": F.date_format("l_shipdate", "yyyy"), "month": F.date_format("l_shipdate", "MM"),
         "day": F.date_format("l_shipdate", "dd"),
     }
-    return lineitem.select(
-        F.concat_ws("\t", *[cells[c] for c in ORDER_LINE]).alias("value"),
+    # stored lines are plain text: the text must not be built again inside filters
+    return pin(lineitem, value=F.concat_ws("\t", *[cells[c] for c in ORDER_LINE])).select(
+        "value",
         F.lit(ORDER_TOPIC).alias("topic"),
         F.col("l_shipdate").cast("timestamp").alias("arrived_at"),
         F.col("l_orderkey").alias("offset"),

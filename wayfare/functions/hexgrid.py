@@ -66,24 +66,32 @@ def _nearest(value: Column) -> Column:
     return F.floor(value + F.lit(0.5))
 
 
-def cell_id(lat: Column, lng: Column, res: int) -> Column:
+def axial_fractions(lat: Column, lng: Column, res: int) -> tuple[Column, Column]:
+    """Position in units of the two grid axes."""
     grid = Grid(res)
     xq, yq, yr = grid.factors
     x = (lng.cast("double") - F.lit(grid.lng0)) * F.lit(grid.metres_per_lng)
     y = (lat.cast("double") - F.lit(grid.lat0)) * F.lit(grid.metres_per_lat)
-    qf = x * F.lit(xq) - y * F.lit(yq)
-    rf = y * F.lit(yr)
-    sf = -qf - rf
-    q, r, s = _nearest(qf), _nearest(rf), _nearest(sf)
-    dq, dr, ds = F.abs(q - qf), F.abs(r - rf), F.abs(s - sf)
-    q_off = (dq > dr) & (dq > ds)
-    cell_q = F.when(q_off, -r - s).otherwise(q)
-    cell_r = F.when(~q_off & (dr > ds), -q - s).otherwise(r)
-    return (
-        F.lit(res << 56)
-        + (cell_q + F.lit(_OFFSET)) * F.lit(1 << 28)
-        + (cell_r + F.lit(_OFFSET))
-    )
+    return x * F.lit(xq) - y * F.lit(yq), y * F.lit(yr)
+
+
+def pack_cell(qf: Column, rf: Column, res: int) -> Column:
+    """Id of the cell nearest to a fractional position.
+
+    Both axes are rounded, then the axis with the larger error takes the
+    correction by half of the other's error.
+    """
+    q, r = _nearest(qf), _nearest(rf)
+    dq, dr = qf - q, rf - r
+    q_leads = F.abs(dq) >= F.abs(dr)
+    cell_q = q + F.when(q_leads, _nearest(dq + dr * F.lit(0.5))).otherwise(F.lit(0))
+    cell_r = r + F.when(q_leads, F.lit(0)).otherwise(_nearest(dr + dq * F.lit(0.5)))
+    return F.lit(res << 56) + (cell_q + F.lit(_OFFSET)) * F.lit(1 << 28) + (cell_r + F.lit(_OFFSET))
+
+
+def cell_id(lat: Column, lng: Column, res: int) -> Column:
+    """The cell as one expression; ``with_cell`` computes it in steps."""
+    return pack_cell(*axial_fractions(lat, lng, res), res)
 
 
 def cell_resolution(cell: Column) -> Column:

@@ -9,11 +9,20 @@ from wayfare.functions import geometry, hexgrid
 from wayfare.operators.joins import hot_split_join, salted_join
 from wayfare.operators.latest import newest_per
 
-TILE_DEGREES = 0.05
+TILE_DEGREES = 0.02
 
 
 def with_cell(df: DataFrame, lat: str, lng: str, res: int, name: str = "cell") -> DataFrame:
-    return df.withColumn(name, hexgrid.cell_id(F.col(lat), F.col(lng), res))
+    """Add the cell id; rows without a position have no cell and are left out.
+
+    The fractions get a projection of their own, so that the id is built from
+    two columns. The id is never NULL and says so: joins and groupings on it
+    then need no NULL test, which would be a second evaluation below.
+    """
+    qf, rf = hexgrid.axial_fractions(F.col(lat), F.col(lng), res)
+    placed = df.where(F.col(lat).isNotNull() & F.col(lng).isNotNull()).withColumns({"_qf": qf, "_rf": rf})
+    cell = F.coalesce(hexgrid.pack_cell(F.col("_qf"), F.col("_rf"), res), F.lit(-1).cast("bigint"))
+    return placed.withColumn(name, cell).drop("_qf", "_rf")
 
 
 def latest_per_cell(cells: DataFrame, ts: str, row_id: str, values: list[str]) -> DataFrame:
@@ -67,11 +76,11 @@ def district_edges(districts: DataFrame) -> DataFrame:
 def district_tiles(districts: DataFrame, tile: float = TILE_DEGREES) -> DataFrame:
     """Square tiles each district touches, with only the edges that matter there.
 
-    For a ray going east from a point of a tile, edges above, below or wholly
-    west of the tile can neither cross it nor touch the point. A tile left
-    without edges lies outside.
+    A tile no edge comes near lies wholly inside or wholly outside: inside ones
+    are marked ``whole`` and need no test per point, outside ones are dropped.
+    In the others, a ray going east from a point can neither cross nor touch
+    edges above, below or wholly west of the tile, so those are left out.
     """
-
     # rings are closed, so the start points of the edges are all the corners
     xs, ys = F.transform("edges", lambda e: e["x1"]), F.transform("edges", lambda e: e["y1"])
 
@@ -88,17 +97,24 @@ def district_tiles(districts: DataFrame, tile: float = TILE_DEGREES) -> DataFram
     tiles = boxes.withColumn("tx", F.explode(F.sequence("tx0", "tx1"))).withColumn(
         "ty", F.explode(F.sequence("ty0", "ty1"))
     )
-    # a hair of slack on the tile sides, so that rounding of tile * index drops no edge
-    west = F.col("tx") * F.lit(tile) - F.lit(1e-9)
-    south = F.col("ty") * F.lit(tile) - F.lit(1e-9)
-    north = (F.col("ty") + 1) * F.lit(tile) + F.lit(1e-9)
-    local = F.filter(
-        "edges",
-        lambda e: (F.greatest(e["y1"], e["y2"]) >= south)
-        & (F.least(e["y1"], e["y2"]) <= north)
-        & (F.greatest(e["x1"], e["x2"]) >= west),
+    # a hair of slack on the tile sides, so that rounding of tile * index loses no edge
+    slack = F.lit(1e-9)
+    west, east = F.col("tx") * F.lit(tile) - slack, (F.col("tx") + 1) * F.lit(tile) + slack
+    south, north = F.col("ty") * F.lit(tile) - slack, (F.col("ty") + 1) * F.lit(tile) + slack
+
+    def level(e):
+        return (F.greatest(e["y1"], e["y2"]) >= south) & (F.least(e["y1"], e["y2"]) <= north)
+
+    def ahead(e):
+        return F.greatest(e["x1"], e["x2"]) >= west
+
+    near = F.exists("edges", lambda e: level(e) & ahead(e) & (F.least(e["x1"], e["x2"]) <= east))
+    local = F.filter("edges", lambda e: level(e) & ahead(e))
+    middle = geometry.inside(F.col("edges"), (west + east) / F.lit(2.0), (south + north) / F.lit(2.0))
+    sorted_out = tiles.select(
+        "tx", "ty", "citycode", "name", (~near & middle).alias("whole"), F.when(near, local).alias("edges")
     )
-    return tiles.select("tx", "ty", "citycode", "name", local.alias("edges")).where(F.size("edges") > 0)
+    return sorted_out.where(F.col("whole") | (F.size("edges") > 0))
 
 
 def match_districts(
@@ -122,7 +138,8 @@ def match_districts(
         "ty", F.floor(F.col(lat) / F.lit(tile))
     )
     candidates = salted_join(placed, tiles, ["tx", "ty"], [lng, lat], salts)
-    return candidates.where(geometry.inside(F.col("edges"), F.col(lng), F.col(lat))).drop("tx", "ty", "edges")
+    contained = F.col("whole") | geometry.inside(F.col("edges"), F.col(lng), F.col(lat))
+    return candidates.where(contained).drop("tx", "ty", "edges", "whole")
 
 
 def centroid(df: DataFrame, keys: list[str], lat: str, lng: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions import text as txt
 from wayfare.functions import times
+from wayfare.operators.pinning import pin
 from wayfare.sources.schema import ORDER_LINE
 
 # The token of the export's header line and of a trip's end marker.
@@ -37,7 +38,7 @@ def line_kind(value: Column) -> Column:
 
 
 def route_lines(lines: DataFrame) -> DataFrame:
-    return lines.withColumn("kind", line_kind(F.col("value"))).where(F.col("kind").isNotNull())
+    return pin(lines, kind=line_kind(F.col("value"))).where(F.col("kind").isNotNull())
 
 
 def of_topic(records: DataFrame, topic: str) -> DataFrame:
@@ -47,7 +48,7 @@ def of_topic(records: DataFrame, topic: str) -> DataFrame:
 def parse_gps(lines: DataFrame) -> DataFrame:
     """Position rows and end markers; lines that fail to parse are left out."""
     kept = [c for c in lines.columns if c != "value"]
-    cut = lines.select(*kept, is_end_marker(F.col("value")).alias("is_end"), fields(F.col("value"), ",").alias("_f"))
+    cut = pin(lines, _f=fields(F.col("value"), ","), is_end=is_end_marker(F.col("value")))
 
     def part(i: int) -> Column:
         return F.get("_f", F.lit(i))
@@ -82,8 +83,7 @@ def parse_order_lines(lines: DataFrame) -> DataFrame:
     """The 24 fields of an order line; headers and other widths are left out."""
     kept = [c for c in lines.columns if c != "value"]
     plain = lines.where(~F.col("value").contains(HEADER_TOKEN))
-    # cut once under a name of its own: 24 columns read from the one array
-    cut = plain.select(*kept, fields(F.col("value"), "\t").alias("_f")).where(F.size("_f") == len(ORDER_LINE))
+    cut = pin(plain, _f=fields(F.col("value"), "\t")).where(F.size("_f") == len(ORDER_LINE))
     return cut.select(*kept, *[F.get("_f", F.lit(i)).alias(name) for i, name in enumerate(ORDER_LINE)])
 
 
@@ -128,7 +128,7 @@ def with_reason(lines: DataFrame) -> DataFrame:
         .when((F.col("_kind") == "order") & value.contains(HEADER_TOKEN), F.lit("header"))
         .when((F.col("_kind") == "order") & (F.col("_t") != len(ORDER_LINE)), F.lit("field_count"))
     )
-    return cut.withColumn("reason", reason).drop("_kind", "_c", "_t")
+    return pin(cut, reason=reason).drop("_kind", "_c", "_t")
 
 
 def quarantine(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
