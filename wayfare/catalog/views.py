@@ -109,17 +109,14 @@ def drivers(spark: SparkSession, folder: str) -> DataFrame:
 
 # ---- districts: one diamond per nation, with a square hole for even keys ----
 
-def _degrees(ticks: Column) -> Column:
-    whole, rest = F.floor(ticks / F.lit(10000)), ticks % F.lit(10000)
-    return F.concat(whole.cast("string"), F.lit("."), F.lpad(rest.cast("string"), 4, "0"))
+def _degrees(ticks: str) -> str:
+    return f"concat(cast(({ticks}) div 10000 as string), '.', lpad(cast(({ticks}) % 10000 as string), 4, '0'))"
 
 
-def _ring(corners: list[tuple[int, int]]) -> Column:
-    cx = F.lit(1101600) + (F.col("n_nationkey") % 5) * F.lit(1200)
-    cy = F.lit(196500) + F.floor(F.col("n_nationkey") / F.lit(5)) * F.lit(1000)
-    return F.concat_ws(
-        ";", *[F.concat(_degrees(cx + F.lit(dx)), F.lit(","), _degrees(cy + F.lit(dy))) for dx, dy in corners]
-    )
+def _ring(corners: list[tuple[int, int]]) -> str:
+    cx, cy = "1101600 + (n_nationkey % 5) * 1200", "196500 + (n_nationkey div 5) * 1000"
+    vertices = [f"concat({_degrees(f'{cx} + {dx}')}, ',', {_degrees(f'{cy} + {dy}')})" for dx, dy in corners]
+    return f"concat_ws(';', {', '.join(vertices)})"
 
 
 OUTER = [(-800, 0), (0, 650), (800, 0), (0, -650)]
@@ -127,13 +124,12 @@ HOLE = [(-150, -150), (150, -150), (150, 150), (-150, 150)]
 
 
 def districts(spark: SparkSession, folder: str) -> DataFrame:
-    polygon = F.when(F.col("n_nationkey") % 2 == 0, F.concat_ws("|", _ring(OUTER), _ring(HOLE))).otherwise(
-        _ring(OUTER)
-    )
-    return table(spark, folder, "nation").select(
+    outer, hole = _ring(OUTER), _ring(HOLE)
+    polygon = F.expr(f"case when n_nationkey % 2 = 0 then concat_ws('|', {outer}, {hole}) else {outer} end")
+    return pin(table(spark, folder, "nation"), polygon=polygon).select(
         (F.col("n_nationkey") + 4600).cast("string").alias("citycode"),
         F.col("n_name").alias("name"),
-        polygon.alias("polygon"),
+        "polygon",
         F.col("n_regionkey").alias("region_key"),
     )
 

@@ -20,7 +20,7 @@ def parse_polygon(text: Column) -> Column:
             F.trim(F.get(xy, F.lit(1))).try_cast("double").alias("lat"),
         )
 
-    parts = F.filter(F.split(text, r"\|"), lambda part: F.trim(part) != "")
+    parts = F.filter(F.split(text, r"\|"), lambda part: F.trim(part) != F.lit(""))
     return F.transform(parts, lambda part: F.transform(F.split(part, ";"), vertex))
 
 
@@ -62,6 +62,12 @@ def _touches(e: Column, x: Column, y: Column) -> Column:
     return in_box & (_turn(e, x, y) == 0.0)
 
 
+def meets_box(e: Column, west: Column, south: Column, east: Column, north: Column) -> Column:
+    """Whether the line of an edge has corners of the box on both sides (or on it)."""
+    turns = [_turn(e, x, y) for x in (west, east) for y in (south, north)]
+    return (F.least(*turns) <= 0.0) & (F.greatest(*turns) >= 0.0)
+
+
 def inside(edges: Column, lng: Column, lat: Column) -> Column:
     """Strictly inside by the even-odd rule; a point on the boundary is outside."""
     odd = F.aggregate(edges, F.lit(False), lambda acc, e: acc != _crosses(e, lng, lat))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wayfare.functions import geometry, hexgrid
 from wayfare.operators.joins import hot_split_join, salted_join
 from wayfare.operators.latest import newest_per
+from wayfare.operators.pinning import pin
 
 TILE_DEGREES = 0.02
 
@@ -65,12 +66,9 @@ def representatives(orders: DataFrame, res: int = hexgrid.STATION_RES, min_order
 
 def district_edges(districts: DataFrame) -> DataFrame:
     """Districts with a usable polygon, as one array of edges each."""
-    has_polygon = F.trim(F.coalesce(F.col("polygon"), F.lit(""))) != ""
-    return (
-        districts.where(has_polygon)
-        .select("citycode", "name", geometry.ring_edges(geometry.parse_polygon(F.col("polygon"))).alias("edges"))
-        .where(F.size("edges") > 0)
-    )
+    named = districts.select("citycode", "name", "polygon").where(F.col("polygon").isNotNull())
+    edges = geometry.ring_edges(geometry.parse_polygon(F.col("polygon")))
+    return pin(named, edges=edges).drop("polygon").where(F.size("edges") > 0)
 
 
 def district_tiles(districts: DataFrame, tile: float = TILE_DEGREES) -> DataFrame:
@@ -108,13 +106,18 @@ def district_tiles(districts: DataFrame, tile: float = TILE_DEGREES) -> DataFram
     def ahead(e):
         return F.greatest(e["x1"], e["x2"]) >= west
 
-    near = F.exists("edges", lambda e: level(e) & ahead(e) & (F.least(e["x1"], e["x2"]) <= east))
+    near = F.exists(
+        "edges",
+        lambda e: level(e) & ahead(e) & (F.least(e["x1"], e["x2"]) <= east)
+        & geometry.meets_box(e, west, south, east, north),
+    )
     local = F.filter("edges", lambda e: level(e) & ahead(e))
     middle = geometry.inside(F.col("edges"), (west + east) / F.lit(2.0), (south + north) / F.lit(2.0))
-    sorted_out = tiles.select(
-        "tx", "ty", "citycode", "name", (~near & middle).alias("whole"), F.when(near, local).alias("edges")
+    sorted_out = pin(tiles, near=near)
+    sorted_out = pin(sorted_out, whole=~F.col("near") & middle, local=F.when(F.col("near"), local))
+    return sorted_out.where(F.col("whole") | (F.size("local") > 0)).select(
+        "tx", "ty", "citycode", "name", "whole", F.col("local").alias("edges")
     )
-    return sorted_out.where(F.col("whole") | (F.size("edges") > 0))
 
 
 def match_districts(

@@ -16,6 +16,8 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # call sites of every column cost more to record than most plans take to build
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # trip and order state never expires by default, so it must not live on the heap
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
