@@ -564,6 +564,7 @@ A["html_filter"] = f"select page_id, {_html} as html from pages"
 # ---- grid and polygons ----
 CTE["two_cells"] = "select id, gridded.cell as cell, grid12.cell as fine_cell from gridded join grid12 using (id)"
 A["cell_id"] = sql("select id, cell, fine_cell from two_cells", "two_cells")
+A["sql_cell_functions"] = sql(f"select id, cell, fine_cell, {LAT_LNG7} as center from two_cells", "two_cells")
 A["cell_center"] = sql(f"""
 select cell, cast(cell >> 56 as int) as res, {LAT_LNG7} as center from (select distinct cell from gridded)""", "gridded")
 _boundary = ", ';', ".join(

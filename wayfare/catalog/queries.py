@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.catalog import views as v
-from wayfare.functions import geometry, hexgrid, keys, text, times
+from wayfare.functions import geometry, hexgrid, keys, sqlfunctions, text, times
 from wayfare.operators import joins, latest, periods, spatial, tracks
 from wayfare.operators.counting import count_where, distinct_where
 from wayfare.plans import hot, reports, serving, stations
@@ -662,6 +662,16 @@ def cell_boundary(spark, d):
     )
 
 
+@query
+def sql_cell_functions(spark, d):
+    """The same cells through the SQL functions, at two resolutions."""
+    sqlfunctions.register(spark)
+    return v.orders(spark, d).selectExpr(
+        "id", "location_to_cell(open_lat, open_lng, 7) as cell", "location_to_cell(open_lat, open_lng, 12) as fine_cell",
+        "cell_to_coordinate(location_to_cell(open_lat, open_lng, 7)) as center",
+    )
+
+
 @query
 def virtual_stations(spark, d):
     return stations.virtual_stations(v.station_orders(spark, d))

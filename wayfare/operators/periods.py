@@ -3,7 +3,8 @@
 Day, month, quarter and year are half-open ranges on the raw timestamp, so they
 reach the scan as pushed filters. A week is compared by its ISO number in any
 year by default (that is what the reports mean); ``week_mode="iso_year"`` makes
-it a range as well.
+it a range as well. For scans, the any-year week is spelled out as one range
+per year, so that files of the other weeks can still be skipped.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NAMES = ("year", "quarter", "month", "week", "day")
+# years around as_of whose weeks are spelled out as ranges
+YEARS_BACK, YEARS_AHEAD = 15, 1
 
 
 def as_date(value: str | dt.date) -> dt.date:
@@ -60,14 +63,32 @@ class Periods:
             return F.weekofyear(ts) == F.lit(self.as_of.isocalendar().week)
         return in_range(ts, *self.bounds(name))
 
+    def scan(self, name: str, ts: Column) -> Column:
+        """A condition every row of the period meets, made of ranges a scan can prune by."""
+        if name == "week" and self.week_mode == "any_year":
+            return self._week_of_many_years(ts)
+        return self.during(name, ts)
+
+    def _week_of_many_years(self, ts: Column) -> Column:
+        """Any range of the spelled-out years, or a time outside those years."""
+        week = self.as_of.isocalendar().week
+        first, last = max(1, self.as_of.year - YEARS_BACK), self.as_of.year + YEARS_AHEAD
+        start, end = dt.date.fromisocalendar(first, 1, 1), dt.date.fromisocalendar(last + 1, 1, 1)
+        possible = [ts < F.lit(start), ts >= F.lit(end)]
+        for year in range(first, last + 1):
+            monday = dt.date.fromisocalendar(year, 1, 1) + dt.timedelta(weeks=week - 1)
+            if monday.isocalendar().week == week:  # a year may have no week 53
+                possible.append(in_range(ts, monday, monday + dt.timedelta(days=7)))
+        return reduce(lambda a, b: a | b, possible)
+
     def any_of(self, names: tuple[str, ...], ts: Column) -> Column:
-        """Rows that can count for any of the periods; enclosed ranges are left out."""
+        """Ranges that hold all rows of the periods (and may hold others)."""
         outer = [n for n in NAMES if n in names]
         kept = [
             n for n in outer
             if not any(m != n and self._encloses(m, n) for m in outer)
         ]
-        return reduce(lambda a, b: a | b, [self.during(n, ts) for n in kept])
+        return reduce(lambda a, b: a | b, [self.scan(n, ts) for n in kept])
 
     def _encloses(self, big: str, small: str) -> bool:
         if self.week_mode == "any_year" and "week" in (big, small):
@@ -77,7 +98,8 @@ class Periods:
 
 
 def filter_period(df: DataFrame, ts: str, name: str, as_of: str | dt.date, week_mode: str = "any_year") -> DataFrame:
-    return df.where(Periods.of(as_of, week_mode).during(name, F.col(ts)))
+    periods = Periods.of(as_of, week_mode)
+    return df.where(periods.scan(name, F.col(ts)) & periods.during(name, F.col(ts)))
 
 
 def filter_since(df: DataFrame, ts: str, start: str | dt.date) -> DataFrame:

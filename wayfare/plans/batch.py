@@ -31,6 +31,23 @@ def cached(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
             f.unpersist()
 
 
+@contextmanager
+def named_views(sources: dict[str, DataFrame]) -> Iterator[dict[str, DataFrame]]:
+    """Sources as cached temporary views for SQL users; both are gone afterwards.
+
+    ``order`` is a SQL word, so quote it: ``select * from `order```.
+    """
+    with cached(*sources.values()) as kept:
+        frames = dict(zip(sources, kept, strict=True))
+        for name, frame in frames.items():
+            frame.createOrReplaceTempView(name)
+        try:
+            yield frames
+        finally:
+            for name, frame in frames.items():
+                frame.sparkSession.catalog.dropTempView(name)
+
+
 def plan_reports(sources: dict[str, DataFrame], as_of: str | dt.date) -> dict[str, Callable[[], DataFrame]]:
     order, renter, driver = sources["order"], sources["renter"], sources["driver"]
     plan = {
