@@ -68,7 +68,12 @@ if __name__ == "__main__":
 
     folder = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     wanted = sys.argv[1:]
-    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    if os.environ.get("PLAIN_SESSION"):  # nothing but Spark's own defaults
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("OFF")
     con, twins, bad = connect(folder), oracle_sql(), 0
     for name, run in queries().items():

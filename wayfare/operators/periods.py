@@ -26,7 +26,8 @@ def as_date(value: str | dt.date) -> dt.date:
 
 
 def in_range(ts: Column, start: dt.date, end: dt.date) -> Column:
-    return (ts >= F.lit(start)) & (ts < F.lit(end))
+    """Half-open range; the bounds take the type of the column (timestamp, date or text)."""
+    return (ts >= start.isoformat()) & (ts < end.isoformat())
 
 
 def on_day(ts: Column, day: str | dt.date) -> Column:
@@ -74,7 +75,7 @@ class Periods:
         week = self.as_of.isocalendar().week
         first, last = max(1, self.as_of.year - YEARS_BACK), self.as_of.year + YEARS_AHEAD
         start, end = dt.date.fromisocalendar(first, 1, 1), dt.date.fromisocalendar(last + 1, 1, 1)
-        possible = [ts < F.lit(start), ts >= F.lit(end)]
+        possible = [ts < start.isoformat(), ts >= end.isoformat()]
         for year in range(first, last + 1):
             monday = dt.date.fromisocalendar(year, 1, 1) + dt.timedelta(weeks=week - 1)
             if monday.isocalendar().week == week:  # a year may have no week 53
@@ -103,7 +104,7 @@ def filter_period(df: DataFrame, ts: str, name: str, as_of: str | dt.date, week_
 
 
 def filter_since(df: DataFrame, ts: str, start: str | dt.date) -> DataFrame:
-    return df.where(F.col(ts) >= F.lit(as_date(start)))
+    return df.where(F.col(ts) >= as_date(start).isoformat())
 
 
 def effective(cancel: Column) -> Column:
