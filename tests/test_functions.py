@@ -229,3 +229,24 @@ def test_typed_layer_reads_files(spark, tmp_path):
         assert got[0]["last_login_city"] is None and got[1]["create_time"] is None and got[1]["last_logon_time"] is None
     assert readers.scan_key_range(raw, "id", "2").count() == 1 and readers.scan_key_range(raw, "id", "", "2").count() == 1
     assert schema.raw_schema(None).fieldNames() == ["id"]
+
+
+def test_history_reads_only_the_months_asked_for(spark, data, tmp_path):
+    from wayfare.operators.periods import filter_period
+    from wayfare.sources import sinks
+
+    rides = spark.read.parquet(f"{data}/lineitem.parquet")
+    path = str(tmp_path / "history")
+    sinks.write_history(rides, path, "l_shipdate")
+    assert readers.read_history(spark, path).count() == rides.count()
+    july = filter_period(readers.read_history(spark, path, "1998-07-01", "1998-07-31"), "l_shipdate", "month", "1998-07-15")
+    plan = july.select("l_orderkey")._jdf.queryExecution().executedPlan().toString()
+    assert "(month#" in plan.split("PartitionFilters")[1] and "GreaterThanOrEqual(l_shipdate" in plan
+    assert rows(july.select("l_orderkey")) == rows(filter_period(rides, "l_shipdate", "month", "1998-07-15").select("l_orderkey"))
+
+
+def test_sizing():
+    from wayfare.session import sizing_conf
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert sizing_conf(1)[key] == "200" and sizing_conf(1 << 40)[key] == "4096" and sizing_conf(100 << 40)[key] == "100000"

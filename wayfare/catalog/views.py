@@ -33,22 +33,9 @@ def _text(name: str) -> Column:
     return F.col(name).cast("string")
 
 
-def _spread(name: str, factor: int) -> Column:
-    return ((F.col(name) * F.lit(factor)) % F.lit(10000)).cast("double") / F.lit(1e4)
-
-
-def _ride_id() -> Column:
-    return F.concat_ws(
-        "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.to_date("l_shipdate").cast("string")
-    )
-
-
-def _ride_lng() -> Column:
-    return F.lit(110.1) + _spread("l_partkey", 7919) * F.lit(0.6)
-
-
-def _ride_lat() -> Column:
-    return F.lit(19.6) + _spread("l_orderkey", 104729) * F.lit(0.5)
+RIDE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, to_date(l_shipdate))"
+RIDE_LNG = "110.1D + cast((l_partkey * 7919) % 10000 as double) / 1e4D * 0.6D"
+RIDE_LAT = "19.6D + cast((l_orderkey * 104729) % 10000 as double) / 1e4D * 0.5D"
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -57,22 +44,19 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
         .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     )
-    area = F.concat(
-        (F.col("s_nationkey") + 4600).cast("string"), F.lpad((F.col("l_partkey") % 20).cast("string"), 2, "0")
-    )
-    return rides.select(
-        _ride_id().alias("id"),
-        F.col("l_shipdate").alias("create_time"),
-        F.col("l_extendedprice").alias("pay_all"),
-        F.col("l_quantity").alias("charge_mileage"),
-        _ride_lng().alias("open_lng"),
-        _ride_lat().alias("open_lat"),
-        area.alias("begin_address_code"),
-        F.col("n_name").alias("city_name"),
-        F.concat(F.lit("V"), _text("l_partkey")).alias("vehicle_license"),
-        _text("l_suppkey").alias("driver_id"),
-        F.col("s_name").alias("driver_name"),
-        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("cancel"),
+    return rides.selectExpr(
+        f"{RIDE_ID} as id",
+        "l_shipdate as create_time",
+        "l_extendedprice as pay_all",
+        "l_quantity as charge_mileage",
+        f"{RIDE_LNG} as open_lng",
+        f"{RIDE_LAT} as open_lat",
+        "concat(s_nationkey + 4600, lpad(l_partkey % 20, 2, '0')) as begin_address_code",
+        "n_name as city_name",
+        "concat('V', l_partkey) as vehicle_license",
+        "cast(l_suppkey as string) as driver_id",
+        "s_name as driver_name",
+        "if(l_returnflag = 'R', 1, 0) as cancel",
     )
 
 
@@ -195,16 +179,16 @@ def order_lines_of(lineitem: DataFrame) -> DataFrame:
     day = F.to_date("l_shipdate").cast("string")
     units = F.col("l_quantity").cast("int")
     cells = {
-        "order_id": _ride_id(), "product_id": _text("l_partkey"), "city_id": F.lit("125"),
+        "order_id": F.expr(RIDE_ID), "product_id": _text("l_partkey"), "city_id": F.lit("125"),
         "district": F.lit("0898"), "county": _text("l_linenumber"), "type": F.col("l_returnflag"),
         "combo_type": F.lit("0"), "traffic_type": F.lit("0"),
         "passenger_count": (units % 4 + 1).cast("string"), "driver_product_id": _text("l_suppkey"),
         "start_dest_distance": (units * 100).cast("string"),
         "arrive_time": F.concat(day, F.lit(" 08:30:00")), "departure_time": F.concat(day, F.lit(" 08:00:00")),
         "pre_total_fee": F.col("l_extendedprice").cast("decimal(18,2)").cast("string"),
-        "normal_time": (units + 5).cast("string"), "bubble_trace_id": F.md5(_ride_id().cast("binary")),
+        "normal_time": (units + 5).cast("string"), "bubble_trace_id": F.md5(F.expr(RIDE_ID).cast("binary")),
         "product_1level": F.col("l_linestatus"), "dest_lng": F.lit("110.33"), "dest_lat": F.lit("20.02"),
-        "starting_lng": _ride_lng().cast("string"), "starting_lat": _ride_lat().cast("string"),
+        "starting_lng": F.expr(RIDE_LNG).cast("string"), "starting_lat": F.expr(RIDE_LAT).cast("string"),
         "year": F.date_format("l_shipdate", "yyyy"), "month": F.date_format("l_shipdate", "MM"),
         "day": F.date_format("l_shipdate", "dd"),
     }

@@ -10,7 +10,7 @@ from wayfare.operators.joins import hot_split_join, salted_join
 from wayfare.operators.latest import newest_per
 from wayfare.operators.pinning import pin
 
-TILE_DEGREES = 0.02
+TILE_DEGREES = 0.01
 
 
 def with_cell(df: DataFrame, lat: str, lng: str, res: int, name: str = "cell") -> DataFrame:

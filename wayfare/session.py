@@ -24,11 +24,30 @@ CLUSTER_CONF = {
 }
 
 
-def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
+TARGET_PARTITION_BYTES = 256 << 20
+
+
+def sizing_conf(input_bytes: int) -> dict[str, str]:
+    """Shuffle settings for a job that reads so many bytes.
+
+    Shuffles start with one partition per 256 MB of input, so that each fits in
+    executor memory, and AQE merges the ones that turn out small. 100 TB start
+    with about 400,000 partitions, which is capped for the driver's sake.
+    """
+    wanted = min(100_000, max(200, -(-input_bytes // TARGET_PARTITION_BYTES)))
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(wanted),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+    }
+
+
+def build_session(app_name: str, master: str | None = None, input_bytes: int | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**CLUSTER_CONF, **conf}.items():
+    sized = sizing_conf(input_bytes) if input_bytes else {}
+    for key, value in {**CLUSTER_CONF, **sized, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

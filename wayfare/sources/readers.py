@@ -79,6 +79,19 @@ def source_counts(sources: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def read_history(spark: SparkSession, path: str, start: str = "", end: str = "") -> DataFrame:
+    """Facts of the month folders between two ISO dates (inclusive; empty is open)."""
+    facts = spark.read.option("basePath", path).schema(
+        # the folder name is text, also where all months look like numbers
+        spark.read.parquet(path).drop("month").schema.add("month", "string")
+    ).parquet(path)
+    if start:
+        facts = facts.where(F.col("month") >= start[:7])
+    if end:
+        facts = facts.where(F.col("month") <= end[:7])
+    return facts.drop("month")
+
+
 def stream_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", max_files: int | None = None) -> DataFrame:
     """File stream over a file, a folder or a glob."""
     reader = spark.readStream.schema(schema).format(fmt)

@@ -13,6 +13,18 @@ def write_report(report: DataFrame, path: str, key: str, fmt: str = "parquet") -
     report.where(F.col(key).isNotNull()).write.mode("overwrite").format(fmt).save(path)
 
 
+def write_history(df: DataFrame, path: str, ts: str, mode: str = "overwrite") -> None:
+    """Write facts in month folders, sorted by time inside.
+
+    Period reports then open only the folders of their months, and skip row
+    groups by time. Range partitioning on (month, time) spreads a busy month
+    over many tasks and lets a task write few folders.
+    """
+    dated = df.withColumn("month", F.date_format(ts, "yyyy-MM"))
+    placed = dated.repartitionByRange("month", ts).sortWithinPartitions("month", ts)
+    placed.write.mode(mode).partitionBy("month").parquet(path)
+
+
 def append_changes(batch: DataFrame, path: str, batch_id: int) -> None:
     """Write one micro-batch into its own folder, so a replayed batch replaces itself."""
     batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
