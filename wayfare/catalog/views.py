@@ -239,9 +239,7 @@ def records_stream(spark: SparkSession, folder: str) -> DataFrame:
 # ---- change envelopes ----
 
 def _envelope(table_name: Column, op: Column, ts: Column, data: Column) -> Column:
-    return F.to_json(
-        F.struct(table_name.alias("table"), op.alias("type"), ts.alias("ts"), data.alias("data"))
-    ).alias("value")
+    return F.to_json(F.struct(table_name.alias("table"), op.alias("type"), ts.alias("ts"), data.alias("data")))
 
 
 def order_changes_of(order_table: DataFrame) -> DataFrame:
@@ -258,17 +256,16 @@ def order_changes_of(order_table: DataFrame) -> DataFrame:
         F.col("o_orderpriority").alias("order_type"),
     )
     name = F.concat(F.lit("order_info_"), F.date_format("o_orderdate", "yyyy"))
-    return order_table.select(
-        _envelope(name, op, F.unix_timestamp("o_orderdate"), data), F.col("o_orderkey").alias("offset")
-    )
+    envelope = _envelope(name, op, F.unix_timestamp("o_orderdate"), data)
+    return pin(order_table, value=envelope).select("value", F.col("o_orderkey").alias("offset"))
 
 
 def changes(spark: SparkSession, folder: str) -> DataFrame:
     events, customer = table(spark, folder, "events"), table(spark, folder, "customer")
     supplier, part = table(spark, folder, "supplier"), table(spark, folder, "part")
     zero = F.lit(0).cast("bigint")
-    renter = events.select(
-        _envelope(
+    renter = pin(
+        events, value=_envelope(
             F.lit("renter_info"), F.lit("update"), F.unix_timestamp("ts"),
             F.struct(
                 _text("user_id").alias("id_"),
@@ -276,10 +273,9 @@ def changes(spark: SparkSession, folder: str) -> DataFrame:
                 F.col("event_type").alias("city_name"),
             ),
         ),
-        F.col("event_id").alias("offset"),
-    )
-    driver = customer.select(
-        _envelope(
+    ).select("value", F.col("event_id").alias("offset"))
+    driver = pin(
+        customer, value=_envelope(
             F.lit("driver_info"), F.lit("insert"), zero,
             F.struct(
                 _text("c_custkey").alias("id_"), F.col("c_name").alias("driver_name"),
@@ -287,22 +283,19 @@ def changes(spark: SparkSession, folder: str) -> DataFrame:
                 F.col("c_mktsegment").alias("driver_type"),
             ),
         ),
-        F.col("c_custkey").alias("offset"),
-    )
-    alliance = supplier.select(
-        _envelope(
+    ).select("value", F.col("c_custkey").alias("offset"))
+    alliance = pin(
+        supplier, value=_envelope(
             F.lit("opt_alliance_business"), F.lit("insert"), zero,
             F.struct(
                 _text("s_suppkey").alias("id_"), F.col("s_name").alias("alliance_name"),
                 F.concat_ws(",", _text("s_nationkey"), F.lit("owner")).alias("alliance_role"),
             ),
         ),
-        F.col("s_suppkey").alias("offset"),
-    )
-    unknown = part.select(
-        _envelope(F.lit("sys_log"), F.lit("insert"), zero, F.struct(_text("p_partkey").alias("id_"))),
-        F.col("p_partkey").alias("offset"),
-    )
+    ).select("value", F.col("s_suppkey").alias("offset"))
+    unknown = pin(
+        part, value=_envelope(F.lit("sys_log"), F.lit("insert"), zero, F.struct(_text("p_partkey").alias("id_"))),
+    ).select("value", F.col("p_partkey").alias("offset"))
     return (
         order_changes_of(table(spark, folder, "orders"))
         .unionByName(renter).unionByName(driver).unionByName(alliance).unionByName(unknown)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions import keys as rowkeys
 from wayfare.operators.latest import newest_per
+from wayfare.operators.pinning import pin
 from wayfare.sources import schema as sc
 
 ENVELOPE_DDL = "table string, type string, ts bigint, data map<string,string>"
@@ -40,8 +41,8 @@ def parse(messages: DataFrame) -> DataFrame:
     Routing reads the table name alone, so that filters on the entity settle
     before the whole envelope is parsed.
     """
-    table = F.get_json_object("value", "$.table")
-    routed = messages.select("value", "offset", route(table).alias("entity")).where(F.col("entity").isNotNull())
+    named = pin(messages.select("value", "offset"), _table=F.get_json_object("value", "$.table"))
+    routed = named.withColumn("entity", route(F.col("_table"))).where(F.col("entity").isNotNull())
     opened = routed.select("entity", "offset", F.from_json("value", ENVELOPE_DDL).alias("m"))
     data = F.col("m.data")
     return opened.select(
