@@ -167,3 +167,11 @@ def test_cached_sources_are_released(spark):
     with batch.cached(df) as (kept,):
         assert kept.count() == 10 and kept.storageLevel.useMemory
     assert not df.storageLevel.useMemory
+
+
+def test_named_views_live_only_inside(spark):
+    sources = {"order": spark.range(3), "renter": spark.range(2)}
+    with batch.named_views(sources) as frames:
+        assert spark.sql("select count(*) from `order`").first()[0] == 3
+        assert frames["renter"].storageLevel.useMemory
+    assert not spark.catalog.tableExists("renter")
