@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import wayfare
 from wayfare.session import scratch_path
 
 #: White space that separates words in every operator: blank and U+0009 to U+000D.
@@ -20,6 +24,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Gives the workers this library's code, once per application; an installed library needs no such call."""
+    context = spark.sparkContext
+    if getattr(context, "_wayfare_shipped", None) == context.applicationId:
+        return
+    root = Path(wayfare.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="wayfare-code-")) / "wayfare-code.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, f"wayfare/{file.relative_to(root)}")
+    context.addPyFile(str(archive))
+    context._wayfare_shipped = context.applicationId
+
+
 def text_of(column: str = "text") -> Column:
     """A text column in which null is the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -3,11 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from wayfare.llm.common import Query, table
+from wayfare.llm.common import Query, ship_package, table
 from wayfare.llm.license_scan import license_scan
+from wayfare.llm.packing import pack
 from wayfare.llm.quality_rules import quality_rules
+from wayfare.llm.token_counts import token_counts
+from wayfare.session import scratch_path
+
+
+def vocabulary(name: str) -> str:
+    """Where the box keeps a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,7 +29,21 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts from an empty cache, so every distinct text is encoded."""
+    ship_package(spark)
+    docs = table(spark, sf_dir, "documents")
+    return token_counts(docs, vocabulary("byte_bpe_50k.json"), scratch_path(spark, "token-cache"))
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op4_license_scan": op4_license_scan,
+    "op6_token_counts": op6_token_counts,
+    "op9_best_fit_packing": op9_best_fit_packing,
 }
