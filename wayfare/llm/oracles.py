@@ -97,7 +97,30 @@ select doc_id, min(case when kind = 'text' then license end) as text_license,
 from units join known using (f) group by doc_id
 """
 
+# base32 from the hexadecimal SHA-1: four bits per digit, then five bits per letter
+WARC = """
+with hashed as (select page_id, coalesce(html, '') as html, sha1(encode(coalesce(html, ''))) as hex from pages),
+bits as (
+  select page_id, html, hex,
+         array_to_string([substr('0000000100100011010001010110011110001001101010111100110111101111',
+                                 4 * instr('0123456789abcdef', substr(hex, i, 1)) - 3, 4) for i in range(1, 41)], '') as b
+  from hashed
+),
+named as (
+  select page_id, octet_length(encode(html))::bigint as payload_bytes,
+         array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             16 * substr(b, 5 * i + 1, 1)::int + 8 * substr(b, 5 * i + 2, 1)::int + 4 * substr(b, 5 * i + 3, 1)::int
+             + 2 * substr(b, 5 * i + 4, 1)::int + substr(b, 5 * i + 5, 1)::int + 1, 1) for i in range(0, 32)], '') as payload_digest,
+         max(page_id) over (partition by html) as keeper
+  from bits
+)
+select page_id, payload_bytes, payload_digest, case when page_id = keeper then 'response' else 'revisit' end as record_type,
+       case when page_id <> keeper then keeper end as refers_to
+from named
+"""
+
 ORACLES: dict[str, str] = {
+    "op7_warc": WARC,
     "op4_license_scan": LICENSES,
     "op1_quality_rules": QUALITY_RULES,
 }

@@ -9,6 +9,7 @@ from wayfare.llm.license_scan import license_scan
 from wayfare.llm.packing import pack
 from wayfare.llm.quality_rules import quality_rules
 from wayfare.llm.token_counts import token_counts
+from wayfare.llm.warc import read_packages, write_packages
 from wayfare.session import scratch_path
 
 
@@ -36,6 +37,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(docs, vocabulary("byte_bpe_50k.json"), scratch_path(spark, "token-cache"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    folder = scratch_path(spark, "warc")
+    packages = write_packages(table(spark, sf_dir, "pages"), folder)
+    return read_packages(packages, folder, ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
@@ -45,5 +53,6 @@ QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op4_license_scan": op4_license_scan,
     "op6_token_counts": op6_token_counts,
+    "op7_warc": op7_warc,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
