@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfare.llm.common import Query, ship_package, table
+from wayfare.llm.language_id import language_id
 from wayfare.llm.license_scan import license_scan
 from wayfare.llm.packing import pack
 from wayfare.llm.quality_rules import quality_rules
@@ -44,6 +45,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_packages(packages, folder, ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return language_id(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
@@ -54,5 +60,6 @@ QUERIES: dict[str, Query] = {
     "op4_license_scan": op4_license_scan,
     "op6_token_counts": op6_token_counts,
     "op7_warc": op7_warc,
+    "op8_language_id": op8_language_id,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
