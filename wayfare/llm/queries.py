@@ -8,6 +8,7 @@ from wayfare.llm.common import Query, ship_package, table
 from wayfare.llm.language_id import language_id
 from wayfare.llm.license_scan import license_scan
 from wayfare.llm.packing import pack
+from wayfare.llm.quality_knn import quality_scores
 from wayfare.llm.quality_rules import quality_rules
 from wayfare.llm.token_counts import token_counts
 from wayfare.llm.warc import read_packages, write_packages
@@ -27,6 +28,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
@@ -57,6 +63,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_license_scan": op4_license_scan,
     "op6_token_counts": op6_token_counts,
     "op7_warc": op7_warc,
