@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfare.llm.common import Query, ship_package, table
+from wayfare.llm.decontaminate import contaminated
 from wayfare.llm.language_id import language_id
 from wayfare.llm.license_scan import license_scan
 from wayfare.llm.packing import pack
@@ -61,6 +62,11 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_quality_classifier": op3_quality_classifier,
@@ -69,4 +75,5 @@ QUERIES: dict[str, Query] = {
     "op7_warc": op7_warc,
     "op8_language_id": op8_language_id,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_decontamination": op10_decontamination,
 }
