@@ -35,8 +35,9 @@ def read_cache(spark: SparkSession, cache_path: str, tokenizer: str) -> DataFram
     """content_digest, n_tokens of one tokenizer; a cache that is not there yet is made, empty."""
     spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").partitionBy("tokenizer_digest").parquet(cache_path)
     stored = spark.read.schema(CACHE_SCHEMA).parquet(cache_path).where(F.col("tokenizer_digest") == tokenizer)
-    # two jobs may have stored the same text at the same time
-    return stored.groupBy("content_digest").agg(F.max("n_tokens").alias("n_tokens"))
+    # two jobs may have stored the same text at the same time; by both columns, so that a join still deals
+    # this side out by digest itself and can split a digest that many documents share
+    return stored.select("content_digest", "n_tokens").distinct()
 
 
 def first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
