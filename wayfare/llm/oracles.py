@@ -44,6 +44,30 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from judged
 """
 
+JACCARD = """
+with recursive cut as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') as w
+  from documents
+),
+places as (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from cut where len(w) > 0),
+grams as (select distinct doc_id, array_to_string(w[i:i + 4], ' ') as s from places),
+sizes as (select doc_id, count(*) as n from grams group by doc_id),
+shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as k from grams a join grams b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2
+),
+links as (
+  select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * k >= 75 * (x.n + y.n - k)
+),
+reach as (
+  select doc_id, doc_id as r from cut
+  union
+  select reach.doc_id, links.b from reach join links on reach.r = links.a
+)
+select cut.doc_id, coalesce(any_value(n), 0)::bigint as n_shingles, min(r) as component_id
+from cut left join sizes on cut.doc_id = sizes.doc_id join reach on cut.doc_id = reach.doc_id group by cut.doc_id
+"""
+
 # Canonical wordings of the one-line notices, as the canonical form gives them.
 LICENSES = """
 with known(license, f) as (values
@@ -121,6 +145,7 @@ from named
 
 ORACLES: dict[str, str] = {
     "op7_warc": WARC,
+    "op2_ngram_jaccard_join": JACCARD,
     "op4_license_scan": LICENSES,
     "op1_quality_rules": QUALITY_RULES,
 }

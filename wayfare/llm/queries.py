@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wayfare.llm.common import Query, ship_package, table
 from wayfare.llm.decontaminate import contaminated
+from wayfare.llm.jaccard_join import similar_components
 from wayfare.llm.language_id import language_id
 from wayfare.llm.license_scan import license_scan
 from wayfare.llm.packing import pack
@@ -29,6 +30,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return similar_components(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -69,6 +75,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_license_scan": op4_license_scan,
     "op6_token_counts": op6_token_counts,
