@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wayfare.llm.common import Query, ship_package, table
 from wayfare.llm.decontaminate import contaminated
@@ -12,6 +13,7 @@ from wayfare.llm.license_scan import license_scan
 from wayfare.llm.packing import pack
 from wayfare.llm.quality_knn import quality_scores
 from wayfare.llm.quality_rules import quality_rules
+from wayfare.llm.suffix_dedup import remove_repeats
 from wayfare.llm.token_counts import token_counts
 from wayfare.llm.warc import read_packages, write_packages
 from wayfare.session import scratch_path
@@ -44,6 +46,16 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_bytes, n_kept = F.octet_length("_bytes").cast("long"), F.octet_length("_kept").cast("long")
+    return cut.select(
+        "doc_id", n_bytes.alias("n_bytes"), (n_bytes - n_kept).alias("n_removed"),
+        F.size("_spans").cast("long").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"),
+    )
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty cache, so every distinct text is encoded."""
     ship_package(spark)
@@ -78,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_license_scan": op4_license_scan,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_warc": op7_warc,
     "op8_language_id": op8_language_id,
