@@ -38,6 +38,8 @@ LONGEST_PIECE = 12
 #: Distinct words whose scores a worker keeps.
 CACHE_WORDS = 300_000
 UNKNOWN = 1e-7
+HINT_BITS = 20
+ROLL, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 UNDETERMINED = "und"
 _RUN = re.compile(r"[^\W\d_]+")
 _BOUNDARY = "▁"
@@ -52,6 +54,18 @@ def letter_pieces(model_path: str) -> list[str]:
     return sorted(p for p in pieces if len(p) <= LONGEST_PIECE and (p == _BOUNDARY or p.removeprefix(_BOUNDARY).isalpha()))
 
 
+def rolled(codes: np.ndarray) -> np.ndarray:
+    """A digest of a string of code points."""
+    out = np.zeros(1, np.uint64)
+    for code in codes:
+        out = out * ROLL + code
+    return out
+
+
+def hint_place(digests: np.ndarray) -> np.ndarray:
+    return ((digests * SPREAD) >> np.uint64(64 - HINT_BITS)).astype(np.int64)
+
+
 def words(text: str) -> list[str]:
     return _RUN.findall(text.lower())
 
@@ -69,22 +83,30 @@ class PieceModel:
     probability: np.ndarray  # pieces + 1, languages
 
     def __post_init__(self):
-        self.index = {p: i for i, p in enumerate(self.pieces)}
+        keys = np.array([rolled(np.array([p]).view(np.uint32).astype(np.uint64))[0] for p in self.pieces], np.uint64)
+        self.places = np.argsort(keys).astype(np.int32)
+        self.keys = keys[self.places]
+        self.hint = np.zeros(1 << HINT_BITS, bool)
+        self.hint[hint_place(self.keys)] = True
 
     def lattice(self, parts: list[str]) -> np.ndarray:
-        """Piece ids that end before each place of each marked part, by length; -1 where there is none."""
-        longest = max(map(len, parts))
-        out = np.full((len(parts), longest + 1, LONGEST_PIECE + 1), -1, np.int32)
-        get, unknown = self.index.get, len(self.pieces)
-        for w, part in enumerate(parts):
-            row = out[w]
-            for end in range(1, len(part) + 1):
-                for start in range(max(0, end - LONGEST_PIECE), end):
-                    found = get(part[start:end])
-                    if found is not None:
-                        row[end, end - start] = found
-                if row[end, 1] < 0:
-                    row[end, 1] = unknown
+        """Piece ids that end before each place of each marked part, by length; -1 where there is none.
+
+        The parts have one length, so the digests of all their pieces of a length are made together.
+        """
+        size = len(parts[0])
+        codes = np.array(parts).view(np.uint32).reshape(len(parts), size).astype(np.uint64)
+        out = np.full((len(parts), size + 1, LONGEST_PIECE + 1), -1, np.int32)
+        digest = np.zeros((len(parts), size + 1), np.uint64)
+        for length in range(1, min(LONGEST_PIECE, size) + 1):
+            digest = digest[:, : size - length + 1] * ROLL + codes[:, length - 1 :]
+            row, start = np.nonzero(self.hint[hint_place(digest)])
+            found = digest[row, start]
+            at = np.minimum(np.searchsorted(self.keys, found), len(self.keys) - 1)
+            same = self.keys[at] == found
+            out[row[same], start[same] + length, length] = self.places[at[same]]
+        alone = out[:, 1:, 1]
+        alone[alone < 0] = len(self.pieces)
         return out
 
     def forward(self, ids: np.ndarray, column: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -108,15 +130,11 @@ def marked_parts(run: str) -> list[str]:
 
 def by_length(parts: list[str], most: int = 4000) -> Iterator[list[int]]:
     """Places of the parts in groups of equal length, so that lattices are dense."""
-    order = sorted(range(len(parts)), key=lambda i: len(parts[i]))
-    group: list[int] = []
-    for i in order:
-        if group and (len(parts[group[0]]) != len(parts[i]) or len(group) >= most):
-            yield group
-            group = []
-        group.append(i)
-    if group:
-        yield group
+    lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+    order = np.argsort(lengths, kind="stable")
+    for cut in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1):
+        for at in range(0, len(cut), most):
+            yield cut[at : at + most].tolist()
 
 
 def log_scores(model: PieceModel, runs: list[str]) -> np.ndarray:
