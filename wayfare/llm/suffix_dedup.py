@@ -18,14 +18,14 @@ documents. The job has four steps:
 
 A string that fills a third of the table is thus sent once per shard. Null texts
 are empty; texts shorter than a window stay whole. Rows with the same doc_id do
-not affect each other, and null doc_ids count as larger than all others. Texts
+not affect each other, and null doc_ids count as larger than all others; a row is
+known by a 64-bit digest of doc_id and text. Texts
 are cut to overlapping pieces, so that one of any length fits. All columns of the
 input are kept; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -47,6 +47,7 @@ NAMES_PER_FLUSH = 2_000_000
 #: Bytes of text, or of what is sent for it, per part of the shuffles.
 PART_BYTES = 8 << 20
 NO_ID = np.iinfo(np.int64).max
+NO_BYTES = np.zeros(0, np.uint8)
 ODD = [np.uint64(x) for x in (
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3,
 )]
@@ -72,13 +73,13 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.append(starts[1:], len(values))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[int, int, np.ndarray]]:
-    """doc_id, offset and bytes of overlapping pieces; every window is in exactly one."""
+def pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[tuple[int, int], int, np.ndarray]]:
+    """(doc_id, row digest), offset and bytes of overlapping pieces; every window is in exactly one."""
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            data = np.frombuffer(text.as_buffer() or b"", np.uint8)
+        for doc_id, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            data = np.frombuffer(text.as_buffer(), np.uint8) if len(text.as_buffer()) else NO_BYTES
             for at in range(0, len(data) - window + 1, PIECE_BYTES):
-                yield NO_ID if doc_id is None else doc_id, at, data[at : at + PIECE_BYTES + window - 1]
+                yield (NO_ID if doc_id is None else doc_id, row), at, data[at : at + PIECE_BYTES + window - 1]
 
 
 def by_part(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -140,16 +141,17 @@ def marked(bitmap: np.ndarray, found: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Shard:
-    """Marked stretches of some documents: their bytes, and for each position its document, place, and window's name."""
+    """Marked stretches of some documents: their bytes, and for each position its document, row, place, and window's name."""
 
     text: list[np.ndarray] = field(default_factory=list)
     doc: list[np.ndarray] = field(default_factory=list)
+    row: list[np.ndarray] = field(default_factory=list)
     place: list[np.ndarray] = field(default_factory=list)
     name: list[np.ndarray] = field(default_factory=list)
     starts: list[np.ndarray] = field(default_factory=list)
     size: int = 0
 
-    def add(self, doc_id: int, at: int, data: np.ndarray, window: int, bitmap: np.ndarray) -> None:
+    def add(self, owner: tuple[int, int], at: int, data: np.ndarray, window: int, bitmap: np.ndarray) -> None:
         least = names(data, window)
         starts, ends = runs(least)
         key = mixed(least[starts])
@@ -166,35 +168,27 @@ class Shard:
             begins = np.zeros(length, bool)
             begins[: high - low] = True
             self.text.append(data[low : low + length])
-            self.doc.append(np.full(length, doc_id))
+            self.doc.append(np.full(length, owner[0]))
+            self.row.append(np.full(length, owner[1]))
             self.place.append(np.arange(at + low, at + low + length))
             self.name.append(name)
             self.starts.append(begins)
             self.size += int(length)
 
 
-def stretches(use: np.ndarray, doc: np.ndarray, place: np.ndarray, name: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """First and last position of each stretch of used starts that follow each other in a document (and share a name)."""
+def stretches(use: np.ndarray, row: np.ndarray, place: np.ndarray, name: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """First and last position of each stretch of used starts that follow each other in a row (and share a name)."""
     at = np.flatnonzero(use)
     if not len(at):
         return at, at
     new = np.ones(len(at), bool)
-    new[1:] = (at[1:] != at[:-1] + 1) | (doc[at[1:]] != doc[at[:-1]]) | (place[at[1:]] != place[at[:-1]] + 1)
+    new[1:] = (at[1:] != at[:-1] + 1) | (row[at[1:]] != row[at[:-1]]) | (place[at[1:]] != place[at[:-1]] + 1)
     if name is not None:
         new[1:] |= name[at[1:]] != name[at[:-1]]
     first = np.flatnonzero(new)
     return at[first], at[np.append(first[1:], len(at)) - 1]
 
 
-def doc_part(doc_id: int, parts: int) -> int:
-    """The part of a document; the same as ``doc_part_column``."""
-    return zlib.crc32(b"" if doc_id == NO_ID else str(doc_id).encode()) % parts
-
-
-def doc_part_column(parts: int):
-    return (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % parts).cast("int")
-
-
 SENT = "kind int, part int, data binary"
 REPEATS, SEGMENTS = 1, 0
 
@@ -204,19 +198,17 @@ def sent(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(parts, pa.int32()), pa.array(data, pa.binary())], names=["kind", "part", "data"])
 
 
-def repeat_rows(doc: np.ndarray, start: np.ndarray, stop: np.ndarray, doc_parts: int) -> list[tuple[int, int, bytes]]:
-    """Removed stretches as (doc_id, start, stop) triples by part of the document."""
-    if not len(doc):
+def repeat_rows(row: np.ndarray, start: np.ndarray, stop: np.ndarray, row_parts: int) -> list[tuple[int, int, bytes]]:
+    """Removed stretches as (row, start, stop) triples by part of the row."""
+    if not len(row):
         return []
-    ids, inverse = np.unique(doc, return_inverse=True)
-    part = np.array([doc_part(i, doc_parts) for i in ids.tolist()])[inverse]
-    triples = np.stack([doc, start, stop], axis=1).astype("<i8")
-    return [(REPEATS, p, triples[at].tobytes()) for p, at in by_part(part)]
+    triples = np.stack([row, start, stop], axis=1).astype("<i8")
+    return [(REPEATS, p, triples[at].tobytes()) for p, at in by_part(row % row_parts)]
 
 
-def solve(shard: Shard, window: int, parts: int, doc_parts: int) -> list[tuple[int, int, bytes]]:
+def solve(shard: Shard, window: int, parts: int, row_parts: int) -> list[tuple[int, int, bytes]]:
     """Step 2 for one shard: its own repeats, and the segments that other shards must be asked about."""
-    text, doc, place, name, starts = (np.concatenate(x) for x in (shard.text, shard.doc, shard.place, shard.name, shard.starts))
+    text, doc, row, place, name, starts = (np.concatenate(x) for x in (shard.text, shard.doc, shard.row, shard.place, shard.name, shard.starts))
     order = suffix_array(text)
     shared = common_prefixes(text, order, window)
     first = np.flatnonzero(np.concatenate([[True], shared[1:] < window]))
@@ -225,32 +217,32 @@ def solve(shard: Shard, window: int, parts: int, doc_parts: int) -> list[tuple[i
     smallest = np.empty(len(order), np.int64)
     smallest[order] = least
     repeated = starts & (doc > smallest)
-    a, b = stretches(repeated, doc, place)
-    rows = repeat_rows(doc[a], place[a], place[b] + window, doc_parts)
-    a, b = stretches(starts & ~repeated, doc, place, name)
+    a, b = stretches(repeated, row, place)
+    rows = repeat_rows(row[a], place[a], place[b] + window, row_parts)
+    a, b = stretches(starts & ~repeated, row, place, name)
     part = (name[a] % np.uint64(parts)).astype(np.int64)
     length = b - a + window
     for p, at in by_part(part) if len(a) else ():
         n = length[at]
         inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(a[at], n)
-        head = np.stack([doc[a[at]], place[a[at]], n], axis=1).astype("<i8")
+        head = np.stack([doc[a[at]], row[a[at]], place[a[at]], n], axis=1).astype("<i8")
         rows.append((SEGMENTS, p, np.int64(len(at)).tobytes() + head.tobytes() + text[inside].tobytes()))
     return rows
 
 
-def sharder(shared, window: int, parts: int, doc_parts: int):
+def sharder(shared, window: int, parts: int, row_parts: int):
     """Step 2, for mapInArrow: shards of bounded size, solved one after the other."""
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = np.frombuffer(shared.value, np.uint8)
         shard = Shard()
-        for doc_id, at, data in pieces(batches, window):
-            shard.add(doc_id, at, data, window, bitmap)
+        for owner, at, data in pieces(batches, window):
+            shard.add(owner, at, data, window, bitmap)
             if shard.size >= SHARD_BYTES:
-                yield sent(solve(shard, window, parts, doc_parts))
+                yield sent(solve(shard, window, parts, row_parts))
                 shard = Shard()
         if shard.size:
-            yield sent(solve(shard, window, parts, doc_parts))
+            yield sent(solve(shard, window, parts, row_parts))
 
     return shards
 
@@ -267,7 +259,7 @@ def window_digests(text: np.ndarray, window: int) -> np.ndarray:
     return mixed(out)
 
 
-def merger(window: int, doc_parts: int):
+def merger(window: int, row_parts: int):
     """Step 3, for applyInArrow by kind and part."""
 
     def merge(group: pa.Table) -> pa.Table:
@@ -279,23 +271,23 @@ def merger(window: int, doc_parts: int):
             heads, texts = [], []
             for one in data:
                 count = int(np.frombuffer(one, "<i8", 1)[0])
-                heads.append(np.frombuffer(one, "<i8", 3 * count, 8).reshape(count, 3))
-                texts.append(np.frombuffer(one, np.uint8, offset=8 + 24 * count))
+                heads.append(np.frombuffer(one, "<i8", 4 * count, 8).reshape(count, 4))
+                texts.append(np.frombuffer(one, np.uint8, offset=8 + 32 * count))
             head, text = np.concatenate(heads), np.concatenate(texts)
-            n = head[:, 2]
+            n = head[:, 3]
             begin = np.cumsum(n) - n
             digest = window_digests(text, window)
             segment = np.repeat(np.arange(len(head)), n - window + 1)
             step = np.arange(len(segment)) - np.repeat(np.cumsum(n - window + 1) - (n - window + 1), n - window + 1)
             digest = digest[begin[segment] + step]
-            doc, place = head[segment, 0], head[segment, 1] + step
+            doc, row, place = head[segment, 0], head[segment, 1], head[segment, 2] + step
             order = np.argsort(digest)
             ordered = digest[order]
             first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
             known, least = ordered[first], np.minimum.reduceat(doc[order], first)
             repeated = doc > least[np.searchsorted(known, digest)]
-            a, b = stretches(repeated, doc, place)
-            rows = repeat_rows(doc[a], place[a], place[b] + window, doc_parts)
+            a, b = stretches(repeated, row, place)
+            rows = repeat_rows(row[a], place[a], place[b] + window, row_parts)
         return pa.table({"part": pa.array([r[1] for r in rows], pa.int32()), "data": pa.array([r[2] for r in rows], pa.binary())})
 
     return merge
@@ -322,10 +314,9 @@ def cutter(columns: list[str]):
         found = found[np.argsort(found[:, 0], kind="stable")]
         ids = found[:, 0]
         kept, spans = [], []
-        for doc_id, text in zip(docs.column("doc_id").to_pylist(), docs.column(ADDED[0])):
-            data = text.as_py() or b""
-            key = NO_ID if doc_id is None else doc_id
-            a, b = np.searchsorted(ids, [key, key + 1]) if key != NO_ID else (np.searchsorted(ids, key), len(ids))
+        for row, text in zip(docs.column(ROW).to_pylist(), docs.column(ADDED[0])):
+            data = text.as_py()
+            a, b = np.searchsorted(ids, row, "left"), np.searchsorted(ids, row, "right")
             gone = union_of(found[a:b, 1:]).tolist() if b > a else []
             edges = [0, *(x for pair in gone for x in pair), len(data)]
             kept.append(b"".join(data[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2)) if gone else data)
@@ -336,6 +327,7 @@ def cutter(columns: list[str]):
     return cut
 
 
+ROW, PART = "_row", "_part"
 ADDED = ("_bytes", "_kept", "_spans")
 
 
@@ -347,17 +339,18 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     bits = min(16, max(4, int(total // (4 * PART_BYTES)).bit_length()))
     parts = max(16, int(total // PART_BYTES))
     carried = docs.withColumn(ADDED[0], F.coalesce(F.col("text").cast("binary"), F.lit(b""))).drop("text")
-    texts = carried.select(F.col("doc_id").cast("long").alias("doc_id"), ADDED[0])
+    row = F.xxhash64("doc_id", ADDED[0])
+    texts = carried.select(F.col("doc_id").cast("long").alias("doc_id"), row.alias(ROW), ADDED[0])
 
     slices = texts.mapInArrow(namer(window, bits), "part int, names binary").groupBy("part").applyInArrow(marker(bits), "part int, slots binary")
     bitmap = bytearray((1 << BITMAP_BITS) // 8)
     size = len(bitmap) >> bits
-    for row in slices.collect():  # 2 ** BITMAP_BITS / 8 bytes in all
-        bitmap[row["part"] * size : (row["part"] + 1) * size] = row["slots"]
+    for part in slices.collect():  # 2 ** BITMAP_BITS / 8 bytes in all
+        bitmap[part["part"] * size : (part["part"] + 1) * size] = part["slots"]
     shared = context.broadcast(bytes(bitmap))
 
     asked = texts.mapInArrow(sharder(shared, window, parts, parts), SENT)
     found = asked.groupBy("kind", "part").applyInArrow(merger(window, parts), "part int, data binary")
     out = T.StructType([*carried.schema.fields, T.StructField(ADDED[1], T.BinaryType()), T.StructField(ADDED[2], T.ArrayType(SPAN))])
-    dealt = carried.withColumn("_part", doc_part_column(parts))
-    return dealt.groupBy("_part").cogroup(found.groupBy("part")).applyInArrow(cutter(carried.columns), out)
+    dealt = carried.withColumn(ROW, row).withColumn(PART, F.pmod(ROW, F.lit(parts)).cast("int"))
+    return dealt.groupBy(PART).cogroup(found.groupBy("part")).applyInArrow(cutter(carried.columns), out)
