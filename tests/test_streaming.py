@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from wayfare.catalog import views as v
-from wayfare.operators import tracks
+from wayfare.functions import keys as rowkeys
+from wayfare.operators import latest, tracks
 from wayfare.operators.latest import upsert_latest, upsert_partial
 from wayfare.session import scratch_path
 from wayfare.sources import readers, sinks
@@ -173,7 +174,7 @@ def _settled(spark, state, name, keys):
     query = jobs.start_state(state, f"{path}/out", f"{path}/checkpoint", name, interval=None)
     jobs.wait(query)
     assert len(query.recentProgress) >= 8
-    return sinks.read_current(spark, f"{path}/out", keys, ["batch_id"])
+    return sinks.read_current(spark, f"{path}/out", keys)
 
 
 def test_stream_state_equals_batch(spark, split_events):
@@ -188,7 +189,7 @@ def test_hourly_first_processed(spark, split_events):
     path = scratch_path(spark, "hourly-first")
     counts = jobs.hourly_first_processed(_live(spark, split_events))
     jobs.wait(jobs.start_state(counts, f"{path}/out", f"{path}/checkpoint", "hourly_first", mode="complete", interval=None))
-    newest = sinks.read_current(spark, f"{path}/out", ["hour"], ["batch_id"])
+    newest = sinks.read_current(spark, f"{path}/out", ["hour"])
     batch = lines.gps_events(v.gps_lines_of(spark.read.parquet(split_events)), "arrived_at")
     assert newest.agg(F.sum("order_count")).first()[0] == tracks.positions(batch).select("order_id").distinct().count()
 
@@ -213,19 +214,103 @@ def test_routed_ingest_and_replay(spark, data):
     for _ in range(2):  # the second run finds nothing new
         jobs.wait(jobs.start_routed_ingest(source, f"{path}/out", f"{path}/checkpoint", None))
     good, bad = lines.quarantine(v.mixed_lines(spark, data))
-    assert rows(sinks.read_changes(spark, f"{path}/out/gps").drop("batch_id")) == rows(lines.gps_rows(good))
+    written = sinks.read_changes(spark, f"{path}/out/gps").drop(sinks.RUN, sinks.BATCH, sinks.WRITTEN)
+    assert rows(written) == rows(lines.gps_rows(good))
     assert sinks.read_changes(spark, f"{path}/out/orders").count() == lines.order_rows(good).count()
     assert sinks.read_changes(spark, f"{path}/out/quarantine").count() == bad.count()
 
 
+def _rows_of(spark, *values):
+    return spark.createDataFrame(list(values), "id string, v int")
+
+
 def test_a_replayed_batch_replaces_itself(spark):
     path = scratch_path(spark, "replay")
     for value in (1, 2):
-        sinks.append_changes(spark.createDataFrame([("k", value)], "id string, v int"), path, 0)
-    sinks.append_changes(spark.createDataFrame([("k", 5), ("m", 6)], "id string, v int"), path, 1)
-    assert rows(sinks.read_current(spark, path, ["id"], ["batch_id"])) == [("k", 5), ("m", 6)]
-    sinks.compact(spark, path, f"{path}-small", ["id"], ["batch_id"])
-    assert rows(sinks.read_changes(spark, f"{path}-small").drop("batch_id")) == [("k", 5), ("m", 6)]
+        sinks.append_changes(_rows_of(spark, ("k", value)), path, 0, "a")
+    sinks.append_changes(_rows_of(spark, ("k", 5), ("m", 6)), path, 1, "a")
+    assert rows(sinks.read_current(spark, path, ["id"])) == [("k", 5), ("m", 6)]
+    assert sinks.read_changes(spark, path).count() == 3
+
+
+def test_compaction_keeps_all_keys_of_all_runs(spark):
+    path = scratch_path(spark, "compact")
+    sinks.append_changes(_rows_of(spark, ("k", 1), ("l", 1)), path, 0, "a")
+    sinks.append_changes(_rows_of(spark, ("k", 2)), path, 1, "a")
+    sinks.compact(spark, path, ["id"])
+    assert rows(sinks.read_current(spark, path, ["id"])) == [("k", 2), ("l", 1)]
+    assert sinks.read_changes(spark, path).count() == 2
+    # a stream with a new checkpoint begins at batch 0 again, and the old one goes on
+    sinks.append_changes(_rows_of(spark, ("m", 7)), path, 0, "b")
+    sinks.append_changes(_rows_of(spark, ("l", 8)), path, 2, "a")
+    assert rows(sinks.read_current(spark, path, ["id"])) == [("k", 2), ("l", 8), ("m", 7)]
+    sinks.compact(spark, path, ["id"])
+    sinks.compact(spark, path, ["id"])
+    assert rows(sinks.read_current(spark, path, ["id"])) == [("k", 2), ("l", 8), ("m", 7)]
+    assert sinks.read_changes(spark, path).count() == 3
+
+
+def test_streams_with_a_new_checkpoint_lose_no_key(spark, data):
+    path = scratch_path(spark, "restart")
+    for i in range(2):
+        v.table(spark, data, "orders").where(f"o_orderkey % 2 = {i}").write.parquet(f"{path}/in-{i}")
+        source = readers.stream_files(spark, f"{path}/in-{i}", v.table(spark, data, "orders").schema)
+        for _ in range(2):  # the second start finds the checkpoint and nothing new
+            jobs.wait(jobs.start_cdc(v.order_changes_of(source), f"{path}/out", f"{path}/checkpoint-{i}", None, compact_every=1))
+    live = sinks.read_current(spark, f"{path}/out/{cdc.ORDER_TABLE}", ["id"], ["ts", "offset"])
+    want = cdc.newest_images(cdc.entity_rows(cdc.parse(v.order_changes_of(v.table(spark, data, "orders"))), cdc.ORDER_TABLE))
+    assert rows(live.select(*want.columns)) == rows(want)
+    assert live.count() > 0 and live.where(~F.col("rowkey").eqNullSafe(rowkeys.salted_key(F.col("id")))).count() == 0
+
+
+def test_a_failed_report_leaves_the_old_one(spark):
+    path = scratch_path(spark, "versions")
+    sinks.write_report(_rows_of(spark, ("k", 1), (None, 2)), path, "id")
+    broken = spark.range(3).selectExpr("cast(id as string) as id", "cast(raise_error('no') as int) as v")
+    with pytest.raises(Exception, match="no"):
+        sinks.write_report(broken, path, "id")
+    assert rows(sinks.read_report(spark, path)) == [("k", 1)]
+    sinks.write_report(_rows_of(spark, ("n", 3)), path, "id")
+    assert rows(sinks.read_report(spark, path)) == [("n", 3)]
+
+
+def test_reports_are_upserted_by_key(spark):
+    path = scratch_path(spark, "upserts")
+    for day, values in (("1", [("a", 1), ("b", 1), ("b", 2)]), ("2", [("b", 5), ("c", 6)])):
+        sinks.upsert_report(_rows_of(spark, *values).selectExpr("id", f"'{day}' as day", "v"), path, ["id"], ["day"])
+    assert rows(sinks.read_report(spark, path)) == [("a", "1", 1), ("b", "2", 5), ("c", "2", 6)]
+
+
+def test_a_folder_is_streamed_without_its_neighbours(spark):
+    path = scratch_path(spark, "neighbours")
+    _rows_of(spark, ("a", 1), ("b", 2), ("c", 3)).coalesce(1).write.parquet(f"{path}/order")
+    _rows_of(spark, ("x", 1)).write.parquet(f"{path}/order_old")
+    one = [f.path for f in spark.read.format("binaryFile").load(f"{path}/order/*.parquet").select("path").collect()]
+    for i, source in enumerate([f"{path}/order", f"{path}/order/", *one]):
+        stream = readers.stream_files(spark, source, spark.read.parquet(f"{path}/order").schema)
+        jobs.wait(jobs.append_stream(stream, f"{path}/out{i}", f"{path}/checkpoint{i}", f"neighbours{i}", None))
+        assert rows(spark.read.parquet(f"{path}/out{i}")) == [("a", 1), ("b", 2), ("c", 3)]
+
+
+def test_every_line_ends_as_a_row_or_a_reason(spark, data):
+    odd = ["end,", "end,,", "end", "", "end,7", "1,2,3,4,5,", "a\tb", "1,o,5,x,y"]
+    frame = v.mixed_lines(spark, data).unionByName(spark.createDataFrame([(x,) for x in odd], "value string"))
+    good, bad = lines.quarantine(frame)
+    n_rows = lines.parse_gps(lines_of_kind(good, "gps")).count() + lines.parse_order_lines(lines_of_kind(good, "order")).count()
+    assert n_rows + bad.count() == frame.count()
+    assert {r["value"] for r in bad.where("reason = 'end_without_order'").collect()} == {"end,", "end,,"}
+
+
+def lines_of_kind(good, kind):
+    marker = lines.is_end_marker(F.col("value"))
+    gps = marker | (lines.line_kind(F.col("value")) == "gps")
+    return good.where(F.coalesce(gps, F.lit(False)) if kind == "gps" else ~F.coalesce(gps, F.lit(False)))
+
+
+def test_every_message_ends_as_an_image_or_a_reason(spark, data):
+    messages = v.changes(spark, data).unionByName(v.broken_changes(spark, data))
+    assert cdc.parse(messages).count() + cdc.quarantine(messages).count() == messages.count()
+    assert cdc.parse(messages).where("id = ''").count() == 0
 
 
 def test_cdc_stream_equals_batch(spark, data):
@@ -244,12 +329,12 @@ def test_cdc_stream_equals_batch(spark, data):
 
 def test_recorder_and_flags(spark, split_events):
     path = scratch_path(spark, "recorded")
-    recorder = metrics.ProgressRecorder(spark, keep=50)
+    recorder = metrics.ProgressRecorder(spark, f"{path}/events", flush_every=3)
     spark.streams.addListener(recorder)
     try:
         query = jobs.append_stream(_stream(spark, split_events), f"{path}/out", f"{path}/checkpoint", "recorded", None)
         jobs.wait(query)
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        recorder.wait_for(query)
     finally:
         spark.streams.removeListener(recorder)
     kinds = {r["event"] for r in recorder.events().collect()}
@@ -275,3 +360,44 @@ def test_ratios(spark):
     got = {r["snapshot_ms"]: r for r in metrics.metrics_ratios(df).collect()}
     assert got[1]["failed_stages_percent"] == 33.33 and got[1]["running_batches_percent"] == 0.0
     assert got[1]["max_mem_mb_percent"] == 100.0 and got[2]["failed_stages_percent"] == 0.12 and got[2]["max_mem_mb_percent"] == 0.0
+
+
+def test_progress_of_more_batches_than_spark_keeps(spark):
+    """Spark itself forgets progress after 100 batches; the table has all of it, of both sources."""
+    path = scratch_path(spark, "many")
+    for side in ("a", "b"):
+        spark.range(110).repartition(110, "id").write.parquet(f"{path}/{side}")
+    schema = spark.read.parquet(f"{path}/a").schema
+    both = [readers.stream_files(spark, f"{path}/{side}", schema, max_files=1) for side in ("a", "b")]
+    n_files = max(len([r for r in spark.read.format("binaryFile").load(f"{path}/{s}/*.parquet").select("path").collect()]) for s in ("a", "b"))
+    recorder = metrics.ProgressRecorder(spark, f"{path}/events", flush_every=40)
+    spark.streams.addListener(recorder)
+    try:
+        writer = both[0].union(both[1]).writeStream.queryName("many").format("noop").option("checkpointLocation", f"{path}/checkpoint")
+        query = writer.trigger(availableNow=True).start()
+        jobs.wait(query)
+        recorder.wait_for(query)
+    finally:
+        spark.streams.removeListener(recorder)
+    events = recorder.events().where(F.col("query_id") == str(query.id)).where("event = 'progress'")
+    assert metrics.flatten_progress(events).agg(F.sum("num_input_rows")).first()[0] == 220
+    assert metrics.flatten_progress(events).where("num_input_rows > 0").count() >= n_files
+    sources = metrics.progress_sources(events).groupBy("source_index").agg(F.sum("source_rows").alias("n")).collect()
+    assert sorted((r["source_index"], r["n"]) for r in sources) == [(0, 110), (1, 110)]
+    assert recorder.events(last_seconds=3600).count() == recorder.events().count()
+    assert recorder.events(last_seconds=0).count() == 0
+
+
+def test_event_logs_in_any_spelling(spark):
+    texts = [
+        '{"Event":"SparkListenerTaskEnd","Stage ID":1,"Task Info":{"Launch Time":1,"Finish Time":5}}',
+        '{ "Stage ID" : 2, "Task Info": {"Finish Time": 9, "Launch Time": 1}, "Event" : "SparkListenerTaskEnd" }',
+        '{"Event":"Other","Note":"SparkListenerTaskEnd"}', "not json SparkListenerTaskEnd",
+    ]
+    found = metrics.task_metrics(spark.createDataFrame([(t,) for t in texts], "value string"))
+    assert rows(found.select("stage_id", "duration_ms")) == [(1, 4), (2, 8)]
+
+
+def test_newest_rows_are_repeatable(spark):
+    frame = spark.createDataFrame([(1, i) for i in range(20)], "t int, x int")
+    assert rows(latest.newest_rows(frame.repartition(7), "t", 3)) == [(1, 17), (1, 18), (1, 19)]

@@ -97,21 +97,25 @@ def stream_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    # a trailing star lets one name stand for a single file as well as for a folder of files
-    return reader.load(path if any(ch in path for ch in "*?[{") else f"{path}*")
+    if not any(ch in path for ch in "*?[{"):
+        # as a pattern that only this name matches, one file will do as well as a folder of files
+        path = path.rstrip("/")
+        path = f"{path[:-1]}[{path[-1]}]"
+    return reader.load(path)
 
 
-def stream_topics(spark: SparkSession, brokers: str, pattern: str, max_offsets: int | None = 500, starting: str = "earliest", **options: str) -> DataFrame:
+def stream_topics(spark: SparkSession, brokers: str, pattern: str, max_offsets: int | None = None, starting: str = "earliest", **options: str) -> DataFrame:
     """Message stream by topic pattern: value as text, topic and arrival time.
 
-    Needs the Kafka connector on the class path.
+    Data that the topics lost fails the stream, unless ``failOnDataLoss="false"``
+    is given; ``max_offsets`` bounds a batch on request. Needs the Kafka
+    connector on the class path.
     """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", brokers)
         .option("subscribePattern", pattern)
         .option("startingOffsets", starting)
-        .option("failOnDataLoss", "false")
         .options(**options)
     )
     if max_offsets:

@@ -1,16 +1,92 @@
-"""Writers: keyed report tables and append-only change tables."""
+"""Writers: versioned tables with keyed upserts, and change tables of streams.
+
+A versioned table is a folder of versions; a write adds a version beside the
+others, and readers open the newest one, so a failed write leaves the old table.
+
+A change table has two folders. ``deltas`` holds one folder per run and batch,
+where a run is the identity that a stream keeps in its checkpoint: a replayed
+batch replaces itself, and no other stream, nor one with a new checkpoint, writes
+to the same place. ``base`` is a versioned table of newest images that
+compaction adds to; only deltas that are in the base are emptied.
+"""
 
 from __future__ import annotations
 
+import time
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.operators.latest import newest_per
+from wayfare.operators.latest import newest_per, upsert_latest
+
+VERSION, RUN, BATCH, WRITTEN = "version", "run", "batch_id", "written_at"
+
+
+def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.option("basePath", path).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def add_version(df: DataFrame, path: str) -> str:
+    """Write rows as a new version of a table; returns the version's name. Names sort by time."""
+    version = f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(f"{path}/{VERSION}={version}")
+    return version
+
+
+def read_version(spark: SparkSession, path: str, version: str | None = None) -> DataFrame | None:
+    """The newest version of a table (or the one named); None when there is none."""
+    versions = _read_if_there(spark, path)
+    if versions is None:
+        return None
+    if version is None:
+        newest = versions.agg(F.max(VERSION)).first()[0]  # folder names alone
+        if newest is None:  # an empty table has no rows to take the name from
+            return versions.drop(VERSION)
+        version = newest
+    return versions.where(F.col(VERSION) == version).drop(VERSION)
+
+
+def drop_older_versions(spark: SparkSession, path: str) -> None:
+    """Empty all versions of a table but the newest."""
+    versions = _read_if_there(spark, path)
+    names = sorted(r[0] for r in versions.select(VERSION).distinct().toLocalIterator()) if versions is not None else []
+    for name in names[:-1]:
+        _empty(versions.drop(VERSION), f"{path}/{VERSION}={name}")
+
+
+def _empty(like: DataFrame, path: str) -> None:
+    like.limit(0).coalesce(1).write.mode("overwrite").parquet(path)
+
 
+def write_report(report: DataFrame, path: str, key: str) -> None:
+    """Write a report as a new version; rows without a key are skipped. Readers change over when it is whole."""
+    add_version(report.where(F.col(key).isNotNull()), path)
 
-def write_report(report: DataFrame, path: str, key: str, fmt: str = "parquet") -> None:
-    """Write a report as a whole; rows without a key are skipped. Re-running replaces it."""
-    report.where(F.col(key).isNotNull()).write.mode("overwrite").format(fmt).save(path)
+
+def upsert_report(report: DataFrame, path: str, keys: list[str], version: list[str]) -> None:
+    """Merge a report into its table by key: rows of other keys stay, of equal keys the newest by ``version`` stays.
+
+    The table is made by the first write. Rows without a key are skipped, and a
+    key has one row.
+    """
+    spark = report.sparkSession
+    stored = read_version(spark, path)
+    merged = upsert_latest(report.limit(0) if stored is None else stored, report, keys, version)
+    add_version(merged, path)
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    stored = read_version(spark, path)
+    if stored is None:
+        raise FileNotFoundError(path)
+    return stored
 
 
 def write_history(df: DataFrame, path: str, ts: str, mode: str = "overwrite") -> None:
@@ -25,22 +101,58 @@ def write_history(df: DataFrame, path: str, ts: str, mode: str = "overwrite") ->
     placed.write.mode(mode).partitionBy("month").parquet(path)
 
 
-def append_changes(batch: DataFrame, path: str, batch_id: int) -> None:
-    """Write one micro-batch into its own folder, so a replayed batch replaces itself."""
-    batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def run_of(batch: DataFrame) -> str:
+    """The identity of the stream that a micro-batch belongs to, as its checkpoint keeps it."""
+    run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not run:
+        raise ValueError("not inside a streaming batch; name the run")
+    return run
+
+
+def append_changes(batch: DataFrame, path: str, batch_id: int, run: str | None = None) -> None:
+    """Write one micro-batch into the folder of its run and number, so a replayed batch replaces itself."""
+    run = run or run_of(batch)
+    rows = batch.withColumn(WRITTEN, F.current_timestamp())
+    rows.write.mode("overwrite").parquet(f"{path}/deltas/{RUN}={run}/{BATCH}={batch_id}")
+
+
+def _deltas(spark: SparkSession, path: str) -> DataFrame | None:
+    return _read_if_there(spark, f"{path}/deltas")
 
 
 def read_changes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(f"{path}/batch_id=*")
+    """Newest base and all deltas: every key's newest image is among them, maybe twice."""
+    base, deltas = read_version(spark, f"{path}/base"), _deltas(spark, path)
+    if deltas is None:
+        raise FileNotFoundError(path)
+    typed = deltas.withColumns({RUN: F.col(RUN).cast("string"), BATCH: F.col(BATCH).cast("bigint")})
+    return typed if base is None else base.unionByName(typed)
 
 
-def read_current(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> DataFrame:
-    """Newest image of every key of a change table."""
-    changes = read_changes(spark, path)
+def read_current(spark: SparkSession, path: str, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """Newest image of every key of a change table: by ``order``, then by time of writing and batch."""
+    images = _current(read_changes(spark, path), keys, order)
+    return images.drop(RUN, BATCH, WRITTEN)
+
+
+def _current(changes: DataFrame, keys: list[str], order: list[str] | None) -> DataFrame:
+    by = [*(order or []), WRITTEN, BATCH]
     values = [c for c in changes.columns if c not in keys]
-    return newest_per(changes, keys, order, values).select(*[c for c in changes.columns if c != "batch_id"])
+    return newest_per(changes, keys, by, values).select(*changes.columns)
 
 
-def compact(spark: SparkSession, path: str, out: str, keys: list[str], order: list[str]) -> None:
-    """Write the newest images of a change table to a new table, as its batch 0."""
-    append_changes(read_current(spark, path, keys, order), out, 0)
+def compact(spark: SparkSession, path: str, keys: list[str], order: list[str] | None = None) -> None:
+    """Fold the deltas into a new base version, then empty what was folded.
+
+    Streams may go on writing: deltas that come up meanwhile are not in the list
+    that was folded and stay. A compaction that fails half-way leaves deltas that
+    are in the base as well, which changes no image.
+    """
+    changes = read_changes(spark, path)
+    deltas = _deltas(spark, path)
+    folded = [(r[0], r[1]) for r in deltas.select(F.col(RUN).cast("string"), BATCH).distinct().toLocalIterator()]
+    add_version(_current(changes, keys, order), f"{path}/base")
+    like = deltas.drop(RUN, BATCH)
+    for run, batch_id in folded:
+        _empty(like, f"{path}/deltas/{RUN}={run}/{BATCH}={batch_id}")
+    drop_older_versions(spark, f"{path}/base")

@@ -35,17 +35,36 @@ def route(table: Column) -> Column:
     return target
 
 
-def parse(messages: DataFrame) -> DataFrame:
-    """``entity, source_table, op, id, ts, offset, data`` of every routed message.
+def with_reason(messages: DataFrame) -> DataFrame:
+    """Every message with its table, entity and the reason it cannot be applied, NULL for a good one."""
+    read = pin(
+        messages.select("value", "offset"), _table=F.get_json_object("value", "$.table"),
+        _id=F.get_json_object("value", "$.data.id_"), _data=F.get_json_object("value", "$.data"),
+    )
+    entity = route(F.col("_table"))
+    reason = (
+        F.when(F.get_json_object("value", "$").isNull(), F.lit("not_json"))
+        .when(F.coalesce("_table", F.lit("")) == "", F.lit("no_table"))
+        .when(entity.isNull(), F.lit("unknown_table"))
+        .when(F.col("_data").isNull(), F.lit("no_data"))
+        .when(F.coalesce("_id", F.lit("")) == "", F.lit("no_id"))
+    )
+    return pin(read, entity=entity, reason=reason).drop("_table", "_id", "_data")
 
-    Routing reads the table name alone, so that filters on the entity settle
-    before the whole envelope is parsed.
-    """
-    named = pin(messages.select("value", "offset"), _table=F.get_json_object("value", "$.table"))
-    routed = named.withColumn("entity", route(F.col("_table"))).where(F.col("entity").isNotNull())
-    opened = routed.select("entity", "offset", F.from_json("value", ENVELOPE_DDL).alias("m"))
+
+def split(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Messages to apply, and the others with their reason; every message is in one of them."""
+    return marked.where(F.col("reason").isNull()).drop("reason"), marked.where(F.col("reason").isNotNull()).drop("entity")
+
+
+def quarantine(messages: DataFrame) -> DataFrame:
+    return split(with_reason(messages))[1]
+
+
+def opened(good: DataFrame) -> DataFrame:
+    """``entity, source_table, op, id, ts, offset, data`` of messages to apply."""
     data = F.col("m.data")
-    return opened.select(
+    return good.select("entity", "offset", F.from_json("value", ENVELOPE_DDL).alias("m")).select(
         "entity",
         F.col("m.table").alias("source_table"),
         F.coalesce("m.type", F.lit("insert")).alias("op"),
@@ -56,6 +75,15 @@ def parse(messages: DataFrame) -> DataFrame:
     )
 
 
+def parse(messages: DataFrame) -> DataFrame:
+    """The opened form of every message that can be applied; ``quarantine`` has the others.
+
+    Routing reads single fields, so that filters on the entity settle before the
+    whole envelope is parsed.
+    """
+    return opened(split(with_reason(messages))[0])
+
+
 def entity_rows(parsed: DataFrame, entity: str) -> DataFrame:
     """Rows of one entity with its columns; missing or null fields are empty text."""
     cells = [

@@ -1,25 +1,44 @@
 """Streaming jobs: ingest, live state, change apply.
 
 Sinks are idempotent: the file sink keeps its own log, and ``foreachBatch``
-writers put each batch into a folder named by its id. State is unbounded by
-default (an order counts once for ever); ``watermark`` bounds it on request.
+writers put each batch into a folder named by its run and number. Keyed tables are
+compacted every ``compact_every`` batches, so that their folders do not grow for
+ever. State is unbounded by default (an order counts once for ever);
+``watermark`` bounds it on request.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from wayfare.functions import keys as rowkeys
 from wayfare.operators import tracks
-from wayfare.sources.sinks import append_changes
+from wayfare.sources.sinks import append_changes, compact
 from wayfare.streaming import cdc, lines
 
 GPS_TOPIC = "gps"
 ORDER_TOPIC = "orders"
 TRIGGER_INTERVAL = "5 seconds"
+COMPACT_EVERY = 200
+
+
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """A frame that is cached for the body, also when the body fails."""
+    cached = df.persist()
+    try:
+        yield cached
+    finally:
+        cached.unpersist()
+
+
+def due(batch_id: int, every: int | None) -> bool:
+    return bool(every) and batch_id % every == every - 1
 
 
 def _trigger(writer, interval: str | None):
@@ -54,19 +73,27 @@ def start_routed_ingest(records: DataFrame, out: str, checkpoint: str, interval:
     """One query that routes by content: good rows to two tables, bad lines to quarantine."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        good, bad = lines.quarantine(batch.select("value"))
-        append_changes(lines.gps_rows(good), f"{out}/gps", batch_id)
-        append_changes(lines.order_rows(good), f"{out}/orders", batch_id)
-        append_changes(bad, f"{out}/quarantine", batch_id)
-        batch.unpersist()
+        with kept(batch) as cached:
+            good, bad = lines.quarantine(cached.select("value"))
+            append_changes(lines.gps_rows(good), f"{out}/gps", batch_id)
+            append_changes(lines.order_rows(good), f"{out}/orders", batch_id)
+            append_changes(bad, f"{out}/quarantine", batch_id)
 
     return batch_stream(records, write, checkpoint, "routed_ingest", "append", interval)
 
 
-def start_state(state: DataFrame, out: str, checkpoint: str, name: str, mode: str = "update", interval: str | None = TRIGGER_INTERVAL) -> StreamingQuery:
-    """Keep a keyed state table: each batch appends the keys that changed."""
-    return batch_stream(state, lambda batch, i: append_changes(batch, out, i), checkpoint, name, mode, interval)
+def start_state(
+    state: DataFrame, out: str, checkpoint: str, name: str, mode: str = "update", interval: str | None = TRIGGER_INTERVAL,
+    keys: list[str] | None = None, compact_every: int | None = COMPACT_EVERY,
+) -> StreamingQuery:
+    """Keep a keyed state table: each batch appends the keys that changed; with ``keys`` the table is compacted."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_changes(batch, out, batch_id)
+        if keys and due(batch_id, compact_every):
+            compact(batch.sparkSession, out, keys)
+
+    return batch_stream(state, write, checkpoint, name, mode, interval)
 
 
 def bounded(points: DataFrame, watermark: str | None) -> DataFrame:
@@ -90,15 +117,23 @@ def hourly_first_processed(points: DataFrame, watermark: str | None = None) -> D
     return counts.select(F.col("window.start").alias("hour"), "order_count")
 
 
-def start_cdc(messages: DataFrame, out: str, checkpoint: str, interval: str | None = TRIGGER_INTERVAL) -> StreamingQuery:
-    """Apply change envelopes: per batch, the newest image of every id and entity."""
+def start_cdc(
+    messages: DataFrame, out: str, checkpoint: str, interval: str | None = TRIGGER_INTERVAL, compact_every: int | None = COMPACT_EVERY
+) -> StreamingQuery:
+    """Apply change envelopes: per batch, the newest image of every id and entity under its salted key, and what is unusable."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = cdc.parse(batch).persist()
-        for entity in cdc.TABLE_COLUMNS:
-            images = cdc.newest_images(cdc.entity_rows(parsed, entity))
-            append_changes(images, f"{out}/{entity}", batch_id)
-        parsed.unpersist()
+        spark = batch.sparkSession
+        with kept(cdc.with_reason(batch)) as marked:
+            good, bad = cdc.split(marked)
+            append_changes(bad, f"{out}/quarantine", batch_id)
+            with kept(cdc.opened(good)) as parsed:
+                for entity in cdc.TABLE_COLUMNS:
+                    images = cdc.newest_images(cdc.entity_rows(parsed, entity))
+                    append_changes(images.select(rowkeys.salted_key(F.col("id")).alias("rowkey"), "*"), f"{out}/{entity}", batch_id)
+        if due(batch_id, compact_every):
+            for entity in cdc.TABLE_COLUMNS:
+                compact(spark, f"{out}/{entity}", ["id"], ["ts", "offset"])
 
     return batch_stream(messages, write, checkpoint, "cdc_apply", "append", interval)
 

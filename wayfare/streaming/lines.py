@@ -122,7 +122,8 @@ def with_reason(lines: DataFrame) -> DataFrame:
         & F.get("_c", F.lit(4)).try_cast("double").isNotNull()
     )
     reason = (
-        F.when(is_end_marker(value), F.lit(None).cast("string"))
+        F.when(is_end_marker(value) & (F.size("_c") < 2), F.lit("end_without_order"))
+        .when(is_end_marker(value), F.lit(None).cast("string"))
         .when(F.col("_kind").isNull(), F.lit("unroutable"))
         .when((F.col("_kind") == "gps") & ~numbers, F.lit("bad_number"))
         .when((F.col("_kind") == "order") & value.contains(HEADER_TOKEN), F.lit("header"))
