@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections import deque
+import datetime as dt
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+from wayfare.operators.pinning import pin
+
 BLOCKED_MS = 30_000
 GC_LIMIT_PERCENT = 30.0
 
@@ -24,51 +27,115 @@ PHASES = {"addBatch": "add_batch_ms", "getBatch": "get_batch_ms", "walCommit": "
           "queryPlanning": "query_planning_ms", "commitOffsets": "commit_offsets_ms"}
 
 
-def _jvm_gc_ms(spark: SparkSession) -> int:
-    beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+EVENTS_DDL = "event string, query_id string, value string, gc_ms bigint, received_at timestamp"
+
+
+def _gc_ms(spark: SparkSession) -> int | None:
+    """Garbage collection time of the driver so far; unknown where the session has no JVM of its own."""
+    try:
+        beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    except Exception:  # noqa: BLE001 - a remote session has no such attribute
+        return None
     return sum(max(0, bean.getCollectionTime()) for bean in beans)
 
 
 class ProgressRecorder(StreamingQueryListener):
-    """Keeps the newest events of all queries (a bounded number) as JSON text."""
+    """Appends every event of all queries to a Parquet table, as JSON text.
 
-    def __init__(self, spark: SparkSession, keep: int = 3600):
-        self._spark = spark
-        self._events: deque[tuple[str, str, int]] = deque(maxlen=keep)
+    Events wait in memory only until ``flush_every`` of them are there or a query
+    ends; none is dropped.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, flush_every: int = 100):
+        self._spark, self._path, self._flush_every = spark, path, flush_every
+        self._waiting: list[tuple[str, str, str, int | None, dt.datetime]] = []
+        self._lock, self._ended = threading.Condition(), set()
+
+    def _note(self, kind: str, query_id: str, value: str, gc_ms: int | None = None) -> None:
+        with self._lock:
+            self._waiting.append((kind, query_id, value, gc_ms, dt.datetime.now(dt.timezone.utc)))
+            if len(self._waiting) >= self._flush_every:
+                self.flush()
 
     def onQueryStarted(self, event) -> None:
-        self._events.append(("started", f'{{"id":"{event.id}","timestamp":"{event.timestamp}"}}', 0))
+        self._note("started", str(event.id), f'{{"id":"{event.id}","timestamp":"{event.timestamp}"}}')
 
     def onQueryProgress(self, event) -> None:
-        self._events.append(("progress", event.progress.json, _jvm_gc_ms(self._spark)))
+        self._note("progress", str(event.progress.id), event.progress.json, _gc_ms(self._spark))
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        self._events.append(("terminated", f'{{"id":"{event.id}"}}', 0))
-
-    def events(self) -> DataFrame:
-        return self._spark.createDataFrame(list(self._events), "event string, value string, gc_ms bigint")
-
-    def progress(self) -> DataFrame:
-        return flatten_progress(self.events().where("event = 'progress'"))
+        self._note("terminated", str(event.id), f'{{"id":"{event.id}"}}')
+        with self._lock:
+            self.flush()
+            self._ended.add(str(event.id))
+            self._lock.notify_all()
+
+    def flush(self) -> None:
+        """Write what is waiting."""
+        with self._lock:
+            if self._waiting:
+                self._spark.createDataFrame(self._waiting, EVENTS_DDL).coalesce(1).write.mode("append").parquet(self._path)
+                self._waiting = []
+
+    def wait_for(self, query, timeout: float = 60) -> None:
+        """Until the end of a query has been written."""
+        with self._lock:
+            if not self._lock.wait_for(lambda: str(query.id) in self._ended, timeout):
+                raise TimeoutError(f"no end of query {query.id} after {timeout} s")
+
+    def events(self, last_seconds: int | None = None) -> DataFrame:
+        return recorded_events(self._spark, self._path, last_seconds)
+
+    def progress(self, last_seconds: int | None = None) -> DataFrame:
+        return flatten_progress(self.events(last_seconds).where("event = 'progress'"))
+
+
+def recorded_events(spark: SparkSession, path: str, last_seconds: int | None = None) -> DataFrame:
+    """Events that a recorder wrote, of the last seconds if given."""
+    events = spark.read.schema(EVENTS_DDL).parquet(path)
+    if last_seconds is None:
+        return events
+    return events.where(F.col("received_at") >= F.current_timestamp() - F.make_dt_interval(secs=F.lit(last_seconds)))
+
+
+def progress_sources(events: DataFrame) -> DataFrame:
+    """One row per batch and source, from progress JSON in ``value``."""
+    p = events.select(F.from_json("value", PROGRESS_DDL).alias("p"))
+    return p.select(
+        F.col("p.id").alias("query_id"), F.col("p.name").alias("query_name"), F.col("p.batchId").alias("batch_id"),
+        F.posexplode("p.sources").alias("source_index", "s"),
+    ).select(
+        "query_id", "query_name", "batch_id", "source_index", F.col("s.description").alias("source"),
+        F.col("s.numInputRows").alias("source_rows"), F.col("s.processedRowsPerSecond").alias("rows_per_second"),
+    )
 
 
-def recent_progress(spark: SparkSession, query) -> DataFrame:
-    """Progress of one query, as Spark retains it (a bounded list)."""
-    rows = [(p.json, 0) for p in query.recentProgress]
-    return flatten_progress(spark.createDataFrame(rows, "value string, gc_ms bigint"))
+def progress_states(events: DataFrame) -> DataFrame:
+    """One row per batch and stateful operator, from progress JSON in ``value``."""
+    p = events.select(F.from_json("value", PROGRESS_DDL).alias("p"))
+    return p.select(
+        F.col("p.id").alias("query_id"), F.col("p.name").alias("query_name"), F.col("p.batchId").alias("batch_id"),
+        F.posexplode("p.stateOperators").alias("operator_index", "o"),
+    ).select(
+        "query_id", "query_name", "batch_id", "operator_index", F.col("o.numRowsTotal").alias("state_rows"),
+        F.col("o.numRowsUpdated").alias("state_rows_updated"), F.col("o.memoryUsedBytes").alias("state_bytes"),
+    )
 
 
 def flatten_progress(events: DataFrame) -> DataFrame:
-    """One row per batch from progress JSON in ``value`` (and ``gc_ms``)."""
+    """One row per batch from progress JSON in ``value`` (and ``gc_ms``); sources and states are summed up."""
     p = events.select(F.from_json("value", PROGRESS_DDL).alias("p"), "gc_ms")
 
     def phase(name: str) -> Column:
         return F.coalesce(F.try_element_at("p.durationMs", F.lit(name)), F.lit(0))
 
-    source, state = F.get("p.sources", F.lit(0)), F.get("p.stateOperators", F.lit(0))
+    def total(array: str, name: str) -> Column:
+        sizes = F.transform(array, lambda x: F.coalesce(x[name], F.lit(0)))
+        return F.coalesce(F.aggregate(sizes, F.lit(0).cast("bigint"), lambda a, x: a + x), F.lit(0))
+
     return p.select(
         F.col("p.id").alias("query_id"),
         F.col("p.name").alias("query_name"),
@@ -81,12 +148,12 @@ def flatten_progress(events: DataFrame) -> DataFrame:
         F.col("p.durationMs").alias("duration_ms"),
         *[phase(k).alias(v) for k, v in PHASES.items()],
         F.coalesce(F.try_element_at("p.eventTime", F.lit("watermark")), F.lit("0")).alias("watermark"),
-        source["description"].alias("source"),
-        source["numInputRows"].alias("source_rows"),
+        F.array_join(F.transform("p.sources", lambda x: x["description"]), "; ").alias("source"),
+        total("p.sources", "numInputRows").alias("source_rows"),
         F.col("p.sink.description").alias("sink"),
-        F.coalesce(state["numRowsTotal"], F.lit(0)).alias("state_rows"),
-        F.coalesce(state["numRowsUpdated"], F.lit(0)).alias("state_rows_updated"),
-        F.coalesce(state["memoryUsedBytes"], F.lit(0)).alias("state_bytes"),
+        total("p.stateOperators", "numRowsTotal").alias("state_rows"),
+        total("p.stateOperators", "numRowsUpdated").alias("state_rows_updated"),
+        total("p.stateOperators", "memoryUsedBytes").alias("state_bytes"),
         "gc_ms",
     )
 
@@ -108,8 +175,7 @@ def progress_flags(progress: DataFrame, blocked_ms: int = BLOCKED_MS, gc_limit:
     })
 
 
-# every line of an event log starts with its event name
-TASK_END_PREFIX = '{"Event":"SparkListenerTaskEnd"'
+TASK_END = "SparkListenerTaskEnd"
 _SHUFFLE_READ = (
     "`Remote Blocks Fetched`:bigint,`Local Blocks Fetched`:bigint,`Fetch Wait Time`:bigint,"
     "`Remote Bytes Read`:bigint,`Local Bytes Read`:bigint,`Total Records Read`:bigint"
@@ -157,9 +223,9 @@ def read_event_log(spark: SparkSession, path: str) -> DataFrame:
 
 def task_metrics(log_lines: DataFrame) -> DataFrame:
     """One row per finished task from event-log lines in ``value``."""
-    # testing the text, not the parsed event, keeps the JSON parser off all other events
-    ends = log_lines.where(F.col("value").startswith(TASK_END_PREFIX))
-    rows = ends.select(F.from_json("value", EVENT_DDL).alias("e"))
+    # the name anywhere in the text keeps the JSON parser off most other events; the parsed field decides
+    maybe = log_lines.where(F.col("value").contains(TASK_END))
+    rows = pin(maybe, e=F.from_json("value", EVENT_DDL)).where(F.col("e.Event") == TASK_END)
     return rows.select(
         *[F.col(f"e.{path}").alias(name) for name, path in _TASK_COLUMNS.items()]
     ).withColumn("duration_ms", F.col("finish_ms") - F.col("launch_ms"))
