@@ -64,9 +64,19 @@ def test_order_keys_and_json(spark):
     assert one(spark, '{"a":null,"b":3}', lambda v: F.concat_ws("|", text.json_field(v, "a"), text.json_field(v, "b"), text.json_field(v, "c", "d"))) == "|3|d"
 
 
-def test_unsafe_markup_is_removed(spark):
-    page = '<p onclick= go>a</p>< SCRIPT x>bad()</ script ><iframe src=x>y</iframe><link rel=a /><a href=JavaScript:f()>z</a><style>s\n</style>'
-    assert one(spark, page, text.strip_unsafe_html) == "<p go>a</p><a f()>z</a>"
+@pytest.mark.parametrize("page, want", [
+    ("<p>a</p>< SCRIPT x>bad()</ script >b", "<p>a</p>b"),
+    ("a<iframe src=x>y\n</iframe>b<style>s\n</style>c", "abc"),
+    ("<p onclick= go(1) class=c>a</p>", "<p class=c>a</p>"),
+    ("<p onClick='go(\"x\")'>a</p><img\nonerror=\"b c\" src=d>", "<p>a</p><img src=d>"),
+    ("<link rel=a /><link rel=b><linked>k</linked>", "<linked>k</linked>"),
+    ("<a href=JavaScript:f()>z</a><a HREF = ' javascript:g()' id=i>y</a>", "<a>z</a><a id=i>y</a>"),
+    ("<meta content='on=1' name=contents> version=2 <b>on time</b>", "<meta content='on=1' name=contents> version=2 <b>on time</b>"),
+    ("<object data=x><embed src=a></object><frameset><frame></frameset><base target=_top>t", "t"),
+    ("", ""),
+])
+def test_unsafe_markup_is_removed(spark, page, want):
+    assert one(spark, page, text.strip_unsafe_html) == want
 
 
 # ---- grid ----
@@ -249,4 +259,5 @@ def test_sizing():
     from wayfare.session import sizing_conf
 
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert sizing_conf(1)[key] == "200" and sizing_conf(1 << 40)[key] == "4096" and sizing_conf(100 << 40)[key] == "100000"
+    assert sizing_conf(1)[key] == "200" and sizing_conf(1 << 40)[key] == "4096" and sizing_conf(100 << 40)[key] == "409600"
+    assert sizing_conf(100 << 40, 100_000)[key] == "100000"

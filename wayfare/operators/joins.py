@@ -1,35 +1,15 @@
-"""Joins that stay even when one key holds a large share of the rows."""
+"""Joins for keys that hold a large share of the rows.
+
+The ordinary equi-join is the default everywhere: adaptive execution splits its
+skewed partitions, and each input is read once. ``salted_join`` is for callers
+that know a key to be hot and run without adaptive execution.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 1000
-
-
-def hot_keys(facts: DataFrame, key: str, limit: int = MAX_HOT_KEYS) -> DataFrame:
-    """The ``limit`` most frequent keys: at most that many rows, whatever the data.
-
-    A key outside this list holds at most 1/limit of the rows.
-    """
-    counts = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.orderBy(F.col("_n").desc(), F.col(key)).limit(limit).select(key)
-
-
-def hot_split_join(facts: DataFrame, lookup: DataFrame, key: str, limit: int = MAX_HOT_KEYS) -> DataFrame:
-    """Inner join of facts to a lookup that has one row per key.
-
-    Rows of the hot keys meet a broadcast of at most ``limit`` lookup rows and
-    are never shuffled; the long tail takes an ordinary shuffled join, where no
-    key is large. The result is exactly the plain inner join.
-    """
-    hot = hot_keys(facts, key, limit)
-    hot_lookup = lookup.join(F.broadcast(hot), key, "left_semi")
-    hot_rows = facts.join(F.broadcast(hot_lookup), key)
-    tail = facts.join(F.broadcast(hot), key, "left_anti").join(lookup, key)
-    return hot_rows.unionByName(tail)
-
 
 def salted_join(facts: DataFrame, lookup: DataFrame, keys: list[str], spread_by: list[str], salts: int) -> DataFrame:
     """Inner join with the lookup repeated per salt, for a lookup much smaller than the facts.

@@ -49,5 +49,6 @@ def upsert_partial(target: DataFrame, changes: DataFrame, keys: list[str], versi
 
 
 def newest_rows(df: DataFrame, order: str, n: int) -> DataFrame:
-    """The newest n rows of a small report (a top-k, never a full sort)."""
-    return df.orderBy(F.col(order).desc()).limit(n)
+    """The newest n rows (a top-k, never a full sort); equal times are told apart by the other columns, in order."""
+    rest = [c for c in df.columns if c != order]
+    return df.orderBy(F.col(order).desc(), *[F.col(c).desc() for c in rest]).limit(n)

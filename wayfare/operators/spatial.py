@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions import geometry, hexgrid
-from wayfare.operators.joins import hot_split_join, salted_join
+from wayfare.operators.joins import salted_join
 from wayfare.operators.latest import newest_per
 from wayfare.operators.pinning import pin
 
@@ -34,13 +34,13 @@ def cells_with_min_orders(cells: DataFrame, min_orders: int) -> DataFrame:
     """Orders of the cells that hold at least ``min_orders``, with the cell's count.
 
     A threshold of one keeps every cell, yet the count column is still wanted
-    by callers, so the join is made once, with hot cells kept off the shuffle.
+    by callers.
     """
     counts = (
         cells.groupBy("cell").agg(F.count(F.lit(1)).alias("total"))
         .where(F.col("total") >= min_orders)
     )
-    return hot_split_join(cells, counts, "cell")
+    return cells.join(counts, "cell")
 
 
 def representatives(orders: DataFrame, res: int = hexgrid.STATION_RES, min_orders: int = 1) -> DataFrame:
@@ -74,50 +74,48 @@ def district_edges(districts: DataFrame) -> DataFrame:
 def district_tiles(districts: DataFrame, tile: float = TILE_DEGREES) -> DataFrame:
     """Square tiles each district touches, with only the edges that matter there.
 
-    A tile no edge comes near lies wholly inside or wholly outside: inside ones
-    are marked ``whole`` and need no test per point, outside ones are dropped.
-    In the others, a ray going east from a point can neither cross nor touch
-    edges above, below or wholly west of the tile, so those are left out.
+    Edges come first: each goes to the rows of tiles it meets and names the tiles
+    it meets there. Per district and row, those tiles carry the row's edges that a
+    ray going east from them can cross or touch; a run of tiles between them
+    meets no edge, so one point of it tells whether all are ``whole``, inside the
+    district, and need no test per point. The work follows the length of the
+    outline and the tiles inside, and is spread over the rows. A district that is
+    given twice counts once.
     """
-    # rings are closed, so the start points of the edges are all the corners
-    xs, ys = F.transform("edges", lambda e: e["x1"]), F.transform("edges", lambda e: e["y1"])
-
-    def tile_of(value):
-        return F.floor(value / F.lit(tile))
-
-    boxes = district_edges(districts).select(
-        "*",
-        tile_of(F.array_min(xs)).alias("tx0"),
-        tile_of(F.array_max(xs)).alias("tx1"),
-        tile_of(F.array_min(ys)).alias("ty0"),
-        tile_of(F.array_max(ys)).alias("ty1"),
+    # a hair of slack on the tile sides, so that rounding of tile * index loses no edge
+    slack, side = F.lit(1e-9), F.lit(tile)
+    named = pin(district_edges(districts), did=F.xxhash64("citycode", "name", F.to_json("edges")))
+    edges = named.select("did", "citycode", "name", F.explode("edges").alias("e")).distinct()
+    low, high = F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2")
+    rowed = edges.withColumn("ty", F.explode(F.sequence(F.floor((low - slack) / side), F.floor((high + slack) / side))))
+    south, north = F.col("ty") * side - slack, (F.col("ty") + 1) * side + slack
+
+    def x_at(y):
+        share = (y - F.col("e.y1")) / (F.col("e.y2") - F.col("e.y1"))
+        return F.col("e.x1") + share * (F.col("e.x2") - F.col("e.x1"))
+
+    level = high - low <= slack
+    a = F.when(level, F.col("e.x1")).otherwise(x_at(F.greatest(low, south)))
+    b = F.when(level, F.col("e.x2")).otherwise(x_at(F.least(high, north)))
+    met = F.sequence(F.floor((F.least(a, b) - slack) / side), F.floor((F.greatest(a, b) + slack) / side))
+    rows = rowed.withColumn("met", met).groupBy("did", "citycode", "name", "ty").agg(
+        F.collect_list("e").alias("edges"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("met")))).alias("xs")
     )
-    tiles = boxes.withColumn("tx", F.explode(F.sequence("tx0", "tx1"))).withColumn(
-        "ty", F.explode(F.sequence("ty0", "ty1"))
+    near = rows.select("citycode", "name", "ty", "edges", F.explode("xs").alias("tx")).select(
+        "tx", "ty", "citycode", "name", F.lit(False).alias("whole"),
+        F.filter("edges", lambda e: F.greatest(e["x1"], e["x2"]) >= F.col("tx") * side - slack).alias("edges"),
     )
-    # a hair of slack on the tile sides, so that rounding of tile * index loses no edge
-    slack = F.lit(1e-9)
-    west, east = F.col("tx") * F.lit(tile) - slack, (F.col("tx") + 1) * F.lit(tile) + slack
-    south, north = F.col("ty") * F.lit(tile) - slack, (F.col("ty") + 1) * F.lit(tile) + slack
-
-    def level(e):
-        return (F.greatest(e["y1"], e["y2"]) >= south) & (F.least(e["y1"], e["y2"]) <= north)
-
-    def ahead(e):
-        return F.greatest(e["x1"], e["x2"]) >= west
-
-    near = F.exists(
-        "edges",
-        lambda e: level(e) & ahead(e) & (F.least(e["x1"], e["x2"]) <= east)
-        & geometry.meets_box(e, west, south, east, north),
+    between = F.filter(
+        F.transform("xs", lambda x, i: F.struct((x + 1).alias("a"), (F.get("xs", i + 1) - 1).alias("b"))),
+        lambda g: g["b"].isNotNull() & (g["a"] <= g["b"]),
     )
-    local = F.filter("edges", lambda e: level(e) & ahead(e))
-    middle = geometry.inside(F.col("edges"), (west + east) / F.lit(2.0), (south + north) / F.lit(2.0))
-    sorted_out = pin(tiles, near=near)
-    sorted_out = pin(sorted_out, whole=~F.col("near") & middle, local=F.when(F.col("near"), local))
-    return sorted_out.where(F.col("whole") | (F.size("local") > 0)).select(
-        "tx", "ty", "citycode", "name", "whole", F.col("local").alias("edges")
+    gaps = rows.select("citycode", "name", "ty", "edges", F.explode(between).alias("gap"))
+    middle = geometry.inside(F.col("edges"), (F.col("gap.a") + 0.5) * side, (F.col("ty") + 0.5) * side)
+    whole = gaps.where(middle).select(
+        F.explode(F.sequence("gap.a", "gap.b")).alias("tx"), "ty", "citycode", "name", F.lit(True).alias("whole"),
+        F.lit(None).cast(near.schema["edges"].dataType).alias("edges"),
     )
+    return near.unionByName(whole)
 
 
 def match_districts(

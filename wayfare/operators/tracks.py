@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfare.functions import text as txt
-from wayfare.operators.joins import hot_split_join
 
 
 def positions(points: DataFrame) -> DataFrame:
@@ -122,7 +121,7 @@ def daily_order_counts(hourly: DataFrame) -> DataFrame:
 def track_of_trips(points: DataFrame, trips: DataFrame, inclusive: bool = True) -> DataFrame:
     """Points within the times of their trip; ``inclusive=False`` drops the first instant."""
     times_of = trips.select("order_id", "start_time", "end_time")
-    joined = hot_split_join(positions(points), times_of, "order_id")
+    joined = positions(points).join(times_of, "order_id")
     after_start = F.col("ts") >= F.col("start_time") if inclusive else F.col("ts") > F.col("start_time")
     return joined.where(after_start & (F.col("ts") <= F.col("end_time"))).select(
         "order_id", "driver_id", "ts", "lng", "lat"

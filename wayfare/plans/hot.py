@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions import hexgrid
-from wayfare.operators.joins import hot_split_join
 from wayfare.operators.periods import as_date, filter_since, on_day
 from wayfare.operators.spatial import latest_per_cell, with_cell
 
@@ -78,7 +77,7 @@ def hot_detail(orders: DataFrame, res: int = hexgrid.HOT_RES) -> DataFrame:
         F.lit(1).alias("count"),
     )
     totals = items.groupBy("city_code").agg(F.sum("count").alias("city_num"))
-    return hot_split_join(items, totals, "city_code").select(
+    return items.join(totals, "city_code").select(
         "city_code", "city_num", "coordinate", "radius", "count"
     )
 

@@ -27,14 +27,17 @@ CLUSTER_CONF = {
 TARGET_PARTITION_BYTES = 256 << 20
 
 
-def sizing_conf(input_bytes: int) -> dict[str, str]:
+def sizing_conf(input_bytes: int, max_partitions: int | None = None) -> dict[str, str]:
     """Shuffle settings for a job that reads so many bytes.
 
     Shuffles start with one partition per 256 MB of input, so that each fits in
-    executor memory, and AQE merges the ones that turn out small. 100 TB start
-    with about 400,000 partitions, which is capped for the driver's sake.
+    executor memory, and AQE merges the ones that turn out small; 100 TB start
+    with about 400,000 partitions. ``max_partitions`` bounds their number for a
+    small driver, at the price of larger ones.
     """
-    wanted = min(100_000, max(200, -(-input_bytes // TARGET_PARTITION_BYTES)))
+    wanted = max(200, -(-input_bytes // TARGET_PARTITION_BYTES))
+    if max_partitions:
+        wanted = min(wanted, max_partitions)
     return {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(wanted),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
