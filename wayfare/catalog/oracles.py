@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from wayfare.catalog import views as v
 from wayfare.functions.hexgrid import Grid
-from wayfare.functions.text import UNSAFE_MARKUP
 from wayfare.sources.schema import ORDER_LINE
 from wayfare.streaming.lines import HEADER_TOKEN
 
@@ -556,9 +555,25 @@ select s_suppkey, concat('s_suppkey=', s_suppkey, ';s_name=', s_name, ';s_nation
 A["fn_order_key"] = """
 select c_custkey, case when c_mktsegment = 'BUILDING' then c_name else concat('075_', md5(c_name)) end as order_key,
        case when c_mktsegment = 'BUILDING' then c_name else md5(c_name) end as bare_id from customer"""
-_html = "html"
-for _pattern in UNSAFE_MARKUP:
-    _html = f"regexp_replace({_html}, '{_pattern}', '', 'gi')"
+# the patterns in RE2's own words, removed in this order
+_MARKUP = (
+    r"(?is)<\s*script\b[^>]*>.*?<\s*/\s*script\s*>", r"(?is)<\s*style\b[^>]*>.*?<\s*/\s*style\s*>",
+    r"(?is)<\s*iframe\b[^>]*>.*?<\s*/\s*iframe\s*>", r"(?is)<\s*frameset\b[^>]*>.*?<\s*/\s*frameset\s*>",
+    r"(?is)<\s*object\b[^>]*>.*?<\s*/\s*object\s*>", r"(?i)<\s*link\b[^>]*>", r"(?i)<\s*embed\b[^>]*>", r"(?i)<\s*base\b[^>]*>",
+    r"""(?i)\son[a-z]+\s*=\s*(?:"[^"]*"|''[^'']*''|[^\s>]*)""",
+    r"""(?i)\s(?:href|src|action)\s*=\s*(?:"\s*javascript:[^"]*"|''\s*javascript:[^'']*''|javascript:[^\s>]*)""",
+)
+_html = """concat(html, case page_id % 8
+  when 0 then concat('<a onclick="go(1)" href="', url, '">x</a>')
+  when 1 then concat('<IFRAME src=''', url, '''>', chr(10), 'frame</ iframe >tail')
+  when 2 then concat('<link rel=x href="', url, '"><linked>kept</linked>')
+  when 3 then concat('<meta content="on=1" name=contents> one=2 ', url)
+  when 4 then concat('<a class=b HREF = " javascript:run()">', url, '</a><a href=javascript:x()>y</a>')
+  when 5 then concat('<object data=''', url, '''><embed src=a></object><img onerror = bad() src=b>')
+  when 6 then concat('<frameset><frame></frameset><base target=_top>', url)
+  else url end)"""
+for _pattern in _MARKUP:
+    _html = f"regexp_replace({_html}, '{_pattern}', '', 'g')"
 A["html_filter"] = f"select page_id, {_html} as html from pages"
 
 # ---- grid and polygons ----
@@ -605,7 +620,16 @@ _IMAGE = f"""{sec('o_orderdate')} as create_time, cast(cast(o_totalprice as deci
 _ID = "cast(o_custkey as varchar)"
 A["cdc_apply"] = sql(f"""
 select {salted(_ID)} as rowkey, {_ID} as id, op as operator_type, {_IMAGE}, '' as driver_id from newest_order""", "newest_order")
-A["stream_cdc_apply"] = sql(f"select {_ID} as id, op, {_IMAGE} from newest_order", "newest_order")
+A["stream_cdc_apply"] = sql(f"select {salted(_ID)} as rowkey, {_ID} as id, op, {_IMAGE} from newest_order", "newest_order")
+A["stream_cdc_compact"] = A["stream_cdc_apply"]
+A["cdc_quarantine"] = """
+select 'none' as reason, (select count(*) from orders) + (select count(*) from events) + (select count(*) from customer)
+       + (select count(*) from supplier) as n_messages
+union all select 'unknown_table', count(*) from part
+union all select 'not_json', (select count(*) from nation) + (select count(*) from region)
+union all select 'no_table', count(*) from nation
+union all select 'no_id', (select count(*) from nation) + (select count(*) from region)
+union all select 'no_data', count(*) from region"""
 A["cdc_apply_renter"] = f"""
 select {salted('cast(user_id as varchar)')} as rowkey, cast(user_id as varchar) as id, 'update' as operator_type, '' as create_time,
        '' as last_login_city, {sec('ts')} as last_logon_time, event_type as city_name from events
@@ -743,3 +767,23 @@ A["metrics_ratios"] = sql("select snapshot_ms, " + ", ".join(
     + [ratio(p, _BATCH) for p in ("running_batches", "waiting_batches", "completed_batches")]
     + [ratio(p, _MEM) for p in ("mem_used_mb", "remaining_mem_mb", "max_mem_mb")]
 ) + " from gauge", "gauge")
+
+# ---- entries that write and read back, and streams ----
+A["scan_driver"] = sql(f"""
+select id, {sec('create_time')} as create_time, register_city, driver_name, cast(null as varchar) as mobile,
+       cast(null as varchar) as driver_type, cast(null as integer) as cancel_count, cast(null as varchar) as driver_management_id
+from fx_driver""", "fx_driver")
+A["scan_renter"] = sql(f"""
+select id, {sec('create_time')} as create_time, last_login_city, {sec('last_logon_time')} as last_logon_time,
+       cast(null as varchar) as city_name from fx_renter""", "fx_renter")
+A["track_history_order"] = sql(f"select * from ({_TRACK.replace('@', '>=')}) where order_id = '0_2024-01-01'", "trip")
+A["stream_hourly_first"] = sql("select count(distinct order_id) as n_orders from fx_gps where not is_end", "fx_gps")
+A["stream_routed_ingest"] = A["stream_fanout"] + " union all select 'quarantine', 0"
+A["stream_progress"] = """
+select 'progress' as query_name, count(*) as n_rows, count(*) as n_source_rows, 1 as n_batches from events"""
+A["write_stations"] = A["report_virtual_stations"]
+A["report_upsert"] = sql("""
+select driver_id, n_orders, day from (
+  select driver_id, cast(cast(create_time as date) as varchar) as day, count(*) as n_orders from fx_order
+  where cast(create_time as date) in (date '1998-07-14', date '1998-07-15') group by 1, 2)
+qualify row_number() over (partition by driver_id order by day desc) = 1""", "fx_order")

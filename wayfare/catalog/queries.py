@@ -12,7 +12,7 @@ from wayfare.catalog import views as v
 from wayfare.functions import geometry, hexgrid, keys, sqlfunctions, text, times
 from wayfare.operators import joins, latest, periods, spatial, tracks
 from wayfare.operators.counting import count_where, distinct_where
-from wayfare.plans import hot, reports, serving, stations
+from wayfare.plans import batch, hot, reports, serving, stations
 from wayfare.session import scratch_path
 from wayfare.sources import districts as district_source
 from wayfare.sources import readers, schema, sinks
@@ -22,6 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 DAY, DRIVER_DAY, RENTER_DAY = v.ORDERS_AS_OF, v.DRIVERS_AS_OF, v.RENTERS_AS_OF
+TRACK_KEY = "075_0_2024-01-01"
 PAIRS = {
     "month": ("2024-01-01", RENTER_DAY), "week": ("2024-01-23", RENTER_DAY), "day": ("2024-01-29", RENTER_DAY),
 }
@@ -54,6 +55,19 @@ def scan_entity(spark, d):
     })
 
 
+@query
+def scan_driver(spark, d):
+    raw = schema.null_as_empty(v.raw_like(v.drivers(spark, d), "driver"))
+    return readers.scan_entity(raw, "driver").withColumn("create_time", F.date_format("create_time", times.SECOND_FORMAT))
+
+
+@query
+def scan_renter(spark, d):
+    raw = schema.null_as_empty(v.raw_like(v.renters(spark, d), "renter"))
+    typed = readers.scan_entity(raw, "renter")
+    return typed.withColumns({c: F.date_format(c, times.SECOND_FORMAT) for c in ("create_time", "last_logon_time")})
+
+
 @query
 def scan_family_columns(spark, d):
     customer = v.table(spark, d, "customer")
@@ -116,7 +130,7 @@ def district_geojson(spark, d):
 def report_write(spark, d):
     path = scratch_path(spark, "report")
     sinks.write_report(reports.completion_by_city(v.orders(spark, d), DAY), path, "city_name")
-    return spark.read.parquet(path)
+    return sinks.read_report(spark, path)
 
 
 def _balance_changes(spark, d):
@@ -251,6 +265,14 @@ def track_history(spark, d):
     return track.select("order_id", "driver_id", _micros("ts"), "lng", "lat")
 
 
+@query
+def track_history_order(spark, d):
+    """One order's track: its key reaches the scan of the points on both sides."""
+    points = v.points(spark, d)
+    track = tracks.track_history(points, tracks.trip_state(points), TRACK_KEY)
+    return track.select("order_id", "driver_id", _micros("ts"), "lng", "lat")
+
+
 # ---- joins ----
 
 def _period_counts(df: DataFrame, key: str, as_of: str, name: str, column: str) -> DataFrame:
@@ -359,7 +381,7 @@ def join_track_trip(spark, d):
 def join_hot_split(spark, d):
     facts = v.table(spark, d, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber")
     lookup = v.table(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
-    return joins.hot_split_join(facts, lookup, "l_suppkey", 7)
+    return joins.salted_join(facts, lookup, ["l_suppkey"], ["l_orderkey", "l_linenumber"], 7)
 
 
 # ---- aggregations ----
@@ -627,7 +649,7 @@ def fn_order_key(spark, d):
 
 @query
 def html_filter(spark, d):
-    return v.table(spark, d, "pages").select("page_id", text.strip_unsafe_html(F.col("html")).alias("html"))
+    return v.marked_pages(spark, d).select("page_id", text.strip_unsafe_html(F.col("html")).alias("html"))
 
 
 # ---- grid and polygons ----
@@ -740,7 +762,7 @@ def _live_points(spark, d) -> DataFrame:
 def _run_state(spark, state: DataFrame, label: str, order: list[str]) -> DataFrame:
     path = scratch_path(spark, label)
     jobs.wait(jobs.start_state(state, f"{path}/out", f"{path}/checkpoint", label, interval=None))
-    return sinks.read_current(spark, f"{path}/out", order, ["batch_id"])
+    return sinks.read_current(spark, f"{path}/out", order)
 
 
 @query
@@ -772,19 +794,62 @@ def stream_cdc_apply(spark, d):
     messages = v.order_changes_of(v.table_stream(spark, d, "orders"))
     jobs.wait(jobs.start_cdc(messages, f"{path}/out", f"{path}/checkpoint", None))
     current = sinks.read_current(spark, f"{path}/out/{cdc.ORDER_TABLE}", ["id"], ["ts", "offset"])
-    return current.select("id", "op", *v.FILLED_ORDER_CELLS)
+    return current.select("rowkey", "id", "op", *v.FILLED_ORDER_CELLS)
+
+
+@query
+def stream_cdc_compact(spark, d):
+    """Compacts, then starts a stream anew on other changes: no key of the first run is lost."""
+    path, changes = scratch_path(spark, "cdc-compact"), {}
+    for part, op in (("first", "o_orderkey % 2 = 0"), ("second", "o_orderkey % 2 = 1")):
+        changes[part] = f"{path}/in-{part}"
+        v.table(spark, d, "orders").where(op).write.parquet(changes[part])
+    for part, folder in changes.items():
+        messages = v.order_changes_of(readers.stream_files(spark, folder, v.table(spark, d, "orders").schema))
+        jobs.wait(jobs.start_cdc(messages, f"{path}/out", f"{path}/checkpoint-{part}", None))
+        sinks.compact(spark, f"{path}/out/{cdc.ORDER_TABLE}", ["id"], ["ts", "offset"])
+    current = sinks.read_current(spark, f"{path}/out/{cdc.ORDER_TABLE}", ["id"], ["ts", "offset"])
+    return current.select("rowkey", "id", "op", *v.FILLED_ORDER_CELLS)
+
+
+@query
+def stream_hourly_first(spark, d):
+    """Orders per hour of the point processed first; the whole table is one batch, so any of its hours may count."""
+    path = scratch_path(spark, "hourly-first")
+    counts = jobs.hourly_first_processed(_live_points(spark, d))
+    jobs.wait(jobs.start_state(counts, f"{path}/out", f"{path}/checkpoint", "hourly_first", mode="complete", interval=None))
+    newest = sinks.read_current(spark, f"{path}/out", ["hour"])
+    return newest.agg(F.sum("order_count").alias("n_orders"))
+
+
+@query
+def stream_routed_ingest(spark, d):
+    """One query that routes all lines; nothing is lost: rows, markers and reasons add up to the lines."""
+    path = scratch_path(spark, "routed")
+    jobs.wait(jobs.start_routed_ingest(v.records_stream(spark, d), f"{path}/out", f"{path}/checkpoint", None))
+    return readers.source_counts({n: sinks.read_changes(spark, f"{path}/out/{n}") for n in ("gps", "orders", "quarantine")})
 
 
 @query
 def stream_progress(spark, d):
     path = scratch_path(spark, "progress")
-    started = jobs.append_stream(
-        v.gps_lines_of(v.table_stream(spark, d, "events")).select("value"),
-        f"{path}/out", f"{path}/checkpoint", "progress", None,
+    recorder = metrics.ProgressRecorder(spark, f"{path}/events")
+    spark.streams.addListener(recorder)
+    try:
+        started = jobs.append_stream(
+            v.gps_lines_of(v.table_stream(spark, d, "events")).select("value"),
+            f"{path}/out", f"{path}/checkpoint", "progress", None,
+        )
+        jobs.wait(started)
+        recorder.wait_for(started)
+    finally:
+        spark.streams.removeListener(recorder)
+    own = recorder.events().where((F.col("event") == "progress") & (F.col("query_id") == str(started.id)))
+    flagged = metrics.progress_flags(metrics.flatten_progress(own))
+    return flagged.groupBy("query_name").agg(
+        F.sum("num_input_rows").alias("n_rows"), F.sum("source_rows").alias("n_source_rows"),
+        F.count_if(F.col("num_input_rows") > 0).alias("n_batches"),
     )
-    jobs.wait(started)
-    flagged = metrics.progress_flags(metrics.recent_progress(spark, started))
-    return flagged.select("query_name", "batch_id", "num_input_rows", "total_duration_ms", "is_blocked")
 
 
 @query
@@ -852,6 +917,13 @@ def cdc_delete_modes(spark, d):
     return reduce(DataFrame.unionByName, frames)
 
 
+@query
+def cdc_quarantine(spark, d):
+    marked = cdc.with_reason(v.changes(spark, d).unionByName(v.broken_changes(spark, d)))
+    good, bad = cdc.split(marked)
+    return bad.select("reason").unionByName(good.select(F.lit("none").alias("reason"))).groupBy("reason").agg(F.count(F.lit(1)).alias("n_messages"))
+
+
 # ---- reports ----
 
 def _money(df: DataFrame, *names: str) -> DataFrame:
@@ -879,6 +951,39 @@ for _name, _build in REPORTS.items():
     QUERIES[f"serve_{_name}"] = lambda s, d, n=_name, b=_build: serving.serve(b(s, d), n)
 
 
+@query
+def batch_run_all(spark, d):
+    """The whole batch, written as tables: name and row count of every report."""
+    sources = {
+        "order": v.orders(spark, d), "renter": v.renters(spark, d), "driver": v.drivers(spark, d),
+        "station_order": v.station_orders(spark, d), "district": v.districts(spark, d),
+    }
+    path = scratch_path(spark, "batch")
+    errors = batch.write_all(batch.run_all(sources, DAY), path)
+    failed = {name: error for name, error in errors.items() if error}
+    if failed:
+        raise RuntimeError(failed)
+    return readers.source_counts({name: sinks.read_report(spark, f"{path}/{name}") for name in errors})
+
+
+@query
+def report_upsert(spark, d):
+    """Two days' orders into one table keyed by driver: keys of the first day stay, common ones are of the second."""
+    path, orders = scratch_path(spark, "upsert"), v.orders(spark, d)
+    for day in ("1998-07-14", DAY):
+        of_day = orders.where(F.to_date("create_time") == F.lit(day).cast("date"))
+        counted = of_day.groupBy("driver_id").agg(F.count(F.lit(1)).alias("n_orders")).withColumn("day", F.lit(day))
+        sinks.upsert_report(counted, path, ["driver_id"], ["day"])
+    return sinks.read_report(spark, path)
+
+
+@query
+def write_stations(spark, d):
+    path = scratch_path(spark, "stations")
+    sinks.write_report(report_virtual_stations(spark, d), path, "order_id")
+    return sinks.read_report(spark, path)
+
+
 @query
 def report_hot_change(spark, d):
     return hot.hot_change(v.orders(spark, d), DAY)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from wayfare.operators.pinning import pin
 from wayfare.sources.readers import stream_files
-from wayfare.sources.schema import CDC_ORDER, ORDER_LINE
+from wayfare.sources.schema import CDC_ORDER, ENTITIES, ORDER_LINE
 from wayfare.streaming.jobs import GPS_TOPIC, ORDER_TOPIC
 from wayfare.streaming.lines import HEADER_TOKEN
 
@@ -91,6 +91,27 @@ def drivers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def raw_like(df: DataFrame, entity: str) -> DataFrame:
+    """A frame with all columns of an entity; those it lacks are NULL."""
+    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in ENTITIES[entity].items()])
+
+
+def marked_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages with unsafe and harmless markup around their addresses, by page number."""
+    url, n = F.col("url"), F.col("page_id") % 8
+    extra = (
+        F.when(n == 0, F.concat(F.lit('<a onclick="go(1)" href="'), url, F.lit('">x</a>')))
+        .when(n == 1, F.concat(F.lit("<IFRAME src='"), url, F.lit("'>\nframe</ iframe >tail")))
+        .when(n == 2, F.concat(F.lit('<link rel=x href="'), url, F.lit('"><linked>kept</linked>')))
+        .when(n == 3, F.concat(F.lit('<meta content="on=1" name=contents> one=2 '), url))
+        .when(n == 4, F.concat(F.lit('<a class=b HREF = " javascript:run()">'), url, F.lit("</a><a href=javascript:x()>y</a>")))
+        .when(n == 5, F.concat(F.lit("<object data='"), url, F.lit("'><embed src=a></object><img onerror = bad() src=b>")))
+        .when(n == 6, F.concat(F.lit("<frameset><frame></frameset><base target=_top>"), url))
+        .otherwise(url)
+    )
+    return table(spark, folder, "pages").select("page_id", F.concat("html", extra).alias("html"))
+
+
 # ---- districts: one diamond per nation, with a square hole for even keys ----
 
 def _degrees(ticks: str) -> str:
@@ -302,6 +323,24 @@ def changes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def broken_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages that cannot be applied: plain text, no table, no data, no id, an empty id."""
+    data = F.struct(F.col("n_name").alias("driver_name"))
+    nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
+    texts = [
+        nation.select(F.col("n_name").alias("value"), _text("n_nationkey").alias("offset")),
+        nation.select(F.to_json(F.struct(F.lit("insert").alias("type"), data.alias("data"))), _text("n_nationkey")),
+        nation.select(F.to_json(F.struct(F.lit("driver_info").alias("table"), data.alias("data"))), _text("n_nationkey")),
+        region.select(F.to_json(F.struct(F.lit("renter_info").alias("table"), F.struct(F.lit("").alias("id_")).alias("data"))), _text("r_regionkey")),
+        region.select(F.to_json(F.struct(F.lit("renter_info").alias("table"))), _text("r_regionkey")),
+        region.select(F.lit(None).cast("string"), _text("r_regionkey")),
+    ]
+    out = texts[0]
+    for t in texts[1:]:
+        out = out.union(t)
+    return out.withColumn("offset", F.col("offset").cast("bigint"))
+
+
 FILLED_ORDER_CELLS = [c for c in CDC_ORDER if c in ("create_time", "pay_all", "city_name", "state", "order_type")]
 
 

@@ -8,14 +8,26 @@ from pyspark.sql import functions as F
 CITY_PREFIX = "075"
 ZERO_RATE = "0.0%"
 
-# Unsafe markup, removed in this order, case-insensitively.
-UNSAFE_MARKUP = (
-    r"<\s*(script|style)[^>]*>[\s\S]*?<\s*/\s*(script|style)\s*>",
-    r"on[^\s]+=\s*",
-    r"href=javascript:",
-    r"<\s*(iframe|frameset)[^>]*>[\s\S]*?<\s*/\s*(iframe|frameset)\s*>",
-    r"<\s*link[^>]*/>",
-)
+#: Elements removed with all they hold, and tags that stand alone.
+UNSAFE_ELEMENTS = ("script", "style", "iframe", "frameset", "object")
+UNSAFE_TAGS = ("link", "embed", "base")
+#: Attributes that may hold a script address.
+ADDRESS_ATTRIBUTES = ("href", "src", "action")
+
+
+def unsafe_patterns() -> list[str]:
+    """Patterns of what runs or loads foreign code, in the order of removal.
+
+    Names end at a word boundary and attributes begin after white space, so
+    ``content=`` is no event handler and ``<linked>`` no link.
+    """
+    elements = [rf"(?is)<\s*{tag}\b[^>]*>.*?<\s*/\s*{tag}\s*>" for tag in UNSAFE_ELEMENTS]
+    tags = [rf"(?i)<\s*{tag}\b[^>]*>" for tag in UNSAFE_TAGS]
+    value = r"""(?:"[^"]*"|'[^']*'|[^\s>]*)"""
+    handler = rf"(?i)\son[a-z]+\s*=\s*{value}"
+    script = r"""(?:"\s*javascript:[^"]*"|'\s*javascript:[^']*'|javascript:[^\s>]*)"""
+    address = rf"(?i)\s(?:{'|'.join(ADDRESS_ATTRIBUTES)})\s*=\s*{script}"
+    return [*elements, *tags, handler, address]
 
 
 def percent_rounded(part: Column, whole: Column) -> Column:
@@ -61,8 +73,8 @@ def bare_order_id(key: Column, prefix: str = CITY_PREFIX) -> Column:
 
 
 def strip_unsafe_html(html: Column) -> Column:
-    for pattern in UNSAFE_MARKUP:
-        html = F.regexp_replace(html, f"(?i){pattern}", "")
+    for pattern in unsafe_patterns():
+        html = F.regexp_replace(html, pattern, "")
     return html
 
 
