@@ -787,3 +787,16 @@ select driver_id, n_orders, day from (
   select driver_id, cast(cast(create_time as date) as varchar) as day, count(*) as n_orders from fx_order
   where cast(create_time as date) in (date '1998-07-14', date '1998-07-15') group by 1, 2)
 qualify row_number() over (partition by driver_id order by day desc) = 1""", "fx_order")
+
+# rows of every report of the batch, whose date is that of the orders
+_BATCH_ROWS = {name: A[f"report_{name}"] for name in (
+    "completion_city", "completion_driver", "region_orders", "platform_totals", "income", "hot_cells", "new_users", "active_users",
+    "retention", "virtual_stations",
+)}
+_BATCH_ROWS["driver_registrations"] = sql(
+    f"select register_city from fx_driver group by 1 having count(*) filter (where {year('create_time', O)}) > 0", "fx_driver")
+_BATCH_ROWS["hot_points"] = A["report_hot_points"].replace("2000-01-01", O)
+_BATCH_ROWS["region_users"] = A["report_region_users"].replace(R, O)
+A["batch_run_all"] = " union all ".join(
+    f"select '{name}' as source, count(*) as n_rows from ({body})" for name, body in _BATCH_ROWS.items()
+)
