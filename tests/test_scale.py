@@ -48,6 +48,10 @@ def test_joins_read_their_facts_twice_at_most(spark, data, name, table):
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_activity_needs_no_sort(spark, data):
+    assert "SortAggregate" not in plan_of(QUERIES["active_orders"](spark, data))
+
+
 def test_one_track_filters_both_sides(spark, data):
     plan = plan_of(QUERIES["track_history_order"](spark, data))
     assert plan.count("= 0_2024-01-01") >= 2

@@ -37,14 +37,17 @@ def trip_state(points: DataFrame, city_code: str = txt.CITY_PREFIX) -> DataFrame
 
 
 def order_activity(points: DataFrame) -> DataFrame:
-    """Newest event, number of points and whether the order is still running."""
+    """Newest event, number of points and whether the order is still running.
+
+    At equal times an end counts as the later event. Only fixed-width values are
+    aggregated, so partial results stay in a hash table.
+    """
     state = points.groupBy("order_id").agg(
-        F.max(F.struct("ts", "is_end")).alias("last"), F.count_if(~F.col("is_end")).alias("n_points")
-    )
-    return state.select(
-        "order_id", F.col("last.ts").alias("last_ts"), "n_points",
-        (~F.col("last.is_end") & (F.col("n_points") > 0)).alias("is_active"),
+        F.max("ts").alias("last_ts"), F.max(F.when(F.col("is_end"), F.col("ts"))).alias("last_end"),
+        F.count_if(~F.col("is_end")).alias("n_points"),
     )
+    running = F.coalesce(F.col("last_end") < F.col("last_ts"), F.lit(True)) & (F.col("n_points") > 0)
+    return state.select("order_id", "last_ts", "n_points", running.alias("is_active"))
 
 
 def active_orders(points: DataFrame, city_code: str = txt.CITY_PREFIX) -> DataFrame:
