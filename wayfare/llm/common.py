@@ -77,4 +77,14 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return out
 
 
+def packed_numbers(values: np.ndarray, width: int) -> bytes:
+    """Non-negative numbers of ``width`` bytes, byte planes apart: planes of zeros nearly vanish when a shuffle is compressed."""
+    return np.ascontiguousarray(values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes()
+
+
+def unpacked_numbers(data: bytes, width: int, count: int, at: int = 0) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8, width * count, at).reshape(width, count)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel()
+
+
 Query = Callable[[SparkSession, str], DataFrame]

@@ -19,7 +19,7 @@ documents. The job has four steps:
 A string that fills a third of the table is thus sent once per shard. Null texts
 are empty; texts shorter than a window stay whole. Rows with the same doc_id do
 not affect each other, and null doc_ids count as larger than all others; a row is
-known by a 64-bit digest of doc_id and text. Texts
+known by its doc_id and 32 bits of a digest of its text. Texts
 are cut to overlapping pieces, so that one of any length fits. All columns of the
 input are kept; an empty table gives an empty result.
 """
@@ -35,17 +35,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.llm.common import mixed, text_bytes
+from wayfare.llm.common import mixed, packed_numbers, text_bytes, unpacked_numbers
 from wayfare.llm.suffix_arrays import byte_words, common_prefixes, suffix_array
 
 WINDOW = 50
-GRAM = 16
+GRAM = 20
 BITMAP_BITS = 27
 SHARD_BYTES = 2 << 20
 PIECE_BYTES = 1 << 20
 NAMES_PER_FLUSH = 2_000_000
-#: Bytes of text, or of what is sent for it, per part of the shuffles.
-PART_BYTES = 8 << 20
+#: Bytes of text per part of the shuffle of names, and of the later ones.
+NAME_PART_BYTES = 8 << 20
+PART_BYTES = 2 << 20
 NO_ID = np.iinfo(np.int64).max
 NO_BYTES = np.zeros(0, np.uint8)
 ODD = [np.uint64(x) for x in (
@@ -57,7 +58,7 @@ def names(text: np.ndarray, window: int) -> np.ndarray:
     """The name of the window at each start: the smallest digest of its grams."""
     words = byte_words(text, "<u8")
     count = len(text) - GRAM + 1
-    least = mixed(words[:count] * ODD[0] + words[8 : 8 + count] * ODD[1])
+    least = mixed(words[:count] * ODD[0] + words[8 : 8 + count] * ODD[1] + words[GRAM - 8 : GRAM - 8 + count] * ODD[2])
     want, have = window - GRAM + 1, 1
     while 2 * have <= want:
         least = np.minimum(least[:-have], least[have:])
@@ -74,7 +75,7 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[tuple[int, int], int, np.ndarray]]:
-    """(doc_id, row digest), offset and bytes of overlapping pieces; every window is in exactly one."""
+    """(doc_id, text digest), offset and bytes of overlapping pieces; every window is in exactly one."""
     for batch in batches:
         for doc_id, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
             data = np.frombuffer(text.as_buffer(), np.uint8) if len(text.as_buffer()) else NO_BYTES
@@ -91,17 +92,16 @@ def by_part(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def namer(window: int, bits: int):
-    """Step 1, for mapInArrow: names by part of their range; one that two documents of a block use is sent twice."""
+    """Step 1, for mapInArrow: names, cut to 32 bits in parts of their range; one that two documents of a block use is sent twice."""
 
     def flush(held: list[np.ndarray]) -> pa.RecordBatch:
         found, counts = np.unique(np.concatenate(held), return_counts=True)
         found = np.repeat(found, np.minimum(counts, 2))
         part = (found >> np.uint64(64 - bits)).astype(np.int64)
+        inside = ((found << np.uint64(bits)) >> np.uint64(32)).astype(np.int64)
         starts, ends = runs(part)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(part[starts], pa.int32()), pa.array([found[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())],
-            names=["part", "names"],
-        )
+        blobs = [packed_numbers(np.diff(inside[a:b], prepend=0), 4) for a, b in zip(starts, ends)]
+        return pa.RecordBatch.from_arrays([pa.array(part[starts], pa.int32()), pa.array(blobs, pa.binary())], names=["part", "names"])
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = [], 0
@@ -120,16 +120,16 @@ def namer(window: int, bits: int):
 
 
 def marker(bits: int):
-    """For applyInArrow by part: the part's slice of the bitmap of names used twice."""
+    """For applyInArrow by part: the part's slice of the bitmap, with the places of names that were sent twice."""
 
     def mark(group: pa.Table) -> pa.Table:
-        found = np.sort(np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("names")]))
+        sent_names = (unpacked_numbers(x, 4, len(x) // 4) for x in map(pa.BinaryScalar.as_py, group.column("names")))
+        found = np.sort(np.concatenate([np.cumsum(x, dtype=np.int64) for x in sent_names]))
         twice = found[1:][found[1:] == found[:-1]]
-        part = group.column("part")[0].as_py()
-        place = (twice >> np.uint64(64 - BITMAP_BITS)).astype(np.int64) - (part << (BITMAP_BITS - bits))
         slots = np.zeros(1 << (BITMAP_BITS - bits), np.uint8)
-        slots[place] = 1
-        return pa.table({"part": pa.array([part], pa.int32()), "slots": pa.array([np.packbits(slots, bitorder="little").tobytes()], pa.binary())})
+        slots[twice >> (32 - BITMAP_BITS + bits)] = 1
+        part = group.column("part")[0].as_py()
+        return pa.table({"part": pa.array([part], pa.int32()), "bits": pa.array([np.packbits(slots, bitorder="little").tobytes()], pa.binary())})
 
     return mark
 
@@ -198,12 +198,27 @@ def sent(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(parts, pa.int32()), pa.array(data, pa.binary())], names=["kind", "part", "data"])
 
 
-def repeat_rows(row: np.ndarray, start: np.ndarray, stop: np.ndarray, row_parts: int) -> list[tuple[int, int, bytes]]:
-    """Removed stretches as (row, start, stop) triples by part of the row."""
+def row_key(doc: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """One number for a doc_id and the digest of its text."""
+    return mixed(doc.astype(np.uint64) * ODD[1] + row.astype(np.uint64)).view(np.int64)
+
+
+def repeat_rows(doc: np.ndarray, row: np.ndarray, start: np.ndarray, stop: np.ndarray, row_parts: int) -> list[tuple[int, int, bytes]]:
+    """Removed stretches as (row key, start, stop) by part of the row."""
     if not len(row):
         return []
-    triples = np.stack([row, start, stop], axis=1).astype("<i8")
-    return [(REPEATS, p, triples[at].tobytes()) for p, at in by_part(row % row_parts)]
+    key = row_key(doc, row).view(np.uint64)
+    return [
+        (REPEATS, p, key[at].astype("<u8").tobytes() + packed_numbers(start[at], 4) + packed_numbers(stop[at], 4))
+        for p, at in by_part(row % row_parts)
+    ]
+
+
+def repeats_in(data: bytes) -> np.ndarray:
+    """The (row key, start, stop) triples of one packet."""
+    count = len(data) // 16
+    key = np.frombuffer(data, "<i8", count)
+    return np.stack([key, unpacked_numbers(data, 4, count, 8 * count).astype(np.int64), unpacked_numbers(data, 4, count, 12 * count).astype(np.int64)], axis=1)
 
 
 def solve(shard: Shard, window: int, parts: int, row_parts: int) -> list[tuple[int, int, bytes]]:
@@ -218,15 +233,15 @@ def solve(shard: Shard, window: int, parts: int, row_parts: int) -> list[tuple[i
     smallest[order] = least
     repeated = starts & (doc > smallest)
     a, b = stretches(repeated, row, place)
-    rows = repeat_rows(row[a], place[a], place[b] + window, row_parts)
+    rows = repeat_rows(doc[a], row[a], place[a], place[b] + window, row_parts)
     a, b = stretches(starts & ~repeated, row, place, name)
     part = (name[a] % np.uint64(parts)).astype(np.int64)
     length = b - a + window
     for p, at in by_part(part) if len(a) else ():
         n = length[at]
         inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(a[at], n)
-        head = np.stack([doc[a[at]], row[a[at]], place[a[at]], n], axis=1).astype("<i8")
-        rows.append((SEGMENTS, p, np.int64(len(at)).tobytes() + head.tobytes() + text[inside].tobytes()))
+        head = packed_numbers(doc[a[at]].view(np.uint64), 8) + b"".join(packed_numbers(x, 4) for x in (row[a[at]], place[a[at]], n))
+        rows.append((SEGMENTS, p, np.int64(len(at)).tobytes() + head + text[inside].tobytes()))
     return rows
 
 
@@ -247,15 +262,16 @@ def sharder(shared, window: int, parts: int, row_parts: int):
     return shards
 
 
-def window_digests(text: np.ndarray, window: int) -> np.ndarray:
-    """A digest of the window at each position, from the eight-byte words that cover it."""
+def window_digests(text: np.ndarray, starts: np.ndarray, window: int) -> np.ndarray:
+    """A digest of the window at each start, from the eight-byte words that cover it."""
     words = byte_words(text, "<u8")
-    places = [*range(0, window - 8, 8), window - 8]
-    count = len(text) - window + 1
-    out = np.zeros(count, np.uint64)
-    for turn, place in enumerate(places):
-        word = words[place : place + count] * ODD[turn % len(ODD)]
-        out = mixed(out + word) if turn >= len(ODD) else out + (word ^ (word >> np.uint64(32))) * ODD[-1 - turn % len(ODD)]
+    out = np.zeros(len(starts), np.uint64)
+    for turn, place in enumerate([*range(0, window - 8, 8), window - 8]):
+        word = words[starts + place]
+        word ^= word >> np.uint64(32)
+        out += word * ODD[turn % len(ODD)]
+        if turn % len(ODD) == len(ODD) - 1:
+            out = mixed(out)
     return mixed(out)
 
 
@@ -266,20 +282,21 @@ def merger(window: int, row_parts: int):
         kind, part = group.column("kind")[0].as_py(), group.column("part")[0].as_py()
         data = [x.as_py() for x in group.column("data")]
         if kind == REPEATS:
-            rows = [(REPEATS, part, b"".join(data))]
+            rows = [(REPEATS, part, one) for one in data]
         else:
             heads, texts = [], []
             for one in data:
                 count = int(np.frombuffer(one, "<i8", 1)[0])
-                heads.append(np.frombuffer(one, "<i8", 4 * count, 8).reshape(count, 4))
-                texts.append(np.frombuffer(one, np.uint8, offset=8 + 32 * count))
+                doc = unpacked_numbers(one, 8, count, 8).view(np.int64)
+                rest = [unpacked_numbers(one, 4, count, 8 + 8 * count + 4 * count * i).astype(np.int64) for i in range(3)]
+                heads.append(np.stack([doc, *rest], axis=1))
+                texts.append(np.frombuffer(one, np.uint8, offset=8 + 20 * count))
             head, text = np.concatenate(heads), np.concatenate(texts)
             n = head[:, 3]
             begin = np.cumsum(n) - n
-            digest = window_digests(text, window)
             segment = np.repeat(np.arange(len(head)), n - window + 1)
             step = np.arange(len(segment)) - np.repeat(np.cumsum(n - window + 1) - (n - window + 1), n - window + 1)
-            digest = digest[begin[segment] + step]
+            digest = window_digests(text, begin[segment] + step, window)
             doc, row, place = head[segment, 0], head[segment, 1], head[segment, 2] + step
             order = np.argsort(digest)
             ordered = digest[order]
@@ -287,7 +304,7 @@ def merger(window: int, row_parts: int):
             known, least = ordered[first], np.minimum.reduceat(doc[order], first)
             repeated = doc > least[np.searchsorted(known, digest)]
             a, b = stretches(repeated, row, place)
-            rows = repeat_rows(row[a], place[a], place[b] + window, row_parts)
+            rows = repeat_rows(doc[a], row[a], place[a], place[b] + window, row_parts)
         return pa.table({"part": pa.array([r[1] for r in rows], pa.int32()), "data": pa.array([r[2] for r in rows], pa.binary())})
 
     return merge
@@ -309,12 +326,13 @@ def cutter(columns: list[str]):
     """Step 4, for applyInArrow on a part's documents and repeats: the input columns, kept bytes, removed spans."""
 
     def cut(docs: pa.Table, repeats: pa.Table) -> pa.Table:
-        triples = [np.frombuffer(x.as_buffer(), "<i8").reshape(-1, 3) for x in repeats.column("data")]
-        found = np.concatenate(triples) if triples else np.zeros((0, 3), np.int64)
+        found = np.concatenate([np.zeros((0, 3), np.int64), *(repeats_in(x.as_py()) for x in repeats.column("data"))])
         found = found[np.argsort(found[:, 0], kind="stable")]
         ids = found[:, 0]
         kept, spans = [], []
-        for row, text in zip(docs.column(ROW).to_pylist(), docs.column(ADDED[0])):
+        doc = np.array([NO_ID if i is None else i for i in docs.column("doc_id").to_pylist()], np.int64)
+        keys = row_key(doc, docs.column(ROW).to_numpy()) if len(doc) else doc
+        for row, text in zip(keys.tolist(), docs.column(ADDED[0])):
             data = text.as_py()
             a, b = np.searchsorted(ids, row, "left"), np.searchsorted(ids, row, "right")
             gone = union_of(found[a:b, 1:]).tolist() if b > a else []
@@ -336,17 +354,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     if window < GRAM:
         raise ValueError(f"windows need {GRAM} bytes at least")
     context, total = docs.sparkSession.sparkContext, text_bytes(docs)
-    bits = min(16, max(4, int(total // (4 * PART_BYTES)).bit_length()))
     parts = max(16, int(total // PART_BYTES))
+    bits = min(20, max(4, int(total // NAME_PART_BYTES).bit_length()))
     carried = docs.withColumn(ADDED[0], F.coalesce(F.col("text").cast("binary"), F.lit(b""))).drop("text")
-    row = F.xxhash64("doc_id", ADDED[0])
+    row = F.pmod(F.xxhash64(ADDED[0]), F.lit(1 << 32))
     texts = carried.select(F.col("doc_id").cast("long").alias("doc_id"), row.alias(ROW), ADDED[0])
 
-    slices = texts.mapInArrow(namer(window, bits), "part int, names binary").groupBy("part").applyInArrow(marker(bits), "part int, slots binary")
+    slices = texts.mapInArrow(namer(window, bits), "part int, names binary").groupBy("part").applyInArrow(marker(bits), "part int, bits binary")
     bitmap = bytearray((1 << BITMAP_BITS) // 8)
     size = len(bitmap) >> bits
-    for part in slices.collect():  # 2 ** BITMAP_BITS / 8 bytes in all
-        bitmap[part["part"] * size : (part["part"] + 1) * size] = part["slots"]
+    for part in slices.toLocalIterator():  # 2 ** BITMAP_BITS / 8 bytes in all, slice by slice
+        bitmap[part["part"] * size : (part["part"] + 1) * size] = part["bits"]
     shared = context.broadcast(bytes(bitmap))
 
     asked = texts.mapInArrow(sharder(shared, window, parts, parts), SENT)
