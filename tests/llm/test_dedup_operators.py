@@ -76,6 +76,12 @@ def test_leading_part_is_long_enough():
         assert 100 * (n - jaccard_join.leading(n, 75)) < 75 * n
 
 
+def test_places_round_trip():
+    rng = np.random.default_rng(2)
+    places = np.sort(rng.integers(0, 1 << 32, 1000))
+    assert jaccard_join.unpacked(jaccard_join.packed(places)).tolist() == places.tolist()
+
+
 def test_signature_never_exceeds_the_difference():
     rng = np.random.default_rng(1)
     for _ in range(200):

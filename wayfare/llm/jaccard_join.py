@@ -1,24 +1,28 @@
 """Similarity join of word n-gram sets by vertical partitioning.
 
-All n-grams stand in one global order: by digest, and those that many documents
-share after all others. A document's set is cut along this order into fragments;
-overlaps are counted fragment by fragment, for the pairs that may be similar, and
-summed per pair. A pair may be similar only if the leading parts of both sets, a
-quarter, have an n-gram in common; rare n-grams come first, so few others do.
+All n-grams stand in one global order: those of one document alone, then the
+others by digest, then those that very many documents share. A document's set is
+cut along this order into fragments; overlaps are counted fragment by fragment,
+for the pairs that may be similar, and summed per pair. A pair may be similar only
+if the leading parts of both sets, a quarter, have an n-gram in common, and early
+enough in both; n-grams of one document have no partner and fill most leading
+parts, so few documents are left to compare.
 
 Documents with equal sets form one class from the start, and classes that are
 known to hang together are not compared again, so groups of copies cost by their
 size and not by its square; still no link between different classes is left out:
 
-1. one pass gives each document's set size and class, and the n-grams that are
-   frequent in blocks of documents;
-2. one pass sends the leading n-grams of each class to their lists; entries that
-   have no other class of fitting size in their list go;
+1. one pass gives each document's set size and class, the n-grams that are
+   frequent in blocks of documents, and marks in a bitmap of bounded size the
+   n-grams that two documents may share (all of them, when the bitmap is small
+   for the data: the order stays a right one, with more to compare);
+2. one pass sends the leading n-grams of each class that are shared to their
+   lists; entries that have no other class of fitting size in their list go;
 3. one pass brings the sets of the classes that are left;
-4. each list proposes links between neighbours and with its first class; these
-   are counted, and components built;
-5. each list proposes all pairs across components that sizes and a parity
-   signature cannot rule out; these are counted as well.
+4. each list proposes links between near neighbours and with its first class, of which
+   parity signatures rule out most; the others are counted, and components built;
+5. each list proposes all pairs across components that sizes and places in the
+   order cannot rule out; these go the same way.
 
 Words are runs of other characters than white space, A-Z in lower case; a text
 with fewer words than an n-gram is one n-gram as a whole. Null and empty texts
@@ -38,57 +42,101 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import ASCII_UPPER, mixed, stored, text_of, words_of
+from wayfare.llm.common import mixed, packed_numbers, stored, text_bytes, text_of, unpacked_numbers
 from wayfare.llm.components import connected_components
 
 GRAM = 5
 PERCENT = 75
 FRAGMENTS = 4
 #: N-grams per block in which frequent ones are looked for, and how often they must be in it.
-BLOCK_GRAMS = 4_000_000
-FREQUENT_IN_BLOCK = 4
+BLOCK_GRAMS = 2_000_000
+FREQUENT_IN_BLOCK = 3
 FREQUENT = 16
 #: Frequent n-grams that are broadcast, the most frequent first; the order is right with any choice.
 MAX_FREQUENT = 200_000
-#: Entries of one n-gram after which its list is split.
+#: Entries of one n-gram after which its list is split, and in which it is compared in full.
 LIST_ENTRIES = 20_000
 CHUNK = 2_000
 PART_ENTRIES = 500_000
+#: Entries after it in its list to which an entry's class is proposed as a link; what that leaves apart is compared in full.
+NEIGHBOURS = 8
 #: Places of the bitmap that tells which documents' sets are needed.
 BITMAP_BITS = 1 << 24
-SIGNATURE_WORDS = 4
+#: 64-bit words of the shortest and the longest signature.
+LEAST_SIGNATURE = 4
+LONGEST_SIGNATURE = 2048
+BLOCK_TEXT = 1 << 20
 BLOCK_BYTES = 16 << 20
 STEP = np.uint64(0x9E3779B97F4A7C15)
 SALT = np.uint64(0xC2B2AE3D27D4EB4F)
-ENTRY = np.dtype([("gram", "<u8"), ("cid", "<i8"), ("n", "<i4")])
+ENTRY = np.dtype([("gram", "<u8"), ("cid", "<i8"), ("n", "<i4"), ("at", "<i4")])
+#: Places of the bitmap of shared n-grams (32 MB).
+SHARED_BITS = 28
+#: Bytes of text per part in which n-grams are counted for it.
+GRAM_PART_BYTES = 8 << 20
 
 
-def word_digests(docs: DataFrame) -> DataFrame:
-    """doc_id and the digests of the words, in order."""
-    lower = F.translate(text_of(), ASCII_UPPER, ASCII_UPPER.lower())
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.transform(words_of(lower), lambda w: F.xxhash64(w)).alias("h"))
+def texts_of(docs: DataFrame) -> DataFrame:
+    """doc_id and the text's bytes."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().cast("binary").alias("t"))
 
 
-def gram_sets(digests: pa.ListArray, size: int) -> list[np.ndarray]:
-    """Sorted distinct n-gram digests of each row."""
-    ends = digests.offsets.to_numpy()
-    values = digests.values.to_numpy().view(np.uint64)[ends[0] : ends[-1]]
-    ends = ends - ends[0]
-    rolled = values[: max(len(values) - size + 1, 0)].copy()
+class Powers:
+    """Powers of an odd number and of its inverse, as many as the longest block needed so far."""
+
+    def __init__(self):
+        self.up, self.down = np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        while len(self.up) < n:
+            size = np.uint64(len(self.up))
+            self.up = np.concatenate([self.up, self.up * np.uint64(pow(int(STEP), int(size), 1 << 64))])
+            self.down = np.concatenate([self.down, self.down * np.uint64(pow(int(STEP), -int(size), 1 << 64))])
+        return self.up[:n], self.down[:n]
+
+
+POWERS = Powers()
+IS_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+#: A digest of each byte, the same for both cases of a letter from A to Z.
+BYTE = mixed(np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)).astype(np.uint64) + SALT)
+
+
+def word_digests(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Digests of the words of all texts, in order, and where each text's words end.
+
+    A word's digest is a sum of its bytes' digests times powers of its places, taken
+    from running sums over the whole block.
+    """
+    data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    up, down = POWERS.upto(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(BYTE[data] * up[: len(data)], out=sums[1:])
+    space = np.concatenate([[True], IS_SPACE[data], [True]])
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    starts, ends = edges[0::2], edges[1::2]
+    words = mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    stops = np.cumsum([len(t) + 1 for t in texts])
+    return words, np.searchsorted(starts, stops)
+
+
+def gram_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
+    """Sorted distinct n-gram digests of each text."""
+    words, ends = word_digests(texts)
+    rolled = words[: max(len(words) - size + 1, 0)].copy()
     for k in range(1, size):
-        rolled = rolled * STEP + values[k : len(values) - size + 1 + k]
+        rolled = rolled * STEP + words[k : len(words) - size + 1 + k]
     rolled = mixed(rolled)
     out = []
-    for a, b in zip(ends[:-1], ends[1:]):
+    for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()):
         if b - a >= size:
             out.append(np.unique(rolled[a : b - size + 1]))
         elif b > a:
-            whole = int(b - a)
-            for value in values[a:b].tolist():
+            whole = b - a
+            for value in words[a:b].tolist():
                 whole = (whole * int(STEP) + value) & 0xFFFFFFFFFFFFFFFF
             out.append(mixed(np.array([whole], np.uint64)))
         else:
-            out.append(values[:0])
+            out.append(words[:0])
     return out
 
 
@@ -99,14 +147,22 @@ def class_id(grams: np.ndarray) -> int:
 
 
 def rows_of(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int | None, np.ndarray]]:
+    """doc_id and n-gram set of each row, worked out in blocks of about BLOCK_TEXT bytes."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            part = batch.slice(at, 1000)
-            yield from zip(part.column(0).to_pylist(), gram_sets(part.column(1), size))
+        ids, texts, total = [], [], 0
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            ids.append(doc_id)
+            texts.append(text.as_py())
+            total += len(texts[-1])
+            if total >= BLOCK_TEXT:
+                yield from zip(ids, gram_sets(texts, size))
+                ids, texts, total = [], [], 0
+        if ids:
+            yield from zip(ids, gram_sets(texts, size))
 
 
-def summarise(size: int):
-    """Pass 1, for mapInArrow: a row (kind 0) per document, and rows (kind 1) of n-grams frequent in a block."""
+def summarise(size: int, part_bits: int):
+    """Pass 1, for mapInArrow: rows per document (kind 0), of n-grams frequent in a block (1), and of all n-grams (2)."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, held, total = [], [], 0
@@ -115,30 +171,63 @@ def summarise(size: int):
             held.append(grams)
             total += len(grams)
             if total >= BLOCK_GRAMS:
-                yield summary(docs, held)
+                yield summary(docs, held, part_bits)
                 docs, held, total = [], [], 0
-        yield summary(docs, held)
+        yield summary(docs, held, part_bits)
 
     return blocks
 
 
-SUMMARY = "kind int, id bigint, n bigint, cid bigint"
+SUMMARY = "kind int, id bigint, n bigint, cid bigint, places binary"
 
 
-def summary(docs: list[tuple], held: list[np.ndarray]) -> pa.RecordBatch:
+def summary(docs: list[tuple], held: list[np.ndarray], part_bits: int) -> pa.RecordBatch:
     grams, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    # cut to 32 bits in parts of their range; an n-gram that two documents of the block have is sent twice
+    twice = np.repeat(grams, np.minimum(counts, 2))
+    part = (twice >> np.uint64(64 - part_bits)).astype(np.int64)
+    inside = ((twice << np.uint64(part_bits)) >> np.uint64(32)).astype(np.int64)
+    starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+    blobs = [packed(inside[a:b]) for a, b in zip(starts, np.append(starts[1:], len(part)))]
     often = counts >= FREQUENT_IN_BLOCK
     grams, counts = grams[often].view(np.int64), counts[often]
     ids, sizes, cids = (list(x) for x in zip(*docs)) if docs else ([], [], [])
+    n_docs, n_often, n_parts = len(docs), len(grams), len(blobs)
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([0] * len(docs) + [1] * len(grams), pa.int32()), pa.array(ids + grams.tolist(), pa.int64()),
-            pa.array(sizes + counts.tolist(), pa.int64()), pa.array(cids + [None] * len(grams), pa.int64()),
+            pa.array([0] * n_docs + [1] * n_often + [2] * n_parts, pa.int32()),
+            pa.array(ids + grams.tolist() + part[starts].tolist(), pa.int64()),
+            pa.array(sizes + counts.tolist() + [None] * n_parts, pa.int64()),
+            pa.array(cids + [None] * (n_often + n_parts), pa.int64()),
+            pa.array([None] * (n_docs + n_often) + blobs, pa.binary()),
         ],
-        names=["kind", "id", "n", "cid"],
+        names=["kind", "id", "n", "cid", "places"],
     )
 
 
+def packed(places: np.ndarray) -> bytes:
+    """Sorted places, as steps."""
+    return packed_numbers(np.diff(places, prepend=0), 4)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked_numbers(data, 4, len(data) // 4), dtype=np.int64)
+
+
+def marker(part_bits: int):
+    """For applyInArrow by part: the part's slice of the bitmap, with the places of n-grams that were sent twice."""
+
+    def mark(group: pa.Table) -> pa.Table:
+        found = np.sort(np.concatenate([unpacked(x.as_py()) for x in group.column("places")]))
+        twice = found[1:][found[1:] == found[:-1]]
+        slots = np.zeros(1 << (SHARED_BITS - part_bits), np.uint8)
+        slots[twice >> (32 - SHARED_BITS + part_bits)] = 1
+        part = group.column("id")[0].as_py()
+        return pa.table({"part": pa.array([part], pa.int64()), "bits": pa.array([np.packbits(slots, bitorder="little").tobytes()], pa.binary())})
+
+    return mark
+
+
 class Frequent:
     """Frequent n-grams: membership, place at the end of the global order, and number of sub-lists."""
 
@@ -167,110 +256,137 @@ def leading(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
 
-def lister(shared, size: int, percent: int, bits: int):
-    """Pass 2, for mapInArrow: the leading n-grams of each class, packed by part of the n-grams' range."""
+def lister(frequent_shared, bitmap_shared, size: int, percent: int, bits: int, list_entries: int):
+    """Pass 2, for mapInArrow: the shared n-grams of each class's leading part, packed by part of the n-grams' range."""
 
-    def flush(grams: list[np.ndarray], cids: list[int], sizes: list[int], frequent: Frequent) -> Iterator[pa.RecordBatch]:
-        lengths = [len(g) for g in grams]
+    def flush(held: list[tuple[np.ndarray, int, int, int]], frequent: Frequent) -> pa.RecordBatch:
+        lengths = [len(grams) for grams, *_ in held]
         entries = np.zeros(sum(lengths), ENTRY)
-        entries["gram"], entries["cid"], entries["n"] = np.concatenate(grams), np.repeat(cids, lengths), np.repeat(sizes, lengths)
+        entries["gram"] = np.concatenate([grams for grams, *_ in held])
+        entries["cid"], entries["n"], start = (np.repeat([h[i] for h in held], lengths) for i in (1, 2, 3))
+        entries["at"] = start + np.concatenate([np.arange(n) for n in lengths])
         spread = entries["gram"].copy()
         place = frequent.places(spread)
         heavy = np.flatnonzero(place >= 0)
-        salts = -(-frequent.counts[place[heavy]] // LIST_ENTRIES)
+        salts = -(-frequent.counts[place[heavy]] // list_entries)
         salt = entries["cid"][heavy] % salts
         spread[heavy] = np.where(salts > 1, mixed(spread[heavy] + salt.astype(np.uint64) * SALT), spread[heavy])
-        part = (spread >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(spread), np.int64)
+        part = (spread >> np.uint64(64 - bits)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         entries, part = entries[order], part[order]
         starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        ends = np.concatenate([starts[1:], [len(part)]])
-        blobs = [entries[a:b].tobytes() for a, b in zip(starts, ends)]
-        yield pa.RecordBatch.from_arrays([pa.array(part[starts], pa.int32()), pa.array(blobs, pa.binary())], names=["part", "entries"])
+        blobs = [entries[a:b].tobytes() for a, b in zip(starts, np.append(starts[1:], len(part)))]
+        return pa.RecordBatch.from_arrays([pa.array(part[starts], pa.int32()), pa.array(blobs, pa.binary())], names=["part", "entries"])
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = Frequent(*shared.value)
+        frequent, bitmap = Frequent(*frequent_shared.value), np.frombuffer(bitmap_shared.value, np.uint8)
         seen: set[int] = set()
-        grams, cids, sizes, total = [], [], [], 0
-        for _, held in rows_of(batches, size):
-            if not len(held):
+        held, total = [], 0
+        for _, grams in rows_of(batches, size):
+            place = (grams >> np.uint64(64 - SHARED_BITS)).astype(np.int64)
+            common = grams[bitmap[place >> 3] >> (place & 7).astype(np.uint8) & 1 == 1]
+            alone = len(grams) - len(common)
+            want = leading(len(grams), percent) - alone if len(grams) else 0
+            if want <= 0:
                 continue
-            cid = class_id(held)
+            cid = class_id(grams)
             if cid in seen:
                 continue
             seen.add(cid)
-            want = leading(len(held), percent)
-            place = frequent.places(held)
-            first = held[place < 0][:want]
+            place = frequent.places(common)
+            first = common[place < 0][:want]
             if len(first) < want:
                 late = np.flatnonzero(place >= 0)
                 late = late[np.argsort(frequent.rank[place[late]])][: want - len(first)]
-                first = np.concatenate([first, held[late]])
-            grams.append(first)
-            cids.append(cid)
-            sizes.append(len(held))
+                first = np.concatenate([first, common[late]])
+            held.append((first, cid, len(grams), alone))
             total += len(first)
             if total >= 1_000_000:
-                yield from flush(grams, cids, sizes, frequent)
-                grams, cids, sizes, total = [], [], [], 0
-        if grams:
-            yield from flush(grams, cids, sizes, frequent)
+                yield flush(held, frequent)
+                held, total = [], 0
+        if held:
+            yield flush(held, frequent)
 
     return lists
 
 
-LISTED = "kind int, gram bigint, a bigint, na int, b bigint, nb int"
+def possible(na: np.ndarray, nb: np.ndarray, ia: np.ndarray, ib: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of these sizes can be similar if the first n-gram they share stands at these places."""
+    need = -(-percent * (na + nb) // (100 + percent))
+    return (na - ia >= need) & (nb - ib >= need)
+
 
+LISTED = "kind int, gram bigint, a bigint, na int, at int, chunks int, b bigint, nb int"
 
-def matcher(percent: int):
-    """For applyInPandas by part: entries (kind 0) with another class of fitting size, and proposed links (kind 1)."""
+
+def matcher(frequent_shared, percent: int, chunk: int):
+    """For applyInPandas by part: entries (kind 0) with another class of fitting size, and proposed links (kind 1).
+
+    ``chunks`` is the number of pieces in which a list is compared later; it goes by
+    how frequent the n-gram is, so all sub-lists of an n-gram agree on it.
+    """
 
     def match(frame: pd.DataFrame) -> pd.DataFrame:
+        frequent = Frequent(*frequent_shared.value)
         entries = np.unique(np.frombuffer(b"".join(frame["entries"]), ENTRY))  # by gram, class, size
         entries = entries[np.lexsort((entries["cid"], entries["n"], entries["gram"]))]
-        gram, cid, n = entries["gram"], entries["cid"], entries["n"].astype(np.int64)
+        gram, cid, n, at = entries["gram"], entries["cid"], entries["n"].astype(np.int64), entries["at"].astype(np.int64)
         fits = (gram[1:] == gram[:-1]) & (100 * n[:-1] >= percent * n[1:])
         keep = np.concatenate([fits, [False]]) | np.concatenate([[False], fits])
-        gram, cid, n = gram[keep], cid[keep], n[keep]
+        gram, cid, n, at = gram[keep], cid[keep], n[keep], at[keep]
         if not len(gram):
             return pd.DataFrame({c.split()[0]: [] for c in LISTED.split(", ")})
         first = np.concatenate([[True], gram[1:] != gram[:-1]])
         hub = np.maximum.accumulate(np.where(first, np.arange(len(gram)), 0))
-        left = np.concatenate([np.arange(len(gram) - 1), hub])
-        right = np.concatenate([np.arange(1, len(gram)), np.arange(len(gram))])
-        use = (gram[left] == gram[right]) & (left != right) & (100 * n[left] >= percent * n[right])
+        here = np.arange(len(gram))
+        left = np.concatenate([hub, *(here[: max(len(gram) - k, 0)] for k in range(1, NEIGHBOURS + 1))])
+        right = np.concatenate([here, *(here[k:] for k in range(1, NEIGHBOURS + 1))])
+        use = (gram[left] == gram[right]) & (left != right) & possible(n[left], n[right], at[left], at[right], percent)
         left, right = left[use], right[use]
         pairs = np.unique(np.stack([cid[left], n[left], cid[right], n[right]], axis=1), axis=0)
-        rows = pd.DataFrame({"kind": 0, "gram": gram.view(np.int64), "a": cid, "na": n, "b": 0, "nb": 0})
-        proposed = pd.DataFrame({"kind": 1, "gram": 0, "a": pairs[:, 0], "na": pairs[:, 1], "b": pairs[:, 2], "nb": pairs[:, 3]})
+        place = frequent.places(gram)
+        chunks = np.where(place >= 0, -(-frequent.counts[place] // chunk), 1) if len(frequent.counts) else 1
+        rows = pd.DataFrame({"kind": 0, "gram": gram.view(np.int64), "a": cid, "na": n, "at": at, "chunks": chunks, "b": 0, "nb": 0})
+        proposed = pd.DataFrame({"kind": 1, "gram": 0, "a": pairs[:, 0], "na": pairs[:, 1], "at": 0, "chunks": 0, "b": pairs[:, 2], "nb": pairs[:, 3]})
         return pd.concat([rows, proposed], ignore_index=True)
 
     return match
 
 
-def signature(grams: np.ndarray) -> np.ndarray:
+def signature(grams: np.ndarray, words: int) -> np.ndarray:
     """Parity of the set's members per place; two signatures differ in no more places than the sets have members apart."""
-    places = np.bincount((grams >> np.uint64(13)).astype(np.int64) % (64 * SIGNATURE_WORDS), minlength=64 * SIGNATURE_WORDS) & 1
+    places = np.bincount((grams >> np.uint64(13)).astype(np.int64) % (64 * words), minlength=64 * words) & 1
     return np.packbits(places.astype(np.uint8)).view(np.uint64)
 
 
+def long_signature(grams: np.ndarray) -> np.ndarray:
+    """A signature of four places or more per member."""
+    words = LEAST_SIGNATURE
+    while 16 * words < len(grams) and words < LONGEST_SIGNATURE:
+        words *= 2
+    return signature(grams, words)
+
+
+def apart_at_least(a: np.ndarray, b: np.ndarray) -> int:
+    """Places in which two signatures differ; the longer one is folded to the size of the other."""
+    size = min(len(a), len(b))
+    fold = lambda x: np.bitwise_xor.reduce(x.reshape(-1, size), axis=0)
+    return int(np.bitwise_count(fold(a) ^ fold(b)).sum())
+
+
 def fetcher(shared, size: int, fragments: int):
     """Pass 3, for mapInArrow: sets, cut into fragments of the order, of documents whose place in the bitmap is set."""
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.frombuffer(shared.value, np.uint8)
-        for batch in batches:
-            place = batch.column(2).to_numpy()
-            wanted = np.flatnonzero(bitmap[place >> 3] >> (place & 7).astype(np.uint8) & 1)
-            batch = batch.take(pa.array(wanted))
+        for batch in in_bitmap(shared)(batches):
             rows: list[tuple] = []
-            for doc_id, grams in rows_of(iter([batch.select([0, 1])]), size):
+            for _, grams in rows_of(iter([batch.select([0, 1])]), size):
                 if not len(grams):
                     continue
-                cid, mark = class_id(grams), signature(grams).tobytes()
+                cid, mark = class_id(grams), long_signature(grams).tobytes()
                 cuts = np.searchsorted(grams, [np.uint64(((1 << 64) * f) // fragments) for f in range(1, fragments)])
                 for fragment, held in enumerate(np.split(grams, cuts)):
-                    rows.append((doc_id, cid, fragment, len(grams), mark, held.tobytes()))
+                    rows.append((cid, fragment, mark if fragment == 0 else None, held.tobytes()))
                 if len(rows) > 2000:
                     yield sets_batch(rows)
                     rows = []
@@ -279,13 +395,33 @@ def fetcher(shared, size: int, fragments: int):
     return fetch
 
 
-SETS = "doc_id bigint, cid bigint, fragment int, n int, mark binary, grams binary"
+SETS = "cid bigint, fragment int, mark binary, grams binary"
 
 
 def sets_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [[]] * 6
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["doc_id", "cid", "fragment", "n", "mark", "grams"])
+    columns = list(zip(*rows)) if rows else [[]] * 4
+    types = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["cid", "fragment", "mark", "grams"])
+
+
+def not_ruled_out(percent: int):
+    """For mapInPandas: pairs with both signatures to the pairs that may be similar."""
+
+    def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            keep = []
+            for na, nb, a, b in zip(frame["na"], frame["nb"], frame["wa"], frame["wb"]):
+                most = (na + nb - apart_at_least(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))) // 2
+                keep.append(100 * most >= percent * (na + nb - most))
+            yield frame.loc[keep, ["a", "na", "b", "nb"]]
+
+    return check
+
+
+def likely(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, na, b, nb) that the signatures leave."""
+    left, right = marks.select(F.col("cid").alias("a"), F.col("mark").alias("wa")), marks.select(F.col("cid").alias("b"), F.col("mark").alias("wb"))
+    return pairs.join(left, "a").join(right, "b").mapInPandas(not_ruled_out(percent), "a bigint, na int, b bigint, nb int")
 
 
 def count_fragment(key: tuple, pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
@@ -298,16 +434,25 @@ def count_fragment(key: tuple, pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.Da
     return pd.DataFrame({"a": pairs["a"], "na": pairs["na"], "b": pairs["b"], "nb": pairs["nb"], "overlap": found})
 
 
-def links_of(pairs: DataFrame, sets: DataFrame, blocks: int, fragments: int, percent: int) -> DataFrame:
+def asked_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The sets of the classes in some pairs; a bitmap keeps most others off the shuffle."""
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    shared = sets.sparkSession.sparkContext.broadcast(bitmap_of(asked))
+    near = sets.select("cid", "fragment", "grams", place_of("cid").alias("place")).mapInArrow(in_bitmap(shared), "cid bigint, fragment int, grams binary, place bigint")
+    return stored(near.join(asked, near["cid"] == asked["id"], "left_semi").drop("place"), "asked")
+
+
+def links_of(pairs: DataFrame, held: DataFrame, fragments: int, percent: int) -> DataFrame:
     """a, b of the pairs (a, na, b, nb) that are similar: overlaps per fragment, summed per pair.
 
     Classes are dealt to blocks; a set goes once to each pair of blocks in which it
     has a partner, so a class with many partners is sent ``blocks`` times at most.
     """
+    blocks = max(4, -(-int(held.agg(F.sum(F.octet_length("grams"))).first()[0] or 0) // BLOCK_BYTES))
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
     dealt = pairs.select("a", "na", "b", "nb", block("a").alias("p"), block("b").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))).alias("fragment"))
     needs = dealt.select("p", "q", "fragment", F.explode(F.array("a", "b")).alias("cid")).distinct()
-    sent = needs.join(sets.select("cid", "fragment", "grams"), ["cid", "fragment"]).select(
+    sent = needs.join(held, ["cid", "fragment"]).select(
         F.col("p").alias("sp"), F.col("q").alias("sq"), F.col("fragment").alias("sf"), "cid", "grams"
     )
     partial = (
@@ -319,13 +464,12 @@ def links_of(pairs: DataFrame, sets: DataFrame, blocks: int, fragments: int, per
 
 
 def crosser(percent: int):
-    """For applyInPandas by part: pairs across components that sizes and signatures allow."""
+    """For applyInPandas by part: pairs across components that sizes and places allow."""
 
     def cross(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["gram", "p", "q", "n", "cid"], ignore_index=True)
-        n, cid, root, side = (frame[c].to_numpy() for c in ("n", "cid", "root", "side"))
-        p, q = frame["p"].to_numpy(), frame["q"].to_numpy()
-        mark = np.frombuffer(b"".join(frame["mark"]), np.uint64).reshape(len(frame), SIGNATURE_WORDS)
+        n, cid, root, side, at = (frame[c].to_numpy(np.int64) for c in ("n", "cid", "root", "side", "at"))
+        apart = frame["p"].to_numpy() != frame["q"].to_numpy()
         group = frame.groupby(["gram", "p", "q"], sort=False).ngroup().to_numpy()
         reach = np.searchsorted(group, group, "right")  # end of each entry's list
         found: list[np.ndarray] = []
@@ -337,11 +481,9 @@ def crosser(percent: int):
             if not len(live):
                 break
             other = live + offset
-            ok = (root[live] != root[other]) & ((p[live] == q[live]) | (side[live] != side[other]))
+            ok = (root[live] != root[other]) & (~apart[live] | (side[live] != side[other]))
+            ok &= possible(n[live], n[other], at[live], at[other], percent)
             a, b = live[ok], other[ok]
-            apart = np.bitwise_count(mark[a] ^ mark[b]).sum(axis=1).astype(np.int64)
-            most = (n[a] + n[b] - apart) // 2
-            a, b = (x[100 * most >= percent * (n[a] + n[b] - most)] for x in (a, b))
             if len(a):
                 found.append(np.stack([cid[a], n[a], cid[b], n[b]], axis=1))
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 4), np.int64)
@@ -357,25 +499,38 @@ def ordered_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.select(pick("a", "b").alias("a"), pick("na", "nb").alias("na"), pick("b", "a").alias("b"), pick("nb", "na").alias("nb")).distinct()
 
 
-def cross_pairs(entries: DataFrame, roots: DataFrame, marks: DataFrame, percent: int, parts: int) -> DataFrame:
-    """Pairs of classes in one list and different components; lists longer than a chunk are compared chunk by chunk."""
-    rooted = entries.join(roots, entries["cid"] == roots["id"], "left").select("gram", "cid", "n", F.coalesce("root", "cid").alias("root"))
-    mixed_lists = rooted.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo != hi")
-    left = rooted.join(mixed_lists.select("gram", "m"), "gram").join(marks, "cid")
-    chunks = F.ceil(F.col("m") / CHUNK).cast("int")
-    mine = F.pmod(F.xxhash64("cid"), chunks).cast("int")
-    sent = left.select("*", mine.alias("side"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("with")).select(
-        "gram", "cid", "n", "root", "mark", "side", F.least("side", "with").alias("p"), F.greatest("side", "with").alias("q")
-    )
-    part = F.pmod(F.xxhash64("gram", "p", "q"), F.lit(parts)).alias("part")
-    dealt = sent.select(part, "*")
+def cross_pairs(entries: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes in one list and different components; lists of frequent n-grams are compared chunk by chunk."""
+    rooted = entries.join(roots, entries["cid"] == roots["id"], "left").withColumn("root", F.coalesce("root", "cid"))
+    mine = F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int")
+    sent = rooted.select("gram", "cid", "n", "at", "root", mine.alias("side"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("with"))
+    parts = max(1, entries.count() // PART_ENTRIES)
+    dealt = sent.select(
+        "gram", "cid", "n", "at", "root", "side", F.least("side", "with").alias("p"), F.greatest("side", "with").alias("q")
+    ).withColumn("part", F.pmod(F.xxhash64("gram", "p", "q"), F.lit(parts)))
     return dealt.groupBy("part").applyInPandas(crosser(percent), "a bigint, na int, b bigint, nb int")
 
 
+def place_of(column: str):
+    """Place of an id in a bitmap."""
+    return F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS))
+
+
+def in_bitmap(shared):
+    """For mapInArrow: rows whose last column is a place that is set; others with the same place come along."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            place = batch.column(batch.num_columns - 1).to_numpy()
+            yield batch.take(pa.array(np.flatnonzero(bitmap[place >> 3] >> (place & 7).astype(np.uint8) & 1)))
+
+    return keep
+
+
 def bitmap_of(ids: DataFrame) -> bytes:
     """A bitmap of fixed size with the places of the ids set; made by Spark in pieces of 4 KB."""
-    place = F.pmod(F.xxhash64("id"), F.lit(BITMAP_BITS))
-    pieces = ids.select(place.alias("x")).groupBy(F.floor(F.col("x") / 32768).alias("piece")).agg(
+    pieces = ids.select(place_of("id").alias("x")).groupBy(F.floor(F.col("x") / 32768).alias("piece")).agg(
         F.bitmap_construct_agg((F.col("x") % 32768).cast("long")).alias("bits")
     )
     out = bytearray(BITMAP_BITS // 8)
@@ -384,40 +539,46 @@ def bitmap_of(ids: DataFrame) -> bytes:
     return bytes(out)
 
 
-def similar_components(docs: DataFrame, size: int = GRAM, percent: int = PERCENT, fragments: int = FRAGMENTS) -> DataFrame:
+def similar_components(
+    docs: DataFrame, size: int = GRAM, percent: int = PERCENT, fragments: int = FRAGMENTS, list_entries: int = LIST_ENTRIES, chunk: int = CHUNK
+) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest doc_id that is reachable by links, its own included."""
     spark, context = docs.sparkSession, docs.sparkSession.sparkContext
-    digests = word_digests(docs)
+    texts = texts_of(docs)
+    part_bits = min(20, max(4, int(text_bytes(docs) // GRAM_PART_BYTES).bit_length()))
 
-    seen = stored(digests.mapInArrow(summarise(size), SUMMARY), "sets-seen")
+    seen = stored(texts.mapInArrow(summarise(size, part_bits), SUMMARY), "sets-seen")
     members = seen.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "cid")
     classes = members.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("first"))
     often = seen.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
     top = often.orderBy(F.desc("n"), "id").limit(MAX_FREQUENT).toPandas()
     frequent = context.broadcast((top["id"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)))
+    bitmap = bytearray((1 << SHARED_BITS) // 8)
+    length = len(bitmap) >> part_bits
+    slices = seen.where("kind = 2").select("id", "places").groupBy("id").applyInArrow(marker(part_bits), "part bigint, bits binary")
+    for part in slices.toLocalIterator():  # the bitmap, slice by slice
+        bitmap[part["part"] * length : (part["part"] + 1) * length] = part["bits"]
+    shared = context.broadcast(bytes(bitmap))
 
     entries_due = (members.agg(F.sum("n")).first()[0] or 0) * (100 - percent) // 100
     bits = max(4, int(entries_due // PART_ENTRIES).bit_length())
-    packed = digests.mapInArrow(lister(frequent, size, percent, bits), "part int, entries binary")
-    listed = stored(packed.groupBy("part").applyInPandas(matcher(percent), LISTED), "lists")
-    entries = listed.where("kind = 0").select("gram", F.col("a").alias("cid"), F.col("na").alias("n"))
+    leads = texts.mapInArrow(lister(frequent, shared, size, percent, bits, list_entries), "part int, entries binary")
+    listed = stored(leads.groupBy("part").applyInPandas(matcher(frequent, percent, chunk), LISTED), "lists")
+    entries = listed.where("kind = 0").select("gram", F.col("a").alias("cid"), F.col("na").alias("n"), "at", "chunks")
     proposed = ordered_pairs(listed.where("kind = 1").select("a", "na", "b", "nb"))
 
     wanted = entries.select("cid").distinct().join(classes, "cid")
     needed = context.broadcast(bitmap_of(wanted.select(F.col("first").alias("id"))))
-    placed = digests.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS)))
-    fetched = placed.mapInArrow(fetcher(needed, size, fragments), SETS)
-    firsts = wanted.select("cid", F.col("first").alias("doc_id"))
-    same = (F.col("f.cid") == F.col("s.cid")) & F.col("f.doc_id").eqNullSafe(F.col("s.doc_id"))
-    sets = stored(fetched.alias("s").join(firsts.alias("f"), same, "left_semi").drop("doc_id"), "sets")
-    blocks = max(4, -(-int(sets.agg(F.sum(F.octet_length("grams"))).first()[0] or 0) // BLOCK_BYTES))
-
-    links = stored(links_of(proposed, sets, blocks, fragments, percent), "links")
-    roots = connected_components(links)
-    marks = sets.where("fragment = 0").select("cid", "mark").dropDuplicates(["cid"])
-    across = stored(ordered_pairs(cross_pairs(entries, roots, marks, percent, 1 << bits)), "pairs")
-    more = links_of(across, sets, blocks, fragments, percent)
-    roots = connected_components(links.union(more))
+    placed = texts.withColumn("place", place_of("doc_id"))
+    # a document that shares its place in the bitmap brings a set that no pair asks for, or one that is there already
+    sets = stored(placed.mapInArrow(fetcher(needed, size, fragments), SETS), "sets")
+    marks = stored(sets.where("fragment = 0").select("cid", "mark").dropDuplicates(["cid"]), "marks")
+
+    checked = stored(likely(proposed, marks, percent), "pairs")
+    links = stored(links_of(checked, asked_sets(checked, sets), fragments, percent), "links")
+    across = ordered_pairs(cross_pairs(entries, connected_components(links), percent))
+    checked = stored(likely(across, marks, percent), "pairs")
+    roots = connected_components(links.union(links_of(checked, asked_sets(checked, sets), fragments, percent)))
 
     rooted = classes.join(roots, classes["cid"] == roots["id"], "left").select("cid", "first", F.coalesce("root", "cid").alias("root"))
     heads = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
