@@ -8,10 +8,8 @@ empty tables are handled as each stage's docstring says.
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wayfare.llm.common import ship_package, stored, table
 from wayfare.llm.decontaminate import contaminated
@@ -59,10 +57,9 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return kept.withColumn("_digest", F.xxhash64("text")).dropDuplicates(["doc_id", "_digest"]).drop("_digest")
 
 
-@F.pandas_udf(T.StringType())
-def whole_characters(data: pd.Series) -> pd.Series:
-    """UTF-8 bytes as text, without the halves of characters at cuts."""
-    return data.map(lambda b: b.decode("utf-8", "ignore"))
+def whole_characters(data: Column) -> Column:
+    """UTF-8 bytes as text, without the halves of characters at cuts (nor any replacement character)."""
+    return F.replace(F.make_valid_utf8(data.cast("string")), F.lit("\ufffd"), F.lit(""))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,8 +41,8 @@ from wayfare.llm.suffix_arrays import byte_words, common_prefixes, suffix_array
 WINDOW = 50
 GRAM = 20
 BITMAP_BITS = 27
-SHARD_BYTES = 2 << 20
-PIECE_BYTES = 1 << 20
+SHARD_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 NAMES_PER_FLUSH = 2_000_000
 #: Bytes of text per part of the shuffle of names, and of the later ones.
 NAME_PART_BYTES = 8 << 20
