@@ -66,6 +66,17 @@ def test_similar_components(spark, list_entries, chunk):
     assert rows(got) == brute_groups(docs)
 
 
+def test_a_hot_class_meets_its_only_near_copy(spark):
+    """All n-grams that the copies share with the one near copy are in split lists, mostly in different sub-lists."""
+    rng, texts = random.Random(12), []
+    for _ in range(6):
+        base = prose(rng, 24)
+        texts += [base] * 30 + [base + " end"]
+    docs = list(enumerate(texts))
+    got = jaccard_join.similar_components(frame(spark, docs).repartition(3), list_entries=3, chunk=4)
+    assert rows(got) == brute_groups(docs)
+
+
 def test_similar_components_edge_rows(spark, edges, empty):
     assert rows(jaccard_join.similar_components(edges)) == brute_groups(edge_rows())
     assert jaccard_join.similar_components(empty).count() == 0

@@ -17,7 +17,8 @@ size and not by its square; still no link between different classes is left out:
    n-grams that two documents may share (all of them, when the bitmap is small
    for the data: the order stays a right one, with more to compare);
 2. one pass sends the leading n-grams of each class that are shared to their
-   lists; entries that have no other class of fitting size in their list go;
+   lists; entries that have no other class of fitting size in their list go, if
+   the list is in one piece (a partner may stand in another piece);
 3. one pass brings the sets of the classes that are left;
 4. each list proposes links between near neighbours and with its first class, of which
    parity signatures rule out most; the others are counted, and components built;
@@ -250,6 +251,12 @@ class Frequent:
             out[maybe[same]] = at[same]
         return out
 
+    def pieces(self, place: np.ndarray, entries: int) -> np.ndarray:
+        """Number of pieces of about ``entries`` documents for the n-grams at these places of the list; 1 for ordinary ones."""
+        out = np.ones(len(place), np.int64)
+        out[place >= 0] = -(-self.counts[place[place >= 0]] // entries)
+        return out
+
 
 def leading(size: int, percent: int) -> int:
     """N-grams of which two similar sets must share one: all but those that the overlap can do without, and one more."""
@@ -268,7 +275,7 @@ def lister(frequent_shared, bitmap_shared, size: int, percent: int, bits: int, l
         spread = entries["gram"].copy()
         place = frequent.places(spread)
         heavy = np.flatnonzero(place >= 0)
-        salts = -(-frequent.counts[place[heavy]] // list_entries)
+        salts = frequent.pieces(place[heavy], list_entries)
         salt = entries["cid"][heavy] % salts
         spread[heavy] = np.where(salts > 1, mixed(spread[heavy] + salt.astype(np.uint64) * SALT), spread[heavy])
         part = (spread >> np.uint64(64 - bits)).astype(np.int64)
@@ -319,9 +326,10 @@ def possible(na: np.ndarray, nb: np.ndarray, ia: np.ndarray, ib: np.ndarray, per
 LISTED = "kind int, gram bigint, a bigint, na int, at int, chunks int, b bigint, nb int"
 
 
-def matcher(frequent_shared, percent: int, chunk: int):
-    """For applyInPandas by part: entries (kind 0) with another class of fitting size, and proposed links (kind 1).
+def matcher(frequent_shared, percent: int, list_entries: int, chunk: int):
+    """For applyInPandas by part: entries (kind 0) that may have another class of fitting size, and proposed links (kind 1).
 
+    All entries of a split list stay: sub-lists meet only when they are compared in full.
     ``chunks`` is the number of pieces in which a list is compared later; it goes by
     how frequent the n-gram is, so all sub-lists of an n-gram agree on it.
     """
@@ -332,8 +340,9 @@ def matcher(frequent_shared, percent: int, chunk: int):
         entries = entries[np.lexsort((entries["cid"], entries["n"], entries["gram"]))]
         gram, cid, n, at = entries["gram"], entries["cid"], entries["n"].astype(np.int64), entries["at"].astype(np.int64)
         fits = (gram[1:] == gram[:-1]) & (100 * n[:-1] >= percent * n[1:])
-        keep = np.concatenate([fits, [False]]) | np.concatenate([[False], fits])
-        gram, cid, n, at = gram[keep], cid[keep], n[keep], at[keep]
+        place = frequent.places(gram)
+        keep = np.concatenate([fits, [False]]) | np.concatenate([[False], fits]) | (frequent.pieces(place, list_entries) > 1)
+        gram, cid, n, at, place = gram[keep], cid[keep], n[keep], at[keep], place[keep]
         if not len(gram):
             return pd.DataFrame({c.split()[0]: [] for c in LISTED.split(", ")})
         first = np.concatenate([[True], gram[1:] != gram[:-1]])
@@ -344,8 +353,7 @@ def matcher(frequent_shared, percent: int, chunk: int):
         use = (gram[left] == gram[right]) & (left != right) & possible(n[left], n[right], at[left], at[right], percent)
         left, right = left[use], right[use]
         pairs = np.unique(np.stack([cid[left], n[left], cid[right], n[right]], axis=1), axis=0)
-        place = frequent.places(gram)
-        chunks = np.where(place >= 0, -(-frequent.counts[place] // chunk), 1) if len(frequent.counts) else 1
+        chunks = frequent.pieces(place, chunk)
         rows = pd.DataFrame({"kind": 0, "gram": gram.view(np.int64), "a": cid, "na": n, "at": at, "chunks": chunks, "b": 0, "nb": 0})
         proposed = pd.DataFrame({"kind": 1, "gram": 0, "a": pairs[:, 0], "na": pairs[:, 1], "at": 0, "chunks": 0, "b": pairs[:, 2], "nb": pairs[:, 3]})
         return pd.concat([rows, proposed], ignore_index=True)
@@ -563,7 +571,7 @@ def similar_components(
     entries_due = (members.agg(F.sum("n")).first()[0] or 0) * (100 - percent) // 100
     bits = max(4, int(entries_due // PART_ENTRIES).bit_length())
     leads = texts.mapInArrow(lister(frequent, shared, size, percent, bits, list_entries), "part int, entries binary")
-    listed = stored(leads.groupBy("part").applyInPandas(matcher(frequent, percent, chunk), LISTED), "lists")
+    listed = stored(leads.groupBy("part").applyInPandas(matcher(frequent, percent, list_entries, chunk), LISTED), "lists")
     entries = listed.where("kind = 0").select("gram", F.col("a").alias("cid"), F.col("na").alias("n"), "at", "chunks")
     proposed = ordered_pairs(listed.where("kind = 1").select("a", "na", "b", "nb"))
 
