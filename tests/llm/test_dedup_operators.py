@@ -240,6 +240,21 @@ def test_contamination_against_brute_force(spark, block_words):
     assert {(r["doc_id"], r["item_id"]): pytest.approx(r["score"]) for r in found.collect()} == brute_contamination(docs, items)
 
 
+def test_an_edit_or_a_part_that_leaked_often(spark):
+    """More than half of the item's n-grams are in no document, the others are in many."""
+    rng = random.Random(11)
+    items = [(i, " ".join(f"i{i}x{k}" for k in range(60))) for i in range(3)]
+    edit = " ".join("other" if k % 5 == 4 else w for k, w in enumerate(items[0][1].split()))
+    part = " ".join(items[1][1].split()[:30])
+    short = " ".join(items[2][1].split()[:20])  # below the least score
+    docs = [(i, " ".join([prose(rng, 20), (edit, part, short)[i % 3], prose(rng, 20)])) for i in range(150)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    want = brute_contamination(docs, items)
+    assert len(want) == 100
+    found = decontaminate.contaminated(frame(spark, docs).repartition(3), benchmark)
+    assert {(r["doc_id"], r["item_id"]): pytest.approx(r["score"]) for r in found.collect()} == want
+
+
 def test_contamination_edge_rows(spark, edges, empty):
     benchmark = spark.createDataFrame([(1, "a b c d e f")], "item_id bigint, text string")
     assert decontaminate.contaminated(empty, benchmark).count() == 0

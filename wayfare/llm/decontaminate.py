@@ -1,8 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 A seed is an n-gram of a test item's words that is rare in the corpus, compared
-with the item's other n-grams, so an item keeps seeds however often it leaked.
-Where a document holds a seed, the words around it are aligned locally with the
+with the item's other n-grams. In each document a frequent n-gram is a seed as well
+if the words around it leave the least score possible, so a passage is found however
+often the same edit of it leaked. Where a document holds a seed, the words around it are aligned locally with the
 whole item; the score is the best alignment's (matches minus mismatches and gaps)
 over the number of the item's words, so it is 1 for a verbatim copy and falls
 with every edit. Words are runs of letters and digits in lower case.
@@ -137,7 +138,7 @@ def gram_frequencies(docs: DataFrame, block: ItemBlock) -> np.ndarray:
 
 
 def rare_grams(block: ItemBlock, frequency: np.ndarray, factor: float = RARE_FACTOR) -> np.ndarray:
-    """True for each entry of the block's n-gram list that is a seed of its item."""
+    """True for each entry of the block's n-gram list that is a seed of its item in any document."""
     per_entry = frequency[np.searchsorted(block.grams, block.gram)]
     out = np.zeros(len(per_entry), bool)
     for owner in range(len(block.items)):
@@ -180,22 +181,42 @@ def align(items: list[np.ndarray], windows: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def matches(docs: DataFrame, block: ItemBlock, seeds: np.ndarray, min_score: float) -> DataFrame:
+def may_reach(
+    block: ItemBlock, numbers: np.ndarray, owner: np.ndarray, low: np.ndarray, high: np.ndarray, sure: np.ndarray, min_score: float, member: np.ndarray
+) -> np.ndarray:
+    """Which windows, sorted by item, are sure or hold enough words of the item for the least score: each match takes one.
+
+    ``member`` is a place per word number, all False before and after.
+    """
+    out = sure.copy()
+    first = np.flatnonzero(np.diff(owner, prepend=-1))
+    for a, b in zip(first, np.append(first[1:], len(owner))):
+        if sure[a:b].all():
+            continue
+        item = block.items[owner[a]]
+        member[item] = True
+        held = np.concatenate([[0], np.cumsum(member[numbers])])
+        member[item] = False
+        inside = held[np.clip(high[a:b], 0, len(numbers))] - held[np.clip(low[a:b], 0, len(numbers))]
+        out[a:b] |= inside >= min_score * len(item)
+    return out
+
+
+def matches(docs: DataFrame, block: ItemBlock, rare: np.ndarray, min_score: float) -> DataFrame:
     """doc_id, item (place in the block), score, last_word of the aligned passages."""
-    grams, owners = block.gram[seeds], block.owner[seeds]
-    order = np.argsort(grams, kind="stable")
-    grams, owners, places = grams[order], owners[order], block.place[seeds][order]
-    shared = docs.sparkSession.sparkContext.broadcast((block, np.unique(grams), grams, owners, places))
+    order = np.argsort(block.gram, kind="stable")
+    shared = docs.sparkSession.sparkContext.broadcast((block, block.gram[order], block.owner[order], block.place[order], rare[order]))
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, unique, grams, owners, places = shared.value
-        starts, ends = np.searchsorted(grams, unique, "left"), np.searchsorted(grams, unique, "right")
+        block, grams, owners, places, rare = shared.value
+        starts, ends = np.searchsorted(grams, block.grams, "left"), np.searchsorted(grams, block.grams, "right")
         lengths = np.array([len(i) for i in block.items])
+        member = np.zeros(block.base, bool)
         for frame in frames:
             found: list[tuple] = []
             for doc_id, text in zip(frame["doc_id"], frame["t"]):
                 numbers = block.read(text)
-                at, which = block.hits(numbers, unique)
+                at, which = block.hits(numbers, block.grams)
                 if not len(at):
                     continue
                 repeat = ends[which] - starts[which]
@@ -205,6 +226,10 @@ def matches(docs: DataFrame, block: ItemBlock, seeds: np.ndarray, min_score: flo
                 low, high = begin - slack, begin + lengths[owner] + slack
                 by = np.lexsort((low, owner))
                 owner, low, high = owner[by], low[by], high[by]
+                use = may_reach(block, numbers, owner, low, high, rare[entry][by], min_score, member)
+                if not use.any():
+                    continue
+                owner, low, high = owner[use], low[use], high[use]
                 # overlapping windows of one item become one
                 reach = np.maximum.accumulate(high + owner * (len(numbers) * 4 + 100_000)) - owner * (len(numbers) * 4 + 100_000)
                 new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (low[1:] > reach[:-1])])
@@ -232,9 +257,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_S
     """
     spark, parts = docs.sparkSession, []
     for block in item_blocks(benchmark, block_words):
-        seeds = rare_grams(block, gram_frequencies(docs, block))
+        rare = rare_grams(block, gram_frequencies(docs, block))
         names = spark.createDataFrame([(i, v) for i, v in enumerate(block.item_ids)], "item int, item_id bigint")
-        parts.append(matches(docs, block, seeds, min_score).join(F.broadcast(names), "item"))  # at most block_words rows
+        parts.append(matches(docs, block, rare, min_score).join(F.broadcast(names), "item"))  # at most block_words rows
     if not parts:
         return spark.createDataFrame([], "doc_id bigint, item_id bigint, score double, last_word bigint")
     rows = parts[0]
