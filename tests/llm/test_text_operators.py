@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import math
 import random
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -69,6 +70,28 @@ def test_known_table_is_bounded(spark):
         license_scan.known_digests(spark, {"X": tuple(map(str, range(license_scan.MAX_KNOWN + 1)))})
 
 
+def test_whole_licences_are_known(spark):
+    """Whole texts as they lie in repositories: below a copyright line or title, rewrapped, without the part after the terms."""
+    folder = Path(license_scan.__file__).parent / "licenses"
+    text = lambda name: (folder / f"{name}.txt").read_text("utf-8")
+    names = ["Apache-2.0", "GPL-3.0", "MPL-2.0", "CC0-1.0", "BSD-2-Clause", "BSD-3-Clause"]
+    docs = [(i, " ".join(text(name).upper().split(" "))) for i, name in enumerate(names)]
+    want = dict(enumerate(names))
+    others = [
+        ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, Some One\nAll rights reserved.\n\n" + text("BSD-3-Clause")),
+        ("BSD-2-Clause", "Copyright 2021 Some One\n\n" + text("BSD-2-Clause").replace("1. ", "* ").replace("2. ", "* ")),
+        ("MIT", "MIT License\n\nCopyright (c) 2020 Some One\n\n" + license_scan.KNOWN["MIT"][-1]),
+        ("Apache-2.0", text("Apache-2.0").split("APPENDIX")[0]),
+        (None, text("Apache-2.0").replace("perpetual", "yearly", 1)),
+        (None, text("BSD-3-Clause") + "\nand more"),
+    ]
+    for i, (name, body) in enumerate(others, 100):
+        docs.append((i, body))
+        want |= {i: name} if name else {}
+    found = license_scan.license_scan(frame(spark, docs)).where("text_license is not null")
+    assert {r["doc_id"]: r["text_license"] for r in found.collect()} == want
+
+
 def test_quality_votes_on_held_out_rows(spark, data):
     data = data.replace("sf0.001", "sf0.01")
     docs, labels = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/labels.parquet")

@@ -4,15 +4,17 @@ A unit is a whole text, or one line of it (``kind`` tells which). Its canonical
 form is lower case with equivalent spellings unified, copyright lines removed,
 and every run of other characters than letters and digits turned into one blank.
 Units meet the known digests in an equi-join on SHA-256, so equal means equal as
-a whole; the known table is part of the code and its size is checked before it
-is broadcast. Null and empty texts have no unit that matches; repeated rows and
+a whole; the known table is part of the package (wordings here, longer whole texts
+in ``licenses``) and its size is checked before it is broadcast. Null and empty texts have no unit that matches; repeated rows and
 null doc_ids are carried along; only doc_id and text are read. All work is done
 by built-in functions.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
+from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,6 +85,14 @@ PERFORMANCE OF THIS SOFTWARE.""",
     "BSD-3-Clause": ("SPDX-License-Identifier: BSD-3-Clause", "Released under the 3-Clause BSD License"),
     "MPL-2.0": ("SPDX-License-Identifier: MPL-2.0", "Licensed under the Mozilla Public License, version 2.0"),
 }
+# Titles that may stand above a whole text.
+TITLES: dict[str, tuple[str, ...]] = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License'),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License'),
+}
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
 # Spellings that mean the same in licence texts; the first becomes the second.
 SPELLINGS: tuple[tuple[str, str], ...] = (
     ("licence", "license"),
@@ -116,16 +126,41 @@ def digest(flat_unit: Column) -> Column:
     return F.sha2(flat_unit.cast("binary"), 256)
 
 
-def known_digests(spark: SparkSession, known: Mapping[str, tuple[str, ...]] = KNOWN) -> DataFrame:
+def known_wordings() -> dict[str, tuple[str, ...]]:
+    """KNOWN with the whole texts of the package, and the usual forms of whole texts.
+
+    Forms: below a title, with all rights reserved, with bullets for numbers of
+    clauses (BSD), without what follows the terms, with either scheme in addresses.
+    """
+    out: dict[str, list[str]] = {name: list(wordings) for name, wordings in KNOWN.items()}
+    for file in sorted(files("wayfare.llm").joinpath("licenses").iterdir(), key=lambda f: f.name):
+        name, text = file.name.removesuffix(".txt").removesuffix(".regents"), file.read_text("utf-8")
+        forms = [text]
+        if END_OF_TERMS in text:
+            terms = text[: text.index(END_OF_TERMS)]
+            forms += [terms, terms + END_OF_TERMS]
+        if name.startswith("BSD"):
+            forms.append(re.sub(r"(?m)^\s*\d\. ", "* ", text))
+        forms += [f.replace("https://", "http://") for f in forms] + [f.replace("http://", "https://") for f in forms]
+        out.setdefault(name, []).extend(forms)
+    for name, titles in TITLES.items():
+        whole = [w for w in out[name] if "\n" in w]
+        whole += [f"All rights reserved.\n{w}" for w in whole]
+        out[name] += [f"{title}\n{w}" for title in ("", *titles) for w in whole]
+    return {name: tuple(wordings) for name, wordings in out.items()}
+
+
+def known_digests(spark: SparkSession, known: Mapping[str, tuple[str, ...]] | None = None) -> DataFrame:
     """license, digest: one row per known wording."""
-    pairs = [(name, wording) for name, wordings in known.items() for wording in wordings]
+    table = known_wordings() if known is None else known
+    pairs = sorted({(name, wording) for name, wordings in table.items() for wording in wordings})
     if len(pairs) > MAX_KNOWN:
         raise ValueError(f"{len(pairs)} known wordings; at most {MAX_KNOWN} are broadcast")
     frame = spark.createDataFrame(pairs, "license string, wording string")
     return frame.select("license", flat(canonical(F.col("wording"))).alias("f")).where("f != ''").select("license", digest(F.col("f")).alias("digest")).distinct()
 
 
-def license_units(docs: DataFrame, known: Mapping[str, tuple[str, ...]] = KNOWN) -> DataFrame:
+def license_units(docs: DataFrame, known: Mapping[str, tuple[str, ...]] | None = None) -> DataFrame:
     """doc_id, kind (``text`` or ``line``), line (from 0; null for texts), license: every unit that is a known licence.
 
     Lines of a text that is a licence as a whole are looked up as well.
@@ -141,7 +176,7 @@ def license_units(docs: DataFrame, known: Mapping[str, tuple[str, ...]] = KNOWN)
     return digested.join(F.broadcast(known_digests(docs.sparkSession, known)), "digest").select("doc_id", kind, "line", "license")
 
 
-def license_scan(docs: DataFrame, known: Mapping[str, tuple[str, ...]] = KNOWN) -> DataFrame:
+def license_scan(docs: DataFrame, known: Mapping[str, tuple[str, ...]] | None = None) -> DataFrame:
     """One row per doc_id with a licence: text_license (of the whole text, else null), licenses (sorted, blank-separated), n_lines.
 
     Rows that share a doc_id are pooled. Only matches are shuffled, and they are counted before that.
