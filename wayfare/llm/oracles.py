@@ -143,7 +143,36 @@ select page_id, payload_bytes, payload_digest, case when page_id = keeper then '
 from named
 """
 
+LEXICAL_SEARCH = r"""
+with d as (
+  select row_number() over () as d, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents where text is not null
+),
+sized as (select d, doc_id, terms, len(terms)::bigint as n from d where len(terms) > 0),
+totals as (select count(*)::bigint as docs, sum(n)::bigint as length from sized),
+tally as (select d, term, count(*)::bigint as tf from (select d, unnest(terms) as term from sized) group by d, term),
+asked as (
+  select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark
+),
+weighed as (
+  select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)))::bigint as w
+  from tally, totals where term in (select term from asked) group by term, docs
+),
+scored as (
+  select item_id, d, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // length))))::bigint as score
+  from asked join weighed using (term) join tally using (term) join sized using (d), totals
+  group by item_id, d, doc_id
+),
+placed as (select *, row_number() over (partition by item_id order by score desc, doc_id nulls last) as place from scored where score > 0)
+select item_id, place::int as rank, doc_id, score from placed where place <= 50
+"""
+
 ORACLES: dict[str, str] = {
+    "op11_lexical_search": LEXICAL_SEARCH,
     "op7_warc": WARC,
     "op2_ngram_jaccard_join": JACCARD,
     "op4_license_scan": LICENSES,

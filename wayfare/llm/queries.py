@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayfare.llm import bpe_automaton
 from wayfare.llm.common import Query, ship_package, table
 from wayfare.llm.decontaminate import contaminated
 from wayfare.llm.jaccard_join import similar_components
 from wayfare.llm.language_id import language_id
+from wayfare.llm.lexical_search import search
 from wayfare.llm.license_scan import license_scan
 from wayfare.llm.packing import pack
 from wayfare.llm.quality_knn import quality_scores
 from wayfare.llm.quality_rules import quality_rules
 from wayfare.llm.suffix_dedup import remove_repeats
+from wayfare.llm.token_alignment import alignment_counts
 from wayfare.llm.token_counts import token_counts
 from wayfare.llm.warc import read_packages, write_packages
 from wayfare.session import scratch_path
@@ -85,6 +88,26 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    path = vocabulary("word_bpe_49k.json")
+    both = bpe_automaton.decode(bpe_automaton.encode(table(spark, sf_dir, "documents"), path), path)
+    return both.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return alignment_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -96,4 +119,7 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_decontamination": op10_decontamination,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_bpe_automaton": op12_bpe_automaton,
+    "op13_token_alignment": op13_token_alignment,
 }
