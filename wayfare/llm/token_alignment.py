@@ -36,8 +36,10 @@ from wayfare.llm.tokens import UnitCache, byte_letters, little_endian, load
 
 #: Tokens of each side that are aligned at a time; a longer text is aligned alone.
 BATCH_TOKENS = 100_000
+#: Rows whose texts are taken out of a batch at a time.
+SLICE_ROWS = 200
 #: Units between blanks whose ids a worker remembers.
-CACHE_UNITS = 200_000
+CACHE_UNITS = 60_000
 LONGEST_CACHED = 48
 _SPACE_THEN_BLANK = re.compile(r"\s ")
 _BLANK = "▁"
@@ -106,7 +108,8 @@ class PairEncoder:
             return None
         if len(self.units) > CACHE_UNITS:
             self.units.clear()
-        self.a_units.trim()
+            self.a_units.clear()
+            self.a_units.words.clear()
         if _SPACE_THEN_BLANK.search(" " + text):
             return self._checked(text, self.library.encode(" " + text, add_special_tokens=False).ids, self.model.encode(text))
         known, units = self.units, text.split(" ")
@@ -190,14 +193,15 @@ def aligner(byte_path: str, piece_path: str):
             doc_ids: list = []
             ids: list[tuple[bytes, bytes]] = []
             size = 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                got = encoder.text(text) or (b"", b"")
-                doc_ids.append(doc_id)
-                ids.append(got)
-                size += len(got[0]) // 4
-                if size >= BATCH_TOKENS:
-                    yield emitted(doc_ids, ids, a_length, b_length)
-                    doc_ids, ids, size = [], [], 0
+            for part in (batch.slice(at, SLICE_ROWS) for at in range(0, batch.num_rows, SLICE_ROWS)):
+                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    got = encoder.text(text) or (b"", b"")
+                    doc_ids.append(doc_id)
+                    ids.append(got)
+                    size += len(got[0]) // 4
+                    if size >= BATCH_TOKENS:
+                        yield emitted(doc_ids, ids, a_length, b_length)
+                        doc_ids, ids, size = [], [], 0
             if doc_ids:
                 yield emitted(doc_ids, ids, a_length, b_length)
 
@@ -211,8 +215,11 @@ def align(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
     overlap_a and overlap_b are a pair of overlapping tokens, counted from 0 in the
     document; the n-th of group_a and group_b are the last tokens of the n-th group.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("t"))
-    return rows.mapInArrow(aligner(byte_path, piece_path), ALIGNED)
+    return texts_of(docs).mapInArrow(aligner(byte_path, piece_path), ALIGNED)
+
+
+def texts_of(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("t"))
 
 
 def suffix_pairs(a_bytes: list[bytes], b_bytes: list[bytes]) -> np.ndarray:
@@ -235,16 +242,6 @@ def suffix_pairs(a_bytes: list[bytes], b_bytes: list[bytes]) -> np.ndarray:
     return np.array(sorted(found), np.int64)
 
 
-_PAIRS: dict[tuple[str, str], np.ndarray] = {}
-
-
-def pair_places(byte_path: str, piece_path: str) -> np.ndarray:
-    key = (byte_path, piece_path)
-    if key not in _PAIRS:
-        _PAIRS[key] = suffix_pairs(byte_token_bytes(load(byte_path)), piece_token_bytes(load_pieces(piece_path)))
-    return _PAIRS[key]
-
-
 def group_texts(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, spelled: list[bytes], n_a: int) -> bytes:
     """``a1,a2|b1;a3|b2,b3`` of one document. ``spelled`` has the A ids before a comma, before a bar, then the B ids before a comma, before a semicolon."""
     n_b = len(spelled) // 2 - n_a
@@ -259,12 +256,11 @@ def group_texts(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.n
     return b"".join(map(spelled.__getitem__, out.tolist()))[:-1]
 
 
-def digester(byte_path: str, piece_path: str):
-    """A function for mapInArrow: the columns of ``align`` to counts, the digest of the groups, and the pairs of ids that end together."""
+def digester(shared, n_a: int, n_b: int):
+    """A function for mapInArrow: the columns of ``align`` to counts, the digest of the groups, and the places of the pairs of ids that end together."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = pair_places(byte_path, piece_path)
-        n_a, n_b = load(byte_path).get_vocab_size(), load_pieces(piece_path).get_piece_size()
+        places = shared.value
         spelled = [b"%d%s" % (i, mark) for n, marks in ((n_a, (b",", b"|")), (n_b, (b",", b";"))) for mark in marks for i in range(n)]
         for batch in batches:
             rows: list[tuple] = []
@@ -321,11 +317,15 @@ def alignment_counts(docs: DataFrame, byte_path: str, piece_path: str) -> DataFr
     pair of ids in the whole corpus, and it is best if no other pair with its B id
     has a higher one.
     """
-    digested = stored(align(docs, byte_path, piece_path).mapInArrow(digester(byte_path, piece_path), DIGESTED), "alignment")
-    places = pair_places(byte_path, piece_path)
+    context = docs.sparkSession.sparkContext
+    a_bytes, b_bytes = byte_token_bytes(load(byte_path)), piece_token_bytes(load_pieces(piece_path))
+    places = suffix_pairs(a_bytes, b_bytes)
+    shared_places = context.broadcast(places)  # one place per suffix pair of the vocabularies, as are the counts
+    aligned, digest = aligner(byte_path, piece_path), digester(shared_places, len(a_bytes), len(b_bytes))
+    digested = stored(texts_of(docs).mapInArrow(lambda batches: digest(aligned(batches)), DIGESTED), "alignment")
+    shared_places.destroy()
     counts = pair_counts(digested, len(places))
-    best = best_of_b(counts, places, load_pieces(piece_path).get_piece_size())
-    shared = docs.sparkSession.sparkContext.broadcast((counts, best))  # one place per suffix pair of the vocabularies
+    shared = context.broadcast((counts, best_of_b(counts, places, len(b_bytes))))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, best = shared.value
