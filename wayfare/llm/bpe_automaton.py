@@ -56,16 +56,18 @@ class Automaton:
         self.cuts: dict[int, dict[int, int]] = {}
         self.steps: dict[int, bool] = {}
         self.unreachable: set[int] = set()
+        merges = list(merges)
+        later = {ids[u + v] for u, v in merges}  # labels that no merge has made yet
         for rank, (u, v) in enumerate(merges):
+            if ids[u] in later or ids[v] in later:
+                raise ValueError(f"{u!r} {v!r} comes before its parts")
+            later.discard(ids[u + v])
             self._add_gadget(rank, u, v)
 
     def _add_gadget(self, rank: int, first: str, second: str) -> None:
         u, v, both = self.ids[first], self.ids[second], self.ids[first + second]
         if both in self.rank:
             raise ValueError(f"two merges make {first + second!r}")
-        for part in (u, v):
-            if self.rank.get(part, -1) >= rank:
-                raise ValueError(f"{first!r} {second!r} comes before its parts")
         meet = u not in self.unreachable and v not in self.unreachable and self.goes(u, v)
         self.left[both], self.rank[both] = u, rank
         if v in self.cuts:
