@@ -57,7 +57,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder and read back: cuts lineage and outlives executors."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def drop_stored(*frames: DataFrame) -> None:
+    """Removes what ``stored`` wrote for these frames; nothing may read them afterwards."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_bytes(docs: DataFrame, column: str = "text") -> int:

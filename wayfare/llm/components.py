@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import stored
+from wayfare.llm.common import drop_stored, stored
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -24,9 +24,12 @@ def connected_components(links: DataFrame) -> DataFrame:
         hung = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         low = hung.groupBy("u").agg(F.min("v").alias("m"))
         moved = hung.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stored(moved.union(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        last, edges = edges, stored(moved.union(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        drop_stored(last)
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
         before = state
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("root")).union(edges.select("v", "v").distinct())
+    out = edges.select(F.col("u").alias("id"), F.col("v").alias("root")).union(edges.select("v", "v").distinct())
+    out.stored_at = edges.stored_at
+    return out

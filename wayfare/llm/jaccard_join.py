@@ -19,11 +19,15 @@ size and not by its square; still no link between different classes is left out:
 2. one pass sends the leading n-grams of each class that are shared to their
    lists; entries that have no other class of fitting size in their list go, if
    the list is in one piece (a partner may stand in another piece);
-3. one pass brings the sets of the classes that are left;
+3. one pass brings parity signatures of the classes that are left;
 4. each list proposes links between near neighbours and with its first class, of which
-   parity signatures rule out most; the others are counted, and components built;
+   the signatures rule out most; one pass brings the sets of the classes in the others,
+   these are counted, and components built;
 5. each list proposes all pairs across components that sizes and places in the
-   order cannot rule out; these go the same way.
+   order cannot rule out; these go the same way. A list is compared in pieces by the
+   number of entries that it really has.
+
+Tables in between are removed as soon as nothing reads them.
 
 Words are runs of other characters than white space, A-Z in lower case; a text
 with fewer words than an n-gram is one n-gram as a whole. Null and empty texts
@@ -43,22 +47,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import mixed, packed_numbers, stored, text_bytes, text_of, unpacked_numbers
+from wayfare.llm.common import drop_stored, mixed, packed_numbers, stored, text_bytes, text_of, unpacked_numbers
 from wayfare.llm.components import connected_components
 
 GRAM = 5
 PERCENT = 75
 FRAGMENTS = 4
 #: N-grams per block in which frequent ones are looked for, and how often they must be in it.
-BLOCK_GRAMS = 2_000_000
+BLOCK_GRAMS = 1_000_000
 FREQUENT_IN_BLOCK = 3
 FREQUENT = 16
 #: Frequent n-grams that are broadcast, the most frequent first; the order is right with any choice.
 MAX_FREQUENT = 200_000
-#: Entries of one n-gram after which its list is split, and in which it is compared in full.
+#: Documents of a frequent n-gram after which its list is split, and entries that are compared with each other at a time.
 LIST_ENTRIES = 20_000
 CHUNK = 2_000
-PART_ENTRIES = 500_000
+PART_ENTRIES = 250_000
 #: Entries after it in its list to which an entry's class is proposed as a link; what that leaves apart is compared in full.
 NEIGHBOURS = 8
 #: Places of the bitmap that tells which documents' sets are needed.
@@ -71,8 +75,11 @@ BLOCK_BYTES = 16 << 20
 STEP = np.uint64(0x9E3779B97F4A7C15)
 SALT = np.uint64(0xC2B2AE3D27D4EB4F)
 ENTRY = np.dtype([("gram", "<u8"), ("cid", "<i8"), ("n", "<i4"), ("at", "<i4")])
-#: Places of the bitmap of shared n-grams (32 MB).
-SHARED_BITS = 28
+#: Bits of a place in the bitmap of shared n-grams: one place per four bytes of text, at least 2^22 and at most 2^28 (32 MB).
+LEAST_SHARED_BITS, MOST_SHARED_BITS = 22, 28
+#: Entries that are packed at a time, and pairs that are held before repeated ones go.
+FLUSH_ENTRIES = 300_000
+HELD_PAIRS = 500_000
 #: Bytes of text per part in which n-grams are counted for it.
 GRAM_PART_BYTES = 8 << 20
 
@@ -215,14 +222,14 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(unpacked_numbers(data, 4, len(data) // 4), dtype=np.int64)
 
 
-def marker(part_bits: int):
+def marker(part_bits: int, shared_bits: int):
     """For applyInArrow by part: the part's slice of the bitmap, with the places of n-grams that were sent twice."""
 
     def mark(group: pa.Table) -> pa.Table:
         found = np.sort(np.concatenate([unpacked(x.as_py()) for x in group.column("places")]))
         twice = found[1:][found[1:] == found[:-1]]
-        slots = np.zeros(1 << (SHARED_BITS - part_bits), np.uint8)
-        slots[twice >> (32 - SHARED_BITS + part_bits)] = 1
+        slots = np.zeros(1 << (shared_bits - part_bits), np.uint8)
+        slots[twice >> (32 - shared_bits + part_bits)] = 1
         part = group.column("id")[0].as_py()
         return pa.table({"part": pa.array([part], pa.int64()), "bits": pa.array([np.packbits(slots, bitorder="little").tobytes()], pa.binary())})
 
@@ -263,7 +270,7 @@ def leading(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
 
-def lister(frequent_shared, bitmap_shared, size: int, percent: int, bits: int, list_entries: int):
+def lister(frequent_shared, bitmap_shared, shared_bits: int, size: int, percent: int, bits: int, list_entries: int):
     """Pass 2, for mapInArrow: the shared n-grams of each class's leading part, packed by part of the n-grams' range."""
 
     def flush(held: list[tuple[np.ndarray, int, int, int]], frequent: Frequent) -> pa.RecordBatch:
@@ -290,7 +297,7 @@ def lister(frequent_shared, bitmap_shared, size: int, percent: int, bits: int, l
         seen: set[int] = set()
         held, total = [], 0
         for _, grams in rows_of(batches, size):
-            place = (grams >> np.uint64(64 - SHARED_BITS)).astype(np.int64)
+            place = (grams >> np.uint64(64 - shared_bits)).astype(np.int64)
             common = grams[bitmap[place >> 3] >> (place & 7).astype(np.uint8) & 1 == 1]
             alone = len(grams) - len(common)
             want = leading(len(grams), percent) - alone if len(grams) else 0
@@ -308,7 +315,7 @@ def lister(frequent_shared, bitmap_shared, size: int, percent: int, bits: int, l
                 first = np.concatenate([first, common[late]])
             held.append((first, cid, len(grams), alone))
             total += len(first)
-            if total >= 1_000_000:
+            if total >= FLUSH_ENTRIES:
                 yield flush(held, frequent)
                 held, total = [], 0
         if held:
@@ -323,15 +330,13 @@ def possible(na: np.ndarray, nb: np.ndarray, ia: np.ndarray, ib: np.ndarray, per
     return (na - ia >= need) & (nb - ib >= need)
 
 
-LISTED = "kind int, gram bigint, a bigint, na int, at int, chunks int, b bigint, nb int"
+LISTED = "kind int, gram bigint, a bigint, na int, at int, b bigint, nb int"
 
 
-def matcher(frequent_shared, percent: int, list_entries: int, chunk: int):
+def matcher(frequent_shared, percent: int, list_entries: int):
     """For applyInPandas by part: entries (kind 0) that may have another class of fitting size, and proposed links (kind 1).
 
     All entries of a split list stay: sub-lists meet only when they are compared in full.
-    ``chunks`` is the number of pieces in which a list is compared later; it goes by
-    how frequent the n-gram is, so all sub-lists of an n-gram agree on it.
     """
 
     def match(frame: pd.DataFrame) -> pd.DataFrame:
@@ -342,7 +347,7 @@ def matcher(frequent_shared, percent: int, list_entries: int, chunk: int):
         fits = (gram[1:] == gram[:-1]) & (100 * n[:-1] >= percent * n[1:])
         place = frequent.places(gram)
         keep = np.concatenate([fits, [False]]) | np.concatenate([[False], fits]) | (frequent.pieces(place, list_entries) > 1)
-        gram, cid, n, at, place = gram[keep], cid[keep], n[keep], at[keep], place[keep]
+        gram, cid, n, at = gram[keep], cid[keep], n[keep], at[keep]
         if not len(gram):
             return pd.DataFrame({c.split()[0]: [] for c in LISTED.split(", ")})
         first = np.concatenate([[True], gram[1:] != gram[:-1]])
@@ -353,9 +358,8 @@ def matcher(frequent_shared, percent: int, list_entries: int, chunk: int):
         use = (gram[left] == gram[right]) & (left != right) & possible(n[left], n[right], at[left], at[right], percent)
         left, right = left[use], right[use]
         pairs = np.unique(np.stack([cid[left], n[left], cid[right], n[right]], axis=1), axis=0)
-        chunks = frequent.pieces(place, chunk)
-        rows = pd.DataFrame({"kind": 0, "gram": gram.view(np.int64), "a": cid, "na": n, "at": at, "chunks": chunks, "b": 0, "nb": 0})
-        proposed = pd.DataFrame({"kind": 1, "gram": 0, "a": pairs[:, 0], "na": pairs[:, 1], "at": 0, "chunks": 0, "b": pairs[:, 2], "nb": pairs[:, 3]})
+        rows = pd.DataFrame({"kind": 0, "gram": gram.view(np.int64), "a": cid, "na": n, "at": at, "b": 0, "nb": 0})
+        proposed = pd.DataFrame({"kind": 1, "gram": 0, "a": pairs[:, 0], "na": pairs[:, 1], "at": 0, "b": pairs[:, 2], "nb": pairs[:, 3]})
         return pd.concat([rows, proposed], ignore_index=True)
 
     return match
@@ -382,34 +386,51 @@ def apart_at_least(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.bitwise_count(fold(a) ^ fold(b)).sum())
 
 
-def fetcher(shared, size: int, fragments: int):
-    """Pass 3, for mapInArrow: sets, cut into fragments of the order, of documents whose place in the bitmap is set."""
+def by_class(shared, size: int, fragments: int):
+    """For mapInArrow over documents whose place in the bitmap is set: signatures (no fragments) or sets cut into fragments of the order."""
 
-    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows_per_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_bitmap(shared)(batches):
             rows: list[tuple] = []
             for _, grams in rows_of(iter([batch.select([0, 1])]), size):
                 if not len(grams):
                     continue
-                cid, mark = class_id(grams), long_signature(grams).tobytes()
-                cuts = np.searchsorted(grams, [np.uint64(((1 << 64) * f) // fragments) for f in range(1, fragments)])
-                for fragment, held in enumerate(np.split(grams, cuts)):
-                    rows.append((cid, fragment, mark if fragment == 0 else None, held.tobytes()))
+                cid = class_id(grams)
+                if not fragments:
+                    rows.append((cid, 0, long_signature(grams).tobytes()))
+                else:
+                    cuts = np.searchsorted(grams, [np.uint64(((1 << 64) * f) // fragments) for f in range(1, fragments)])
+                    rows += [(cid, fragment, held.tobytes()) for fragment, held in enumerate(np.split(grams, cuts))]
                 if len(rows) > 2000:
-                    yield sets_batch(rows)
+                    yield class_batch(rows)
                     rows = []
-            yield sets_batch(rows)
+            yield class_batch(rows)
+
+    return rows_per_class
+
 
-    return fetch
+PER_CLASS = "cid bigint, fragment int, data binary"
 
 
-SETS = "cid bigint, fragment int, mark binary, grams binary"
+def class_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[]] * 3
+    types = [pa.int64(), pa.int32(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["cid", "fragment", "data"])
 
 
-def sets_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [[]] * 4
-    types = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["cid", "fragment", "mark", "grams"])
+def of_classes(texts: DataFrame, classes: DataFrame, wanted: DataFrame, size: int, fragments: int, label: str) -> DataFrame:
+    """cid, fragment, data of the classes in ``wanted`` (cid), from the text of each class's first document.
+
+    A bitmap of first documents tells whose texts are read; a document that shares
+    its place in it brings a class that is not wanted, or one that is there already.
+    """
+    wanted = stored(wanted.select("cid").distinct(), "wanted")
+    shared = texts.sparkSession.sparkContext.broadcast(bitmap_of(wanted.join(classes, "cid").select(F.col("first").alias("id"))))
+    near = texts.withColumn("place", place_of("doc_id")).mapInArrow(by_class(shared, size, fragments), PER_CLASS)
+    out = stored(near.join(wanted, "cid", "left_semi").dropDuplicates(["cid", "fragment"]), label)
+    shared.destroy()
+    drop_stored(wanted)
+    return out
 
 
 def not_ruled_out(percent: int):
@@ -428,13 +449,13 @@ def not_ruled_out(percent: int):
 
 def likely(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, na, b, nb) that the signatures leave."""
-    left, right = marks.select(F.col("cid").alias("a"), F.col("mark").alias("wa")), marks.select(F.col("cid").alias("b"), F.col("mark").alias("wb"))
+    left, right = marks.select(F.col("cid").alias("a"), F.col("data").alias("wa")), marks.select(F.col("cid").alias("b"), F.col("data").alias("wb"))
     return pairs.join(left, "a").join(right, "b").mapInPandas(not_ruled_out(percent), "a bigint, na int, b bigint, nb int")
 
 
 def count_fragment(key: tuple, pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
     """Partial overlaps of the pairs of one block in one fragment."""
-    held = {cid: np.frombuffer(grams, np.uint64) for cid, grams in zip(sets["cid"], sets["grams"])}
+    held = {cid: np.frombuffer(grams, np.uint64) for cid, grams in zip(sets["cid"], sets["data"])}
     none = np.zeros(0, np.uint64)
     found = [
         len(np.intersect1d(held.get(a, none), held.get(b, none), assume_unique=True)) for a, b in zip(pairs["a"], pairs["b"])
@@ -442,26 +463,18 @@ def count_fragment(key: tuple, pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.Da
     return pd.DataFrame({"a": pairs["a"], "na": pairs["na"], "b": pairs["b"], "nb": pairs["nb"], "overlap": found})
 
 
-def asked_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The sets of the classes in some pairs; a bitmap keeps most others off the shuffle."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    shared = sets.sparkSession.sparkContext.broadcast(bitmap_of(asked))
-    near = sets.select("cid", "fragment", "grams", place_of("cid").alias("place")).mapInArrow(in_bitmap(shared), "cid bigint, fragment int, grams binary, place bigint")
-    return stored(near.join(asked, near["cid"] == asked["id"], "left_semi").drop("place"), "asked")
-
-
 def links_of(pairs: DataFrame, held: DataFrame, fragments: int, percent: int) -> DataFrame:
     """a, b of the pairs (a, na, b, nb) that are similar: overlaps per fragment, summed per pair.
 
     Classes are dealt to blocks; a set goes once to each pair of blocks in which it
     has a partner, so a class with many partners is sent ``blocks`` times at most.
     """
-    blocks = max(4, -(-int(held.agg(F.sum(F.octet_length("grams"))).first()[0] or 0) // BLOCK_BYTES))
+    blocks = max(4, -(-int(held.agg(F.sum(F.octet_length("data"))).first()[0] or 0) // BLOCK_BYTES))
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
     dealt = pairs.select("a", "na", "b", "nb", block("a").alias("p"), block("b").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))).alias("fragment"))
     needs = dealt.select("p", "q", "fragment", F.explode(F.array("a", "b")).alias("cid")).distinct()
     sent = needs.join(held, ["cid", "fragment"]).select(
-        F.col("p").alias("sp"), F.col("q").alias("sq"), F.col("fragment").alias("sf"), "cid", "grams"
+        F.col("p").alias("sp"), F.col("q").alias("sq"), F.col("fragment").alias("sf"), "cid", "data"
     )
     partial = (
         dealt.groupBy("p", "q", "fragment").cogroup(sent.groupBy("sp", "sq", "sf"))
@@ -481,6 +494,7 @@ def crosser(percent: int):
         group = frame.groupby(["gram", "p", "q"], sort=False).ngroup().to_numpy()
         reach = np.searchsorted(group, group, "right")  # end of each entry's list
         found: list[np.ndarray] = []
+        held = 0
         live = np.arange(len(frame))
         for offset in range(1, len(frame)):
             live = live[live + offset < reach[live]]
@@ -494,6 +508,10 @@ def crosser(percent: int):
             a, b = live[ok], other[ok]
             if len(a):
                 found.append(np.stack([cid[a], n[a], cid[b], n[b]], axis=1))
+                held += len(a)
+                if held > HELD_PAIRS:
+                    found = [np.unique(np.concatenate(found), axis=0)]
+                    held = min(len(found[0]), HELD_PAIRS // 2)
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 4), np.int64)
         return pd.DataFrame({"a": pairs[:, 0], "na": pairs[:, 1], "b": pairs[:, 2], "nb": pairs[:, 3]})
 
@@ -507,9 +525,11 @@ def ordered_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.select(pick("a", "b").alias("a"), pick("na", "nb").alias("na"), pick("b", "a").alias("b"), pick("nb", "na").alias("nb")).distinct()
 
 
-def cross_pairs(entries: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes in one list and different components; lists of frequent n-grams are compared chunk by chunk."""
-    rooted = entries.join(roots, entries["cid"] == roots["id"], "left").withColumn("root", F.coalesce("root", "cid"))
+def cross_pairs(entries: DataFrame, roots: DataFrame, percent: int, chunk: int) -> DataFrame:
+    """Pairs of classes in one list and different components; lists of more than ``chunk`` entries are compared chunk by chunk."""
+    sizes = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > chunk)
+    chunked = entries.join(sizes, "gram", "left").withColumn("chunks", F.coalesce(F.ceil(F.col("held") / chunk), F.lit(1)))
+    rooted = chunked.join(roots, chunked["cid"] == roots["id"], "left").withColumn("root", F.coalesce("root", "cid"))
     mine = F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int")
     sent = rooted.select("gram", "cid", "n", "at", "root", mine.alias("side"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("with"))
     parts = max(1, entries.count() // PART_ENTRIES)
@@ -553,40 +573,49 @@ def similar_components(
     """doc_id, n_shingles, component_id: the smallest doc_id that is reachable by links, its own included."""
     spark, context = docs.sparkSession, docs.sparkSession.sparkContext
     texts = texts_of(docs)
-    part_bits = min(20, max(4, int(text_bytes(docs) // GRAM_PART_BYTES).bit_length()))
+    n_bytes = text_bytes(docs)
+    part_bits = min(20, max(4, int(n_bytes // GRAM_PART_BYTES).bit_length()))
+    shared_bits = min(MOST_SHARED_BITS, max(LEAST_SHARED_BITS, (n_bytes // 4).bit_length()))
 
     seen = stored(texts.mapInArrow(summarise(size, part_bits), SUMMARY), "sets-seen")
-    members = seen.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "cid")
-    classes = members.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("first"))
+    members = stored(seen.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "cid"), "members")
+    classes = stored(members.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("first")), "classes")
     often = seen.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
-    top = often.orderBy(F.desc("n"), "id").limit(MAX_FREQUENT).toPandas()
-    frequent = context.broadcast((top["id"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)))
-    bitmap = bytearray((1 << SHARED_BITS) // 8)
+    top = often.orderBy(F.desc("n"), "id").limit(MAX_FREQUENT).toArrow()
+    frequent = context.broadcast((top["id"].to_numpy().view(np.uint64), top["n"].to_numpy()))
+    bitmap = bytearray((1 << shared_bits) // 8)
     length = len(bitmap) >> part_bits
-    slices = seen.where("kind = 2").select("id", "places").groupBy("id").applyInArrow(marker(part_bits), "part bigint, bits binary")
+    slices = seen.where("kind = 2").select("id", "places").groupBy("id").applyInArrow(marker(part_bits, shared_bits), "part bigint, bits binary")
     for part in slices.toLocalIterator():  # the bitmap, slice by slice
         bitmap[part["part"] * length : (part["part"] + 1) * length] = part["bits"]
-    shared = context.broadcast(bytes(bitmap))
+    shared = context.broadcast(bitmap)
+    del bitmap, top
+    drop_stored(seen)
 
     entries_due = (members.agg(F.sum("n")).first()[0] or 0) * (100 - percent) // 100
     bits = max(4, int(entries_due // PART_ENTRIES).bit_length())
-    leads = texts.mapInArrow(lister(frequent, shared, size, percent, bits, list_entries), "part int, entries binary")
-    listed = stored(leads.groupBy("part").applyInPandas(matcher(frequent, percent, list_entries, chunk), LISTED), "lists")
-    entries = listed.where("kind = 0").select("gram", F.col("a").alias("cid"), F.col("na").alias("n"), "at", "chunks")
+    leads = texts.mapInArrow(lister(frequent, shared, shared_bits, size, percent, bits, list_entries), "part int, entries binary")
+    listed = stored(leads.groupBy("part").applyInPandas(matcher(frequent, percent, list_entries), LISTED), "lists")
+    shared.destroy()
+    frequent.destroy()
+    entries = listed.where("kind = 0").select("gram", F.col("a").alias("cid"), F.col("na").alias("n"), "at")
     proposed = ordered_pairs(listed.where("kind = 1").select("a", "na", "b", "nb"))
-
-    wanted = entries.select("cid").distinct().join(classes, "cid")
-    needed = context.broadcast(bitmap_of(wanted.select(F.col("first").alias("id"))))
-    placed = texts.withColumn("place", place_of("doc_id"))
-    # a document that shares its place in the bitmap brings a set that no pair asks for, or one that is there already
-    sets = stored(placed.mapInArrow(fetcher(needed, size, fragments), SETS), "sets")
-    marks = stored(sets.where("fragment = 0").select("cid", "mark").dropDuplicates(["cid"]), "marks")
-
-    checked = stored(likely(proposed, marks, percent), "pairs")
-    links = stored(links_of(checked, asked_sets(checked, sets), fragments, percent), "links")
-    across = ordered_pairs(cross_pairs(entries, connected_components(links), percent))
-    checked = stored(likely(across, marks, percent), "pairs")
-    roots = connected_components(links.union(links_of(checked, asked_sets(checked, sets), fragments, percent)))
+    marks = of_classes(texts, classes, entries, size, 0, "marks")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Of some pairs those that are similar."""
+        checked = stored(likely(pairs, marks, percent), "pairs")
+        asked = of_classes(texts, classes, checked.select(F.explode(F.array("a", "b")).alias("cid")), size, fragments, "sets")
+        links = stored(links_of(checked, asked, fragments, percent), "links")
+        drop_stored(checked, asked)
+        return links
+
+    links = linked(proposed)
+    roots = connected_components(links)
+    across = linked(ordered_pairs(cross_pairs(entries, roots, percent, chunk)))
+    drop_stored(listed, marks, roots)
+    roots = connected_components(links.union(across))
+    drop_stored(links, across)
 
     rooted = classes.join(roots, classes["cid"] == roots["id"], "left").select("cid", "first", F.coalesce("root", "cid").alias("root"))
     heads = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
