@@ -3,7 +3,10 @@
 A seed is an n-gram of a test item's words that is rare in the corpus, compared
 with the item's other n-grams. In each document a frequent n-gram is a seed as well
 if the words around it leave the least score possible, so a passage is found however
-often the same edit of it leaked. Where a document holds a seed, the words around it are aligned locally with the
+often the same edit of it leaked. An alignment of the least score matches so many of an
+item's words that some are among its rarest ones, so a document is only compared with
+items of which it has enough rare words; an n-gram that very many items share does not
+bring each of them to each document. Where a document holds a seed, the words around it are aligned locally with the
 whole item; the score is the best alignment's (matches minus mismatches and gaps)
 over the number of the item's words, so it is 1 for a verbatim copy and falls
 with every edit. Words are runs of letters and digits in lower case.
@@ -202,15 +205,79 @@ def may_reach(
     return out
 
 
+@dataclass
+class RareWords:
+    """For each word, the items that have it among their rarest ones, and how many of these an alignment must match.
+
+    An alignment of the least score matches ``least`` words of an item, so of any
+    ``len - least + k`` words at least k. Words are the rarer, the fewer items have them.
+    """
+
+    first: np.ndarray  # per word, its first entry, and one past the last
+    owner: np.ndarray
+    times: np.ndarray
+    need: np.ndarray  # per item: k
+
+    def candidates(self, numbers: np.ndarray) -> np.ndarray:
+        """Items, in order, of which a document with these words has enough rare words."""
+        known = np.unique(numbers)
+        known = known[known > 0]
+        begin, count = self.first[known], self.first[known + 1] - self.first[known]
+        entry = expanded(begin, count)
+        owner, inverse = np.unique(self.owner[entry], return_inverse=True)
+        held = np.bincount(inverse, weights=self.times[entry], minlength=len(owner))
+        return owner[held >= self.need[owner]]
+
+
+def expanded(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """All numbers from each ``begin`` on, ``count`` of them."""
+    return np.repeat(begin, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+
+
+def rare_words(block: ItemBlock, min_score: float) -> RareWords:
+    holders = np.bincount(np.concatenate([np.unique(i) for i in block.items]), minlength=block.base)
+    words, owners, times, need = [], [], [], []
+    for owner, item in enumerate(block.items):
+        least = max(1, int(np.ceil(min_score * len(item))))
+        need.append(max(1, least // 4))
+        rarest = item[np.argsort(holders[item], kind="stable")][: len(item) - least + need[-1]]
+        word, n = np.unique(rarest, return_counts=True)
+        words.append(word)
+        owners.append(np.full(len(word), owner))
+        times.append(n)
+    word = np.concatenate(words)
+    order = np.argsort(word, kind="stable")
+    first = np.searchsorted(word[order], np.arange(block.base + 1))
+    return RareWords(first, np.concatenate(owners)[order], np.concatenate(times)[order], np.array(need))
+
+
+def entries_of(which: np.ndarray, starts: np.ndarray, ends: np.ndarray, owners: np.ndarray, keys: np.ndarray, candidates: np.ndarray, n_items: int) -> tuple[np.ndarray, np.ndarray]:
+    """Entries of the hit n-grams that belong to a candidate, and the hit of each; the shorter of both lists is gone through."""
+    repeat = ends[which] - starts[which]
+    if repeat.sum() <= len(which) * len(candidates):
+        entry = expanded(starts[which], repeat)
+        hit = np.repeat(np.arange(len(which)), repeat)
+        at = np.minimum(np.searchsorted(candidates, owners[entry]), len(candidates) - 1)
+        use = candidates[at] == owners[entry]
+        return entry[use], hit[use]
+    wanted = (which[:, None] * n_items + candidates[None, :]).ravel()
+    begin = np.searchsorted(keys, wanted, "left")
+    count = np.searchsorted(keys, wanted, "right") - begin
+    return expanded(begin, count), np.repeat(np.repeat(np.arange(len(which)), len(candidates)), count)
+
+
 def matches(docs: DataFrame, block: ItemBlock, rare: np.ndarray, min_score: float) -> DataFrame:
     """doc_id, item (place in the block), score, last_word of the aligned passages."""
     order = np.argsort(block.gram, kind="stable")
-    shared = docs.sparkSession.sparkContext.broadcast((block, block.gram[order], block.owner[order], block.place[order], rare[order]))
+    rarest = rare_words(block, min_score)
+    shared = docs.sparkSession.sparkContext.broadcast((block, rarest, block.gram[order], block.owner[order], block.place[order], rare[order]))
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, grams, owners, places, rare = shared.value
+        block, rarest, grams, owners, places, rare = shared.value
         starts, ends = np.searchsorted(grams, block.grams, "left"), np.searchsorted(grams, block.grams, "right")
         lengths = np.array([len(i) for i in block.items])
+        # entries stand by n-gram, then item
+        keys = np.repeat(np.arange(len(block.grams)), ends - starts) * len(lengths) + owners
         member = np.zeros(block.base, bool)
         for frame in frames:
             found: list[tuple] = []
@@ -219,9 +286,11 @@ def matches(docs: DataFrame, block: ItemBlock, rare: np.ndarray, min_score: floa
                 at, which = block.hits(numbers, block.grams)
                 if not len(at):
                     continue
-                repeat = ends[which] - starts[which]
-                entry = np.repeat(starts[which], repeat) + np.arange(repeat.sum()) - np.repeat(np.cumsum(repeat) - repeat, repeat)
-                owner, begin = owners[entry], np.repeat(at, repeat) - places[entry]
+                candidates = rarest.candidates(numbers)
+                if not len(candidates):
+                    continue
+                entry, hit = entries_of(which, starts, ends, owners, keys, candidates, len(lengths))
+                owner, begin = owners[entry], at[hit] - places[entry]
                 slack = lengths[owner] // 2 + 2
                 low, high = begin - slack, begin + lengths[owner] + slack
                 by = np.lexsort((low, owner))
