@@ -112,10 +112,36 @@ def test_quality_edge_rows(spark, edges, empty):
     assert quality_knn.quality_scores(empty, labels).count() == 0
 
 
+def test_quality_sees_words(spark):
+    """Both labels have the same shapes: words of as many letters, one sentence, no repetition."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(800)]
+    half = [words[:500], words[300:]]  # 200 words are common to both
+    rows = [(i, " ".join(rng.sample(half[i % 2], 40)) + ".") for i in range(900)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id bigint, quality int")
+    got = [(r["score"], r["doc_id"] % 2) for r in quality_knn.quality_scores(frame(spark, rows), labels).collect() if r["held_out"]]
+    bad, good = [s for s, label in got if label == 0], [s for s, label in got if label == 1]
+    assert len(got) > 200 and np.mean([[b < g for g in good] for b in bad]) > 0.95
+
+
+def test_of_several_texts_with_one_id_the_smallest_is_learned(spark):
+    rows = [(1, "a good text. It has words"), (1, "zzz 1 2 3"), (2, "bad bad bad")]
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, quality int")
+    models = [quality_knn.train(frame(spark, order), labels) for order in (rows, rows[::-1])]
+    assert (models[0].vectors == models[1].vectors).all() and len(models[0].labels) <= 2
+
+
+def test_singular_vectors():
+    rng = np.random.default_rng(3)
+    matrix = (rng.standard_normal((60, 5)) * [9, 7, 5, 3, 1]) @ rng.standard_normal((5, 40))
+    got, want = quality_knn.singular_vectors(matrix.astype(np.float32), 4), np.linalg.svd(matrix)[2][:4].T
+    assert np.allclose(np.abs((got * want).sum(axis=0)), 1, atol=1e-3)
+
+
 def test_votes_equal_plain_cosine_search():
     rng = random.Random(2)
     texts = ["".join(rng.choice("ab C1.\n") for _ in range(rng.randrange(5, 200))) for _ in range(80)]
-    parsed = [(*np.unique(quality_knn.patterns(t), return_counts=True), np.array(quality_knn.repeats(t))) for t in texts]
+    parsed = [(*quality_knn.term_codes(t), np.array(quality_knn.repeats(t))) for t in texts]
     labels = np.array([rng.randrange(2) for _ in texts], float)
     model = quality_knn.fit(parsed, labels, terms=200, dimensions=8)
     queries = ["".join(rng.choice("ab C1.\n") for _ in range(50)) for _ in range(10)] + [""]
