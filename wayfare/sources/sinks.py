@@ -1,92 +1,132 @@
-"""Writers: versioned tables with keyed upserts, and change tables of streams.
+"""Writers: keyed tables that rewrite only the key ranges a change touches, and change tables of streams.
 
-A versioned table is a folder of versions; a write adds a version beside the
-others, and readers open the newest one, so a failed write leaves the old table.
+Both are lists of live folders (``manifests``): a failed write leaves the old table,
+of two writers at once neither loses a row, and an empty table reads as empty.
 
-A change table has two folders. ``deltas`` holds one folder per run and batch,
-where a run is the identity that a stream keeps in its checkpoint: a replayed
-batch replaces itself, and no other stream, nor one with a new checkpoint, writes
-to the same place. ``base`` is a versioned table of newest images that
-compaction adds to; only deltas that are in the base are emptied.
+A keyed table is cut into buckets by key range. An upsert reads, merges and writes
+the buckets that its keys fall into; the files of all others stay as they are.
+
+A change table has levels. Each batch of a stream is a part of level 0; parts of one
+level are folded into one of the next when there are enough of them, so a row is
+rewritten once per level and a reader opens a number of parts that grows with the
+logarithm of the number of batches. A fold names exactly the parts it has read:
+what streams write meanwhile stays. A replayed batch replaces itself, and no stream
+with a new checkpoint overwrites what an older one wrote.
 """
 
 from __future__ import annotations
 
-import time
-import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import replace
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.operators.latest import newest_per, upsert_latest
-
-VERSION, RUN, BATCH, WRITTEN = "version", "run", "batch_id", "written_at"
-
-
-def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+from wayfare.sources import manifests
+from wayfare.sources.manifests import Conflict, Manifest, Part
+
+RUN, BATCH, WRITTEN = "run", "batch_id", "written_at"
+BUCKET = "bucket"
+#: Key ranges of a new table, and keys that are looked at to choose them (their layout alone depends on these).
+BUCKETS = 16
+BOUND_KEYS = 10_000
+#: Parts of one level that are folded into the next.
+FAN = 10
+
+
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """A frame that is cached for the body, also when the body fails."""
+    cached = df.persist()
     try:
-        return spark.read.option("basePath", path).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+        yield cached
+    finally:
+        cached.unpersist()
 
 
-def add_version(df: DataFrame, path: str) -> str:
-    """Write rows as a new version of a table; returns the version's name. Names sort by time."""
-    version = f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-    df.write.parquet(f"{path}/{VERSION}={version}")
-    return version
+def key_text(keys: list[str]) -> Column:
+    """The key as one text, in whose order buckets are cut; null if a part is null."""
+    return F.concat(*[x for key in keys for x in (F.col(key).cast("string"), F.lit("\x1f"))][:-1])
 
 
-def read_version(spark: SparkSession, path: str, version: str | None = None) -> DataFrame | None:
-    """The newest version of a table (or the one named); None when there is none."""
-    versions = _read_if_there(spark, path)
-    if versions is None:
-        return None
-    if version is None:
-        newest = versions.agg(F.max(VERSION)).first()[0]  # folder names alone
-        if newest is None:  # an empty table has no rows to take the name from
-            return versions.drop(VERSION)
-        version = newest
-    return versions.where(F.col(VERSION) == version).drop(VERSION)
+def _bounds(rows: DataFrame, keys: list[str], buckets: int) -> tuple[str, ...]:
+    """Cuts between key ranges of about equal size, from a bounded number of keys picked by hash."""
+    text = key_text(keys)
+    picked = rows.select(text.alias("k")).distinct().orderBy(F.xxhash64("k"), "k").limit(BOUND_KEYS)
+    known = sorted(r["k"] for r in picked.collect())
+    if not known:
+        return ()
+    cuts = {known[len(known) * n // buckets] for n in range(1, buckets)}
+    return tuple(sorted(cuts - {known[0]}))
 
 
-def drop_older_versions(spark: SparkSession, path: str) -> None:
-    """Empty all versions of a table but the newest."""
-    versions = _read_if_there(spark, path)
-    names = sorted(r[0] for r in versions.select(VERSION).distinct().toLocalIterator()) if versions is not None else []
-    for name in names[:-1]:
-        _empty(versions.drop(VERSION), f"{path}/{VERSION}={name}")
+def bucket_of(keys: list[str], bounds: tuple[str, ...]) -> Column:
+    """Number of the key range of a row."""
+    if not bounds:
+        return F.lit(0)
+    text = key_text(keys)
+    return F.size(F.filter(F.lit(list(bounds)), lambda first: first <= text))
 
 
-def _empty(like: DataFrame, path: str) -> None:
-    like.limit(0).coalesce(1).write.mode("overwrite").parquet(path)
+def _write_buckets(rows: DataFrame, path: str, buckets: Column) -> list[Part]:
+    """Writes rows by bucket; returns the parts of the buckets that have rows."""
+    folder = manifests.new_folder()
+    placed = rows.withColumn(BUCKET, buckets).hint("rebalance", F.col(BUCKET))
+    placed.write.partitionBy(BUCKET).parquet(f"{path}/{folder}")
+    names = manifests.Store(rows.sparkSession, path).names(folder)
+    return [Part(f"{folder}/{n}", bucket=int(n.split("=")[1])) for n in names if n.startswith(f"{BUCKET}=")]
 
 
-def write_report(report: DataFrame, path: str, key: str) -> None:
-    """Write a report as a new version; rows without a key are skipped. Readers change over when it is whole."""
-    add_version(report.where(F.col(key).isNotNull()), path)
+def write_report(report: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> None:
+    """Replace a table by a report; rows without a key are skipped. Readers change over when it is whole."""
+    rows = report.where(F.col(key).isNotNull())
+    bounds = _bounds(rows, [key], buckets)
+    parts = _write_buckets(rows, path, bucket_of([key], bounds))
+    columns = manifests.columns_of(report)
+    manifests.commit(report.sparkSession, path, lambda now: Manifest(0, columns, tuple(parts), bounds))
 
 
-def upsert_report(report: DataFrame, path: str, keys: list[str], version: list[str]) -> None:
+def upsert_report(report: DataFrame, path: str, keys: list[str], version: list[str], buckets: int = BUCKETS) -> None:
     """Merge a report into its table by key: rows of other keys stay, of equal keys the newest by ``version`` stays.
 
     The table is made by the first write. Rows without a key are skipped, and a
-    key has one row.
+    key has one row. Where another writer changed the same key ranges meanwhile, the
+    merge is done again on what it made.
     """
     spark = report.sparkSession
-    stored = read_version(spark, path)
-    merged = upsert_latest(report.limit(0) if stored is None else stored, report, keys, version)
-    add_version(merged, path)
+    with kept(report.where(key_text(keys).isNotNull())) as changes:
+        while True:
+            base = manifests.newest(spark, path)
+            # an empty table has no ranges worth keeping
+            bounds = base.bounds if base and base.parts else _bounds(changes, keys, buckets)
+            columns = base.columns if base else manifests.columns_of(report)
+            place = bucket_of(keys, bounds)
+            touched = {r[0] for r in changes.select(place.alias(BUCKET)).distinct().collect()}  # at most one row per bucket
+            stored = changes.limit(0) if base is None else manifests.read_parts(spark, path, base, [p for p in base.parts if p.bucket in touched])
+            parts = _write_buckets(upsert_latest(stored, changes, keys, version), path, place)
+
+            def edit(now: Manifest | None) -> Manifest:
+                old = {p for p in base.parts if p.bucket in touched} if base else set()
+                found = {p for p in now.parts if p.bucket in touched} if now else set()
+                if found != old or (now and now.parts and now.bounds != bounds) or (now and now.columns != columns):
+                    raise Conflict
+                rest = [p for p in now.parts if p.bucket not in touched] if now else []
+                return Manifest(0, columns, (*rest, *parts), bounds)
+
+            try:
+                manifests.commit(spark, path, edit)
+                return
+            except Conflict:
+                manifests.discard(spark, path, parts)
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
-    stored = read_version(spark, path)
+    stored = manifests.newest(spark, path)
     if stored is None:
         raise FileNotFoundError(path)
-    return stored
+    return manifests.read_parts(spark, path, stored)
 
 
 def write_history(df: DataFrame, path: str, ts: str, mode: str = "overwrite") -> None:
@@ -110,23 +150,37 @@ def run_of(batch: DataFrame) -> str:
 
 
 def append_changes(batch: DataFrame, path: str, batch_id: int, run: str | None = None) -> None:
-    """Write one micro-batch into the folder of its run and number, so a replayed batch replaces itself."""
-    run = run or run_of(batch)
-    rows = batch.withColumn(WRITTEN, F.current_timestamp())
-    rows.write.mode("overwrite").parquet(f"{path}/deltas/{RUN}={run}/{BATCH}={batch_id}")
+    """Add one micro-batch to a change table; a replayed batch replaces itself, or is in a fold already and adds nothing."""
+    spark, run = batch.sparkSession, run or run_of(batch)
+    rows = batch.withColumns({WRITTEN: F.current_timestamp(), RUN: F.lit(run), BATCH: F.lit(batch_id).cast("bigint")})
+    part = Part(manifests.new_folder(), level=0, run=run, batch=batch_id)
+    rows.write.parquet(f"{path}/{part.folder}")
+    columns = manifests.columns_of(rows)
+
+    def edit(now: Manifest | None) -> Manifest:
+        if now is None:
+            return Manifest(0, columns, (part,), runs={run: batch_id})
+        others = tuple(p for p in now.parts if (p.run, p.batch) != (run, batch_id))
+        if len(others) == len(now.parts) and now.runs.get(run, -1) >= batch_id:
+            raise Conflict
+        return replace(now, parts=(*others, part), runs=now.runs | {run: max(batch_id, now.runs.get(run, -1))})
+
+    try:
+        manifests.commit(spark, path, edit)
+    except Conflict:
+        manifests.discard(spark, path, [part])
 
 
-def _deltas(spark: SparkSession, path: str) -> DataFrame | None:
-    return _read_if_there(spark, f"{path}/deltas")
+def _changes(spark: SparkSession, path: str) -> Manifest:
+    now = manifests.newest(spark, path)
+    if now is None:
+        raise FileNotFoundError(path)
+    return now
 
 
 def read_changes(spark: SparkSession, path: str) -> DataFrame:
-    """Newest base and all deltas: every key's newest image is among them, maybe twice."""
-    base, deltas = read_version(spark, f"{path}/base"), _deltas(spark, path)
-    if deltas is None:
-        raise FileNotFoundError(path)
-    typed = deltas.withColumns({RUN: F.col(RUN).cast("string"), BATCH: F.col(BATCH).cast("bigint")})
-    return typed if base is None else base.unionByName(typed)
+    """All live parts: every key's newest image is among them, maybe more than once."""
+    return manifests.read_parts(spark, path, _changes(spark, path))
 
 
 def read_current(spark: SparkSession, path: str, keys: list[str], order: list[str] | None = None) -> DataFrame:
@@ -141,18 +195,44 @@ def _current(changes: DataFrame, keys: list[str], order: list[str] | None) -> Da
     return newest_per(changes, keys, by, values).select(*changes.columns)
 
 
-def compact(spark: SparkSession, path: str, keys: list[str], order: list[str] | None = None) -> None:
-    """Fold the deltas into a new base version, then empty what was folded.
+def fold(spark: SparkSession, path: str, now: Manifest, parts: list[Part], level: int, keys: list[str] | None, order: list[str] | None) -> bool:
+    """Replaces some parts by one of a level: the newest images of their keys, or without keys all rows.
 
-    Streams may go on writing: deltas that come up meanwhile are not in the list
-    that was folded and stay. A compaction that fails half-way leaves deltas that
-    are in the base as well, which changes no image.
+    False if one of the parts was folded or replaced by someone else meanwhile; then nothing changes.
     """
-    changes = read_changes(spark, path)
-    deltas = _deltas(spark, path)
-    folded = [(r[0], r[1]) for r in deltas.select(F.col(RUN).cast("string"), BATCH).distinct().toLocalIterator()]
-    add_version(_current(changes, keys, order), f"{path}/base")
-    like = deltas.drop(RUN, BATCH)
-    for run, batch_id in folded:
-        _empty(like, f"{path}/deltas/{RUN}={run}/{BATCH}={batch_id}")
-    drop_older_versions(spark, f"{path}/base")
+    rows = manifests.read_parts(spark, path, now, parts)
+    folded = Part(manifests.new_folder(), level=level)
+    (_current(rows, keys, order) if keys else rows).hint("rebalance").write.parquet(f"{path}/{folded.folder}")
+    gone = set(parts)
+
+    def edit(then: Manifest | None) -> Manifest:
+        if then is None or not gone <= set(then.parts):
+            raise Conflict
+        return replace(then, parts=(*(p for p in then.parts if p not in gone), folded))
+
+    try:
+        manifests.commit(spark, path, edit)
+        return True
+    except Conflict:
+        manifests.discard(spark, path, [folded])
+        return False
+
+
+def fold_levels(spark: SparkSession, path: str, keys: list[str] | None = None, order: list[str] | None = None, fan: int = FAN) -> None:
+    """Folds each level that holds ``fan`` parts or more (two at least) into the next."""
+    level = 0
+    while True:
+        now = _changes(spark, path)
+        parts = [p for p in now.parts if p.level == level]
+        if len(parts) >= max(2, fan):
+            fold(spark, path, now, parts, level + 1, keys, order)
+        elif level >= max((p.level or 0 for p in now.parts), default=0):
+            return
+        level += 1
+
+
+def compact(spark: SparkSession, path: str, keys: list[str], order: list[str] | None = None) -> None:
+    """Folds all parts into one: the newest image of every key. Streams may go on writing; what they add meanwhile stays."""
+    now = _changes(spark, path)
+    top = 1 + max((p.level or 0 for p in now.parts), default=0)
+    fold(spark, path, now, list(now.parts), top, keys, order)

@@ -1,16 +1,15 @@
 """Streaming jobs: ingest, live state, change apply.
 
 Sinks are idempotent: the file sink keeps its own log, and ``foreachBatch``
-writers put each batch into a folder named by its run and number. Keyed tables are
-compacted every ``compact_every`` batches, so that their folders do not grow for
-ever. State is unbounded by default (an order counts once for ever);
+writers know a batch by its run and number. Their tables fold ``fan`` batches into one
+part, ``fan`` of these into one again and so on, so what a reader opens hardly grows.
+State is unbounded by default (an order counts once for ever);
 ``watermark`` bounds it on request.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,27 +17,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wayfare.functions import keys as rowkeys
 from wayfare.operators import tracks
-from wayfare.sources.sinks import append_changes, compact
+from wayfare.sources.sinks import FAN, append_changes, fold_levels, kept
 from wayfare.streaming import cdc, lines
 
 GPS_TOPIC = "gps"
 ORDER_TOPIC = "orders"
 TRIGGER_INTERVAL = "5 seconds"
-COMPACT_EVERY = 200
-
-
-@contextmanager
-def kept(df: DataFrame) -> Iterator[DataFrame]:
-    """A frame that is cached for the body, also when the body fails."""
-    cached = df.persist()
-    try:
-        yield cached
-    finally:
-        cached.unpersist()
-
-
-def due(batch_id: int, every: int | None) -> bool:
-    return bool(every) and batch_id % every == every - 1
 
 
 def _trigger(writer, interval: str | None):
@@ -69,29 +53,29 @@ def start_ingest(records: DataFrame, out: str, checkpoint: str, interval: str |
     ]
 
 
-def start_routed_ingest(records: DataFrame, out: str, checkpoint: str, interval: str | None = TRIGGER_INTERVAL) -> StreamingQuery:
+def start_routed_ingest(records: DataFrame, out: str, checkpoint: str, interval: str | None = TRIGGER_INTERVAL, fan: int = FAN) -> StreamingQuery:
     """One query that routes by content: good rows to two tables, bad lines to quarantine."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         with kept(batch) as cached:
             good, bad = lines.quarantine(cached.select("value"))
-            append_changes(lines.gps_rows(good), f"{out}/gps", batch_id)
-            append_changes(lines.order_rows(good), f"{out}/orders", batch_id)
-            append_changes(bad, f"{out}/quarantine", batch_id)
+            routed = {"gps": lines.gps_rows(good), "orders": lines.order_rows(good), "quarantine": bad}
+            for name, rows in routed.items():
+                append_changes(rows, f"{out}/{name}", batch_id)
+                fold_levels(batch.sparkSession, f"{out}/{name}", fan=fan)
 
     return batch_stream(records, write, checkpoint, "routed_ingest", "append", interval)
 
 
 def start_state(
     state: DataFrame, out: str, checkpoint: str, name: str, mode: str = "update", interval: str | None = TRIGGER_INTERVAL,
-    keys: list[str] | None = None, compact_every: int | None = COMPACT_EVERY,
+    keys: list[str] | None = None, fan: int = FAN,
 ) -> StreamingQuery:
-    """Keep a keyed state table: each batch appends the keys that changed; with ``keys`` the table is compacted."""
+    """Keep a keyed state table: each batch appends the keys that changed; with ``keys`` folds keep the newest image of each."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         append_changes(batch, out, batch_id)
-        if keys and due(batch_id, compact_every):
-            compact(batch.sparkSession, out, keys)
+        fold_levels(batch.sparkSession, out, keys, fan=fan)
 
     return batch_stream(state, write, checkpoint, name, mode, interval)
 
@@ -118,22 +102,25 @@ def hourly_first_processed(points: DataFrame, watermark: str | None = None) -> D
 
 
 def start_cdc(
-    messages: DataFrame, out: str, checkpoint: str, interval: str | None = TRIGGER_INTERVAL, compact_every: int | None = COMPACT_EVERY
+    messages: DataFrame, out: str, checkpoint: str, interval: str | None = TRIGGER_INTERVAL, compact_every: int = FAN
 ) -> StreamingQuery:
-    """Apply change envelopes: per batch, the newest image of every id and entity under its salted key, and what is unusable."""
+    """Apply change envelopes: per batch, the newest image of every id and entity under its salted key, and what is unusable.
+
+    ``compact_every`` parts of one level are folded into one.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         with kept(cdc.with_reason(batch)) as marked:
             good, bad = cdc.split(marked)
             append_changes(bad, f"{out}/quarantine", batch_id)
+            fold_levels(spark, f"{out}/quarantine", fan=compact_every)
             with kept(cdc.opened(good)) as parsed:
                 for entity in cdc.TABLE_COLUMNS:
                     images = cdc.newest_images(cdc.entity_rows(parsed, entity))
                     append_changes(images.select(rowkeys.salted_key(F.col("id")).alias("rowkey"), "*"), f"{out}/{entity}", batch_id)
-        if due(batch_id, compact_every):
-            for entity in cdc.TABLE_COLUMNS:
-                compact(spark, f"{out}/{entity}", ["id"], ["ts", "offset"])
+        for entity in cdc.TABLE_COLUMNS:
+            fold_levels(spark, f"{out}/{entity}", ["id"], ["ts", "offset"], compact_every)
 
     return batch_stream(messages, write, checkpoint, "cdc_apply", "append", interval)
 
