@@ -181,7 +181,7 @@ class Plain:
     def __init__(self):
         self.a, self.b = tokens.load(BYTE_BPE), token_alignment.load_pieces(PIECES)
         self.a.encode_special_tokens = True
-        self.a_bytes, self.b_bytes = token_alignment.byte_token_bytes(self.a), token_alignment.piece_token_bytes(self.b)
+        self.a_bytes, self.b_bytes = token_alignment.byte_token_bytes(BYTE_BPE), token_alignment.piece_token_bytes(self.b)
 
     def ids(self, text: str | None) -> tuple[list[int], list[int]]:
         if not text:
@@ -199,7 +199,8 @@ class Plain:
         return [(i, at[e]) for i, (_, e) in enumerate(ranges(self.a_bytes, a)) if e in at]
 
 
-ODD = ["x <s> </s> <unk> <0x41>y", "▁a ▁", "a▁b", "\x00 z", "  two", "naïve café", "ﬁne ①", "tab\tand\r\nline"]
+WIDE = "".join(map(chr, [*range(1, 0x250), *range(0x2000, 0x2070), *range(0x300, 0x340), 0x3000, 0x4E2D, 0x1F600, 0xFEFF, 0x180E]))
+ODD = ["a".join(WIDE), " ".join(WIDE), " " * 3000 + "x", "x <s> </s> <unk> <0x41>y", "▁a ▁", "a▁b", "\x00 z", "  two", "naïve café", "ﬁne ①", "tab\tand\r\nline"]
 
 
 def brute_alignment(docs: list[tuple]) -> list[tuple]:
@@ -245,6 +246,11 @@ def test_overlaps_and_groups(spark):
         assert list(zip(packed["group_a"], packed["group_b"])) == plain.groups(a, b)
 
 
+def test_only_plain_byte_level_vocabularies_are_taken():
+    with pytest.raises(ValueError):
+        token_alignment.byte_token_bytes(WORD_BPE)
+
+
 def test_places_cover_all_pairs_that_can_end_together():
     a, b = [b"a", b"ba", b"", b"c"], [b"ca", b"a", b"a", b"dc"]
     want = sorted(i * 4 + j for i, x in enumerate(a) for j, y in enumerate(b) if x and y and (x.endswith(y) or y.endswith(x)))
