@@ -777,7 +777,11 @@ A["scan_renter"] = sql(f"""
 select id, {sec('create_time')} as create_time, last_login_city, {sec('last_logon_time')} as last_logon_time,
        cast(null as varchar) as city_name from fx_renter""", "fx_renter")
 A["track_history_order"] = sql(f"select * from ({_TRACK.replace('@', '>=')}) where order_id = '0_2024-01-01'", "trip")
-A["stream_hourly_first"] = sql("select count(distinct order_id) as n_orders from fx_gps where not is_end", "fx_gps")
+A["stream_hourly_first"] = A["stream_hourly_orders"]
+A["stream_trigger"] = sql("select count(*) as n_rows, count(distinct orderid) as n_orders from gps_row", "gps_row")
+A["stream_query_events"] = """
+select event, 1::bigint as n_events, (select count(*) from events) as n_rows from (values ('started'), ('terminated')) as kinds(event)"""
+A["stream_cdc_deletes"] = A["cdc_delete_modes"]
 A["stream_routed_ingest"] = A["stream_fanout"] + " union all select 'quarantine', 0"
 A["stream_progress"] = """
 select 'progress' as query_name, count(*) as n_rows, count(*) as n_source_rows, 1 as n_batches from events"""

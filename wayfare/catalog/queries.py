@@ -729,14 +729,14 @@ def stream_source(spark, d):
 
 def _ingest(spark, d, label: str) -> str:
     path = scratch_path(spark, label)
-    jobs.wait(*jobs.start_ingest(v.records_stream(spark, d), path, f"{path}/checkpoint", None))
+    jobs.wait(jobs.start_ingest(v.records_stream(spark, d), path, f"{path}/checkpoint", None))
     return path
 
 
 @query
 def stream_fanout(spark, d):
     path = _ingest(spark, d, "fanout")
-    return readers.source_counts({n: spark.read.parquet(f"{path}/{n}") for n in ("gps", "orders")})
+    return readers.source_counts({n: sinks.read_changes(spark, f"{path}/{n}") for n in ("gps", "orders")})
 
 
 @query
@@ -812,14 +812,57 @@ def stream_cdc_compact(spark, d):
     return current.select("rowkey", "id", "op", *v.FILLED_ORDER_CELLS)
 
 
+def _arriving(spark, d, path: str, parts: int = 4) -> DataFrame:
+    """The events as a stream that arrives in order of time: one file per time range, one file per batch."""
+    events = v.table(spark, d, "events")
+    cuts = events.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), [n / parts for n in range(1, parts)])).first()[0] or []
+    edges = [None, *sorted(set(cuts)), None]
+    for low, high in zip(edges, edges[1:]):  # written one after the other: a file source goes by time of writing
+        micros, ranged = F.unix_micros(F.col("ts").cast("timestamp")), events
+        ranged = ranged if low is None else ranged.where(micros > low)
+        ranged = ranged if high is None else ranged.where(micros <= high)
+        ranged.coalesce(1).sortWithinPartitions("ts", "event_id").write.mode("append").parquet(path)
+    return readers.stream_files(spark, f"{path}/*.parquet", events.schema, max_files=1)
+
+
 @query
 def stream_hourly_first(spark, d):
-    """Orders per hour of the point processed first; the whole table is one batch, so any of its hours may count."""
+    """Orders per hour of the point processed first, for points that arrive in order of time."""
     path = scratch_path(spark, "hourly-first")
-    counts = jobs.hourly_first_processed(_live_points(spark, d))
-    jobs.wait(jobs.start_state(counts, f"{path}/out", f"{path}/checkpoint", "hourly_first", mode="complete", interval=None))
+    live = lines.gps_events(v.gps_lines_of(_arriving(spark, d, f"{path}/in")), "arrived_at")
+    jobs.wait(jobs.start_state(jobs.hourly_first_processed(live), f"{path}/out", f"{path}/checkpoint", "hourly_first", mode="complete", interval=None))
     newest = sinks.read_current(spark, f"{path}/out", ["hour"])
-    return newest.agg(F.sum("order_count").alias("n_orders"))
+    return newest.select(F.date_format("hour", times.SECOND_FORMAT).alias("hour"), "order_count")
+
+
+@query
+def stream_trigger(spark, d):
+    """A query under a processing-time trigger: it goes on by itself until all lines are there, then it is stopped."""
+    path = scratch_path(spark, "trigger")
+    rows = lines.gps_rows(v.gps_lines_of(v.table_stream(spark, d, "events")))
+    started = jobs.append_stream(rows, f"{path}/out", f"{path}/checkpoint", "trigger", "1 second")
+    try:
+        started.processAllAvailable()
+    finally:
+        started.stop()
+    return spark.read.parquet(f"{path}/out").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("orderid").alias("n_orders"))
+
+
+@query
+def stream_query_events(spark, d):
+    """Start and end of a query, as its recorder wrote them."""
+    path = scratch_path(spark, "query-events")
+    recorder = metrics.ProgressRecorder(spark, f"{path}/events")
+    spark.streams.addListener(recorder)
+    try:
+        started = jobs.append_stream(v.table_stream(spark, d, "events"), f"{path}/out", f"{path}/checkpoint", "events", None)
+        jobs.wait(started)
+        recorder.wait_for(started)
+    finally:
+        spark.streams.removeListener(recorder)
+    own = recorder.events().where((F.col("query_id") == str(started.id)) & F.col("event").isin("started", "terminated"))
+    written = spark.read.parquet(f"{path}/out").agg(F.count(F.lit(1)).alias("n_rows"))
+    return own.groupBy("event").agg(F.count(F.lit(1)).alias("n_events")).join(written)
 
 
 @query
@@ -910,10 +953,18 @@ def cdc_route(spark, d):
 @query
 def cdc_delete_modes(spark, d):
     rows = cdc.entity_rows(cdc.parse(v.changes(spark, d)), cdc.ORDER_TABLE)
-    frames = [
-        cdc.newest_images(rows, mode).select(F.lit(mode).alias("mode"), "id", "op", "pay_all")
-        for mode in cdc.DELETE_MODES
-    ]
+    return cdc.images_by_mode(rows).select("mode", "id", "op", "pay_all")
+
+
+@query
+def stream_cdc_deletes(spark, d):
+    """The order table under each delete mode, kept by streams of their own."""
+    path, frames = scratch_path(spark, "cdc-deletes"), []
+    for mode in cdc.DELETE_MODES:
+        messages = v.order_changes_of(v.table_stream(spark, d, "orders"))
+        jobs.wait(jobs.start_cdc(messages, f"{path}/{mode}", f"{path}/checkpoint-{mode}", None, deletes=mode))
+        applied = jobs.read_applied(spark, f"{path}/{mode}", cdc.ORDER_TABLE, mode)
+        frames.append(applied.select(F.lit(mode).alias("mode"), "id", "op", "pay_all"))
     return reduce(DataFrame.unionByName, frames)
 
 

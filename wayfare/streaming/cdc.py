@@ -14,8 +14,6 @@ from wayfare.operators.latest import newest_per
 from wayfare.operators.pinning import pin
 from wayfare.sources import schema as sc
 
-ENVELOPE_DDL = "table string, type string, ts bigint, data map<string,string>"
-
 # Source tables; order tables are matched by prefix (they are sharded by name).
 ORDER_TABLE, RENTER_TABLE, DRIVER_TABLE, ALLIANCE_TABLE = (
     "order_info", "renter_info", "driver_info", "opt_alliance_business",
@@ -36,52 +34,42 @@ def route(table: Column) -> Column:
 
 
 def with_reason(messages: DataFrame) -> DataFrame:
-    """Every message with its table, entity and the reason it cannot be applied, NULL for a good one."""
-    read = pin(
-        messages.select("value", "offset"), _table=F.get_json_object("value", "$.table"),
-        _id=F.get_json_object("value", "$.data.id_"), _data=F.get_json_object("value", "$.data"),
-    )
-    entity = route(F.col("_table"))
+    """Every message with its opened fields and the reason it cannot be applied, NULL for a good one.
+
+    The envelope is read once and its ``data`` once; whether a message is JSON at all
+    is only asked where no field was found. Data spelled as text is read as an object.
+    """
+    read = messages.select("value", "offset", F.json_tuple("value", "table", "type", "ts", "data").alias("source_table", "_type", "_ts", "_text"))
+    read = pin(read, data=F.from_json("_text", "map<string,string>"))
+    table, entity = F.coalesce("source_table", F.lit("")), route(F.col("source_table"))
+    known_id = F.coalesce(F.try_element_at("data", F.lit("id_")), F.lit(""))
+    found = F.coalesce("source_table", "_type", "_ts", "_text").isNotNull()
     reason = (
-        F.when(F.get_json_object("value", "$").isNull(), F.lit("not_json"))
-        .when(F.coalesce("_table", F.lit("")) == "", F.lit("no_table"))
+        F.when(~found & F.get_json_object("value", "$").isNull(), F.lit("not_json"))
+        .when(table == "", F.lit("no_table"))
         .when(entity.isNull(), F.lit("unknown_table"))
-        .when(F.col("_data").isNull(), F.lit("no_data"))
-        .when(F.coalesce("_id", F.lit("")) == "", F.lit("no_id"))
+        .when(F.col("_text").isNull(), F.lit("no_data"))
+        .when(known_id == "", F.lit("no_id"))
     )
-    return pin(read, entity=entity, reason=reason).drop("_table", "_id", "_data")
+    opened = {"entity": entity, "op": F.coalesce("_type", F.lit("insert")), "id": known_id, "ts": F.col("_ts").try_cast("bigint"), "reason": reason}
+    return pin(read, **opened).drop("_type", "_ts", "_text")
+
+
+OPENED = ("entity", "source_table", "op", "id", "ts", "offset", "data")
 
 
 def split(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Messages to apply, and the others with their reason; every message is in one of them."""
-    return marked.where(F.col("reason").isNull()).drop("reason"), marked.where(F.col("reason").isNotNull()).drop("entity")
+    """Opened messages to apply, and the others with their reason; every message is in one of them."""
+    return marked.where(F.col("reason").isNull()).select(*OPENED), marked.where(F.col("reason").isNotNull()).select("value", "offset", "reason")
 
 
 def quarantine(messages: DataFrame) -> DataFrame:
     return split(with_reason(messages))[1]
 
 
-def opened(good: DataFrame) -> DataFrame:
-    """``entity, source_table, op, id, ts, offset, data`` of messages to apply."""
-    data = F.col("m.data")
-    return good.select("entity", "offset", F.from_json("value", ENVELOPE_DDL).alias("m")).select(
-        "entity",
-        F.col("m.table").alias("source_table"),
-        F.coalesce("m.type", F.lit("insert")).alias("op"),
-        F.coalesce(F.try_element_at(data, F.lit("id_")), F.lit("")).alias("id"),
-        F.col("m.ts").alias("ts"),
-        "offset",
-        data.alias("data"),
-    )
-
-
 def parse(messages: DataFrame) -> DataFrame:
-    """The opened form of every message that can be applied; ``quarantine`` has the others.
-
-    Routing reads single fields, so that filters on the entity settle before the
-    whole envelope is parsed.
-    """
-    return opened(split(with_reason(messages))[0])
+    """The opened form of every message that can be applied; ``quarantine`` has the others."""
+    return split(with_reason(messages))[0]
 
 
 def entity_rows(parsed: DataFrame, entity: str) -> DataFrame:
@@ -109,6 +97,21 @@ def newest_images(rows: DataFrame, deletes: str = "keep") -> DataFrame:
     return images
 
 
+def images_by_mode(rows: DataFrame) -> DataFrame:
+    """Newest images under every delete mode, with ``mode``, from one aggregation of the changes."""
+    values = [c for c in rows.columns if c not in ("id", "ts", "offset")]
+    change = F.struct("ts", "offset", *values)
+    both = rows.groupBy("id").agg(
+        F.max(change).alias("any"), F.max(F.when(F.col("op").isin("insert", "update"), change)).alias("kept"),
+    )
+    images = F.array(
+        F.struct(F.lit("keep").alias("mode"), F.col("any").alias("image")),
+        F.struct(F.lit("drop").alias("mode"), F.when(F.col("any.op") != "delete", F.col("any")).alias("image")),
+        F.struct(F.lit("ignore").alias("mode"), F.col("kept").alias("image")),
+    )
+    return both.select("id", F.inline(images)).where(F.col("image").isNotNull()).select("mode", "id", "image.*")
+
+
 def apply(messages: DataFrame, entity: str, deletes: str = "keep") -> DataFrame:
     """Current table of one entity, with its salted row key (salted once)."""
     images = newest_images(entity_rows(parse(messages), entity), deletes)

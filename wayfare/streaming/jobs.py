@@ -11,13 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wayfare.functions import keys as rowkeys
 from wayfare.operators import tracks
-from wayfare.sources.sinks import FAN, append_changes, fold_levels, kept
+from wayfare.sources.sinks import FAN, append_changes, fold_levels, kept, read_current
 from wayfare.streaming import cdc, lines
 
 GPS_TOPIC = "gps"
@@ -43,14 +43,17 @@ def batch_stream(df: DataFrame, write: Callable[[DataFrame, int], None], checkpo
     return _trigger(writer, interval).start()
 
 
-def start_ingest(records: DataFrame, out: str, checkpoint: str, interval: str | None = TRIGGER_INTERVAL) -> list[StreamingQuery]:
-    """One source, two queries: position rows and order rows, split by topic."""
-    gps = lines.gps_rows(lines.of_topic(records, GPS_TOPIC).select("value"))
-    orders = lines.order_rows(lines.of_topic(records, ORDER_TOPIC).select("value"))
-    return [
-        append_stream(gps, f"{out}/gps", f"{checkpoint}/gps", "gps_ingest", interval),
-        append_stream(orders, f"{out}/orders", f"{checkpoint}/orders", "order_ingest", interval),
-    ]
+def start_ingest(records: DataFrame, out: str, checkpoint: str, interval: str | None = TRIGGER_INTERVAL, fan: int = FAN) -> StreamingQuery:
+    """One source, read once, and two tables: position rows and order rows, split by topic."""
+    topics = {"gps": (GPS_TOPIC, lines.gps_rows), "orders": (ORDER_TOPIC, lines.order_rows)}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with kept(batch.select("topic", "value")) as cached:
+            for name, (topic, rows) in topics.items():
+                append_changes(rows(lines.of_topic(cached, topic).select("value")), f"{out}/{name}", batch_id)
+                fold_levels(batch.sparkSession, f"{out}/{name}", fan=fan)
+
+    return batch_stream(records, write, checkpoint, "ingest", "append", interval)
 
 
 def start_routed_ingest(records: DataFrame, out: str, checkpoint: str, interval: str | None = TRIGGER_INTERVAL, fan: int = FAN) -> StreamingQuery:
@@ -102,12 +105,17 @@ def hourly_first_processed(points: DataFrame, watermark: str | None = None) -> D
 
 
 def start_cdc(
-    messages: DataFrame, out: str, checkpoint: str, interval: str | None = TRIGGER_INTERVAL, compact_every: int = FAN
+    messages: DataFrame, out: str, checkpoint: str, interval: str | None = TRIGGER_INTERVAL, compact_every: int = FAN,
+    deletes: str = "keep",
 ) -> StreamingQuery:
     """Apply change envelopes: per batch, the newest image of every id and entity under its salted key, and what is unusable.
 
-    ``compact_every`` parts of one level are folded into one.
+    ``compact_every`` parts of one level are folded into one. With ``deletes`` set to
+    "ignore" deletes are not applied; with "drop" they are, as images that
+    ``read_applied`` leaves out.
     """
+    if deletes not in cdc.DELETE_MODES:
+        raise ValueError(f"unknown delete mode {deletes!r}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -115,16 +123,21 @@ def start_cdc(
             good, bad = cdc.split(marked)
             append_changes(bad, f"{out}/quarantine", batch_id)
             fold_levels(spark, f"{out}/quarantine", fan=compact_every)
-            with kept(cdc.opened(good)) as parsed:
-                for entity in cdc.TABLE_COLUMNS:
-                    images = cdc.newest_images(cdc.entity_rows(parsed, entity))
-                    append_changes(images.select(rowkeys.salted_key(F.col("id")).alias("rowkey"), "*"), f"{out}/{entity}", batch_id)
+            for entity in cdc.TABLE_COLUMNS:
+                images = cdc.newest_images(cdc.entity_rows(good, entity), "ignore" if deletes == "ignore" else "keep")
+                append_changes(images.select(rowkeys.salted_key(F.col("id")).alias("rowkey"), "*"), f"{out}/{entity}", batch_id)
         for entity in cdc.TABLE_COLUMNS:
             fold_levels(spark, f"{out}/{entity}", ["id"], ["ts", "offset"], compact_every)
 
     return batch_stream(messages, write, checkpoint, "cdc_apply", "append", interval)
 
 
+def read_applied(spark: SparkSession, out: str, entity: str, deletes: str = "keep") -> DataFrame:
+    """The table of one entity that ``start_cdc`` keeps, as its delete mode shows it."""
+    current = read_current(spark, f"{out}/{entity}", ["id"], ["ts", "offset"])
+    return current.where(F.col("op") != "delete") if deletes == "drop" else current
+
+
 def wait(*queries: StreamingQuery) -> None:
     for query in queries:
         query.awaitTermination()

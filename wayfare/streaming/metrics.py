@@ -42,29 +42,44 @@ def _gc_ms(spark: SparkSession) -> int | None:
 class ProgressRecorder(StreamingQueryListener):
     """Appends every event of all queries to a Parquet table, as JSON text.
 
-    Events wait in memory only until ``flush_every`` of them are there or a query
-    ends; none is dropped.
+    Events wait in memory until ``flush_every`` of them are there, the oldest is
+    ``flush_seconds`` old when another one (or an idle query's) comes, or a query ends;
+    those that wait are lost with the driver. ``gc_ms`` is the driver's collection time
+    since the progress event before.
     """
 
-    def __init__(self, spark: SparkSession, path: str, flush_every: int = 100):
-        self._spark, self._path, self._flush_every = spark, path, flush_every
+    def __init__(self, spark: SparkSession, path: str, flush_every: int = 100, flush_seconds: float = 30):
+        self._spark, self._path, self._flush_every, self._flush_seconds = spark, path, flush_every, flush_seconds
+        self._gc_before = _gc_ms(spark)
         self._waiting: list[tuple[str, str, str, int | None, dt.datetime]] = []
         self._lock, self._ended = threading.Condition(), set()
 
     def _note(self, kind: str, query_id: str, value: str, gc_ms: int | None = None) -> None:
         with self._lock:
             self._waiting.append((kind, query_id, value, gc_ms, dt.datetime.now(dt.timezone.utc)))
-            if len(self._waiting) >= self._flush_every:
+        self._flush_due()
+
+    def _flush_due(self) -> None:
+        with self._lock:
+            if not self._waiting:
+                return
+            age = (dt.datetime.now(dt.timezone.utc) - self._waiting[0][-1]).total_seconds()
+            if len(self._waiting) >= self._flush_every or age >= self._flush_seconds:
                 self.flush()
 
+    def _gc_since(self) -> int | None:
+        with self._lock:
+            before, self._gc_before = self._gc_before, _gc_ms(self._spark)
+            return None if before is None or self._gc_before is None else self._gc_before - before
+
     def onQueryStarted(self, event) -> None:
         self._note("started", str(event.id), f'{{"id":"{event.id}","timestamp":"{event.timestamp}"}}')
 
     def onQueryProgress(self, event) -> None:
-        self._note("progress", str(event.progress.id), event.progress.json, _gc_ms(self._spark))
+        self._note("progress", str(event.progress.id), event.progress.json, self._gc_since())
 
     def onQueryIdle(self, event) -> None:
-        pass
+        self._flush_due()
 
     def onQueryTerminated(self, event) -> None:
         self._note("terminated", str(event.id), f'{{"id":"{event.id}"}}')
