@@ -6,7 +6,8 @@ import pytest
 
 from wayfare.llm.common import ship_package
 
-COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint, n_words string, score string, kept string, part string, h string, t string"
+COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint, n_words string, score string, kept string, part string, h string, t string, " \
+    "_row string, _part string, _bytes string, _kept string, _spans string, _lang_pred string, _lang_score string, _digest string, _head string, _no_text string"
 
 
 @pytest.fixture(autouse=True, scope="session")
@@ -16,7 +17,7 @@ def shipped(spark):
 
 def frame(spark, rows):
     """Documents from (doc_id, text) or (doc_id, text, lang), with further columns whose names clash with computed ones."""
-    full = [(r[0], r[1], r[2] if len(r) > 2 else None, "s", None if r[1] is None else len(r[1]), "x", "x", "x", "x", "x", "x") for r in rows]
+    full = [(r[0], r[1], r[2] if len(r) > 2 else None, "s", None if r[1] is None else len(r[1]), *["x"] * 16) for r in rows]
     return spark.createDataFrame(full, COLUMNS)
 
 

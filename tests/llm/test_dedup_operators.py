@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tests.llm.conftest import edge_rows, frame, prose
@@ -157,8 +158,10 @@ def brute_repeats(docs, window=50):
 
 
 def removed(docs):
+    names = suffix_dedup.added_names(docs)
+    assert names == ["__bytes", "__kept", "__spans"]  # the documents have such columns already
     return sorted(
-        ((r["doc_id"], bytes(r["_bytes"]), bytes(r["_kept"]), [tuple(s) for s in r["_spans"]]) for r in suffix_dedup.remove_repeats(docs).collect()),
+        ((r["doc_id"], bytes(r[names[0]]), bytes(r[names[1]]), [tuple(s) for s in r[names[2]]]) for r in suffix_dedup.remove_repeats(docs).collect()),
         key=repr,
     )
 
@@ -255,6 +258,48 @@ def test_an_edit_or_a_part_that_leaked_often(spark):
     assert {(r["doc_id"], r["item_id"]): pytest.approx(r["score"]) for r in found.collect()} == want
 
 
+def test_a_common_phrase_does_not_pair_all(spark):
+    """2000 items and 2000 documents share one trigram; a few documents hold an item as well."""
+    rng, phrase = random.Random(14), "which of the following"
+    word = lambda: f"v{rng.randrange(20_000)}"
+    items = [(i, f"{phrase} {' '.join(word() for _ in range(20))}") for i in range(2000)]
+    docs = [(i, f"{' '.join(word() for _ in range(40))} {phrase} {' '.join(word() for _ in range(40))}") for i in range(1990)]
+    docs += [(5000 + i, f"{word()} {edited(rng, items[i][1], 0.1)} {word()}") for i in range(10)]
+    block = next(decontaminate.item_blocks(spark.createDataFrame(items, "item_id bigint, text string")))
+    rarest = decontaminate.rare_words(block, decontaminate.MIN_SCORE)
+    assert sum(len(rarest.candidates(block.read(t))) for _, t in docs) < 3 * len(docs)
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.contaminated(frame(spark, docs).repartition(4), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(5000 + i, i) for i in range(10)}
+
+
+def test_rare_words_leave_no_match_out():
+    """Whatever an alignment matches, enough of the item's rarest words are among it."""
+    rng = random.Random(15)
+    items = [np.array([rng.randrange(1, 40) for _ in range(rng.randrange(1, 30))]) for _ in range(60)]
+    block = decontaminate.ItemBlock(list(range(60)), items, {f"w{i}": i for i in range(1, 40)})
+    rarest = decontaminate.rare_words(block, 0.5)
+    for _ in range(400):
+        owner = rng.randrange(60)
+        item = items[owner]
+        kept = np.array(rng.sample(range(len(item)), max(1, -(-len(item) // 2))))
+        document = np.concatenate([item[np.sort(kept)], np.zeros(3, np.int64)])
+        assert owner in rarest.candidates(document)
+
+
+def test_copies_of_a_text_spread_over_all_parts(spark):
+    """A third of the rows have one text; they are dealt by doc_id as well."""
+    rng = random.Random(16)
+    same = prose(rng, 30)
+    docs = frame(spark, [(i, same if i % 3 == 0 else prose(rng, 10)) for i in range(3000)])
+    data = F.col("text").cast("binary")
+    parts = docs.select(F.pmod(F.xxhash64(F.col("doc_id"), data), F.lit(1 << 32)).alias("row")).groupBy((F.col("row") % 16).alias("p")).count()
+    assert parts.agg(F.max("count")).first()[0] < 2 * 3000 / 16
+    got = suffix_dedup.remove_repeats(docs.select("doc_id", "text"))
+    shared = got.where(F.col("_bytes") == F.lit(same.encode())).select(F.octet_length("_kept").alias("n"), "doc_id").collect()
+    assert {r["doc_id"] for r in shared if r["n"]} == {0} and len(shared) == 1000
+
+
 def test_contamination_edge_rows(spark, edges, empty):
     benchmark = spark.createDataFrame([(1, "a b c d e f")], "item_id bigint, text string")
     assert decontaminate.contaminated(empty, benchmark).count() == 0

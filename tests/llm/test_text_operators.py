@@ -8,6 +8,7 @@ import random
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 
@@ -174,6 +175,48 @@ def test_forward_algorithm_sums_all_cuts():
         assert np.allclose(language_id.log_scores(model, [run])[0], np.log(want))
 
 
+def test_whole_words_of_any_length():
+    """Sums over all cuts of words that are longer than a block, with pieces that are longer than most words."""
+    rng = np.random.default_rng(6)
+    pieces = sorted(["▁", "a", "b", "ab", "ba", "aab", "▁ab", "babab", "a" * 15, "ab" * 10])
+    model = language_id.PieceModel(["x", "y"], pieces, rng.random((len(pieces) + 1, 2)) * 0.3)
+
+    def summed(word):
+        sums = [np.ones(2)]
+        for end in range(1, len(word) + 1):
+            total = np.zeros(2)
+            for length in range(1, end + 1):
+                piece = word[end - length : end]
+                if piece in pieces or length == 1:
+                    total += sums[end - length] * model.probability[pieces.index(piece) if piece in pieces else -1]
+            sums.append(total)
+        return np.log(sums[-1])
+
+    runs = ["abbaababba" * 3, "a" * 33, "ab" * 50, "c" * 40, "ac" * 40]
+    for run, got in zip(runs, language_id.log_scores(model, runs)):
+        assert np.allclose(got, summed("▁" + run)), run
+    # letters without a piece, far below the least double
+    alone = 5000 * np.log(model.probability[-1]) + np.log(model.probability[pieces.index("▁")])
+    assert np.allclose(language_id.log_scores(model, ["c" * 5000])[0], alone)
+
+
+def test_expected_counts_are_derivatives():
+    """How often a piece is used, in expectation, is the derivative of the log probability by that of the piece."""
+    rng = np.random.default_rng(7)
+    pieces = sorted(["▁", "a", "b", "ab", "ba", "aab", "▁ab", "babab"])
+    model = language_id.PieceModel(["x"], pieces, rng.random((len(pieces) + 1, 1)) * 0.3)
+    for run in ("abba", "ab" * 20, "aab" * 30 + "c"):
+        counts = language_id.expected_counts(model, pd.DataFrame([("x", run, 3)], columns=["lang", "word", "n"]))
+        for row in range(len(pieces) + 1):
+            kept, step = model.probability[row, 0], 1e-6
+            sides = []
+            for sign in (1, -1):
+                model.probability[row, 0] = kept * (1 + sign * step)
+                sides.append(language_id.log_scores(model, [run])[0, 0])
+            model.probability[row, 0] = kept
+            assert counts[row, 0] == pytest.approx(3 * (sides[0] - sides[1]) / (2 * step), abs=1e-3)
+
+
 def test_languages_of_held_out_rows(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     predicted = language_id.language_id(docs, PIECES).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()

@@ -254,6 +254,15 @@ def test_pipeline_stages_against_brute_force(spark, data, tmp_path):
     assert rows(corpus_pipeline.run(spark, folder).select(columns)) == rows(packed.select(columns))
 
 
+def test_one_of_each_group_by_id_and_text(spark, data):
+    """A doc_id with two texts, and null ids: of the copies of A one stays, and B and C are texts of their own."""
+    rng = random.Random(17)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    rows_in = [(0, a), (1, b), (1, a), (None, a), (None, c), (None, c), (2, ""), (2, ""), (3, None)]
+    kept = corpus_pipeline.keep_one_of_each_group(spark, frame(spark, rows_in), data)
+    assert sorted(as_rows(kept), key=repr) == sorted([(0, a), (1, b), (None, c), (2, ""), (3, None)], key=repr)
+
+
 @pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
 def test_stages_take_edge_rows_and_empty_tables(spark, data, edges, empty, name, stage):
     assert stage(spark, empty, data).count() == 0

@@ -70,6 +70,17 @@ def drop_stored(*frames: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_names(columns: list[str], *wanted: str) -> list[str]:
+    """The wanted names, each with underscores put in front until no column has it (in any case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
     """UTF-8 bytes of all texts, for sizing the partitions of later shuffles."""
     row = docs.agg(F.sum(F.octet_length(F.col(column))).alias("n")).first()

@@ -44,7 +44,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.llm.common import drop_stored, mixed, packed_numbers, stored, text_bytes, text_of, unpacked_numbers
@@ -89,6 +89,11 @@ def texts_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().cast("binary").alias("t"))
 
 
+def text_digest(text: Column) -> Column:
+    """By which ``component_rows`` tells apart texts with one doc_id; null counts as empty."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
+
+
 class Powers:
     """Powers of an odd number and of its inverse, as many as the longest block needed so far."""
 
@@ -169,13 +174,20 @@ def rows_of(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int
             yield from zip(ids, gram_sets(texts, size))
 
 
+def digested_rows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int | None, int, np.ndarray]]:
+    """``rows_of`` with the digest in the third column."""
+    for batch in batches:
+        for digest, (doc_id, grams) in zip(batch.column(2).to_pylist(), rows_of(iter([batch]), size)):
+            yield doc_id, digest, grams
+
+
 def summarise(size: int, part_bits: int):
     """Pass 1, for mapInArrow: rows per document (kind 0), of n-grams frequent in a block (1), and of all n-grams (2)."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, held, total = [], [], 0
-        for doc_id, grams in rows_of(batches, size):
-            docs.append((doc_id, len(grams), class_id(grams) if len(grams) else None))
+        for doc_id, digest, grams in digested_rows(batches, size):
+            docs.append((doc_id, len(grams), class_id(grams) if len(grams) else None, digest))
             held.append(grams)
             total += len(grams)
             if total >= BLOCK_GRAMS:
@@ -186,7 +198,7 @@ def summarise(size: int, part_bits: int):
     return blocks
 
 
-SUMMARY = "kind int, id bigint, n bigint, cid bigint, places binary"
+SUMMARY = "kind int, id bigint, n bigint, cid bigint, digest bigint, places binary"
 
 
 def summary(docs: list[tuple], held: list[np.ndarray], part_bits: int) -> pa.RecordBatch:
@@ -199,7 +211,7 @@ def summary(docs: list[tuple], held: list[np.ndarray], part_bits: int) -> pa.Rec
     blobs = [packed(inside[a:b]) for a, b in zip(starts, np.append(starts[1:], len(part)))]
     often = counts >= FREQUENT_IN_BLOCK
     grams, counts = grams[often].view(np.int64), counts[often]
-    ids, sizes, cids = (list(x) for x in zip(*docs)) if docs else ([], [], [])
+    ids, sizes, cids, digests = (list(x) for x in zip(*docs)) if docs else ([], [], [], [])
     n_docs, n_often, n_parts = len(docs), len(grams), len(blobs)
     return pa.RecordBatch.from_arrays(
         [
@@ -207,9 +219,10 @@ def summary(docs: list[tuple], held: list[np.ndarray], part_bits: int) -> pa.Rec
             pa.array(ids + grams.tolist() + part[starts].tolist(), pa.int64()),
             pa.array(sizes + counts.tolist() + [None] * n_parts, pa.int64()),
             pa.array(cids + [None] * (n_often + n_parts), pa.int64()),
+            pa.array(digests + [None] * (n_often + n_parts), pa.int64()),
             pa.array([None] * (n_docs + n_often) + blobs, pa.binary()),
         ],
-        names=["kind", "id", "n", "cid", "places"],
+        names=["kind", "id", "n", "cid", "digest", "places"],
     )
 
 
@@ -571,14 +584,24 @@ def similar_components(
     docs: DataFrame, size: int = GRAM, percent: int = PERCENT, fragments: int = FRAGMENTS, list_entries: int = LIST_ENTRIES, chunk: int = CHUNK
 ) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest doc_id that is reachable by links, its own included."""
+    return component_rows(docs, size, percent, fragments, list_entries, chunk).select("doc_id", "n_shingles", "component_id")
+
+
+def component_rows(
+    docs: DataFrame, size: int = GRAM, percent: int = PERCENT, fragments: int = FRAGMENTS, list_entries: int = LIST_ENTRIES, chunk: int = CHUNK
+) -> DataFrame:
+    """``similar_components`` with component, a number of the component (null without words), and text_digest.
+
+    doc_id and text_digest tell what row a row is about, also where a doc_id has several texts.
+    """
     spark, context = docs.sparkSession, docs.sparkSession.sparkContext
     texts = texts_of(docs)
     n_bytes = text_bytes(docs)
     part_bits = min(20, max(4, int(n_bytes // GRAM_PART_BYTES).bit_length()))
     shared_bits = min(MOST_SHARED_BITS, max(LEAST_SHARED_BITS, (n_bytes // 4).bit_length()))
 
-    seen = stored(texts.mapInArrow(summarise(size, part_bits), SUMMARY), "sets-seen")
-    members = stored(seen.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "cid"), "members")
+    seen = stored(texts.withColumn("digest", F.xxhash64("t")).mapInArrow(summarise(size, part_bits), SUMMARY), "sets-seen")
+    members = stored(seen.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "cid", "digest"), "members")
     classes = stored(members.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("first")), "classes")
     often = seen.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
     top = often.orderBy(F.desc("n"), "id").limit(MAX_FREQUENT).toArrow()
@@ -619,7 +642,8 @@ def similar_components(
 
     rooted = classes.join(roots, classes["cid"] == roots["id"], "left").select("cid", "first", F.coalesce("root", "cid").alias("root"))
     heads = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = stored(rooted.join(heads, "root").select("cid", "component_id"), "components")
+    named = stored(rooted.join(heads, "root").select("cid", "root", "component_id"), "components")
     return members.join(named, "cid", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.col("root").alias("component"), F.col("digest").alias("text_digest"),
     )

@@ -19,9 +19,10 @@ documents. The job has four steps:
 A string that fills a third of the table is thus sent once per shard. Null texts
 are empty; texts shorter than a window stay whole. Rows with the same doc_id do
 not affect each other, and null doc_ids count as larger than all others; a row is
-known by its doc_id and 32 bits of a digest of its text. Texts
+known by its doc_id and 32 bits of a digest of doc_id and text, and dealt by the
+latter, so copies of a text spread over all parts. Texts
 are cut to overlapping pieces, so that one of any length fits. All columns of the
-input are kept; an empty table gives an empty result.
+input are kept, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.llm.common import mixed, packed_numbers, text_bytes, unpacked_numbers
+from wayfare.llm.common import free_names, mixed, packed_numbers, text_bytes, unpacked_numbers
 from wayfare.llm.suffix_arrays import byte_words, common_prefixes, suffix_array
 
 WINDOW = 50
@@ -322,8 +323,8 @@ SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("stop",
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 
-def cutter(columns: list[str]):
-    """Step 4, for applyInArrow on a part's documents and repeats: the input columns, kept bytes, removed spans."""
+def cutter(columns: list[str], names: list[str], row: str):
+    """Step 4, for applyInArrow on a part's documents and repeats: the input columns, kept bytes, removed spans (under ``names``)."""
 
     def cut(docs: pa.Table, repeats: pa.Table) -> pa.Table:
         found = np.concatenate([np.zeros((0, 3), np.int64), *(repeats_in(x.as_py()) for x in repeats.column("data"))])
@@ -331,44 +332,48 @@ def cutter(columns: list[str]):
         ids = found[:, 0]
         kept, spans = [], []
         doc = np.array([NO_ID if i is None else i for i in docs.column("doc_id").to_pylist()], np.int64)
-        keys = row_key(doc, docs.column(ROW).to_numpy()) if len(doc) else doc
-        for row, text in zip(keys.tolist(), docs.column(ADDED[0])):
+        keys = row_key(doc, docs.column(row).to_numpy()) if len(doc) else doc
+        for key, text in zip(keys.tolist(), docs.column(names[0])):
             data = text.as_py()
-            a, b = np.searchsorted(ids, row, "left"), np.searchsorted(ids, row, "right")
+            a, b = np.searchsorted(ids, key, "left"), np.searchsorted(ids, key, "right")
             gone = union_of(found[a:b, 1:]).tolist() if b > a else []
             edges = [0, *(x for pair in gone for x in pair), len(data)]
             kept.append(b"".join(data[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2)) if gone else data)
             spans.append([{"start": s, "stop": e} for s, e in gone])
         out = docs.select(columns)
-        return out.append_column(ADDED[1], pa.array(kept, pa.binary())).append_column(ADDED[2], pa.array(spans, SPANS))
+        return out.append_column(names[1], pa.array(kept, pa.binary())).append_column(names[2], pa.array(spans, SPANS))
 
     return cut
 
 
-ROW, PART = "_row", "_part"
-ADDED = ("_bytes", "_kept", "_spans")
+def added_names(docs: DataFrame) -> list[str]:
+    """The names under which ``remove_repeats`` adds bytes, kept bytes and spans: ``_bytes``, ``_kept``, ``_spans``, or more underscores in front."""
+    return free_names(docs.columns, "_bytes", "_kept", "_spans")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """All rows of ``docs``, with ``text`` replaced by ``_bytes`` (its bytes), ``_kept`` (those left) and ``_spans`` (maximal removed runs)."""
+    """All rows of ``docs``, with ``text`` replaced by its bytes, those left and the maximal removed runs, named by ``added_names``."""
     if window < GRAM:
         raise ValueError(f"windows need {GRAM} bytes at least")
     context, total = docs.sparkSession.sparkContext, text_bytes(docs)
     parts = max(16, int(total // PART_BYTES))
     bits = min(20, max(4, int(total // NAME_PART_BYTES).bit_length()))
-    carried = docs.withColumn(ADDED[0], F.coalesce(F.col("text").cast("binary"), F.lit(b""))).drop("text")
-    row = F.pmod(F.xxhash64(ADDED[0]), F.lit(1 << 32))
-    texts = carried.select(F.col("doc_id").cast("long").alias("doc_id"), row.alias(ROW), ADDED[0])
+    added = added_names(docs)
+    row_name, part_name = free_names([*docs.columns, *added], "_row", "_part")
+    carried = docs.withColumn(added[0], F.coalesce(F.col("text").cast("binary"), F.lit(b""))).drop("text")
+    row = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), added[0]), F.lit(1 << 32))
+    texts = carried.select(F.col("doc_id").cast("long").alias("doc_id"), row.alias("row"), F.col(added[0]).alias("data"))
 
     slices = texts.mapInArrow(namer(window, bits), "part int, names binary").groupBy("part").applyInArrow(marker(bits), "part int, bits binary")
     bitmap = bytearray((1 << BITMAP_BITS) // 8)
     size = len(bitmap) >> bits
     for part in slices.toLocalIterator():  # 2 ** BITMAP_BITS / 8 bytes in all, slice by slice
         bitmap[part["part"] * size : (part["part"] + 1) * size] = part["bits"]
-    shared = context.broadcast(bytes(bitmap))
+    shared = context.broadcast(bitmap)
+    del bitmap
 
     asked = texts.mapInArrow(sharder(shared, window, parts, parts), SENT)
     found = asked.groupBy("kind", "part").applyInArrow(merger(window, parts), "part int, data binary")
-    out = T.StructType([*carried.schema.fields, T.StructField(ADDED[1], T.BinaryType()), T.StructField(ADDED[2], T.ArrayType(SPAN))])
-    dealt = carried.withColumn(ROW, row).withColumn(PART, F.pmod(ROW, F.lit(parts)).cast("int"))
-    return dealt.groupBy(PART).cogroup(found.groupBy("part")).applyInArrow(cutter(carried.columns), out)
+    out = T.StructType([*carried.schema.fields, T.StructField(added[1], T.BinaryType()), T.StructField(added[2], T.ArrayType(SPAN))])
+    dealt = carried.withColumn(row_name, row).withColumn(part_name, F.pmod(row_name, F.lit(parts)).cast("int"))
+    return dealt.groupBy(part_name).cogroup(found.groupBy("part")).applyInArrow(cutter(carried.columns, added, row_name), out)
