@@ -11,12 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import ship_package, stored, table
+from wayfare.llm.common import drop_stored, free_names, ship_package, stored, table
 from wayfare.llm.decontaminate import contaminated
-from wayfare.llm.jaccard_join import similar_components
+from wayfare.llm.jaccard_join import component_rows, text_digest
 from wayfare.llm.language_id import predict, train
 from wayfare.llm.packing import pack
-from wayfare.llm.suffix_dedup import remove_repeats
+from wayfare.llm.suffix_dedup import added_names, remove_repeats
 
 PIECE_VOCABULARY = "piece_bpe_32k.model"
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -39,22 +39,28 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     model = train(docs, vocabulary(PIECE_VOCABULARY))
     if not model.languages:
         return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    judged = predict(docs, model, ("_lang_pred", "_lang_score"))
-    return judged.where((F.col("_lang_pred") != "und") & (F.col("_lang_score") >= MIN_LANGUAGE_SCORE)).drop("_lang_pred", "_lang_score")
+    best, score = free_names(docs.columns, "_lang_pred", "_lang_score")
+    judged = predict(docs, model, (best, score))
+    return judged.where((F.col(best) != "und") & (F.col(score) >= MIN_LANGUAGE_SCORE)).drop(best, score)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar documents the one with the smallest doc_id stays.
 
     Documents without words are in no group and stay. Rows with the same doc_id and
-    text are one document. Rows with a null doc_id stay if one of them is in no
-    group with a doc_id.
+    text are one document; of several texts with the smallest doc_id one stays. Null
+    doc_ids come after all others.
     """
     ship_package(spark)
-    groups = similar_components(docs)
-    heads = stored(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_head")).distinct(), "heads")
-    kept = docs.join(heads, F.col("doc_id").eqNullSafe(F.col("_head")), "left_semi")
-    return kept.withColumn("_digest", F.xxhash64("text")).dropDuplicates(["doc_id", "_digest"]).drop("_digest")
+    groups = stored(component_rows(docs), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_digest")).alias("head")
+    heads = groups.where("n_shingles > 0").groupBy("component").agg(first).select("head.doc_id", "head.text_digest")
+    staying = stored(heads.union(groups.where("n_shingles = 0").select("doc_id", "text_digest")).distinct(), "heads")
+    drop_stored(groups)
+    (digest,) = free_names(docs.columns, "_digest")
+    keyed = docs.withColumn(digest, text_digest(F.col("text")))
+    same = keyed["doc_id"].cast("long").eqNullSafe(staying["doc_id"]) & (keyed[digest] == staying["text_digest"])
+    return keyed.join(staying, same, "left_semi").dropDuplicates(["doc_id", digest]).select(*docs.columns)
 
 
 def whole_characters(data: Column) -> Column:
@@ -68,10 +74,11 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Documents that lose nothing stay as they are, also null and empty ones.
     """
     ship_package(spark)
-    columns = docs.columns
-    cut = remove_repeats(docs.withColumn("_no_text", F.col("text").isNull()))
-    changed = F.size("_spans") > 0
-    text = F.when(changed, whole_characters(F.col("_kept"))).when(~F.col("_no_text"), F.col("_bytes").cast("string"))
+    columns, (data, kept, spans) = docs.columns, added_names(docs)
+    (no_text,) = free_names([*columns, data, kept, spans], "_no_text")
+    cut = remove_repeats(docs.withColumn(no_text, F.col("text").isNull()))
+    changed = F.size(spans) > 0
+    text = F.when(changed, whole_characters(F.col(kept))).when(~F.col(no_text), F.col(data).cast("string"))
     out = cut.withColumn("text", text).where(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
@@ -105,6 +112,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+    for at, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, stored(stage(spark, docs, sf_dir), name)
+        if at:
+            drop_stored(before)
     return STAGES[-1][1](spark, docs, sf_dir)
