@@ -173,6 +173,7 @@ from station12 s join match12 m on s.order_id = m.order_id"""
 CTE["queue"] = """
 select order_id, ts, is_end,
        case when is_end then 'end' else concat(cast(lng as varchar), ',', cast(lat as varchar)) end as entry from fx_gps"""
+CTE["queue_s"] = CTE["queue"].replace("from fx_gps", "from fx_gps_s")
 CTE["hourly"] = """
 select date_trunc('hour', first_ts) as hour, count(*) as order_count
 from (select order_id, min(ts) as first_ts from fx_gps where not is_end group by order_id) group by 1"""
@@ -614,6 +615,9 @@ A["position_queue"] = sql(f"""
 select order_id, {mic('ts')} as ts, entry,
        row_number() over (partition by order_id order by ts desc, is_end desc, entry desc) - 1 as queue_index from queue""", "queue")
 
+A["stream_position_queue"] = sql(A["position_queue"][A["position_queue"].rindex("select order_id, "):].replace("from queue", "from queue_s"), "queue_s")
+A["stream_position_heads"] = f"select * from ({A['stream_position_queue']}) where queue_index < 3"
+
 # ---- change data ----
 _IMAGE = f"""{sec('o_orderdate')} as create_time, cast(cast(o_totalprice as decimal(18,2)) as varchar) as pay_all,
        '' as city_name, o_orderstatus as state, o_orderpriority as order_type"""
@@ -804,3 +808,27 @@ _BATCH_ROWS["region_users"] = A["report_region_users"].replace(R, O)
 A["batch_run_all"] = " union all ".join(
     f"select '{name}' as source, count(*) as n_rows from ({body})" for name, body in _BATCH_ROWS.items()
 )
+
+_BATCH_KEYS = {name: "rk" for name in ("region_orders", "platform_totals", "hot_points", "region_users", "active_users")}
+_BATCH_KEYS |= {name: "myid" for name in ("income", "new_users", "retention")} | {
+    "completion_city": "city_name", "completion_driver": "driver_id", "driver_registrations": "register_city", "hot_cells": "_city_code",
+    "virtual_stations": "order_id",
+}
+A["batch_upsert"] = " union all ".join(
+    f"select '{name}' as source, count(distinct {_BATCH_KEYS[name]}) as n_rows from ({body})" for name, body in _BATCH_ROWS.items()
+)
+for _name in ("completion_city", "completion_driver", "driver_registrations", "region_orders", "platform_totals"):
+    A[f"report_{_name}_incremental"] = A[f"report_{_name}"]
+A["rolling_active_users"] = f"""
+with logon as (select distinct user_id as u, cast(ts as date) as d from events where event_type = 'purchase'),
+days as (select cast(unnest(generate_series(date '{R}' - interval 59 day, date '{R}', interval 1 day)) as date) as day)
+select day, count(distinct u) filter (where d = day) as "DAU",
+       count(distinct u) filter (where d > day - interval 7 day) as "WAU", count(distinct u) as "MAU"
+from days left join logon on d <= day and d > day - interval 30 day group by day"""
+A["rolling_retention"] = f"""
+with created as (select distinct user_id as u, cast(ts as date) as day from events where event_type = 'signup'),
+logged as (select distinct user_id as u, cast(ts as date) as d from events where event_type = 'purchase')
+select day, days_after, count(*) as cohort, count(l.u) as retained
+from created c cross join (values (1), (7), (30)) as after(days_after)
+left join logged l on l.u = c.u and l.d = cast(day + to_days(days_after) as date)
+where day between date '2023-12-02' and date '{R}' group by day, days_after"""

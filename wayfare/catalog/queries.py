@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
@@ -12,11 +13,11 @@ from wayfare.catalog import views as v
 from wayfare.functions import geometry, hexgrid, keys, sqlfunctions, text, times
 from wayfare.operators import joins, latest, periods, spatial, tracks
 from wayfare.operators.counting import count_where, distinct_where
-from wayfare.plans import batch, hot, reports, serving, stations
+from wayfare.plans import batch, hot, partials, reports, rolling, serving, stations
 from wayfare.session import scratch_path
 from wayfare.sources import districts as district_source
 from wayfare.sources import readers, schema, sinks
-from wayfare.streaming import cdc, jobs, lines, metrics
+from wayfare.streaming import cdc, jobs, lines, metrics, queue
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -916,6 +917,25 @@ def position_queue(spark, d):
     return queue.select("order_id", _micros("ts"), "entry", "queue_index")
 
 
+def _queue(spark, d, label: str) -> str:
+    path = scratch_path(spark, label)
+    jobs.wait(queue.start_position_queue(_live_points(spark, d), f"{path}/out", f"{path}/checkpoint", None))
+    return f"{path}/out"
+
+
+@query
+def stream_position_queue(spark, d):
+    placed = queue.read_queue(spark, _queue(spark, d, "queue"))
+    return placed.select("order_id", _micros("ts"), "entry", "queue_index")
+
+
+@query
+def stream_position_heads(spark, d):
+    """The three newest entries of every order, from its newest segments."""
+    heads = queue.read_queue(spark, _queue(spark, d, "heads"), newest=3)
+    return heads.select("order_id", _micros("ts"), "entry", "queue_index")
+
+
 # ---- change data ----
 
 @query
@@ -1017,6 +1037,75 @@ def batch_run_all(spark, d):
     return readers.source_counts({name: sinks.read_report(spark, f"{path}/{name}") for name in errors})
 
 
+@query
+def batch_upsert(spark, d):
+    """The whole batch put into its tables by key, twice: rows of every table, whose keys are there once."""
+    sources = {
+        "order": v.orders(spark, d), "renter": v.renters(spark, d), "driver": v.drivers(spark, d),
+        "station_order": v.station_orders(spark, d), "district": v.districts(spark, d),
+    }
+    path, outcomes = scratch_path(spark, "batch-upsert"), batch.run_all(sources, DAY)
+    for _ in range(2):
+        errors = batch.upsert_all(outcomes, path, DAY)
+        failed = {name: error for name, error in errors.items() if error}
+        if failed:
+            raise RuntimeError(failed)
+    return readers.source_counts({name: sinks.read_report(spark, f"{path}/{name}") for name in errors})
+
+
+def _partials(spark, facts: DataFrame, name: str, as_of: str) -> str:
+    """Daily partial results of all days, the day of the report put in by an update of its own."""
+    path = scratch_path(spark, f"partials-{name}")
+    first, last = facts.agg(F.to_date(F.min("create_time")), F.to_date(F.max("create_time"))).first()
+    day = dt.date.fromisoformat(as_of)
+    for start, end in ((first, day - dt.timedelta(days=1)), (day, day), (day + dt.timedelta(days=1), last)):
+        partials.update_days(facts, path, name, start, end)
+    return path
+
+
+@query
+def report_completion_city_incremental(spark, d):
+    return partials.completion_by_city(spark, _partials(spark, v.orders(spark, d), "completion_city", DAY), DAY)
+
+
+@query
+def report_completion_driver_incremental(spark, d):
+    return partials.completion_by_driver(spark, _partials(spark, v.orders(spark, d), "completion_driver", DAY), DAY)
+
+
+@query
+def report_driver_registrations_incremental(spark, d):
+    return partials.driver_registrations(spark, _partials(spark, v.drivers(spark, d), "driver_registrations", DRIVER_DAY), DRIVER_DAY)
+
+
+@query
+def report_region_orders_incremental(spark, d):
+    return partials.region_orders(spark, _partials(spark, v.orders(spark, d), "region_orders", DAY), DAY)
+
+
+@query
+def report_platform_totals_incremental(spark, d):
+    totals = partials.platform_totals(spark, _partials(spark, v.orders(spark, d), "platform", DAY), DAY)
+    return _money(totals, "charge_mileage").drop("pay_all")
+
+
+@query
+def rolling_active_users(spark, d):
+    """Logons are purchases; 60 days from one pass."""
+    logons = v.table(spark, d, "events").where("event_type = 'purchase'")
+    return rolling.rolling_active_users(logons, "user_id", "ts", RENTER_DAY)
+
+
+@query
+def rolling_retention(spark, d):
+    """Users who signed up on a day, and those of them who bought 1, 7 and 30 days later."""
+    events = v.table(spark, d, "events")
+    places = rolling.user_places(events, "user_id")
+    created = rolling.daily_bitmaps(events.where("event_type = 'signup'"), places, "user_id", "ts")
+    logged = rolling.daily_bitmaps(events.where("event_type = 'purchase'"), places, "user_id", "ts")
+    return rolling.cohort_retention(created, logged, "2023-12-02", RENTER_DAY)
+
+
 @query
 def report_upsert(spark, d):
     """Two days' orders into one table keyed by driver: keys of the first day stay, common ones are of the second."""

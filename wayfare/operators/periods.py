@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+Day = str | dt.date
 NAMES = ("year", "quarter", "month", "week", "day")
 # years around as_of whose weeks are spelled out as ranges
 YEARS_BACK, YEARS_AHEAD = 15, 1

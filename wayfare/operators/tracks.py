@@ -83,7 +83,7 @@ def queue_entries(points: DataFrame) -> DataFrame:
     return points.select("order_id", "ts", "is_end", entry.alias("entry"))
 
 
-def position_queue(points: DataFrame, bucket: str = "hour") -> DataFrame:
+def position_queue(points: DataFrame, bucket: str = "minute") -> DataFrame:
     """Every queue entry with its index, newest first (index 0).
 
     Ranks are taken inside (order, time bucket) and shifted by the sizes of the

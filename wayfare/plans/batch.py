@@ -9,9 +9,10 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from wayfare.plans import hot, reports, stations
-from wayfare.sources.sinks import write_report
+from wayfare.sources.sinks import upsert_report, write_report
 
 
 @dataclass
@@ -91,14 +92,32 @@ def run_all(sources: dict[str, DataFrame], as_of: str | dt.date) -> dict[str, Ou
 
 
 def write_all(outcomes: dict[str, Outcome], folder: str) -> dict[str, str | None]:
-    """Write every planned report; returns the error of each, None when written."""
+    """Replace the table of every planned report; returns the error of each, None when written."""
+    return _each(outcomes, lambda name, frame: write_report(frame, f"{folder}/{name}", REPORT_KEYS[name]))
+
+
+def upsert_all(outcomes: dict[str, Outcome], folder: str, as_of: str | dt.date) -> dict[str, str | None]:
+    """Put every planned report into its table by key, as a wide-row store would: a key has one row, that of the newest day.
+
+    Rows of keys that the new report lacks stay, with the day (``as_of``) they are from.
+    Of several rows of a report with one key the greatest by its other columns stays.
+    """
+
+    def put(name: str, frame: DataFrame) -> None:
+        dated = frame.withColumn("as_of", F.lit(str(as_of)))
+        upsert_report(dated, f"{folder}/{name}", [REPORT_KEYS[name]], ["as_of"])
+
+    return _each(outcomes, put)
+
+
+def _each(outcomes: dict[str, Outcome], write: Callable[[str, DataFrame], None]) -> dict[str, str | None]:
     errors: dict[str, str | None] = {}
     for name, outcome in outcomes.items():
         errors[name] = outcome.error
         if outcome.frame is None:
             continue
         try:
-            write_report(outcome.frame, f"{folder}/{name}", REPORT_KEYS[name])
+            write(name, outcome.frame)
         except Exception as error:  # noqa: BLE001
             errors[name] = str(error)
     return errors

@@ -13,9 +13,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions import text as txt
 from wayfare.operators.counting import count_where, distinct_where
-from wayfare.operators.periods import NAMES, Periods, as_date, effective, on_day
-
-Day = str | dt.date
+from wayfare.operators.periods import NAMES, Day, Periods, as_date, effective, on_day
 
 
 def _order_counts(as_of: Day, week_mode: str) -> tuple[dict[str, Column], Column]:
@@ -37,7 +35,11 @@ def _rates() -> list[Column]:
 def completion_by_city(orders: DataFrame, as_of: Day, week_mode: str = "any_year") -> DataFrame:
     """Share of effective orders per city; cities with one this year."""
     measures, wanted = _order_counts(as_of, week_mode)
-    counts = count_where(orders.where(wanted), ["city_name"], measures)
+    return city_rates(count_where(orders.where(wanted), ["city_name"], measures))
+
+
+def city_rates(counts: DataFrame) -> DataFrame:
+    """The report's rows from a city's counts per period."""
     kept = counts.where((F.col("eff_year") > 0) & F.col("city_name").isNotNull())
     return kept.select(F.lit("1").alias("rk"), "city_name", *_rates())
 
@@ -52,6 +54,11 @@ def completion_by_driver(orders: DataFrame, as_of: Day, week_mode: str = "any_ye
         F.max(F.struct("seen", "driver_name"))["driver_name"].alias("driver_name"),
         *[F.sum(n).alias(n) for n in measures],
     )
+    return driver_rates(counts)
+
+
+def driver_rates(counts: DataFrame) -> DataFrame:
+    """The report's rows from a driver's counts per period."""
     kept = counts.where((F.col("eff_year") > 0) & F.col("driver_id").isNotNull())
     return kept.select(F.col("driver_id").alias("rk"), "driver_id", "driver_name", *_rates())
 
@@ -61,7 +68,12 @@ def driver_registrations(drivers: DataFrame, as_of: Day, week_mode: str = "any_y
     periods = Periods.of(as_of, week_mode)
     ts = F.col("create_time")
     measures = {f"_register_{n}_num": periods.during(n, ts) for n in NAMES}
-    counts = distinct_where(drivers.where(periods.any_of(NAMES, ts)), ["register_city"], "id", measures)
+    return registration_rows(distinct_where(drivers.where(periods.any_of(NAMES, ts)), ["register_city"], "id", measures))
+
+
+def registration_rows(counts: DataFrame) -> DataFrame:
+    """The report's rows from a city's registrations per period."""
+    measures = [f"_register_{n}_num" for n in NAMES]
     kept = counts.where((F.col("_register_year_num") > 0) & F.col("register_city").isNotNull())
     return kept.select(F.col("register_city").alias("rk"), "register_city", *measures)
 
@@ -80,6 +92,12 @@ def region_orders(orders: DataFrame, as_of: Day, week_mode: str = "any_year") ->
         .groupBy(txt.region4(F.col("begin_address_code")).alias("region"), "vehicle_license")
         .agg(*[F.count_if(periods.during(n, ts)).alias(n) for n in names])
     )
+    return region_rows(per_vehicle)
+
+
+def region_rows(per_vehicle: DataFrame) -> DataFrame:
+    """The report's rows from the orders of each vehicle in a region per period."""
+    names = ("month", "week", "day")
     known = F.col("vehicle_license").isNotNull()
     regions = per_vehicle.groupBy("region").agg(
         F.count_if(known & (F.col("month") > 0)).alias("monthVehicleCount"),
@@ -103,10 +121,15 @@ def platform_totals(orders: DataFrame, as_of: Day) -> DataFrame:
         F.max("create_time").alias("last"),
         F.sum("charge_mileage").alias("charge_mileage"),
     )
+    return platform_row(totals)
+
+
+def platform_row(totals: DataFrame, *more: str) -> DataFrame:
+    """The report's row from the totals of all orders."""
     days = F.datediff("last", "first") + 1
     return totals.select(
         F.lit("1").alias("rk"), "totalOrderNum", "monthOrderNum",
-        F.round(F.col("totalOrderNum") / days, 2).alias("avgOrderNum"), "charge_mileage",
+        F.round(F.col("totalOrderNum") / days, 2).alias("avgOrderNum"), "charge_mileage", *more,
     )
 
 

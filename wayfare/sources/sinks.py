@@ -16,7 +16,8 @@ with a new checkpoint overwrites what an older one wrote.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import replace
 
@@ -95,6 +96,20 @@ def upsert_report(report: DataFrame, path: str, keys: list[str], version: list[s
     key has one row. Where another writer changed the same key ranges meanwhile, the
     merge is done again on what it made.
     """
+    _change(report, path, keys, buckets, lambda stored, rows: upsert_latest(stored, rows, keys, version))
+
+
+def replace_range(rows: DataFrame, path: str, keys: list[str], low: str, high: str, buckets: int = BUCKETS) -> None:
+    """Replace the rows whose key text is in [low, high) by the given ones of that range; all others stay as they are."""
+    text = key_text(keys)
+    inside = (text >= low) & (text < high)
+    _change(rows.where(inside), path, keys, buckets, lambda stored, fresh: stored.where(~inside).unionByName(fresh), (low, high))
+
+
+def _change(
+    report: DataFrame, path: str, keys: list[str], buckets: int, merge: Callable[[DataFrame, DataFrame], DataFrame], span: tuple[str, str] | None = None
+) -> None:
+    """Rewrites the buckets that the rows (and the span of keys) fall into, as ``merge`` makes them of what is stored."""
     spark = report.sparkSession
     with kept(report.where(key_text(keys).isNotNull())) as changes:
         while True:
@@ -104,13 +119,15 @@ def upsert_report(report: DataFrame, path: str, keys: list[str], version: list[s
             columns = base.columns if base else manifests.columns_of(report)
             place = bucket_of(keys, bounds)
             touched = {r[0] for r in changes.select(place.alias(BUCKET)).distinct().collect()}  # at most one row per bucket
-            stored = changes.limit(0) if base is None else manifests.read_parts(spark, path, base, [p for p in base.parts if p.bucket in touched])
-            parts = _write_buckets(upsert_latest(stored, changes, keys, version), path, place)
+            if span:
+                touched |= set(range(bisect_right(bounds, span[0]), bisect_left(bounds, span[1]) + 1))
+            old = [p for p in base.parts if p.bucket in touched] if base else []
+            stored = changes.limit(0) if base is None else manifests.read_parts(spark, path, base, old)
+            parts = _write_buckets(merge(stored, changes), path, place)
 
             def edit(now: Manifest | None) -> Manifest:
-                old = {p for p in base.parts if p.bucket in touched} if base else set()
                 found = {p for p in now.parts if p.bucket in touched} if now else set()
-                if found != old or (now and now.parts and now.bounds != bounds) or (now and now.columns != columns):
+                if found != set(old) or (now and now.parts and now.bounds != bounds) or (now and now.columns != columns):
                     raise Conflict
                 rest = [p for p in now.parts if p.bucket not in touched] if now else []
                 return Manifest(0, columns, (*rest, *parts), bounds)
