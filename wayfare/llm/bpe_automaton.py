@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -36,9 +37,14 @@ from wayfare.llm.tokens import byte_letters, little_endian, load
 
 #: The state before the first token.
 START = -1
-#: Units, words and steps that a worker remembers; beyond that it starts anew.
-CACHE_ENTRIES = 400_000
+#: Words that a worker remembers in each of two generations, and steps of the automaton.
+CACHE_WORDS = 100_000
+CACHE_STEPS = 200_000
+#: Beginnings of words whose last label is remembered.
+CACHE_BEGINNINGS = 150_000
 LONGEST_CACHED = 48
+#: Texts that are taken out of a batch at a time.
+SLICE_ROWS = 200
 #: Tokens of one batch that decoding gives back, about.
 DECODED_TOKENS = 2_000_000
 
@@ -48,13 +54,16 @@ class Automaton:
 
     def __init__(self, ids: dict[str, int], merges: Iterable[tuple[str, str]], end: str = ""):
         self.ids, self.end = ids, end
-        self.longest = max((len(label.removesuffix(end)) if end else len(label) for label in ids), default=0)
+        self.lengths = {at: len(label.removesuffix(end) if end else label) for label, at in ids.items()}
+        #: what a label may end in, so that reading back stops where no label goes on
+        self.tails = {label[at:] for label in ids for at in range(len(label))}
         #: of a label made by a merge: its left part, and the merge's rank
         self.left: dict[int, int] = {}
         self.rank: dict[int, int] = {}
         #: of a state: the labels cut from it, and the rank at which
         self.cuts: dict[int, dict[int, int]] = {}
         self.steps: dict[int, bool] = {}
+        self.beginnings: dict[str, int] = {}
         self.unreachable: set[int] = set()
         merges = list(merges)
         later = {ids[u + v] for u, v in merges}  # labels that no merge has made yet
@@ -93,35 +102,86 @@ class Automaton:
             grown, label = self.rank[label], self.left[label]
 
     def step(self, state: int, label: int) -> bool:
-        """``goes``, remembered."""
-        key = (state + 1) << 24 | label
-        out = self.steps.get(key)
-        if out is None:
-            if len(self.steps) > CACHE_ENTRIES:
-                self.steps.clear()
-            out = self.steps[key] = label not in self.unreachable and self.goes(state, label)
+        """``goes`` of a label that can be reached, remembered in ``steps``."""
+        if len(self.steps) > CACHE_STEPS:
+            self.steps.clear()
+        out = self.steps[(state + 1) << 24 | label] = label not in self.unreachable and self.goes(state, label)
         return out
 
+    def last(self, letters: str, end: int, mark: str, states: list[int]) -> int:
+        """The label that ends at ``end`` on the path, which follows the state at its own start; states are given up to there."""
+        ids, steps, tails = self.ids, self.steps, self.tails
+        for start in range(end - 1, -1, -1):
+            tail = letters[start:end] + mark
+            label = ids.get(tail)
+            if label is not None:
+                known = steps.get((states[start] + 1) << 24 | label)
+                if self.step(states[start], label) if known is None else known:
+                    return label
+            elif tail not in tails:
+                break
+        raise ValueError(f"no path for {letters[:end]!r}")
+
     def word(self, letters: str) -> list[int]:
         """The labels on the word's path. Raises ValueError for a symbol that the vocabulary lacks."""
-        size, ids, step = len(letters), self.ids, self.step
-        states, starts = [START] * (size + 1), [0] * (size + 1)
-        for end in range(1, size + 1):
-            mark = self.end if end == size else ""
-            for start in range(max(0, end - self.longest), end):
-                label = ids.get(letters[start:end] + mark)
-                if label is not None and step(states[start], label):
-                    states[end], starts[end] = label, start
-                    break
-            else:
-                raise ValueError(f"no path for {letters[:end]!r}")
-        out, at = [], size
+        whole = self.ids.get(letters + self.end)
+        if whole is not None and whole not in self.unreachable:
+            return [whole]
+        size, known = len(letters), self.beginnings
+        if len(known) > CACHE_BEGINNINGS:
+            known.clear()
+        states = [START]
+        for end in range(1, size):
+            beginning = letters[:end]
+            label = known.get(beginning)
+            if label is None:
+                label = self.last(letters, end, "", states)
+                if end <= LONGEST_CACHED:
+                    known[beginning] = label
+            states.append(label)
+        states.append(self.last(letters, size, self.end, states))
+        out, at, lengths = [], size, self.lengths
         while at:
             out.append(states[at])
-            at = starts[at]
+            at -= lengths[states[at]]
         return out[::-1]
 
 
+def characters(kind: str, last: int) -> str:
+    """All characters up to ``last`` of a general category, as the inside of a pattern's class."""
+    return "".join(re.escape(chr(c)) for c in range(last + 1) if unicodedata.category(chr(c)).startswith(kind))
+
+
+#: Last of the Latin letters, in which no normal form changes a character and every one is known to all versions of Unicode.
+LAST_LATIN = 0x24F
+_BEYOND_LATIN = re.compile(f"[^\\x00-{chr(LAST_LATIN)}]")
+_LETTERS, _NUMBERS, _WHITE = characters("L", LAST_LATIN), characters("N", LAST_LATIN), "\\t\\n\\x0b\\x0c\\r \\x85\\xa0"
+#: Fixed value, as the tokenizer's file has it: what is cut into words of lower case. White space is left out.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LATIN_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_WHITE}{_LETTERS}{_NUMBERS}]+")
+
+
+class WordIds(dict):
+    """The ids of words, as little-endian numbers; those that were asked for lately stay."""
+
+    def __init__(self, automaton: Automaton, latin: bool):
+        super().__init__()
+        self.automaton, self.latin, self.letters, self.older = automaton, latin, byte_letters(), {}
+
+    def __missing__(self, word: str) -> bytes:
+        out = self.older.get(word)
+        if out is None:
+            plain = self.latin and word.isascii() and word.isprintable()
+            spelled = word if plain or not self.latin else "".join([self.letters[b] for b in word.encode()])
+            out = little_endian(self.automaton.word(spelled))
+        if len(word) <= LONGEST_CACHED:
+            if len(self) >= CACHE_WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[word] = out
+        return out
+
+
 class AutomatonTokenizer:
     """The automaton of a tokenizer file, with the file's own rules for normal forms and for cutting texts into words."""
 
@@ -142,49 +202,27 @@ class AutomatonTokenizer:
             self.labels[at] = label
         self.spaces_between = told["decoder"] is None
         self.bytes_of = {letter: byte for byte, letter in byte_letters().items()}
-        # where blanks leave no trace, a text's ids are those of its units between blanks
-        self.by_units = all(" " not in piece and "Ġ" not in piece for piece, _ in self._pieces("a b"))
-        self.units: dict[str, bytes] = {}
-        self.words: dict[str, list[int]] = {}
+        # Latin texts are cut here, where the file's rules are the ones above; words of others are spelled in the byte alphabet
+        cuts = [p.get("pattern", {}).get("Regex") for p in told["pre_tokenizer"].get("pretokenizers", [])]
+        forms = [n["type"] for n in (told["normalizer"] or {}).get("normalizers", [])]
+        self.cuts_latin = cuts == [WORD_PATTERN, None] and forms == ["NFC", "Replace", "Lowercase"]
+        self.latin, self.spelled = WordIds(self.automaton, True), WordIds(self.automaton, False)
 
-    def _pieces(self, text: str) -> list[tuple]:
-        return self.cut.pre_tokenize_str(self.normal.normalize_str(text) if self.normal else text)
+    def _pieces(self, text: str) -> list[str]:
+        """The words of a text in the byte alphabet, by the library's normal forms and rules."""
+        return [piece for piece, _ in self.cut.pre_tokenize_str(self.normal.normalize_str(text) if self.normal else text)]
 
-    def _word(self, letters: str) -> list[int]:
-        out = self.words.get(letters)
-        if out is None:
-            out = self.automaton.word(letters)
-            if len(letters) <= LONGEST_CACHED:
-                self.words[letters] = out
-        return out
-
-    def _whole(self, text: str) -> bytes:
-        ids: list[int] = []
-        for part in self.special_pattern.split(text) if self.special_pattern else [text]:
-            if part in self.special:
-                ids.append(self.special[part])
-            elif part:
-                for piece, _ in self._pieces(part):
-                    ids += self._word(piece)
-        return little_endian(ids)
-
-    def _unit(self, unit: str) -> bytes:
-        out = self.units.get(unit)
-        if out is None:
-            out = self._whole(unit)
-            if len(unit) <= LONGEST_CACHED:
-                self.units[unit] = out
-        return out
+    def _plain(self, text: str) -> bytes:
+        if self.cuts_latin and not _BEYOND_LATIN.search(text):
+            return b"".join(map(self.latin.__getitem__, _LATIN_WORDS.findall(text.lower())))
+        return b"".join(map(self.spelled.__getitem__, self._pieces(text)))
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        if len(self.units) > CACHE_ENTRIES or len(self.words) > CACHE_ENTRIES:
-            self.units.clear()
-            self.words.clear()
-        if not self.by_units:
-            return self._whole(text)
-        known, unit = self.units, self._unit
-        return b"".join([known.get(u) or unit(u) for u in text.replace("\n", " ").split(" ") if u])
+        if not self.special_pattern or not self.special_pattern.search(text):
+            return self._plain(text) if text else b""
+        parts = self.special_pattern.split(text)
+        return b"".join([little_endian([self.special[p]]) if p in self.special else self._plain(p) for p in parts if p])
 
     def decode(self, ids: np.ndarray) -> str:
         """The labels of the ids, with blanks between them or, in byte-level vocabularies, as bytes."""
@@ -209,7 +247,7 @@ def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = worker_tokenizer(tokenizer_path)
-        for batch in batches:
+        for batch in (whole.slice(at, SLICE_ROWS) for whole in batches for at in range(0, whole.num_rows, SLICE_ROWS)):
             ids = [tokenizer.encode(text) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
