@@ -109,7 +109,7 @@ def test_rolling_users(spark, monkeypatch, users, places):
         day = dt.date(2024, 2, 10) - dt.timedelta(days=n)
         counts = [len({u for u, d in days if 0 <= (day - d).days < span}) for span in (1, 7, 30)]
         want.append((day, *counts))
-    assert rows(got.select("day", "DAU", "WAU", "MAU")) == sorted(want)
+    assert rows(got.select("day", "DAU", "WAU", "MAU")) == sorted(want, key=repr)
 
 
 def test_more_users_in_a_bucket_than_a_bitmap_has_places(spark):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -402,3 +403,53 @@ def test_event_logs_in_any_spelling(spark):
 def test_newest_rows_are_repeatable(spark):
     frame = spark.createDataFrame([(1, i) for i in range(20)], "t int, x int")
     assert rows(latest.newest_rows(frame.repartition(7), "t", 3)) == [(1, 17), (1, 18), (1, 19)]
+
+
+def test_trips_close_and_their_state_goes(spark):
+    """Four hours of short trips: each is written once, and state holds the running ones, not all that ever ran."""
+    path = scratch_path(spark, "closing")
+    start = dt.datetime(2024, 1, 1)
+    for part in range(4):
+        values = []
+        for trip in range(60):
+            begin = start + dt.timedelta(hours=part, seconds=60 * trip)
+            values += [("d", f"o{part}-{trip}", begin + dt.timedelta(seconds=10 * k), 104.0 + k, 30.0, False) for k in range(5)]
+            if trip % 2:
+                values.append((None, f"o{part}-{trip}", begin + dt.timedelta(seconds=60), None, None, True))
+        frame = spark.createDataFrame(values, "driver_id string, order_id string, ts timestamp, lng double, lat double, is_end boolean")
+        frame.coalesce(1).write.mode("append").parquet(f"{path}/in")
+    live = readers.stream_files(spark, f"{path}/in/*.parquet", frame.schema, max_files=1)
+    query = jobs.start_trip_closing(live, f"{path}/out", f"{path}/checkpoint", "10 minutes", "20 minutes", None)
+    states = []
+    jobs.wait(query)
+    for progress in query.recentProgress:
+        states += [s["numRowsTotal"] for s in json.loads(progress.json)["stateOperators"]]
+    closed = spark.read.parquet(f"{path}/out")
+    assert closed.count() == closed.select("order_id").distinct().count() > 200
+    assert max(states) < 130 and states[-1] < 40  # 240 trips ran in all
+    whole = tracks.closed_trips(spark.read.parquet(f"{path}/in"), "20 minutes")
+    assert whole.count() == 240 and rows(whole.join(closed.select("order_id"), "order_id", "left_semi").select(*closed.columns)) == rows(closed)
+    assert closed.where("has_end").agg(F.min("n_points"), F.max("n_points")).first()[:] == (5, 5)
+
+
+def test_delete_modes_of_streams(spark):
+    messages = _envelopes(spark, *CDC)
+    path = scratch_path(spark, "deletes")
+    messages.write.parquet(f"{path}/in")
+    for mode in cdc.DELETE_MODES:
+        live = readers.stream_files(spark, f"{path}/in/*.parquet", messages.schema)
+        jobs.wait(jobs.start_cdc(live, f"{path}/{mode}", f"{path}/checkpoint-{mode}", None, deletes=mode))
+        got = jobs.read_applied(spark, f"{path}/{mode}", cdc.ORDER_TABLE, mode).select("id", "state")
+        assert rows(got) == rows(cdc.apply(messages, cdc.ORDER_TABLE, mode).select("id", "state"))
+    by_mode = cdc.images_by_mode(cdc.entity_rows(cdc.parse(messages), cdc.ORDER_TABLE))
+    for mode in cdc.DELETE_MODES:
+        want = cdc.apply(messages, cdc.ORDER_TABLE, mode).select("id", "state")
+        assert rows(by_mode.where(F.col("mode") == mode).select("id", "state")) == rows(want)
+
+
+def test_the_recorder_writes_after_a_time(spark):
+    recorder = metrics.ProgressRecorder(spark, scratch_path(spark, "timed"), flush_every=1000, flush_seconds=0)
+    recorder._note("progress", "q", "{}", 1)
+    assert recorder.events().count() == 1
+    recorder._gc_before = 0
+    assert recorder._gc_since() >= 0 and recorder._gc_since() < 10_000

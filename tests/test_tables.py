@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from wayfare.session import scratch_path
-from wayfare.sources import manifests, sinks
+from wayfare.sources import manifests, ranges, readers, sinks
 from wayfare.sources.files import Store
 
 
@@ -185,3 +185,34 @@ def test_rows_of_a_part_know_their_batch(spark):
     sinks.append_changes(_rows_of(spark, ("a", "1", 1)), path, 4, "x")
     row = sinks.read_changes(spark, path).select(sinks.RUN, sinks.BATCH, F.col(sinks.WRITTEN).isNotNull().alias("known")).first()
     assert tuple(row) == ("x", 4, True)
+
+
+def _ranged(spark, n=500):
+    path = scratch_path(spark, "key-ranges")
+    frame = spark.range(n).selectExpr("format_string('%04d', id) as k", "id as v", "timestamp_seconds(id) as t")
+    sinks.write_report(frame.unionByName(frame.limit(1).selectExpr("cast(null as string) as k", "v", "t")), path, "k", buckets=10)
+    return path, frame
+
+
+@pytest.mark.parametrize("start, stop", [(None, None), ("0100", "0200"), ("0123", "0124"), ("0490", None), (None, "0003"), ("0600", None), ("0200", "0100"), ("", "")])
+def test_one_partition_per_key_range(spark, start, stop):
+    path, frame = _ranged(spark)
+    now = manifests.newest(spark, path)
+    got = ranges.read_key_range(spark, path, "k", start, stop)
+    want = readers.scan_key_range(frame, "k", start, stop) if (start, stop) != ("", "") else frame.limit(0)
+    if start is not None and stop is not None and stop <= start:
+        want = frame.limit(0)
+    assert rows(got) == rows(want) and got.dtypes == frame.dtypes
+    if got.count():
+        edges = ["", *now.bounds, "~"]
+        overlap = sum(low < (stop or "~") and (start or "") < high for low, high in zip(edges, edges[1:]))
+        assert len(now.parts) == 10 and got.rdd.getNumPartitions() == overlap
+        assert got.select(F.spark_partition_id()).distinct().count() <= overlap
+
+
+def test_key_ranges_of_no_table(spark):
+    with pytest.raises(FileNotFoundError):
+        ranges.read_key_range(spark, scratch_path(spark, "nothing"), "k")
+    path = scratch_path(spark, "none")
+    sinks.write_report(spark.createDataFrame([], "k string, v int"), path, "k")
+    assert ranges.read_key_range(spark, path, "k", "a", "b").collect() == []

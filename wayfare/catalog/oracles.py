@@ -298,6 +298,7 @@ select id, coalesce({sec('create_time')}, '') as create_time, coalesce({sec('las
 A["scan_key_range"] = f"""
 select cast(substr(rowkey, 1, 4) as int) as key_range, count(*) as n_rows, min(rowkey) as first_key, max(rowkey) as last_key
 from (select {salted('c_name')} as rowkey from customer) where substr(rowkey, 1, 4) between '0002' and '0005' group by 1"""
+A["scan_key_range_source"] = A["scan_key_range"]
 A["scan_station_orders"] = sql("""
 select id as order_id, substr(begin_address_code, 1, 4) as city_id, open_lng as starting_lng, open_lat as starting_lat
 from fx_order""", "fx_order")
@@ -615,6 +616,20 @@ A["position_queue"] = sql(f"""
 select order_id, {mic('ts')} as ts, entry,
        row_number() over (partition by order_id order by ts desc, is_end desc, entry desc) - 1 as queue_index from queue""", "queue")
 
+A["stream_closed_trips"] = sql(f"""
+select order_id, {sec('start_time')} as start_time, {sec('end_time')} as end_time, get_on_lng, get_on_lat, get_off_lng, get_off_lat, has_end, n_points
+from (
+  select order_id, min(ts) filter (not is_end) as start_time, max(ts) filter (not is_end) as end_time,
+         arg_min(lng, {{'t': ts, 'x': lng, 'y': lat}}) filter (not is_end) as get_on_lng, arg_min(lat, {{'t': ts, 'x': lng, 'y': lat}}) filter (not is_end) as get_on_lat,
+         arg_max(lng, {{'t': ts, 'x': lng, 'y': lat}}) filter (not is_end) as get_off_lng, arg_max(lat, {{'t': ts, 'x': lng, 'y': lat}}) filter (not is_end) as get_off_lat,
+         bool_or(is_end) as has_end, count(*) filter (not is_end) as n_points, max(until) as closed_at
+  from (
+    select *, sum(case when reach is null or ts > reach then 1 else 0 end) over (partition by order_id order by ts, until rows unbounded preceding) as trip
+    from (
+      select *, max(until) over (partition by order_id order by ts, until rows between unbounded preceding and 1 preceding) as reach
+      from (select *, ts + case when is_end then interval 1 second else interval 6 hour end as until from fx_gps_s)))
+  group by order_id, trip)
+where closed_at <= (select max(ts) from fx_gps_s) - interval 1 hour""", "fx_gps_s")
 A["stream_position_queue"] = sql(A["position_queue"][A["position_queue"].rindex("select order_id, "):].replace("from queue", "from queue_s"), "queue_s")
 A["stream_position_heads"] = f"select * from ({A['stream_position_queue']}) where queue_index < 3"
 

@@ -16,7 +16,7 @@ from wayfare.operators.counting import count_where, distinct_where
 from wayfare.plans import batch, hot, partials, reports, rolling, serving, stations
 from wayfare.session import scratch_path
 from wayfare.sources import districts as district_source
-from wayfare.sources import readers, schema, sinks
+from wayfare.sources import ranges, readers, schema, sinks
 from wayfare.streaming import cdc, jobs, lines, metrics, queue
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +96,18 @@ def scan_key_range(spark, d):
     )
 
 
+@query
+def scan_key_range_source(spark, d):
+    """The same keys from a keyed table, one input partition per range of its keys."""
+    path = scratch_path(spark, "key-ranges")
+    keyed = v.table(spark, d, "customer").select(keys.salted_key(F.col("c_name")).alias("rowkey"))
+    sinks.write_report(keyed, path, "rowkey", buckets=32)
+    inner = readers.key_ranges(ranges.read_key_range(spark, path, "rowkey", "0002", "0006"), "rowkey", readers.salted_split_points())
+    return inner.groupBy("key_range").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("rowkey").alias("first_key"), F.max("rowkey").alias("last_key")
+    )
+
+
 @query
 def scan_station_orders(spark, d):
     return v.station_orders(spark, d)
@@ -836,6 +848,16 @@ def stream_hourly_first(spark, d):
     return newest.select(F.date_format("hour", times.SECOND_FORMAT).alias("hour"), "order_count")
 
 
+@query
+def stream_closed_trips(spark, d):
+    """Trips that were over an hour before the last event, for points that arrive in order of time."""
+    path = scratch_path(spark, "closed-trips")
+    live = lines.gps_events(v.gps_lines_of(_arriving(spark, d, f"{path}/in")), "arrived_at")
+    jobs.wait(jobs.start_trip_closing(live, f"{path}/out", f"{path}/checkpoint", interval=None))
+    trips = spark.read.parquet(f"{path}/out")
+    return trips.select("order_id", _seconds("start_time"), _seconds("end_time"), "get_on_lng", "get_on_lat", "get_off_lng", "get_off_lat", "has_end", "n_points")
+
+
 @query
 def stream_trigger(spark, d):
     """A query under a processing-time trigger: it goes on by itself until all lines are there, then it is stopped."""

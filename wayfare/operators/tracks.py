@@ -36,6 +36,26 @@ def trip_state(points: DataFrame, city_code: str = txt.CITY_PREFIX) -> DataFrame
     )
 
 
+def closed_trips(points: DataFrame, idle: str = "6 hours", city_code: str = txt.CITY_PREFIX) -> DataFrame:
+    """Trips that are over: one second after their end marker, or ``idle`` after their last event.
+
+    On a stream with a watermark a trip is given out once, when the watermark has
+    passed its closing time, and its state is dropped; an event that comes later
+    begins a new trip of the order. On a batch all trips are given out.
+    """
+    span = F.session_window("ts", F.when(F.col("is_end"), F.lit("1 second")).otherwise(F.lit(idle)))
+    point = F.when(~F.col("is_end"), F.struct("ts", "lng", "lat"))
+    trips = points.groupBy(span.alias("span"), "order_id").agg(
+        F.min(point).alias("on"), F.max(point).alias("off"), F.bool_or("is_end").alias("has_end"), F.count(point).alias("n_points"),
+    )
+    return trips.select(
+        F.lit(city_code).alias("city_code"), "order_id", F.col("on.ts").alias("start_time"), F.col("off.ts").alias("end_time"),
+        F.col("on.lng").alias("get_on_lng"), F.col("on.lat").alias("get_on_lat"),
+        F.col("off.lng").alias("get_off_lng"), F.col("off.lat").alias("get_off_lat"),
+        "has_end", "n_points", F.col("span.end").alias("closed_at"),
+    )
+
+
 def order_activity(points: DataFrame) -> DataFrame:
     """Newest event, number of points and whether the order is still running.
 

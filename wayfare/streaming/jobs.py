@@ -104,6 +104,16 @@ def hourly_first_processed(points: DataFrame, watermark: str | None = None) -> D
     return counts.select(F.col("window.start").alias("hour"), "order_count")
 
 
+def start_trip_closing(
+    points: DataFrame, out: str, checkpoint: str, watermark: str = "1 hour", idle: str = "6 hours", interval: str | None = TRIGGER_INTERVAL
+) -> StreamingQuery:
+    """Write every trip once, when it is over; state holds running trips alone.
+
+    Events that come more than ``watermark`` after later ones were seen are dropped.
+    """
+    return append_stream(tracks.closed_trips(bounded(points, watermark), idle), out, checkpoint, "trip_closing", interval)
+
+
 def start_cdc(
     messages: DataFrame, out: str, checkpoint: str, interval: str | None = TRIGGER_INTERVAL, compact_every: int = FAN,
     deletes: str = "keep",
