@@ -797,6 +797,13 @@ select id, {sec('create_time')} as create_time, last_login_city, {sec('last_logo
        cast(null as varchar) as city_name from fx_renter""", "fx_renter")
 A["track_history_order"] = sql(f"select * from ({_TRACK.replace('@', '>=')}) where order_id = '0_2024-01-01'", "trip")
 A["stream_hourly_first"] = A["stream_hourly_orders"]
+A["stream_offsets"] = sql("""
+select cast(event_id % 4 as int) as partition, count(*) as n_records, count(*) as n_offsets, 0::bigint as first_offset, count(*) - 1 as last_offset,
+       sum(length(case when event_type = 'purchase' then concat('end,', user_id, '_', cast(ts as date))
+                       else concat_ws(',', user_id, concat(user_id, '_', cast(ts as date)), cast(floor(epoch(ts)) as bigint),
+                                      cast(104e0 + value / 1e3 as varchar), cast(306e-1 + cast(event_id % 1000 as double) / 1e4 as varchar)) end)) as n_chars,
+       max(event_id) as last_event
+from events group by 1""")
 A["stream_trigger"] = sql("select count(*) as n_rows, count(distinct orderid) as n_orders from gps_row", "gps_row")
 A["stream_query_events"] = """
 select event, 1::bigint as n_events, (select count(*) from events) as n_rows from (values ('started'), ('terminated')) as kinds(event)"""

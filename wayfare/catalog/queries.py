@@ -16,7 +16,7 @@ from wayfare.operators.counting import count_where, distinct_where
 from wayfare.plans import batch, hot, partials, reports, rolling, serving, stations
 from wayfare.session import scratch_path
 from wayfare.sources import districts as district_source
-from wayfare.sources import ranges, readers, schema, sinks
+from wayfare.sources import ranges, readers, schema, sinks, topics
 from wayfare.streaming import cdc, jobs, lines, metrics, queue
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -858,6 +858,28 @@ def stream_closed_trips(spark, d):
     return trips.select("order_id", _seconds("start_time"), _seconds("end_time"), "get_on_lng", "get_on_lat", "get_off_lng", "get_off_lat", "has_end", "n_points")
 
 
+@query
+def stream_offsets(spark, d):
+    """The events' lines in a log of four partitions, followed by offsets: records and offsets of each partition."""
+    path = scratch_path(spark, "offsets")
+    records = v.gps_lines_of(v.table(spark, d, "events")).select("value", "offset", (F.col("offset") % 4).alias("part")).withColumnRenamed("offset", "event_id")
+    cut = records.agg(F.expr("percentile_approx(event_id, 0.5)")).first()[0] or 0
+    for half in (F.col("event_id") <= cut, F.col("event_id") > cut):
+        topics.append_records(records.where(half), f"{path}/log", "part", ["event_id"])
+    stream = topics.stream_records(spark, f"{path}/log", max_offsets=max(1, records.count() // 3)).drop("part")
+    started = jobs.append_stream(stream, f"{path}/out", f"{path}/checkpoint", "offsets", "0 seconds")
+    try:
+        started.processAllAvailable()
+    finally:
+        started.stop()
+    read = spark.read.parquet(f"{path}/out")
+    in_order = F.max(F.struct("offset", "event_id"))["event_id"].alias("last_event")
+    return read.groupBy("partition").agg(
+        F.count(F.lit(1)).alias("n_records"), F.count_distinct("offset").alias("n_offsets"), F.min("offset").alias("first_offset"),
+        F.max("offset").alias("last_offset"), F.sum(F.length("value")).alias("n_chars"), in_order,
+    )
+
+
 @query
 def stream_trigger(spark, d):
     """A query under a processing-time trigger: it goes on by itself until all lines are there, then it is stopped."""
