@@ -258,6 +258,21 @@ def test_an_edit_or_a_part_that_leaked_often(spark):
     assert {(r["doc_id"], r["item_id"]): pytest.approx(r["score"]) for r in found.collect()} == want
 
 
+def test_shards_merged_in_groups(spark, monkeypatch):
+    """Shards of a few kilobytes, two at a time: what a group of shards leaves is merged again."""
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 4000)
+    rng = random.Random(18)
+    shared = [prose(rng, 14) for _ in range(6)]
+    docs = [(i, f"{prose(rng, rng.randrange(30))} {rng.choice(shared)} {prose(rng, rng.randrange(30))}") for i in range(150)]
+    names = ["_bytes", "_kept", "_spans"]
+    frames = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
+    got = [
+        sorted((r["doc_id"], bytes(r[names[1]]), [tuple(s) for s in r[names[2]]]) for r in suffix_dedup.remove_repeats(frames, shards=shards).collect())
+        for shards in (2, 4096)
+    ]
+    assert got[0] == got[1] == sorted((d, kept, spans) for d, _, kept, spans in brute_repeats(docs))
+
+
 def test_a_common_phrase_does_not_pair_all(spark):
     """2000 items and 2000 documents share one trigram; a few documents hold an item as well."""
     rng, phrase = random.Random(14), "which of the following"

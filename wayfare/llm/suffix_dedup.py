@@ -14,9 +14,12 @@ documents. The job has four steps:
    one document per string and shard, goes to the part of its name.
 3. Merge: a part sorts what the shards sent and looks every window up in it by
    binary search; windows of larger documents than the smallest found are repeats.
+   Where there are very many shards, groups of them are merged first, and what is
+   left of each group goes on, so no task gets a string once per shard.
 4. Repeats meet their documents again and are cut out.
 
-A string that fills a third of the table is thus sent once per shard. Null texts
+A string that fills a third of the table is thus sent once per shard, and beyond
+``SHARDS`` shards once per group of these. Null texts
 are empty; texts shorter than a window stay whole. Rows with the same doc_id do
 not affect each other, and null doc_ids count as larger than all others; a row is
 known by its doc_id and 32 bits of a digest of doc_id and text, and dealt by the
@@ -48,6 +51,8 @@ NAMES_PER_FLUSH = 2_000_000
 #: Bytes of text per part of the shuffle of names, and of the later ones.
 NAME_PART_BYTES = 8 << 20
 PART_BYTES = 2 << 20
+#: Shards whose strings are merged at a time.
+SHARDS = 4096
 NO_ID = np.iinfo(np.int64).max
 NO_BYTES = np.zeros(0, np.uint8)
 ODD = [np.uint64(x) for x in (
@@ -190,13 +195,16 @@ def stretches(use: np.ndarray, row: np.ndarray, place: np.ndarray, name: np.ndar
     return at[first], at[np.append(first[1:], len(at)) - 1]
 
 
-SENT = "kind int, part int, data binary"
+SENT = "kind int, part int, salt int, data binary"
 REPEATS, SEGMENTS = 1, 0
 
 
-def sent(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+def sent(rows: list[tuple[int, int, bytes]], salt: int) -> pa.RecordBatch:
     kinds, parts, data = zip(*rows) if rows else ([], [], [])
-    return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(parts, pa.int32()), pa.array(data, pa.binary())], names=["kind", "part", "data"])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(kinds, pa.int32()), pa.array(parts, pa.int32()), pa.array([salt] * len(rows), pa.int32()), pa.array(data, pa.binary())],
+        names=["kind", "part", "salt", "data"],
+    )
 
 
 def row_key(doc: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -239,14 +247,18 @@ def solve(shard: Shard, window: int, parts: int, row_parts: int) -> list[tuple[i
     part = (name[a] % np.uint64(parts)).astype(np.int64)
     length = b - a + window
     for p, at in by_part(part) if len(a) else ():
-        n = length[at]
-        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(a[at], n)
-        head = packed_numbers(doc[a[at]].view(np.uint64), 8) + b"".join(packed_numbers(x, 4) for x in (row[a[at]], place[a[at]], n))
-        rows.append((SEGMENTS, p, np.int64(len(at)).tobytes() + head + text[inside].tobytes()))
+        rows.append((SEGMENTS, p, packet(doc[a[at]], row[a[at]], place[a[at]], a[at], length[at], text)))
     return rows
 
 
-def sharder(shared, window: int, parts: int, row_parts: int):
+def packet(doc: np.ndarray, row: np.ndarray, place: np.ndarray, begin: np.ndarray, n: np.ndarray, text: np.ndarray) -> bytes:
+    """Segments of a text with their documents, rows and places there."""
+    inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin, n)
+    head = packed_numbers(doc.view(np.uint64), 8) + b"".join(packed_numbers(x, 4) for x in (row, place, n))
+    return np.int64(len(n)).tobytes() + head + text[inside].tobytes()
+
+
+def sharder(shared, window: int, parts: int, row_parts: int, salts: int):
     """Step 2, for mapInArrow: shards of bounded size, solved one after the other."""
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,10 +267,10 @@ def sharder(shared, window: int, parts: int, row_parts: int):
         for owner, at, data in pieces(batches, window):
             shard.add(owner, at, data, window, bitmap)
             if shard.size >= SHARD_BYTES:
-                yield sent(solve(shard, window, parts, row_parts))
+                yield sent(solve(shard, window, parts, row_parts), int(shard.row[0][0]) % salts)
                 shard = Shard()
         if shard.size:
-            yield sent(solve(shard, window, parts, row_parts))
+            yield sent(solve(shard, window, parts, row_parts), int(shard.row[0][0]) % salts)
 
     return shards
 
@@ -276,14 +288,15 @@ def window_digests(text: np.ndarray, starts: np.ndarray, window: int) -> np.ndar
     return mixed(out)
 
 
-def merger(window: int, row_parts: int):
-    """Step 3, for applyInArrow by kind and part."""
+def merger(window: int, row_parts: int, goes_on: bool):
+    """Step 3, for applyInArrow by kind and part: repeats and, if the merge goes on, the segments that are left."""
 
     def merge(group: pa.Table) -> pa.Table:
         kind, part = group.column("kind")[0].as_py(), group.column("part")[0].as_py()
         data = [x.as_py() for x in group.column("data")]
         if kind == REPEATS:
             rows = [(REPEATS, part, one) for one in data]
+            left = []
         else:
             heads, texts = [], []
             for one in data:
@@ -305,8 +318,13 @@ def merger(window: int, row_parts: int):
             known, least = ordered[first], np.minimum.reduceat(doc[order], first)
             repeated = doc > least[np.searchsorted(known, digest)]
             a, b = stretches(repeated, row, place)
-            rows = repeat_rows(doc[a], row[a], place[a], place[b] + window, row_parts)
-        return pa.table({"part": pa.array([r[1] for r in rows], pa.int32()), "data": pa.array([r[2] for r in rows], pa.binary())})
+            rows, left = repeat_rows(doc[a], row[a], place[a], place[b] + window, row_parts), []
+            if goes_on:
+                # windows of one segment are neighbours in its text; a stretch of them is a segment again
+                a, b = stretches(~repeated, row, place, segment)
+                left = [(SEGMENTS, part, packet(doc[a], row[a], place[a], begin[segment[a]] + step[a], b - a + window, text))] if len(a) else []
+        rows = rows + left
+        return pa.table({"kind": pa.array([r[0] for r in rows], pa.int32()), "part": pa.array([r[1] for r in rows], pa.int32()), "data": pa.array([r[2] for r in rows], pa.binary())})
 
     return merge
 
@@ -351,7 +369,7 @@ def added_names(docs: DataFrame) -> list[str]:
     return free_names(docs.columns, "_bytes", "_kept", "_spans")
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, shards: int = SHARDS) -> DataFrame:
     """All rows of ``docs``, with ``text`` replaced by its bytes, those left and the maximal removed runs, named by ``added_names``."""
     if window < GRAM:
         raise ValueError(f"windows need {GRAM} bytes at least")
@@ -372,8 +390,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     shared = context.broadcast(bitmap)
     del bitmap
 
-    asked = texts.mapInArrow(sharder(shared, window, parts, parts), SENT)
-    found = asked.groupBy("kind", "part").applyInArrow(merger(window, parts), "part int, data binary")
+    salts = max(1, -(-int(total) // (SHARD_BYTES * shards)))
+    asked = texts.mapInArrow(sharder(shared, window, parts, parts, salts), SENT)
+    left = "kind int, part int, data binary"
+    if salts > 1:
+        asked = asked.groupBy("kind", "part", "salt").applyInArrow(merger(window, parts, True), left)
+    found = asked.groupBy("kind", "part").applyInArrow(merger(window, parts, False), left).drop("kind")
     out = T.StructType([*carried.schema.fields, T.StructField(added[1], T.BinaryType()), T.StructField(added[2], T.ArrayType(SPAN))])
     dealt = carried.withColumn(row_name, row).withColumn(part_name, F.pmod(row_name, F.lit(parts)).cast("int"))
     return dealt.groupBy(part_name).cogroup(found.groupBy("part")).applyInArrow(cutter(carried.columns, added, row_name), out)
