@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import inspect
 import tempfile
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,6 +74,36 @@ def drop_stored(*frames: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def hand_back() -> None:
+    """Gives a worker's free memory back to the system: workers stay for later tasks and would hold on to it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library has no such call
+        pass
+
+
+def hands_back(work: Callable) -> Callable:
+    """A function over batches, or over one group, that gives memory back at its end."""
+    n_parts = len(inspect.signature(work).parameters)
+    if inspect.isgeneratorfunction(work):
+        def run(batches):
+            yield from work(batches)
+            hand_back()
+    elif n_parts == 1:
+        def run(group):
+            out = work(group)
+            hand_back()
+            return out
+    else:
+        def run(left, right):
+            out = work(left, right)
+            hand_back()
+            return out
+    return run
+
+
 def free_names(columns: list[str], *wanted: str) -> list[str]:
     """The wanted names, each with underscores put in front until no column has it (in any case)."""
     taken, out = {c.lower() for c in columns}, []

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import drop_stored, mixed, packed_numbers, stored, text_bytes, text_of, unpacked_numbers
+from wayfare.llm.common import drop_stored, hands_back, mixed, packed_numbers, stored, text_bytes, text_of, unpacked_numbers
 from wayfare.llm.components import connected_components
 
 GRAM = 5
@@ -195,7 +195,7 @@ def summarise(size: int, part_bits: int):
                 docs, held, total = [], [], 0
         yield summary(docs, held, part_bits)
 
-    return blocks
+    return hands_back(blocks)
 
 
 SUMMARY = "kind int, id bigint, n bigint, cid bigint, digest bigint, places binary"
@@ -334,7 +334,7 @@ def lister(frequent_shared, bitmap_shared, shared_bits: int, size: int, percent:
         if held:
             yield flush(held, frequent)
 
-    return lists
+    return hands_back(lists)
 
 
 def possible(na: np.ndarray, nb: np.ndarray, ia: np.ndarray, ib: np.ndarray, percent: int) -> np.ndarray:
@@ -375,7 +375,7 @@ def matcher(frequent_shared, percent: int, list_entries: int):
         proposed = pd.DataFrame({"kind": 1, "gram": 0, "a": pairs[:, 0], "na": pairs[:, 1], "at": 0, "b": pairs[:, 2], "nb": pairs[:, 3]})
         return pd.concat([rows, proposed], ignore_index=True)
 
-    return match
+    return hands_back(match)
 
 
 def signature(grams: np.ndarray, words: int) -> np.ndarray:
@@ -419,7 +419,7 @@ def by_class(shared, size: int, fragments: int):
                     rows = []
             yield class_batch(rows)
 
-    return rows_per_class
+    return hands_back(rows_per_class)
 
 
 PER_CLASS = "cid bigint, fragment int, data binary"
@@ -528,7 +528,7 @@ def crosser(percent: int):
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 4), np.int64)
         return pd.DataFrame({"a": pairs[:, 0], "na": pairs[:, 1], "b": pairs[:, 2], "nb": pairs[:, 3]})
 
-    return cross
+    return hands_back(cross)
 
 
 def ordered_pairs(pairs: DataFrame) -> DataFrame:

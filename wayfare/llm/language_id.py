@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.llm.common import is_held_out, stored, text_of
+from wayfare.llm.common import hands_back, is_held_out, stored, text_of
 
 TRAIN_DOCS = 4000
 ROUNDS = 3
@@ -42,6 +42,8 @@ CELLS = 1_000_000
 #: Words whose scores a worker keeps, and their letters in all; beyond that it starts anew.
 CACHE_WORDS = 100_000
 CACHE_LETTERS = 2_000_000
+#: Rows that are scored at a time.
+SLICE_ROWS = 500
 #: Bytes of text that are cut into words at a time.
 TEXT_BYTES = 1 << 20
 UNKNOWN = 1e-7
@@ -330,7 +332,7 @@ def predict(docs: DataFrame, model: PieceModel, names: tuple[str, str] = ("lang_
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = WordScores(PieceModel(*shared.value))
-        for batch in batches:
+        for batch in (whole.slice(at, SLICE_ROWS) for whole in batches for at in range(0, whole.num_rows, SLICE_ROWS)):
             got = scores.texts([t or "" for t in batch.column(place).to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
@@ -338,7 +340,7 @@ def predict(docs: DataFrame, model: PieceModel, names: tuple[str, str] = ("lang_
             )
 
     added = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
-    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, *added]))
+    return docs.mapInArrow(hands_back(score), T.StructType([*docs.schema.fields, *added]))
 
 
 def language_id(docs: DataFrame, model_path: str, train_docs: int = TRAIN_DOCS) -> DataFrame:

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.llm.common import free_names, mixed, packed_numbers, text_bytes, unpacked_numbers
+from wayfare.llm.common import free_names, hands_back, mixed, packed_numbers, text_bytes, unpacked_numbers
 from wayfare.llm.suffix_arrays import byte_words, common_prefixes, suffix_array
 
 WINDOW = 50
@@ -47,7 +47,7 @@ GRAM = 20
 BITMAP_BITS = 27
 SHARD_BYTES = 1 << 20
 PIECE_BYTES = 1 << 19
-NAMES_PER_FLUSH = 2_000_000
+NAMES_PER_FLUSH = 1_000_000
 #: Bytes of text per part of the shuffle of names, and of the later ones.
 NAME_PART_BYTES = 8 << 20
 PART_BYTES = 2 << 20
@@ -122,7 +122,7 @@ def namer(window: int, bits: int):
         if held:
             yield flush(held)
 
-    return name
+    return hands_back(name)
 
 
 def marker(bits: int):
@@ -272,7 +272,7 @@ def sharder(shared, window: int, parts: int, row_parts: int, salts: int):
         if shard.size:
             yield sent(solve(shard, window, parts, row_parts), int(shard.row[0][0]) % salts)
 
-    return shards
+    return hands_back(shards)
 
 
 def window_digests(text: np.ndarray, starts: np.ndarray, window: int) -> np.ndarray:
