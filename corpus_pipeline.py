@@ -30,12 +30,22 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: Rows of one Arrow batch in the stages; texts are long, and five stages share the workers' memory.
+BATCH_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Gives the workers the code, and keeps batches small."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter and those whose best language is less likely than all others together.
 
     Where no row has a language to learn from, only documents without a letter go.
     """
-    ship_package(spark)
+    prepare(spark)
     model = train(docs, vocabulary(PIECE_VOCABULARY))
     if not model.languages:
         return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
@@ -51,7 +61,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     text are one document; of several texts with the smallest doc_id one stays. Null
     doc_ids come after all others.
     """
-    ship_package(spark)
+    prepare(spark)
     groups = stored(component_rows(docs), "groups")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_digest")).alias("head")
     heads = groups.where("n_shingles > 0").groupBy("component").agg(first).select("head.doc_id", "head.text_digest")
@@ -73,7 +83,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     Documents that lose nothing stay as they are, also null and empty ones.
     """
-    ship_package(spark)
+    prepare(spark)
     columns, (data, kept, spans) = docs.columns, added_names(docs)
     (no_text,) = free_names([*columns, data, kept, spans], "_no_text")
     cut = remove_repeats(docs.withColumn(no_text, F.col("text").isNull()))
@@ -88,14 +98,14 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a copy of a benchmark item, edited or not, go. Rows with a null doc_id stay."""
-    ship_package(spark)
+    prepare(spark)
     found = stored(contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "contaminated")
     return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places for the tokens of all documents in sequences of 4096."""
-    ship_package(spark)
+    prepare(spark)
     return pack(docs, vocabulary(WORD_VOCABULARY))
 
 
