@@ -56,7 +56,7 @@ def _bounds(rows: DataFrame, keys: list[str], buckets: int) -> tuple[str, ...]:
     """Cuts between key ranges of about equal size, from a bounded number of keys picked by hash."""
     text = key_text(keys)
     picked = rows.select(text.alias("k")).distinct().orderBy(F.xxhash64("k"), "k").limit(BOUND_KEYS)
-    known = sorted(r["k"] for r in picked.collect())
+    known = sorted(r["k"] for r in picked.toLocalIterator())
     if not known:
         return ()
     cuts = {known[len(known) * n // buckets] for n in range(1, buckets)}
@@ -118,7 +118,7 @@ def _change(
             bounds = base.bounds if base and base.parts else _bounds(changes, keys, buckets)
             columns = base.columns if base else manifests.columns_of(report)
             place = bucket_of(keys, bounds)
-            touched = {r[0] for r in changes.select(place.alias(BUCKET)).distinct().collect()}  # at most one row per bucket
+            touched = {r[0] for r in changes.select(place.alias(BUCKET)).distinct().toLocalIterator()}  # at most one row per bucket
             if span:
                 touched |= set(range(bisect_right(bounds, span[0]), bisect_left(bounds, span[1]) + 1))
             old = [p for p in base.parts if p.bucket in touched] if base else []

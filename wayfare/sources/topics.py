@@ -32,7 +32,7 @@ def append_records(records: DataFrame, path: str, partition: str, order: list[st
     spark = records.sparkSession
     number = F.coalesce(F.col(partition).cast("int"), F.lit(0))
     with kept(records.withColumn(PARTITION, number)) as numbered:
-        counts = {r[PARTITION]: r["n"] for r in numbered.groupBy(PARTITION).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per partition
+        counts = {r[PARTITION]: r["n"] for r in numbered.groupBy(PARTITION).agg(F.count(F.lit(1)).alias("n")).toLocalIterator()}  # one row per partition
         folder = manifests.new_folder()
         # a partition is one file, in whose order its offsets run
         one_file = numbered.repartition(max(1, len(counts)), PARTITION).sortWithinPartitions(PARTITION, *order)
