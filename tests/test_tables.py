@@ -147,7 +147,7 @@ def test_levels_of_many_batches(spark):
     sinks.append_changes(_rows_of(spark, ("hot", "1", 0)), path, 0, "x")
     assert manifests.newest(spark, path).version == now.version
     store = Store(spark, path)
-    assert len(store.names("manifests")) <= manifests.KEPT and len(store.names("data")) <= 8 + 2 * manifests.KEPT
+    assert len(store.names(manifests.MANIFESTS)) <= manifests.KEPT and len(store.names("data")) <= 8 + 2 * manifests.KEPT
 
 
 def test_tables_without_keys_keep_all_rows(spark):
@@ -177,7 +177,7 @@ def test_ten_thousand_batches_stay_listed_in_a_few_parts(spark):
         if batch % 100 == 99:  # one of so many is published, to keep the test short
             now = manifests.commit(spark, path, lambda _, p=tuple(parts): manifests.Manifest(0, columns, p))
     assert longest <= 4 * (fan - 1) + 1 and now.version == 100
-    assert len(Store(spark, path).names("manifests")) == manifests.KEPT
+    assert len(Store(spark, path).names(manifests.MANIFESTS)) == manifests.KEPT
 
 
 def test_rows_of_a_part_know_their_batch(spark):

@@ -88,7 +88,7 @@ def _source() -> type[DataSource]:
         def log(self) -> dict:
             from pyarrow import fs
 
-            store, path = opened(f"{self.path}/manifests")
+            store, path = opened(f"{self.path}/_manifests")
             names = sorted(f.path for f in store.get_file_info(fs.FileSelector(path)) if f.path.endswith(".json"))
             with store.open_input_stream(names[-1]) as file:
                 return json.loads(file.read().decode("utf-8"))
