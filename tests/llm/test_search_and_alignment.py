@@ -263,3 +263,18 @@ def test_places_cover_all_pairs_that_can_end_together():
 def test_best_pairs_with_ties():
     places = np.array([0 * 3 + 0, 0 * 3 + 1, 1 * 3 + 0, 2 * 3 + 0])
     assert token_alignment.best_of_b(np.array([5, 0, 5, 4]), places, 3).tolist() == [True, True, True, False]
+
+
+def test_ids_are_spelled_in_one_table():
+    a, b = np.array([0, 7, 50256, 12]), np.array([31999, 3, 0])
+    group_a, group_b = np.array([1, 3]), np.array([0, 2])
+    told = token_alignment.spelled_ids(50257, 32000)
+    assert told.dtype.itemsize == 8 and len(told) == 2 * (50257 + 32000)
+    assert token_alignment.group_texts(a, b, group_a, group_b, told, 50257) == b"0,7|31999;50256,12|3,0"
+
+
+def test_no_list_of_byte_level_ids_is_made():
+    plain, encoder = Plain(), token_alignment.PairEncoder(BYTE_BPE, PIECES)
+    wanted = [plain.ids(t) for t in ODD]
+    encoder.library.encode_ordinary = None
+    assert [tuple(np.frombuffer(x, "<u4").tolist() for x in got) for got in encoder.texts(ODD)] == wanted

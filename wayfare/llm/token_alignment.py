@@ -23,6 +23,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -76,6 +77,11 @@ def piece_token_bytes(model) -> list[bytes]:
     return out
 
 
+def tokens_at(ids: list[int], tokens: list[bytes]) -> tuple[bytes, ...]:
+    """The tokens of some ids, in their order."""
+    return itemgetter(*ids)(tokens) if len(ids) > 1 else tuple(tokens[i] for i in ids)
+
+
 class PairEncoder:
     """Ids of both sides of a blank and a text.
 
@@ -88,6 +94,7 @@ class PairEncoder:
 
         self.a_bytes, self.model = byte_token_bytes(byte_path), load_pieces(piece_path)
         self.b_bytes = piece_token_bytes(self.model)
+        self.a_length = np.array(list(map(len, self.a_bytes)), np.int64)
         ranks = {token: at for at, token in enumerate(self.a_bytes)}
         # without special tokens, their strings in a text are ordinary text
         self.library = tiktoken.Encoding(byte_path, pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -96,10 +103,14 @@ class PairEncoder:
         """Both sides' ids of each text; none for empty texts and where the bytes of a side are not those of the blank and the text."""
         out = []
         for text, b in zip(texts, self.model.encode(texts, num_threads=1)):
+            if not text:
+                out.append((b"", b""))
+                continue
             whole = b" " + text.encode()
-            a = self.library.encode_ordinary(" " + text) if text else []
-            same = b"".join(map(self.a_bytes.__getitem__, a)) == whole == b"".join(map(self.b_bytes.__getitem__, b))
-            out.append((np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes()) if same else (b"", b""))
+            a = self.library.encode_to_numpy(" " + text, disallowed_special=())
+            # the byte-level side cuts the bytes and changes none, so it has them all if it has as many
+            same = self.a_length[a].sum() == len(whole) and b"".join(tokens_at(b, self.b_bytes)) == whole
+            out.append((a.astype("<u4").tobytes(), np.array(b, "<u4").tobytes()) if same else (b"", b""))
         return out
 
 
@@ -226,8 +237,14 @@ def suffix_pairs(a_bytes: list[bytes], b_bytes: list[bytes]) -> np.ndarray:
     return np.array(sorted(found), np.int64)
 
 
-def group_texts(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, spelled: list[bytes], n_a: int) -> bytes:
-    """``a1,a2|b1;a3|b2,b3`` of one document. ``spelled`` has the A ids before a comma, before a bar, then the B ids before a comma, before a semicolon."""
+def spelled_ids(n_a: int, n_b: int) -> np.ndarray:
+    """The A ids before a comma, before a bar, then the B ids before a comma, before a semicolon: as texts that zeros fill up."""
+    told = [b"%d%s" % (i, mark) for n, marks in ((n_a, (b",", b"|")), (n_b, (b",", b";"))) for mark in marks for i in range(n)]
+    return np.array(told, "S8" if max(n_a, n_b) <= 10**7 else "S16")
+
+
+def group_texts(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, spelled: np.ndarray, n_a: int) -> bytes:
+    """``a1,a2|b1;a3|b2,b3`` of one document, from the texts of ``spelled_ids``."""
     n_b = len(spelled) // 2 - n_a
     ends_a, ends_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
     ends_a[group_a], ends_b[group_b] = 1, 1
@@ -237,7 +254,7 @@ def group_texts(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.n
     out = np.empty(len(a) + len(b), np.int64)
     out[np.arange(len(a)) + before[of_a]] = a + ends_a * n_a
     out[np.arange(len(b)) + through[of_b]] = 2 * n_a + b + ends_b * n_b
-    return b"".join(map(spelled.__getitem__, out.tolist()))[:-1]
+    return spelled[out].tobytes().translate(None, b"\0")[:-1]
 
 
 def digester(shared, n_a: int, n_b: int):
@@ -245,7 +262,7 @@ def digester(shared, n_a: int, n_b: int):
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = shared.value
-        spelled = [b"%d%s" % (i, mark) for n, marks in ((n_a, (b",", b"|")), (n_b, (b",", b";"))) for mark in marks for i in range(n)]
+        spelled = spelled_ids(n_a, n_b)
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, *packed in zip(*(c.to_pylist() for c in batch.columns)):
