@@ -270,3 +270,16 @@ def test_stages_take_edge_rows_and_empty_tables(spark, data, edges, empty, name,
     out.collect()
     if name != "best_fit_packing":
         assert out.columns == edges.columns
+
+
+def test_units_in_use_outlive_the_others(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_UNITS", 60)
+    encoder, library, asked = tokens.UnitEncoder(WORD_BPE, False, tokens.little_endian), tokens.load(WORD_BPE), []
+    merge = encoder.cache.merge
+    encoder.cache.merge = lambda piece: asked.append(piece) or merge(piece)
+    letters = "abcdefghijklmnopqrst"
+    for n in range(100):
+        text = "Often, " + " ".join(letters[n % 20] + letters[n // 20] + x + "." for x in letters)
+        assert b"".join(encoder.text(text)) == tokens.little_endian(library.encode(text, add_special_tokens=False).ids)
+    assert asked.count("often") == 1
+    assert len(encoder.cache) + len(encoder.cache.older) <= 60 + 2 * 21 and len(encoder.cache.words) <= 60 + 21

@@ -7,7 +7,7 @@ import re
 import struct
 from collections.abc import Callable
 
-#: Units kept per Python worker; beyond that the cache starts anew.
+#: Units kept per Python worker, in two generations: at half as many the older one is forgotten.
 CACHE_UNITS = 400_000
 LONGEST_CACHED = 48
 _SPACE_THEN_BLANK = re.compile(r"\s ")
@@ -33,43 +33,50 @@ class UnitCache(dict):
     """What the ids of a unit are worth, found out when a unit is first asked for.
 
     A plain unit, letters and then marks, goes to the merges directly; any other
-    one goes through the library as a whole.
+    one goes through the library as a whole. ``value`` of joined ids must be the sum of
+    their values: then letters and marks are kept by value, and a unit adds two up.
     """
 
     def __init__(self, library, keep_blank: bool, value: Callable[[list[int]], object]):
         super().__init__()
         self.library, self.value, self.keep_blank = library, value, keep_blank
         self.letters, self.merge = byte_letters(), library.model.tokenize
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, object] = {}
+        self.older: dict[str, object] = {}
 
-    def merged(self, piece: str) -> list[int]:
+    def merged(self, piece: str):
         spelled = piece if piece.isascii() and " " not in piece else "".join([self.letters[b] for b in piece.encode()])
-        return [t.id for t in self.merge(spelled)]
+        out = self.words[piece] = self.value([t.id for t in self.merge(spelled)])
+        return out
 
     def __missing__(self, unit: str):
-        plain = _PLAIN.fullmatch(unit) if len(unit) <= LONGEST_CACHED else None
+        if len(unit) > LONGEST_CACHED:
+            return self.found(unit, None)
+        out = self.older.pop(unit, None)
+        if out is None:
+            out = self.found(unit, _PLAIN.fullmatch(unit))
+        self[unit] = out
+        return out
+
+    def found(self, unit: str, plain: re.Match | None):
         if plain is None:
             spelled = " " + unit if self.keep_blank else unit
-            out = self.value(self.library.encode(spelled, add_special_tokens=False).ids)
-        else:
-            word, marks = plain.groups()
-            word = " " + word if self.keep_blank else word.lower()
-            ids = self.words.get(word)
-            if ids is None:
-                ids = self.words[word] = self.merged(word)
-            if marks:
-                tail = self.words.get(marks)
-                if tail is None:
-                    tail = self.words[marks] = self.merged(marks)
-                ids = ids + tail
-            out = self.value(ids)
-        if len(unit) <= LONGEST_CACHED:
-            self[unit] = out
+            return self.value(self.library.encode(spelled, add_special_tokens=False).ids)
+        word, marks = plain.groups()
+        word = " " + word if self.keep_blank else word.lower()
+        out = self.words.get(word)
+        if out is None:
+            out = self.merged(word)
+        if marks:
+            tail = self.words.get(marks)
+            out = out + (self.merged(marks) if tail is None else tail)
         return out
 
     def trim(self) -> None:
-        if len(self) > CACHE_UNITS:
+        if len(self) > CACHE_UNITS // 2:
+            self.older = dict(self)
             self.clear()
+        if len(self.words) > CACHE_UNITS:
             self.words.clear()
 
 
@@ -95,11 +102,11 @@ class UnitEncoder:
         cache = self.cache
         cache.trim()
         if not self.keep_blank:
-            return [cache[u] for u in text.replace("\n", " ").split(" ")]
+            return list(map(cache.__getitem__, text.replace("\n", " ").split(" ")))
         if _SPACE_THEN_BLANK.search(text):
             return [self._whole(text)]
         units = text.split(" ")
-        out = [cache[u] for u in units]
+        out = list(map(cache.__getitem__, units))
         out[0] = self._whole(units[0])
         return out
 
