@@ -14,7 +14,7 @@ from wayfare.functions import keys as rowkeys
 from wayfare.operators import latest, tracks
 from wayfare.operators.latest import upsert_latest, upsert_partial
 from wayfare.session import scratch_path
-from wayfare.sources import readers, sinks
+from wayfare.sources import manifests, readers, sinks
 from wayfare.sources.schema import ORDER_LINE
 from wayfare.streaming import cdc, jobs, lines, metrics
 
@@ -221,6 +221,33 @@ def test_routed_ingest_and_replay(spark, data):
     assert sinks.read_changes(spark, f"{path}/out/quarantine").count() == bad.count()
 
 
+@pytest.mark.parametrize("start, tables", [(jobs.start_ingest, ("gps", "orders")), (jobs.start_routed_ingest, ("gps", "orders", "quarantine"))])
+def test_tables_of_a_batch_are_made_from_files(spark, data, monkeypatch, start, tables):
+    path, read, append = scratch_path(spark, "staged"), {}, jobs.append_changes
+
+    def seen(rows, table, batch_id):
+        read[table.rsplit("/", 1)[1]] = (rows.inputFiles(), rows.storageLevel.useMemory)
+        append(rows, table, batch_id)
+
+    monkeypatch.setattr(jobs, "append_changes", seen)
+    jobs.wait(start(v.records_stream(spark, data), f"{path}/out", f"{path}/checkpoint", None))
+    assert sorted(read) == sorted(tables)
+    for files, in_memory in read.values():
+        assert files and all(f"{path}/out/{sinks.STAGED}/" in f for f in files) and not in_memory
+    assert manifests.Store(spark, f"{path}/out").names(sinks.STAGED) == []
+    assert sinks.read_changes(spark, f"{path}/out/gps").count() == lines.gps_rows(v.gps_lines(spark, data)).count()
+
+
+def test_a_batch_that_fails_leaves_no_files(spark, data, monkeypatch):
+    path = scratch_path(spark, "staged")
+    monkeypatch.setattr(sinks, "run_of", lambda batch: "run")
+    with pytest.raises(RuntimeError):
+        with sinks.staged(_lines(spark, "a", "b"), _lines(spark, "a", "b"), path, 3) as found:
+            assert found.count() == 2
+            raise RuntimeError
+    assert manifests.Store(spark, path).names(sinks.STAGED) == []
+
+
 def _rows_of(spark, *values):
     return spark.createDataFrame(list(values), "id string, v int")
 

@@ -30,6 +30,7 @@ from wayfare.sources.manifests import Conflict, Manifest, Part
 
 RUN, BATCH, WRITTEN = "run", "batch_id", "written_at"
 BUCKET = "bucket"
+STAGED = "_staged"  # names that begin so are passed over by file readers
 #: Key ranges of a new table, and keys that are looked at to choose them (their layout alone depends on these).
 BUCKETS = 16
 BOUND_KEYS = 10_000
@@ -47,6 +48,22 @@ def kept(df: DataFrame) -> Iterator[DataFrame]:
         cached.unpersist()
 
 
+@contextmanager
+def staged(batch: DataFrame, rows: DataFrame, path: str, batch_id: int) -> Iterator[DataFrame]:
+    """Rows made of a micro-batch, written to files below ``path`` for the body; removed after it, also when it fails.
+
+    A cached partition is read whole by one task, and lines are many times as long as
+    the columns they are read from; files are read in splits of bounded size. What a
+    failed run left is overwritten when its batch is replayed.
+    """
+    spark, folder = batch.sparkSession, f"{STAGED}/{run_of(batch)}-{batch_id}"
+    try:
+        rows.write.mode("overwrite").parquet(f"{path}/{folder}")
+        yield spark.read.schema(rows.schema).parquet(f"{path}/{folder}")
+    finally:
+        manifests.Store(spark, path).remove(folder)
+
+
 def key_text(keys: list[str]) -> Column:
     """The key as one text, in whose order buckets are cut; null if a part is null."""
     return F.concat(*[x for key in keys for x in (F.col(key).cast("string"), F.lit("\x1f"))][:-1])

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wayfare.functions import keys as rowkeys
 from wayfare.operators import tracks
-from wayfare.sources.sinks import FAN, append_changes, fold_levels, kept, read_current
+from wayfare.sources.sinks import FAN, append_changes, fold_levels, read_current, staged
 from wayfare.streaming import cdc, lines
 
 GPS_TOPIC = "gps"
@@ -48,9 +48,9 @@ def start_ingest(records: DataFrame, out: str, checkpoint: str, interval: str |
     topics = {"gps": (GPS_TOPIC, lines.gps_rows), "orders": (ORDER_TOPIC, lines.order_rows)}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        with kept(batch.select("topic", "value")) as cached:
+        with staged(batch, batch.select("topic", "value"), out, batch_id) as routed:
             for name, (topic, rows) in topics.items():
-                append_changes(rows(lines.of_topic(cached, topic).select("value")), f"{out}/{name}", batch_id)
+                append_changes(rows(lines.of_topic(routed, topic).select("value")), f"{out}/{name}", batch_id)
                 fold_levels(batch.sparkSession, f"{out}/{name}", fan=fan)
 
     return batch_stream(records, write, checkpoint, "ingest", "append", interval)
@@ -60,8 +60,8 @@ def start_routed_ingest(records: DataFrame, out: str, checkpoint: str, interval:
     """One query that routes by content: good rows to two tables, bad lines to quarantine."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        with kept(batch) as cached:
-            good, bad = lines.quarantine(cached.select("value"))
+        with staged(batch, batch.select("value"), out, batch_id) as values:
+            good, bad = lines.quarantine(values)
             routed = {"gps": lines.gps_rows(good), "orders": lines.order_rows(good), "quarantine": bad}
             for name, rows in routed.items():
                 append_changes(rows, f"{out}/{name}", batch_id)
@@ -129,7 +129,7 @@ def start_cdc(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        with kept(cdc.with_reason(batch)) as marked:
+        with staged(batch, cdc.with_reason(batch), out, batch_id) as marked:
             good, bad = cdc.split(marked)
             append_changes(bad, f"{out}/quarantine", batch_id)
             fold_levels(spark, f"{out}/quarantine", fan=compact_every)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wayfare.operators import tracks
-from wayfare.sources.sinks import BATCH, FAN, RUN, WRITTEN, append_changes, fold_levels, kept, read_changes
+from wayfare.sources.sinks import BATCH, FAN, RUN, WRITTEN, append_changes, fold_levels, read_changes, staged
 from wayfare.streaming.jobs import TRIGGER_INTERVAL, batch_stream
 
 #: Seconds of an order that one segment covers.
@@ -36,7 +36,7 @@ def start_position_queue(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        with kept(segmented(batch, seconds)) as entries:
+        with staged(batch, segmented(batch, seconds), out, batch_id) as entries:
             append_changes(entries, f"{out}/{ENTRIES}", batch_id)
             counts = entries.groupBy("order_id", "segment").agg(F.count(F.lit(1)).alias("n"))
             append_changes(counts, f"{out}/{COUNTS}", batch_id)
