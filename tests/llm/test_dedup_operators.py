@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -273,6 +276,62 @@ def test_shards_merged_in_groups(spark, monkeypatch):
     assert got[0] == got[1] == sorted((d, kept, spans) for d, _, kept, spans in brute_repeats(docs))
 
 
+def block_of(block, docs):
+    return pa.table({"doc_id": [d for d, _ in docs], "_row": [hash((block, d)) % 2**32 for d, _ in docs], "_bytes": [t.encode() for _, t in docs], "_block": pa.array([block] * len(docs), pa.int32())})
+
+
+def marks_of(blocks, bits):
+    """What the parts of the names answer."""
+    namer = suffix_dedup.namer("_row", "_bytes", "_block", 50, bits)
+    return pa.concat_tables([suffix_dedup.mark(group) for group in split_by(pa.concat_tables([namer(b) for b in blocks]), "part")])
+
+
+def split_by(table, column):
+    for value in sorted(set(table.column(column).to_pylist())):
+        yield table.filter(pc.equal(table.column(column), value))
+
+
+@pytest.mark.parametrize("bits", [4, 9])
+def test_a_window_is_marked_if_another_document_has_its_name(bits):
+    """Exactly then, in whatever block the other document is and however many names there are."""
+    rng = random.Random(20)
+    shared = [prose(rng, 30, 10**6) for _ in range(5)]
+    texts = [" ".join([prose(rng, 60, 10**6), rng.choice(shared) if rng.random() < 0.5 else "", prose(rng, 20, 10**6)]) for _ in range(120)]
+    blocks = [block_of(b, [(i, t) for i, t in enumerate(texts) if i % 4 == b]) for b in range(4)] + [block_of(4, [(900, ""), (901, "short")])]
+    marks = marks_of(blocks, bits)
+    found = [list(suffix_dedup.pieces(b, "_row", "_bytes", 50)) for b in blocks]
+    uses = Counter(k for pieces in found for p in pieces for k in set(p.key.tolist()))
+    assert 0 < sum(n > 1 for n in uses.values()) < len(uses) / 4
+    for at, pieces in enumerate(found[:4]):
+        hits = suffix_dedup.marked(pieces, marks.filter(pc.equal(marks.column("block"), at)), bits)
+        for piece, hit in zip(pieces, hits):
+            assert hit.tolist() == [uses[k] > 1 for k in piece.key.tolist()]
+
+
+def test_a_block_sends_a_part_one_packet(monkeypatch):
+    """However many shards the block has; before, each shard sent each part a packet."""
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 20_000)
+    rng = random.Random(21)
+    docs = [(i, prose(rng, 200, 10**6)) for i in range(100)]
+    blocks = [block_of(0, docs), block_of(1, docs)]
+    marks = marks_of(blocks, 4)
+    sharder = suffix_dedup.sharder("_row", "_bytes", "_block", 50, 4, 8, 2, 1)
+    got = sharder(blocks[0], marks.filter(pc.equal(marks.column("block"), 0)))
+    sent = [(r["kind"], r["part"]) for r in got.to_pylist()]
+    assert sorted(sent) == [(suffix_dedup.SEGMENTS, p) for p in range(8)]
+    assert sum(len(t) for _, t in docs) > 5 * suffix_dedup.SHARD_BYTES
+
+
+def test_repeats_shuffle_the_documents_once(spark):
+    """The three steps that read the documents share one shuffle, and nothing is broadcast."""
+    rng = random.Random(22)
+    docs = spark.createDataFrame([(i, prose(rng, 30)) for i in range(50)], "doc_id bigint, text string")
+    got = suffix_dedup.remove_repeats(docs)
+    assert len(got.collect()) == 50
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") >= 2 and "Broadcast" not in plan
+
+
 def test_a_common_phrase_does_not_pair_all(spark):
     """2000 items and 2000 documents share one trigram; a few documents hold an item as well."""
     rng, phrase = random.Random(14), "which of the following"

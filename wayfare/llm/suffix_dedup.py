@@ -2,28 +2,31 @@
 
 A byte goes if it lies in a string of ``window`` bytes that also starts in a
 document with a smaller doc_id; matches are judged on the input and never cross
-documents. The job has four steps:
+documents. Documents are dealt to blocks of a fixed size, once for all steps:
 
 1. Every window of a document is named by the smallest digest of the grams in it,
-   so equal windows have equal names. Names that two documents use are marked in
-   a bitmap of fixed size; a window with an unmarked name is repeated nowhere.
-   (A full bitmap would let more windows through, never fewer.)
-2. Shards: tasks gather the marked stretches of their documents up to a fixed
-   size and sort them with a suffix array. Where neighbours share ``window``
+   so equal windows have equal names. A block sends each of its names once, in one
+   packet per part of the names; the part answers each packet with one bit per name,
+   set if another block sent the name too. A window whose name no other document
+   uses is repeated nowhere. The answer says no more in a large table than in a
+   small one, since it is no bitmap of a fixed size that fills up.
+2. Shards: a block gathers the marked stretches of its documents up to a fixed
+   size and sorts them with a suffix array. Where neighbours share ``window``
    bytes, all starts but those in the smallest document are repeats. What is left,
-   one document per string and shard, goes to the part of its name.
-3. Merge: a part sorts what the shards sent and looks every window up in it by
+   one document per string and shard, goes to the part of its name, in one packet
+   per block and part.
+3. Merge: a part sorts what the blocks sent and looks every window up in it by
    binary search; windows of larger documents than the smallest found are repeats.
    Where there are very many shards, groups of them are merged first, and what is
    left of each group goes on, so no task gets a string once per shard.
-4. Repeats meet their documents again and are cut out.
+4. Repeats meet the documents of their block again and are cut out.
 
 A string that fills a third of the table is thus sent once per shard, and beyond
 ``SHARDS`` shards once per group of these. Null texts
 are empty; texts shorter than a window stay whole. Rows with the same doc_id do
 not affect each other, and null doc_ids count as larger than all others; a row is
 known by its doc_id and 32 bits of a digest of doc_id and text, and dealt by the
-latter, so copies of a text spread over all parts. Texts
+latter, so copies of a text spread over all blocks. Texts
 are cut to overlapping pieces, so that one of any length fits. All columns of the
 input are kept, whatever their names; an empty table gives an empty result.
 """
@@ -31,7 +34,7 @@ input are kept, whatever their names; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -44,15 +47,16 @@ from wayfare.llm.suffix_arrays import byte_words, common_prefixes, suffix_array
 
 WINDOW = 50
 GRAM = 20
-BITMAP_BITS = 27
 SHARD_BYTES = 1 << 20
 PIECE_BYTES = 1 << 19
-NAMES_PER_FLUSH = 1_000_000
-#: Bytes of text per part of the shuffle of names, and of the later ones.
-NAME_PART_BYTES = 8 << 20
-PART_BYTES = 2 << 20
-#: Shards whose strings are merged at a time.
-SHARDS = 4096
+#: Bytes of text per block of documents, per part of the names and per part of the merge. Packets go from each block to
+#: each part, so their number grows with the product of both; below SMALL blocks they are smaller, for the cores' sake.
+BLOCK_BYTES = 16 << 20
+NAME_PART_BYTES = 32 << 20
+PART_BYTES = 4 << 20
+SMALL = 128
+#: Shards whose strings are merged at a time: a string of a name has some 100 bytes in a packet, 6 MB from so many shards.
+SHARDS = 1 << 16
 NO_ID = np.iinfo(np.int64).max
 NO_BYTES = np.zeros(0, np.uint8)
 ODD = [np.uint64(x) for x in (
@@ -80,13 +84,36 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.append(starts[1:], len(values))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[tuple[int, int], int, np.ndarray]]:
-    """(doc_id, text digest), offset and bytes of overlapping pieces; every window is in exactly one."""
-    for batch in batches:
-        for doc_id, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            data = np.frombuffer(text.as_buffer(), np.uint8) if len(text.as_buffer()) else NO_BYTES
-            for at in range(0, len(data) - window + 1, PIECE_BYTES):
-                yield (NO_ID if doc_id is None else doc_id, row), at, data[at : at + PIECE_BYTES + window - 1]
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The values in order, each once; for many numbers a sort is quicker than the hash table of ``np.unique``."""
+    values = np.sort(values)
+    return values[runs(values)[0]] if len(values) else values
+
+
+def doc_numbers(docs: pa.Table) -> np.ndarray:
+    return np.array([NO_ID if i is None else i for i in docs.column("doc_id").to_pylist()], np.int64)
+
+
+@dataclass
+class Piece:
+    """A piece of a document: (doc_id, text digest), offset and bytes, first starts of the runs of windows with equal names and their end, and the names."""
+
+    owner: tuple[int, int]
+    at: int
+    data: np.ndarray
+    edges: np.ndarray
+    key: np.ndarray
+
+
+def pieces(docs: pa.Table, row: str, text: str, window: int) -> Iterator[Piece]:
+    """Overlapping pieces of a block's documents; every window is in exactly one."""
+    for doc_id, digest, value in zip(doc_numbers(docs).tolist(), docs.column(row).to_pylist(), docs.column(text)):
+        data = np.frombuffer(value.as_buffer(), np.uint8) if len(value.as_buffer()) else NO_BYTES
+        for at in range(0, len(data) - window + 1, PIECE_BYTES):
+            part = data[at : at + PIECE_BYTES + window - 1]
+            least = names(part, window)
+            starts = runs(least)[0]
+            yield Piece((doc_id, digest), at, part, np.append(starts, len(least)).astype(np.int32), mixed(least[starts]))
 
 
 def by_part(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -97,89 +124,99 @@ def by_part(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(part[order[a]]), order[a:b]
 
 
-def namer(window: int, bits: int):
-    """Step 1, for mapInArrow: names, cut to 32 bits in parts of their range; one that two documents of a block use is sent twice."""
-
-    def flush(held: list[np.ndarray]) -> pa.RecordBatch:
-        found, counts = np.unique(np.concatenate(held), return_counts=True)
-        found = np.repeat(found, np.minimum(counts, 2))
-        part = (found >> np.uint64(64 - bits)).astype(np.int64)
-        inside = ((found << np.uint64(bits)) >> np.uint64(32)).astype(np.int64)
-        starts, ends = runs(part)
-        blobs = [packed_numbers(np.diff(inside[a:b], prepend=0), 4) for a, b in zip(starts, ends)]
-        return pa.RecordBatch.from_arrays([pa.array(part[starts], pa.int32()), pa.array(blobs, pa.binary())], names=["part", "names"])
-
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, total = [], 0
-        for _, _, data in pieces(batches, window):
-            least = names(data, window)
-            own = np.unique(mixed(least[runs(least)[0]]))
-            held.append(own)
-            total += len(own)
-            if total >= NAMES_PER_FLUSH:
-                yield flush(held)
-                held, total = [], 0
-        if held:
-            yield flush(held)
+def cut_names(key: np.ndarray, bits: int) -> np.ndarray:
+    """Names as they are sent: the part of the name in ``bits`` bits, then 32 more bits of it."""
+    return key >> np.uint64(32 - bits)
+
+
+def name_parts(found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of cut names in order: each part, and where its names start and end."""
+    part = (found >> np.uint64(32)).astype(np.int64)
+    starts, ends = runs(part)
+    return part[starts], starts, ends
+
+
+NAMES = "part int, block int, names binary"
+MARKS = "part int, block int, bits binary"
 
-    return hands_back(name)
 
+def namer(row: str, text: str, block: str, window: int, bits: int):
+    """Step 1, for applyInArrow by block: the names of a block in order, each once, in packets by part."""
 
-def marker(bits: int):
-    """For applyInArrow by part: the part's slice of the bitmap, with the places of names that were sent twice."""
+    def name(docs: pa.Table) -> pa.Table:
+        keys = [x.key for x in pieces(docs, row, text, window)]
+        parts, blobs = NO_BYTES, []
+        if keys:
+            found = distinct(cut_names(np.concatenate(keys), bits))
+            parts, starts, ends = name_parts(found)
+            inside = (found & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            blobs = [packed_numbers(np.diff(inside[a:b], prepend=0), 4) for a, b in zip(starts, ends)]
+        own = [docs.column(block)[0].as_py()] * len(blobs)
+        return pa.table({"part": pa.array(parts, pa.int32()), "block": pa.array(own, pa.int32()), "names": pa.array(blobs, pa.binary())})
+
+    return hands_back(name)
 
-    def mark(group: pa.Table) -> pa.Table:
-        sent_names = (unpacked_numbers(x, 4, len(x) // 4) for x in map(pa.BinaryScalar.as_py, group.column("names")))
-        found = np.sort(np.concatenate([np.cumsum(x, dtype=np.int64) for x in sent_names]))
-        twice = found[1:][found[1:] == found[:-1]]
-        slots = np.zeros(1 << (BITMAP_BITS - bits), np.uint8)
-        slots[twice >> (32 - BITMAP_BITS + bits)] = 1
-        part = group.column("part")[0].as_py()
-        return pa.table({"part": pa.array([part], pa.int32()), "bits": pa.array([np.packbits(slots, bitorder="little").tobytes()], pa.binary())})
 
-    return mark
+def mark(group: pa.Table) -> pa.Table:
+    """For applyInArrow by part of the names: for each packet one bit per name, set if it is in another packet as well."""
+    packets = [x.as_py() for x in group.column("names")]
+    found = np.concatenate([np.cumsum(unpacked_numbers(x, 4, len(x) // 4), dtype=np.uint64) for x in packets])
+    order = np.sort((found << np.uint64(32)) | np.arange(len(found), dtype=np.uint64))
+    same = np.flatnonzero((order[1:] >> np.uint64(32)) == (order[:-1] >> np.uint64(32)))
+    place = (order & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    twice = np.zeros(len(found), bool)
+    twice[place[same]] = twice[place[same + 1]] = True
+    ends = np.cumsum([len(x) // 4 for x in packets])
+    bits = [np.packbits(twice[b - len(x) // 4 : b], bitorder="little").tobytes() for x, b in zip(packets, ends)]
+    return pa.table({"part": group.column("part"), "block": group.column("block"), "bits": pa.array(bits, pa.binary())})
 
 
-def marked(bitmap: np.ndarray, found: np.ndarray) -> np.ndarray:
-    place = (found >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-    return (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+def marked(found: list[Piece], marks: pa.Table, bits: int) -> list[np.ndarray]:
+    """For each piece of a block, which runs have a name that another document uses: one of the block, or of another as the marks say."""
+    known, place = np.unique(cut_names(np.concatenate([x.key for x in found]), bits), return_inverse=True)
+    places = np.split(place, np.cumsum([len(x.key) for x in found])[:-1])
+    use = np.bincount(np.concatenate([distinct(x) for x in places]), minlength=len(known)) > 1
+    answers = dict(zip(marks.column("part").to_pylist(), marks.column("bits").to_pylist()))
+    for part, a, b in zip(*name_parts(known)):
+        use[a:b] |= np.unpackbits(np.frombuffer(answers[int(part)], np.uint8), count=b - a, bitorder="little").view(bool)
+    return [use[x] for x in places]
 
 
 @dataclass
 class Shard:
-    """Marked stretches of some documents: their bytes, and for each position its document, row, place, and window's name."""
-
-    text: list[np.ndarray] = field(default_factory=list)
-    doc: list[np.ndarray] = field(default_factory=list)
-    row: list[np.ndarray] = field(default_factory=list)
-    place: list[np.ndarray] = field(default_factory=list)
-    name: list[np.ndarray] = field(default_factory=list)
-    starts: list[np.ndarray] = field(default_factory=list)
-    size: int = 0
-
-    def add(self, owner: tuple[int, int], at: int, data: np.ndarray, window: int, bitmap: np.ndarray) -> None:
-        least = names(data, window)
-        starts, ends = runs(least)
-        key = mixed(least[starts])
-        hit = marked(bitmap, key)
-        if not hit.any():
-            return
-        # neighbouring marked runs form one stretch
-        edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
-        for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)):
-            low, high = starts[a], ends[b - 1]
-            length = high - low + window - 1
-            name = np.zeros(length, np.uint64)
-            name[: high - low] = np.repeat(key[a:b], ends[a:b] - starts[a:b])
-            begins = np.zeros(length, bool)
-            begins[: high - low] = True
-            self.text.append(data[low : low + length])
-            self.doc.append(np.full(length, owner[0]))
-            self.row.append(np.full(length, owner[1]))
-            self.place.append(np.arange(at + low, at + low + length))
-            self.name.append(name)
-            self.starts.append(begins)
-            self.size += int(length)
+    """Marked stretches of some documents: their bytes, and for each position its document, row, place, window's name, and whether a marked window starts there."""
+
+    text: np.ndarray
+    doc: np.ndarray
+    row: np.ndarray
+    place: np.ndarray
+    name: np.ndarray
+    starts: np.ndarray
+
+
+def shards_of(found: list[Piece], hits: list[np.ndarray], window: int) -> Iterator[Shard]:
+    """The marked stretches of a block's pieces, gathered up to SHARD_BYTES."""
+    text = np.concatenate([x.data for x in found])
+    base = np.cumsum([0, *(len(x.data) for x in found)])
+    at, doc, row = np.array([x.at for x in found]), np.array([x.owner[0] for x in found]), np.array([x.owner[1] for x in found])
+    piece = np.repeat(np.arange(len(found)), [len(x.key) for x in found])
+    low, high = np.concatenate([x.edges[:-1] for x in found]).astype(np.int64), np.concatenate([x.edges[1:] for x in found]).astype(np.int64)
+    key, hit = np.concatenate([x.key for x in found]), np.concatenate(hits)
+    a, b = segment_stretches(hit, piece)  # neighbouring marked runs form one stretch
+    length = high[b] - low[a] + window - 1
+    size = np.cumsum(length)
+    i = 0
+    while i < len(a):
+        j = int(np.searchsorted(size, size[i] - length[i] + SHARD_BYTES)) + 1
+        n, of = length[i:j], piece[a[i:j]]
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        place = step + np.repeat(low[a[i:j]], n)
+        starts = step < np.repeat(n - window + 1, n)
+        name = np.zeros(len(step), np.uint64)
+        run = a[i] + np.flatnonzero(hit[a[i] : b[min(j, len(b)) - 1] + 1])
+        name[starts] = np.repeat(key[run], high[run] - low[run])
+        yield Shard(text[place + np.repeat(base[of], n)], np.repeat(doc[of], n), np.repeat(row[of], n), place + np.repeat(at[of], n), name, starts)
+        i = j
 
 
 def stretches(use: np.ndarray, row: np.ndarray, place: np.ndarray, name: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -195,16 +232,19 @@ def stretches(use: np.ndarray, row: np.ndarray, place: np.ndarray, name: np.ndar
     return at[first], at[np.append(first[1:], len(at)) - 1]
 
 
+def segment_stretches(use: np.ndarray, segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last of each stretch of used windows that follow each other in a segment."""
+    edge = use[1:] & use[:-1] & (segment[1:] == segment[:-1])
+    return np.flatnonzero(use & ~np.append(False, edge)), np.flatnonzero(use & ~np.append(edge, False))
+
+
 SENT = "kind int, part int, salt int, data binary"
 REPEATS, SEGMENTS = 1, 0
 
 
-def sent(rows: list[tuple[int, int, bytes]], salt: int) -> pa.RecordBatch:
-    kinds, parts, data = zip(*rows) if rows else ([], [], [])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(kinds, pa.int32()), pa.array(parts, pa.int32()), pa.array([salt] * len(rows), pa.int32()), pa.array(data, pa.binary())],
-        names=["kind", "part", "salt", "data"],
-    )
+def sent(rows: list[tuple[int, int, bytes]]) -> pa.Table:
+    kinds, parts, data = zip(*rows) if rows else ((), (), ())
+    return pa.table({"kind": pa.array(kinds, pa.int32()), "part": pa.array(parts, pa.int32()), "data": pa.array(data, pa.binary())})
 
 
 def row_key(doc: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -212,14 +252,14 @@ def row_key(doc: np.ndarray, row: np.ndarray) -> np.ndarray:
     return mixed(doc.astype(np.uint64) * ODD[1] + row.astype(np.uint64)).view(np.int64)
 
 
-def repeat_rows(doc: np.ndarray, row: np.ndarray, start: np.ndarray, stop: np.ndarray, row_parts: int) -> list[tuple[int, int, bytes]]:
-    """Removed stretches as (row key, start, stop) by part of the row."""
+def repeat_rows(doc: np.ndarray, row: np.ndarray, start: np.ndarray, stop: np.ndarray, blocks: int) -> list[tuple[int, int, bytes]]:
+    """Removed stretches as (row key, start, stop) by block of the row."""
     if not len(row):
         return []
     key = row_key(doc, row).view(np.uint64)
     return [
         (REPEATS, p, key[at].astype("<u8").tobytes() + packed_numbers(start[at], 4) + packed_numbers(stop[at], 4))
-        for p, at in by_part(row % row_parts)
+        for p, at in by_part(row % blocks)
     ]
 
 
@@ -230,9 +270,18 @@ def repeats_in(data: bytes) -> np.ndarray:
     return np.stack([key, unpacked_numbers(data, 4, count, 8 * count).astype(np.int64), unpacked_numbers(data, 4, count, 12 * count).astype(np.int64)], axis=1)
 
 
-def solve(shard: Shard, window: int, parts: int, row_parts: int) -> list[tuple[int, int, bytes]]:
-    """Step 2 for one shard: its own repeats, and the segments that other shards must be asked about."""
-    text, doc, row, place, name, starts = (np.concatenate(x) for x in (shard.text, shard.doc, shard.row, shard.place, shard.name, shard.starts))
+@dataclass
+class Solved:
+    """Of one shard or several: the repeats (document, row, start, stop), the segments that other shards must be asked about (document, row, place, name, begin, length), and the text these begin in."""
+
+    repeats: list[np.ndarray]
+    segments: list[np.ndarray]
+    text: np.ndarray
+
+
+def solve(shard: Shard, window: int) -> Solved:
+    """Step 2 for one shard."""
+    text, doc, row, place, name, starts = shard.text, shard.doc, shard.row, shard.place, shard.name, shard.starts
     order = suffix_array(text)
     shared = common_prefixes(text, order, window)
     first = np.flatnonzero(np.concatenate([[True], shared[1:] < window]))
@@ -242,13 +291,20 @@ def solve(shard: Shard, window: int, parts: int, row_parts: int) -> list[tuple[i
     smallest[order] = least
     repeated = starts & (doc > smallest)
     a, b = stretches(repeated, row, place)
-    rows = repeat_rows(doc[a], row[a], place[a], place[b] + window, row_parts)
+    repeats = [doc[a], row[a], place[a], place[b] + window]
     a, b = stretches(starts & ~repeated, row, place, name)
-    part = (name[a] % np.uint64(parts)).astype(np.int64)
-    length = b - a + window
-    for p, at in by_part(part) if len(a) else ():
-        rows.append((SEGMENTS, p, packet(doc[a[at]], row[a[at]], place[a[at]], a[at], length[at], text)))
-    return rows
+    return Solved(repeats, [doc[a], row[a], place[a], name[a], a, b - a + window], text)
+
+
+def together(solved: list[Solved]) -> Solved:
+    behind = np.cumsum([0, *(len(x.text) for x in solved)])
+    for x, at in zip(solved, behind):
+        x.segments[4] = x.segments[4] + at
+    return Solved(
+        [np.concatenate(x) for x in zip(*(x.repeats for x in solved))],
+        [np.concatenate(x) for x in zip(*(x.segments for x in solved))],
+        np.concatenate([x.text for x in solved]),
+    )
 
 
 def packet(doc: np.ndarray, row: np.ndarray, place: np.ndarray, begin: np.ndarray, n: np.ndarray, text: np.ndarray) -> bytes:
@@ -258,19 +314,20 @@ def packet(doc: np.ndarray, row: np.ndarray, place: np.ndarray, begin: np.ndarra
     return np.int64(len(n)).tobytes() + head + text[inside].tobytes()
 
 
-def sharder(shared, window: int, parts: int, row_parts: int, salts: int):
-    """Step 2, for mapInArrow: shards of bounded size, solved one after the other."""
+def sharder(row: str, text: str, block: str, window: int, bits: int, parts: int, blocks: int, salts: int):
+    """Step 2, for applyInArrow by block on documents and marks: shards of bounded size, solved one after the other, sent together."""
 
-    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.frombuffer(shared.value, np.uint8)
-        shard = Shard()
-        for owner, at, data in pieces(batches, window):
-            shard.add(owner, at, data, window, bitmap)
-            if shard.size >= SHARD_BYTES:
-                yield sent(solve(shard, window, parts, row_parts), int(shard.row[0][0]) % salts)
-                shard = Shard()
-        if shard.size:
-            yield sent(solve(shard, window, parts, row_parts), int(shard.row[0][0]) % salts)
+    def shards(docs: pa.Table, marks: pa.Table) -> pa.Table:
+        found = list(pieces(docs, row, text, window))
+        rows, solved = [], [solve(x, window) for x in shards_of(found, marked(found, marks, bits), window)] if found else []
+        if solved:
+            every = together(solved)
+            rows = repeat_rows(*every.repeats, blocks)
+            doc, digest, place, name, begin, n = every.segments
+            for p, at in by_part((name % np.uint64(parts)).astype(np.int64)) if len(n) else ():
+                rows.append((SEGMENTS, p, packet(doc[at], digest[at], place[at], begin[at], n[at], every.text)))
+        salt = docs.column(block)[0].as_py() % salts if len(docs) else 0
+        return sent(rows).add_column(2, "salt", pa.array([salt] * len(rows), pa.int32()))
 
     return hands_back(shards)
 
@@ -288,43 +345,44 @@ def window_digests(text: np.ndarray, starts: np.ndarray, window: int) -> np.ndar
     return mixed(out)
 
 
-def merger(window: int, row_parts: int, goes_on: bool):
+def merger(window: int, blocks: int, goes_on: bool):
     """Step 3, for applyInArrow by kind and part: repeats and, if the merge goes on, the segments that are left."""
 
     def merge(group: pa.Table) -> pa.Table:
         kind, part = group.column("kind")[0].as_py(), group.column("part")[0].as_py()
         data = [x.as_py() for x in group.column("data")]
         if kind == REPEATS:
-            rows = [(REPEATS, part, one) for one in data]
-            left = []
-        else:
-            heads, texts = [], []
-            for one in data:
-                count = int(np.frombuffer(one, "<i8", 1)[0])
-                doc = unpacked_numbers(one, 8, count, 8).view(np.int64)
-                rest = [unpacked_numbers(one, 4, count, 8 + 8 * count + 4 * count * i).astype(np.int64) for i in range(3)]
-                heads.append(np.stack([doc, *rest], axis=1))
-                texts.append(np.frombuffer(one, np.uint8, offset=8 + 20 * count))
-            head, text = np.concatenate(heads), np.concatenate(texts)
-            n = head[:, 3]
-            begin = np.cumsum(n) - n
-            segment = np.repeat(np.arange(len(head)), n - window + 1)
-            step = np.arange(len(segment)) - np.repeat(np.cumsum(n - window + 1) - (n - window + 1), n - window + 1)
-            digest = window_digests(text, begin[segment] + step, window)
-            doc, row, place = head[segment, 0], head[segment, 1], head[segment, 2] + step
-            order = np.argsort(digest)
-            ordered = digest[order]
-            first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-            known, least = ordered[first], np.minimum.reduceat(doc[order], first)
-            repeated = doc > least[np.searchsorted(known, digest)]
-            a, b = stretches(repeated, row, place)
-            rows, left = repeat_rows(doc[a], row[a], place[a], place[b] + window, row_parts), []
-            if goes_on:
-                # windows of one segment are neighbours in its text; a stretch of them is a segment again
-                a, b = stretches(~repeated, row, place, segment)
-                left = [(SEGMENTS, part, packet(doc[a], row[a], place[a], begin[segment[a]] + step[a], b - a + window, text))] if len(a) else []
-        rows = rows + left
-        return pa.table({"kind": pa.array([r[0] for r in rows], pa.int32()), "part": pa.array([r[1] for r in rows], pa.int32()), "data": pa.array([r[2] for r in rows], pa.binary())})
+            return sent([(REPEATS, part, one) for one in data])
+        heads, texts = [], []
+        for one in data:
+            count = int(np.frombuffer(one, "<i8", 1)[0])
+            doc = unpacked_numbers(one, 8, count, 8).view(np.int64)
+            rest = [unpacked_numbers(one, 4, count, 8 + 8 * count + 4 * count * i).astype(np.int64) for i in range(3)]
+            heads.append([doc, *rest])
+            texts.append(np.frombuffer(one, np.uint8, offset=8 + 20 * count))
+        (doc, row, place, n), text = (np.concatenate(x) for x in zip(*heads)), np.concatenate(texts)
+        begin, windows = np.cumsum(n) - n, n - window + 1
+        segment = np.repeat(np.arange(len(n), dtype=np.int32), windows)
+        step = (np.arange(len(segment)) - np.repeat(np.cumsum(windows) - windows, windows)).astype(np.int32)
+        digest = window_digests(text, begin[segment] + step, window)
+        owner = doc[segment]
+        order = np.argsort(digest)
+        ordered = digest[order]
+        first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        known, least = ordered[first], np.minimum.reduceat(owner[order], first)
+        # in order of the digests the search finds what it needs in the processor's cache
+        repeated = np.empty(len(digest), bool)
+        repeated[order] = owner[order] > least[np.searchsorted(known, ordered)]
+        del order, ordered, first, known
+        # windows of one segment are neighbours in its text; a stretch of them is a segment again
+        a, b = segment_stretches(repeated, segment)
+        of = segment[a]
+        rows = repeat_rows(doc[of], row[of], place[of] + step[a], place[of] + step[b] + window, blocks)
+        if goes_on and not repeated.all():
+            a, b = segment_stretches(~repeated, segment)
+            of = segment[a]
+            rows.append((SEGMENTS, part, packet(doc[of], row[of], place[of] + step[a], begin[of] + step[a], b - a + window, text)))
+        return sent(rows)
 
     return merge
 
@@ -342,18 +400,17 @@ SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 
 def cutter(columns: list[str], names: list[str], row: str):
-    """Step 4, for applyInArrow on a part's documents and repeats: the input columns, kept bytes, removed spans (under ``names``)."""
+    """Step 4, for applyInArrow on a block's documents and repeats: the input columns, kept bytes, removed spans (under ``names``)."""
 
     def cut(docs: pa.Table, repeats: pa.Table) -> pa.Table:
         found = np.concatenate([np.zeros((0, 3), np.int64), *(repeats_in(x.as_py()) for x in repeats.column("data"))])
         found = found[np.argsort(found[:, 0], kind="stable")]
         ids = found[:, 0]
         kept, spans = [], []
-        doc = np.array([NO_ID if i is None else i for i in docs.column("doc_id").to_pylist()], np.int64)
+        doc = doc_numbers(docs)
         keys = row_key(doc, docs.column(row).to_numpy()) if len(doc) else doc
-        for key, text in zip(keys.tolist(), docs.column(names[0])):
+        for a, b, text in zip(np.searchsorted(ids, keys, "left").tolist(), np.searchsorted(ids, keys, "right").tolist(), docs.column(names[0])):
             data = text.as_py()
-            a, b = np.searchsorted(ids, key, "left"), np.searchsorted(ids, key, "right")
             gone = union_of(found[a:b, 1:]).tolist() if b > a else []
             edges = [0, *(x for pair in gone for x in pair), len(data)]
             kept.append(b"".join(data[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2)) if gone else data)
@@ -373,29 +430,24 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, shards: int = SHARDS)
     """All rows of ``docs``, with ``text`` replaced by its bytes, those left and the maximal removed runs, named by ``added_names``."""
     if window < GRAM:
         raise ValueError(f"windows need {GRAM} bytes at least")
-    context, total = docs.sparkSession.sparkContext, text_bytes(docs)
+    total = text_bytes(docs)
     parts = max(16, int(total // PART_BYTES))
+    blocks = max(16, min(SMALL, parts), int(total // BLOCK_BYTES))
     bits = min(20, max(4, int(total // NAME_PART_BYTES).bit_length()))
     added = added_names(docs)
-    row_name, part_name = free_names([*docs.columns, *added], "_row", "_part")
+    row_name, block_name = free_names([*docs.columns, *added], "_row", "_block")
     carried = docs.withColumn(added[0], F.coalesce(F.col("text").cast("binary"), F.lit(b""))).drop("text")
     row = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), added[0]), F.lit(1 << 32))
-    texts = carried.select(F.col("doc_id").cast("long").alias("doc_id"), row.alias("row"), F.col(added[0]).alias("data"))
-
-    slices = texts.mapInArrow(namer(window, bits), "part int, names binary").groupBy("part").applyInArrow(marker(bits), "part int, bits binary")
-    bitmap = bytearray((1 << BITMAP_BITS) // 8)
-    size = len(bitmap) >> bits
-    for part in slices.toLocalIterator():  # 2 ** BITMAP_BITS / 8 bytes in all, slice by slice
-        bitmap[part["part"] * size : (part["part"] + 1) * size] = part["bits"]
-    shared = context.broadcast(bitmap)
-    del bitmap
+    # one shuffle of the documents, read three times
+    dealt = carried.withColumn(row_name, row).withColumn(block_name, F.pmod(row_name, F.lit(blocks)).cast("int")).groupBy(block_name)
 
+    named = dealt.applyInArrow(namer(row_name, added[0], block_name, window, bits), NAMES)
+    marks = named.groupBy("part").applyInArrow(mark, MARKS)
     salts = max(1, -(-int(total) // (SHARD_BYTES * shards)))
-    asked = texts.mapInArrow(sharder(shared, window, parts, parts, salts), SENT)
+    asked = dealt.cogroup(marks.groupBy("block")).applyInArrow(sharder(row_name, added[0], block_name, window, bits, parts, blocks, salts), SENT)
     left = "kind int, part int, data binary"
     if salts > 1:
-        asked = asked.groupBy("kind", "part", "salt").applyInArrow(merger(window, parts, True), left)
-    found = asked.groupBy("kind", "part").applyInArrow(merger(window, parts, False), left).drop("kind")
+        asked = asked.groupBy("kind", "part", "salt").applyInArrow(merger(window, blocks, True), left)
+    found = asked.groupBy("kind", "part").applyInArrow(merger(window, blocks, False), left).drop("kind")
     out = T.StructType([*carried.schema.fields, T.StructField(added[1], T.BinaryType()), T.StructField(added[2], T.ArrayType(SPAN))])
-    dealt = carried.withColumn(row_name, row).withColumn(part_name, F.pmod(row_name, F.lit(parts)).cast("int"))
-    return dealt.groupBy(part_name).cogroup(found.groupBy("part")).applyInArrow(cutter(carried.columns, added, row_name), out)
+    return dealt.cogroup(found.groupBy("part")).applyInArrow(cutter(carried.columns, added, row_name), out)
